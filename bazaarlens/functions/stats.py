@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql.types import DecimalType
 
 from bazaarlens.session import materialise
 
@@ -67,6 +68,11 @@ def running_total(df: DataFrame, order: list[Column], value: str, name: str, tot
     slice is then summed by its own task and shifted by the totals of the
     slices before it (one row per slice, at most the shuffle partition count).
     """
+    def exact(col: Column) -> Column:
+        # a decimal sum of full precision would lose digits in the addition below
+        kind = df.schema[value].dataType
+        return col.cast(DecimalType(37, kind.scale)) if isinstance(kind, DecimalType) else col
+
     slices = materialise(
         df.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id()), "running"
     )
@@ -82,6 +88,6 @@ def running_total(df: DataFrame, order: list[Column], value: str, name: str, tot
     return (
         slices.withColumn("_local", F.sum(value).over(inner))
         .join(F.broadcast(starts), "_slice")
-        .withColumn(name, F.col("_start") + F.col("_local"))
+        .withColumn(name, exact(F.col("_start")) + exact(F.col("_local")))
         .drop("_slice", "_start", "_local")
     )

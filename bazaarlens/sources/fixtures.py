@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bazaarlens.functions.money import ratio
 from bazaarlens.functions.timing import month_of, seconds_between
-from bazaarlens.operators import core
+from bazaarlens.operators import core, products
 from bazaarlens.params import FIRST_ORDER, Params
 
 WINDOW = Params(
@@ -21,6 +21,7 @@ WINDOW = Params(
     mover_min_revenue=1000.0,
 )
 REASON_CODES = ("AF", "AO", "AP", "RF", "RO", "RP")
+NAME_COLOURS = ("red", "blue", "green", "small", "large", "black", "white")  # leading words of the part names
 NEW, EXISTING = "Yeni Müşteri", "Mevcut Müşteri"
 DIM_AGE, DIM_GENDER, DIM_HOUR = "Yaş", "Cinsiyet", "Gün ve Saat"
 DIM_AMOUNT, DIM_QTY, DIM_NEW, DIM_PLUS = "Tutar Bazlı", "Adet Bazlı", "Yeni & Mevcut Müşteri", "Plus"
@@ -215,10 +216,32 @@ class Fixture:
     def sales(self) -> DataFrame:
         return core.sales_enriched(self.window(self.sales_monthly), self.products)
 
-    def window_orders(self) -> tuple[DataFrame, DataFrame]:
-        """(lines, packages) of the reporting window."""
-        packs = self.window(self.packages)
-        return self.lines.join(packs.select("package_no"), "package_no", "left_semi"), packs
+    @cached_property
+    def window_headers(self) -> DataFrame:
+        return self.orders.where(month_of(F.col("order_at")).isin(*self.params.months))
+
+    @cached_property
+    def window_lines(self) -> DataFrame:
+        """Lines of the window's packages; the packages are chosen before lines are summed."""
+        raw = self.raw_lines.join(self.window_headers.select("package_no"), "package_no", "left_semi")
+        rolled = core.order_line_rollup(raw, extra=[F.max("returned").alias("returned")])
+        return core.lines_with_product(rolled, self.products)
+
+    @cached_property
+    def window_packages(self) -> DataFrame:
+        return core.lead_times(core.impute_cargo(core.packages(self.window_lines, self.window_headers)))
+
+    @cached_property
+    def model_facts(self) -> DataFrame:
+        return products.model_facts(self.sales, self.window_lines, self.window_packages, self.params, colours=NAME_COLOURS)
+
+    @cached_property
+    def models(self) -> DataFrame:
+        return products.model_table(self.model_facts, self.params)
+
+    @cached_property
+    def ranking(self) -> DataFrame:
+        return products.model_ranking(self.sales, self.params)
 
     @cached_property
     def distribution(self) -> DataFrame:
