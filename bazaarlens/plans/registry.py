@@ -11,7 +11,7 @@ from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, Timestamp
 from bazaarlens.plans.oracle_base import with_views
 from bazaarlens.sources.fixtures import Fixture
 
-GROUPS = ("core", "metrics")
+GROUPS = ("core", "metrics", "ingest", "money")
 
 
 def portable(df: DataFrame) -> DataFrame:
