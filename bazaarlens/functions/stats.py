@@ -13,13 +13,21 @@ def value_counts(df: DataFrame, by: list[str], value: str) -> DataFrame:
     return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
 
 
-def percentile_of_counts(value: str, q: float, n: str = "n", digits: int = 6) -> Column:
-    """Exact linear-interpolated percentile of counted values.
+def lead_quantiles(df: DataFrame, by: list[str], wanted: dict[str, tuple[str, float, float]], digits: int = 6) -> DataFrame:
+    """Exact interpolated quantiles of whole-second measures: {name: (column, quantile, seconds per unit)}.
 
-    The aggregation buffer holds one entry per distinct value, so this is for
-    measures of bounded resolution (seconds, whole days, prices in cents).
+    All measures are counted in one pass as (group, measure, value). Their
+    resolution bounds the distinct values, and so every aggregation buffer.
     """
-    return F.round(F.percentile(F.col(value), F.lit(q), F.col(n)), digits)
+    cols = sorted({c for c, _, _ in wanted.values()})
+    cells = F.array(*[F.struct(F.lit(c).alias("m"), F.col(c).cast("bigint").alias("v")) for c in cols])
+    counts = value_counts(df.select(*by, F.explode(cells).alias("_c")).select(*by, F.col("_c.m").alias("_m"), F.col("_c.v").alias("_v")), [*by, "_m"], "_v")
+
+    def quantile(col: str, q: float, per: float) -> Column:
+        own = F.when(F.col("_m") == col, F.col("_v"))
+        return F.round(F.percentile(own, F.lit(q), F.col("n")) / F.lit(per), digits)
+
+    return counts.groupBy(*by).agg(*[quantile(*spec).alias(name) for name, spec in wanted.items()])
 
 
 def exact_quantile(df: DataFrame, by: list[str], value: str, q: float, name: str, digits: int = 6,

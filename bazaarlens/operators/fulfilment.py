@@ -2,36 +2,24 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F
 
 from bazaarlens.functions.binning import bin_index, labelled_spine
 from bazaarlens.functions.money import ratio
-from bazaarlens.functions.stats import value_counts
+from bazaarlens.functions.stats import lead_quantiles
 from bazaarlens.params import DELIVERY_EDGES, DELIVERY_LABELS
 
 
-def lead_quantiles(packs: DataFrame, by: list[str], wanted: dict[str, tuple[str, float, float]]) -> list[DataFrame]:
-    """One frame per measure: {name: (seconds column, quantile, seconds per unit)}, from counted seconds."""
-    parts = []
-    for col in sorted({c for c, _, _ in wanted.values()}):
-        exprs = [F.round(F.percentile(col, F.lit(q), F.col("n")) / F.lit(per), 6).alias(name)
-                 for name, (c, q, per) in wanted.items() if c == col]
-        parts.append(value_counts(packs, by, col).groupBy(*by).agg(*exprs))
-    return parts
-
-
 def fulfilment_summary(packs: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Medians and 90th percentiles of the lead times among shipped packages, and the share shipped within a day."""
     shipped = packs.where(F.col("s_to_ship").isNotNull())
     hour, day = 3600.0, 86400.0
-    parts = lead_quantiles(packs, list(by), {
+    quantiles = lead_quantiles(packs, list(by), {
         "h_ship_med": ("s_to_ship", 0.5, hour), "h_ship_p90": ("s_to_ship", 0.9, hour), "d_deliv_med": ("s_to_deliver", 0.5, day),
         "d_total_med": ("s_total", 0.5, day), "d_total_p90": ("s_total", 0.9, day),
     })
     base = shipped.groupBy(*by).agg(ratio(F.count_if(F.col("s_to_ship") < 86400), F.count(F.lit(1)), 100.0).alias("same_day"))
-    return reduce(lambda a, b: a.join(b, list(by), "left") if by else a.crossJoin(b), parts, base)
+    return base.join(quantiles, list(by), "left") if by else base.crossJoin(quantiles)
 
 
 def carrier_scorecard(packs: DataFrame) -> DataFrame:
@@ -41,9 +29,8 @@ def carrier_scorecard(packs: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), ratio(F.sum("cargo"), F.count(F.lit(1))).alias("cargo"),
         ratio(F.count_if("returned"), F.count(F.lit(1)), 100.0).alias("ret"),
     )
-    parts = lead_quantiles(known, ["carrier"], {"h": ("s_to_ship", 0.5, 3600.0), "d": ("s_to_deliver", 0.5, 86400.0)})
-    joined = reduce(lambda a, b: a.join(b, "carrier", "left"), parts, base)
-    return joined.withColumn("carrier", F.replace("carrier", F.lit(" Marketplace"), F.lit("")))
+    times = lead_quantiles(known, ["carrier"], {"h": ("s_to_ship", 0.5, 3600.0), "d": ("s_to_deliver", 0.5, 86400.0)})
+    return base.join(times, "carrier", "left").withColumn("carrier", F.replace("carrier", F.lit(" Marketplace"), F.lit("")))
 
 
 def returns_by_delivery_time(packs: DataFrame, edges: tuple = DELIVERY_EDGES, labels: tuple = DELIVERY_LABELS) -> DataFrame:

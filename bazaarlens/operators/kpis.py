@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarlens.functions.money import ratio, total
-from bazaarlens.functions.stats import value_counts
+from bazaarlens.functions.stats import lead_quantiles
 from bazaarlens.params import FIRST_ORDER
 
 def rows() -> Column:
@@ -42,38 +42,24 @@ def repeat_order(nth: str = "customer_nth") -> Column:
 def monthly_order_kpis(packs: DataFrame, by: tuple[str, ...] = ("month",)) -> DataFrame:
     """Orders, packages, basket value and size, cargo, customers, lead-time medians and repeat share.
 
-    Sums, the two distinct counts and the two medians are separate
-    aggregations: each shuffles only its own partially aggregated keys, where
-    one combined aggregation would copy every package once per distinct count.
+    Two passes: one aggregation for sums and distinct counts, and one that
+    counts equal lead times, which shrink to a few rows before any shuffle.
     """
     packs = packs.where(F.col(by[0]).isNotNull()) if by else packs
     n = F.col("pkgs")
-    base = packs.groupBy(*by).agg(
-        rows().alias("pkgs"),
+    sums = packs.groupBy(*by).agg(
+        rows().alias("pkgs"), F.countDistinct("order_no").alias("orders"), F.countDistinct("customer").alias("customers"),
         total("net").alias("order_rev"), total("gross").alias("_gross"), total("units").alias("_units"),
         total("lines").alias("_lines"), total("cargo").alias("_cargo"),
         F.count_if(F.col("lines") > 1).alias("_multi"), F.count_if(repeat_order()).alias("_repeat"),
     )
-
-    def distinct(col: str, name: str) -> DataFrame:
-        return packs.where(F.col(col).isNotNull()).groupBy(*by, col).agg(F.lit(1).alias("_1")).groupBy(*by).agg(rows().alias(name))
-
-    def median(col: str, per: float, name: str) -> DataFrame:
-        counts = value_counts(packs, list(by), col)
-        middle = F.round(F.percentile(F.col(col), F.lit(0.5), F.col("n")) / F.lit(per), 6)
-        return counts.groupBy(*by).agg(middle.alias(name))
-
-    parts = [
-        base, distinct("order_no", "orders"), distinct("customer", "customers"),
-        median("s_to_ship", 3600.0, "h_to_ship"), median("s_to_deliver", 86400.0, "d_to_deliv"),
-    ]
-    joined = reduce(lambda a, b: a.join(b, list(by), "left") if by else a.crossJoin(b), parts)
+    medians = lead_quantiles(packs, list(by), {"h_to_ship": ("s_to_ship", 0.5, 3600.0), "d_to_deliv": ("s_to_deliver", 0.5, 86400.0)})
+    joined = sums.join(medians, list(by), "left") if by else sums.crossJoin(medians)
     return joined.select(
-        *by, F.coalesce("orders", F.lit(0)).alias("orders"), "pkgs",
-        ratio(F.col("order_rev"), n).alias("aov"), ratio(F.col("_gross"), n).alias("aov_gross"),
+        *by, "orders", "pkgs", ratio(F.col("order_rev"), n).alias("aov"), ratio(F.col("_gross"), n).alias("aov_gross"),
         ratio(F.col("_units"), n).alias("upt"), ratio(F.col("_lines"), n).alias("lines_per"),
         ratio(F.col("_cargo"), n).alias("cargo_avg"), ratio(F.col("_cargo"), F.col("order_rev"), 100.0).alias("cargo_share"),
-        F.coalesce("customers", F.lit(0)).alias("customers"), ratio(F.col("_multi"), n, 100.0).alias("multi_item"),
+        "customers", ratio(F.col("_multi"), n, 100.0).alias("multi_item"),
         "h_to_ship", "d_to_deliv", ratio(F.col("_repeat"), n, 100.0).alias("repeat_share"), "order_rev",
     )
 

@@ -24,7 +24,7 @@ def file_catalog(fx: Fixture) -> DataFrame:
 
 def header_batches(fx: Fixture) -> tuple[DataFrame, DataFrame]:
     """All headers, and a later batch: a third of them with changed status and no carrier, and as many new ones."""
-    base = fx.orders_lite.select("package_no", "order_key", "order_at", "status", "carrier", "city")
+    base = fx.orders_place.select("package_no", "order_key", "order_at", "status", "carrier", "city")
     late = base.where(F.col("order_key") % 3 == 0).withColumns({"status": F.lit("İade edildi"), "carrier": F.lit(None).cast("string")})
     fresh = base.where(F.col("order_key") % 3 == 1).withColumn("package_no", F.concat(F.lit("N"), "package_no"))
     return base.drop("order_key"), late.unionByName(fresh).drop("order_key")

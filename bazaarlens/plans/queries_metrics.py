@@ -62,7 +62,7 @@ QUERIES = {
     # demographics and calendar
     "distribution_totals": lambda fx: demographics.distribution_totals(
         fx.distribution, (DIM_AGE, DIM_GENDER, DIM_HOUR, DIM_AMOUNT, DIM_QTY, DIM_PLUS)),
-    "city_top": lambda fx: demographics.city_top(fx.packages_lite),
+    "city_top": lambda fx: demographics.city_top(fx.packages_place),
     "weekday_profile": lambda fx: demographics.weekday_profile(fx.packages_lite),
     "day_of_month_profile": lambda fx: demographics.day_of_month_profile(fx.packages_lite),
     "daily_sales": lambda fx: demographics.daily_sales(fx.packages_lite),

@@ -14,6 +14,7 @@ from bazaarlens.functions.money import ratio
 from bazaarlens.functions.timing import month_of, seconds_between
 from bazaarlens.operators import core, products
 from bazaarlens.params import FIRST_ORDER, Params
+from bazaarlens.session import materialise
 
 WINDOW = Params(
     months=("1997-04", "1997-05", "1997-06", "1997-07", "1997-08", "1997-09"),
@@ -94,8 +95,8 @@ class Fixture:
             .select(F.col("f.o_orderkey").alias("o_orderkey"), F.lit(True).alias("is_first"))
         )
 
-    def orders_with(self, nth: bool = True) -> DataFrame:
-        """Package headers; `nth` costs an aggregation by customer, so it is left out where unused."""
+    def orders_with(self, nth: bool, place: bool) -> DataFrame:
+        """Package headers. The order label costs an aggregation by customer and the place two joins: only on demand."""
         key = F.col("o_orderkey")
         orders = self.table("orders")
         if nth:
@@ -105,10 +106,12 @@ class Fixture:
             label = F.lit(None).cast("string")
         shipped = F.when(key % 10 != 0, F.col("o_orderdate") + hours(key * 37 % 96))
         delivered = F.when(key % 13 != 0, shipped + hours(key * 53 % 160 + 12))
+        if place:
+            orders = orders.join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey")).join(
+                self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        about = {"city": "n_name", "district": "c_mktsegment", "buyer": "c_name", "age_band": "c_mktsegment"}
         return (
-            orders.join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
-            .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-            .select(
+            orders.select(
                 key.cast("string").alias("package_no"),
                 key.alias("order_key"),
                 F.concat(F.lit("S"), key.cast("string")).alias("order_no"),
@@ -117,12 +120,9 @@ class Fixture:
                 delivered.alias("delivered_at"),
                 F.col("o_orderpriority").alias("carrier"),
                 F.col("o_orderstatus").alias("status"),
-                F.col("n_name").alias("city"),
-                F.col("c_mktsegment").alias("district"),
-                F.col("c_name").alias("buyer"),
+                *[(F.col(c) if place else F.lit(None).cast("string")).alias(name) for name, c in about.items()],
                 F.col("o_custkey").cast("string").alias("customer"),
                 label.alias("customer_nth"),
-                F.col("c_mktsegment").alias("age_band"),
                 F.when(F.col("o_custkey") % 3 == 0, "Kadın").when(F.col("o_custkey") % 3 == 1, "Erkek").alias("gender"),
                 F.when(F.col("o_orderstatus") != "P", (key % 70 + 20).cast("decimal(10,2)")).alias("cargo_fee"),
             )
@@ -130,11 +130,15 @@ class Fixture:
 
     @cached_property
     def orders(self) -> DataFrame:
-        return self.orders_with(nth=True)
+        return self.orders_with(nth=True, place=True)
+
+    @cached_property
+    def orders_place(self) -> DataFrame:
+        return self.orders_with(nth=False, place=True)
 
     @cached_property
     def orders_lite(self) -> DataFrame:
-        return self.orders_with(nth=False)
+        return self.orders_with(nth=False, place=False)
 
     @cached_property
     def order_lines(self) -> DataFrame:
@@ -145,19 +149,27 @@ class Fixture:
         """Order lines with model and category."""
         return core.lines_with_product(self.order_lines, self.products)
 
+    def packages_from(self, headers: DataFrame, variety: bool = False) -> DataFrame:
+        lines = self.lines if variety else self.order_lines
+        return core.lead_times(core.impute_cargo(core.packages(lines, headers, variety)))
+
     @cached_property
     def packages(self) -> DataFrame:
         """One row per package, with model and category counts."""
-        return core.lead_times(core.impute_cargo(core.packages(self.lines, self.orders)))
+        return self.packages_from(self.orders_lite, variety=True)
 
     @cached_property
     def packages_lite(self) -> DataFrame:
-        """Package roll-up without model/category counts and order label: no product join."""
-        return core.lead_times(core.impute_cargo(core.packages(self.order_lines, self.orders_lite, variety=False)))
+        """Package roll-up without model and category counts: no product join."""
+        return self.packages_from(self.orders_lite)
+
+    @cached_property
+    def packages_place(self) -> DataFrame:
+        return self.packages_from(self.orders_place)
 
     @cached_property
     def packages_nth(self) -> DataFrame:
-        return core.lead_times(core.impute_cargo(core.packages(self.order_lines, self.orders, variety=False)))
+        return self.packages_from(self.orders_with(nth=True, place=False))
 
     def window(self, df: DataFrame) -> DataFrame:
         return df.where(F.col("month").isin(*self.params.months))
@@ -218,7 +230,7 @@ class Fixture:
 
     @cached_property
     def window_headers(self) -> DataFrame:
-        return self.orders.where(month_of(F.col("order_at")).isin(*self.params.months))
+        return self.orders_lite.where(month_of(F.col("order_at")).isin(*self.params.months))
 
     @cached_property
     def window_lines(self) -> DataFrame:
@@ -231,9 +243,19 @@ class Fixture:
     def window_packages(self) -> DataFrame:
         return core.lead_times(core.impute_cargo(core.packages(self.window_lines, self.window_headers)))
 
+    @cached_property
+    def sales_table(self) -> DataFrame:
+        """The window's sales as a written table, as an ingested store would hold it; many results read it."""
+        return materialise(self.sales, "sales")
+
+    @cached_property
+    def lines_table(self) -> DataFrame:
+        return materialise(self.window_lines, "lines")
+
     @cached_property
     def model_facts(self) -> DataFrame:
-        return products.model_facts(self.sales, self.window_lines, self.window_packages, self.params, colours=NAME_COLOURS)
+        packs = core.impute_cargo(core.packages(self.lines_table, self.window_headers))
+        return products.model_facts(self.sales_table, self.lines_table, packs, self.params, colours=NAME_COLOURS)
 
     @cached_property
     def models(self) -> DataFrame:
@@ -241,11 +263,11 @@ class Fixture:
 
     @cached_property
     def ranking(self) -> DataFrame:
-        return products.model_ranking(self.sales, self.params)
+        return products.model_ranking(self.sales_table, self.params)
 
     @cached_property
     def distribution(self) -> DataFrame:
-        pk = self.packages_nth.withColumn("_key", F.substring("order_no", 2, 20).cast("bigint"))
+        pk = self.packages_from(self.orders).withColumn("_key", F.substring("order_no", 2, 20).cast("bigint"))
         band = F.floor(F.col("_key") % 24 / 3).cast("int")
         step = F.floor(F.col("net") / 250).cast("bigint")
 

@@ -82,7 +82,7 @@ def raw_buyers(fx: Fixture) -> DataFrame:
     key = F.col("order_key")
     name = F.when(key % 3 == 0, F.upper(F.concat(F.lit("  "), F.replace("buyer", F.lit("#"), F.lit("   ")), F.lit(" ")))).when(
         key % 3 == 1, F.replace("buyer", F.lit("#"), F.lit(" ")))
-    return fx.orders_lite.select(
+    return fx.orders_place.select(
         "package_no", name.alias("Alıcı"), F.upper("city").alias("İl"), F.when(key % 7 != 0, F.col("district")).alias("İlçe"),
         F.col("buyer").alias("E-Posta"), F.col("buyer").alias("Teslimat Adresi"), F.col("order_no").alias("Fatura No"))
 
