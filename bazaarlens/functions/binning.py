@@ -6,11 +6,17 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def bin_index(value: Column, edges: tuple, right_closed: bool = False) -> Column:
-    """0-based bin of `value` among `edges`; null outside. [a,b) by default, (a,b] if right_closed."""
-    chain = None
-    for i, (a, b) in enumerate(zip(edges, edges[1:])):
-        hit = (value > a) & (value <= b) if right_closed else (value >= a) & (value < b)
-        chain = F.when(hit, F.lit(i)) if chain is None else chain.when(hit, F.lit(i))
+    """0-based bin of `value` among `edges`; null outside. [a,b) by default, (a,b] if right_closed.
+
+    Rows outside fall away in the join with the bins; filtering on the bin
+    would copy the expression below the projection.
+    """
+    def below(edge) -> Column:
+        return value <= edge if right_closed else value < edge
+
+    chain = F.when(below(edges[0]), None)
+    for i, upper in enumerate(edges[1:]):
+        chain = chain.when(below(upper), F.lit(i))
     return chain
 
 

@@ -7,17 +7,7 @@ from pyspark.sql import Column, functions as F
 
 def seconds_between(start: Column, end: Column) -> Column:
     """Signed seconds from start to end, for timestamps without time zone."""
-    gap = end - start
-
-    def part(unit: str) -> Column:
-        return F.extract(F.lit(unit), gap)
-
-    return (
-        part("DAY").cast("bigint") * 86400
-        + part("HOUR").cast("bigint") * 3600
-        + part("MINUTE").cast("bigint") * 60
-        + F.floor(part("SECOND")).cast("bigint")
-    )
+    return (end - start).cast("interval second").cast("bigint")
 
 
 def month_of(ts: Column) -> Column:

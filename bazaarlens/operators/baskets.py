@@ -11,7 +11,7 @@ from bazaarlens.params import AMOUNT_EDGES, AMOUNT_LABELS, CLIFF_BANDS
 
 def amount_bins(packs: DataFrame, edges: tuple = AMOUNT_EDGES, labels: tuple = AMOUNT_LABELS) -> DataFrame:
     """Packages per value bin [a, b): count, means of cargo, net, commission and units, shares of means."""
-    sums = packs.withColumn("i", bin_index(F.col("net"), edges)).where("i IS NOT NULL").groupBy("i").agg(
+    sums = packs.withColumn("i", bin_index(F.col("net"), edges)).groupBy("i").agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"_{c}") for c in ("cargo", "net", "commission", "units")]
     )
     mean = {c: ratio(F.col(f"_{c}"), F.col("n")) for c in ("cargo", "net", "commission", "units")}

@@ -53,17 +53,22 @@ def barcode_master(sales: DataFrame, columns: tuple[str, ...] = ("model_code", "
 
 # ---------------------------------------------------------------- lines
 
-def order_line_rollup(raw: DataFrame, order: tuple[str, ...] = ("line_no", "gross", "discount", "commission_rate"),
-                      extra: list[Column] | None = None) -> DataFrame:
-    """Sums per (package, barcode); unit price and commission rate of the first line that has one."""
-    def first(col: str) -> Column:
-        return F.min(F.when(F.col(col).isNotNull(), F.struct(*order, F.col(col).alias("_first"))))["_first"].alias(col)
+def first_known(col: str, order: str = "row_no") -> Column:
+    """Value of the first row, in report order, that has one."""
+    return F.min_by(col, F.when(F.col(col).isNotNull(), F.col(order))).alias(col)
 
+
+def order_line_rollup(raw: DataFrame, order: str = "row_no", extra: list[Column] | None = None) -> DataFrame:
+    """Sums per (package, barcode); unit price and commission rate of the first line that has one.
+
+    `order` is the row's place in its report, a single number, so that the
+    aggregation stays a hash aggregation.
+    """
     return raw.groupBy("package_no", "barcode").agg(
         F.coalesce(F.sum("qty"), F.lit(0)).alias("qty"),
-        first("unit_price"),
+        first_known("unit_price", order),
         *[F.coalesce(F.sum(c), F.lit(0)).cast("decimal(18,7)").alias(c) for c in ("gross", "discount", "ty_discount", "net")],
-        first("commission_rate"),
+        first_known("commission_rate", order),
         *(extra or []),
     )
 

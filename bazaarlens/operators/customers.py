@@ -78,7 +78,7 @@ def gap_summary(gaps: DataFrame) -> DataFrame:
 
 def gap_histogram(gaps: DataFrame, edges: tuple = GAP_EDGES) -> DataFrame:
     """Gaps per [a, b) bin; longer gaps are left out, empty bins stay."""
-    counted = gaps.withColumn("i", bin_index(F.col("gap_days"), edges)).where("i IS NOT NULL").groupBy("i").agg(F.sum("n").alias("n"))
+    counted = gaps.withColumn("i", bin_index(F.col("gap_days"), edges)).groupBy("i").agg(F.sum("n").alias("n"))
     bins = spine(gaps.sparkSession, "i", list(range(len(edges) - 1)))
     lo = F.array(*[F.lit(e) for e in edges])
     return bins.join(counted, "i", "left").select(

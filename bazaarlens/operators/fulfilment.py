@@ -36,7 +36,7 @@ def carrier_scorecard(packs: DataFrame) -> DataFrame:
 def returns_by_delivery_time(packs: DataFrame, edges: tuple = DELIVERY_EDGES, labels: tuple = DELIVERY_LABELS) -> DataFrame:
     """Packages and return share per (a, b] days from order to delivery; other packages are left out."""
     i = bin_index(F.col("s_total"), tuple(e * 86400 for e in edges), right_closed=True)
-    per = packs.withColumn("i", i).where("i IS NOT NULL").groupBy("i").agg(
+    per = packs.withColumn("i", i).groupBy("i").agg(
         F.count(F.lit(1)).alias("n"), F.count_if("returned").alias("_r"))
     return labelled_spine(packs.sparkSession, "i", "bin", labels).join(per, "i", "left").select(
         "bin", F.coalesce("n", F.lit(0)).alias("n"), ratio(F.col("_r"), F.col("n"), 100.0).alias("ret"))

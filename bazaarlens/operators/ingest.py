@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarlens.functions.parsing import locale_number, month_header, report_day
-from bazaarlens.operators.core import latest_by, line_commission
+from bazaarlens.operators.core import first_known, latest_by, line_commission
 from bazaarlens.schemas import STORE_MEASURES
 from bazaarlens.session import materialise
 
@@ -54,11 +54,8 @@ def pseudonymise_customers(raw: DataFrame, salt: str | None, name: str = "Alıc
     return coded.drop(*[c for c in {*pii, name} if c in raw.columns])
 
 
-def package_rollup_ingest(raw: DataFrame, order: tuple[str, ...], attributes: tuple[str, ...] = ATTRIBUTES) -> DataFrame:
+def package_rollup_ingest(raw: DataFrame, order: str = "row_no", attributes: tuple[str, ...] = ATTRIBUTES) -> DataFrame:
     """Equal rows once, then one row per package: first known attribute in row order, sums of the amounts."""
-    def first(col: str) -> Column:
-        return F.min(F.when(F.col(col).isNotNull(), F.struct(*order, F.col(col).alias("_first"))))["_first"].alias(col)
-
     def added(col: str) -> Column:
         return F.coalesce(F.sum(col), F.lit(0)).cast("decimal(18,7)").alias(col)
 
@@ -66,7 +63,7 @@ def package_rollup_ingest(raw: DataFrame, order: tuple[str, ...], attributes: tu
     commission = F.coalesce(F.sum(line_commission()), F.lit(0)).cast("decimal(18,9)").alias("commission")
     extra = [c for c in ("cargo_fee", "desi") if c in raw.columns]
     return rows.groupBy("package_no").agg(
-        *[first(c) for c in (*attributes, *extra)], *[added(c) for c in ("gross", "discount", "ty_discount", "net")], commission)
+        *[first_known(c, order) for c in (*attributes, *extra)], *[added(c) for c in ("gross", "discount", "ty_discount", "net")], commission)
 
 
 def distribution_long(sheets: dict[str, DataFrame]) -> DataFrame:

@@ -14,12 +14,6 @@ from bazaarlens.sources import catalog, raw_fixtures as raw
 from bazaarlens.sources.fixtures import REASON_CODES, Fixture
 
 SALT = "fixture-salt"
-RAW_ORDER = ("line_no", "gross", "discount", "commission_rate", "qty", "barcode")
-
-
-def file_catalog(fx: Fixture) -> DataFrame:
-    files = raw.file_rows(fx).groupBy("file_name").agg(F.max("order_at").alias("landed_at"))
-    return catalog.report_file_catalog(files)
 
 
 def header_batches(fx: Fixture) -> tuple[DataFrame, DataFrame]:
@@ -81,7 +75,7 @@ def upserted_table(fx: Fixture) -> DataFrame:
 
 
 QUERIES = {
-    "report_file_catalog": lambda fx: file_catalog(fx).select("file_name", "report_type", "period"),
+    "report_file_catalog": lambda fx: raw.file_list(fx).select("file_name", "report_type", "period"),
     "parse_locale_numbers": lambda fx: raw.number_texts(fx).select(
         "l_orderkey", "l_linenumber", "text", locale_number(F.col("text")).alias("report_value"), locale_number(F.col("text"), "ads").alias("ads_value")),
     "parse_report_dates": lambda fx: raw.date_texts(fx).select(
@@ -91,7 +85,7 @@ QUERIES = {
     "sales_monthly_fact": lambda fx: ingest.sales_monthly_fact(
         core.reasons_wide(fx.sales_monthly, REASON_CODES).withColumnRenamed("month", "period"),
         ["gross_order_qty", "cancel_qty", "return_qty", "net_sales_qty", "gross_revenue", "net_revenue", "commission"], REASON_CODES),
-    "package_rollup_ingest": lambda fx: ingest.package_rollup_ingest(raw.raw_orders(fx), RAW_ORDER),
+    "package_rollup_ingest": lambda fx: ingest.package_rollup_ingest(raw.raw_orders(fx)),
     "order_line_rollup": lambda fx: fx.order_lines.select(
         "package_no", "barcode", "qty", "unit_price", "gross", "discount", "net", "commission_rate"),
     "pseudonymise_customers": lambda fx: ingest.pseudonymise_customers(raw.raw_buyers(fx), SALT).select("package_no", F.col("İl").alias("city"), "customer_hash"),
@@ -106,6 +100,6 @@ QUERIES = {
     "export_csv": exported_csv,
     "export_results": exported_results,
     "tighten_integer_columns": tightened,
-    "replace_snapshot": lambda fx: catalog.active_files(file_catalog(fx)).select("file_name", "report_type", "landed_at"),
+    "replace_snapshot": lambda fx: catalog.active_files(raw.file_list(fx)).select("file_name", "report_type", "landed_at"),
     "validate_report": validation,
 }

@@ -64,9 +64,10 @@ def landed_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def upload_manifest(rows: DataFrame, uploaded_at: Column, path_column: str = "file_name") -> DataFrame:
     """Rows per source file with its type, period and load time. `rows` carries the source file of each row."""
-    counted = rows.groupBy(path_column).agg(F.count(F.lit(1)).alias("row_count"))
-    return report_file_catalog(counted, path_column).select(
-        F.regexp_extract(path_column, r"([^/\\]+)$", 1).alias("file_name"), "report_type",
+    # the name is also taken as an aggregate: it is then read once per file, not once per row
+    counted = rows.groupBy(path_column).agg(F.count(F.lit(1)).alias("row_count"), F.max(path_column).alias("_path")).drop(path_column)
+    return report_file_catalog(counted, "_path").select(
+        F.regexp_extract("_path", r"([^/\\]+)$", 1).alias("file_name"), "report_type",
         F.coalesce(F.date_format("period", "yyyy-MM-dd"), F.lit("")).alias("period"), "row_count", uploaded_at.alias("uploaded_at"))
 
 

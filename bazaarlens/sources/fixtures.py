@@ -37,6 +37,28 @@ OPS = {
 }
 
 
+# columns of the test tables that the views read; given, so no file is opened to infer them
+COLUMNS = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+                "l_tax double, l_returnflag string",
+    "events": "ts timestamp_ntz, user_id bigint, event_type string, value double",
+}
+
+
+def hundredths(col: str) -> Column:
+    """A non-negative amount with two decimals as a whole number of hundredths."""
+    return (F.col(col) * 100 + 0.5).cast("bigint")
+
+
+def scaled(units: Column, digits: int) -> Column:
+    """Whole number of 10^-digits units as an exact decimal."""
+    return (units.cast("decimal(18,0)") * F.lit("0." + "0" * (digits - 1) + "1").cast(f"decimal({digits},{digits})")).cast(f"decimal(18,{digits})")
+
+
 def hours(n: Column) -> Column:
     return F.make_dt_interval(F.lit(0), n.cast("int"))
 
@@ -48,7 +70,7 @@ class Fixture:
         self.spark, self.folder, self.params = spark, folder, params
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(COLUMNS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def products(self) -> DataFrame:
@@ -67,21 +89,22 @@ class Fixture:
 
     @cached_property
     def raw_lines(self) -> DataFrame:
-        """One row per line item; `line_no` with the amounts gives the order of rows in a package."""
-        gross = (F.col("l_extendedprice").cast("decimal(14,2)") * F.lit("0.001").cast("decimal(4,3)")).cast("decimal(18,5)")
-        rate = F.col("l_discount").cast("decimal(4,2)")
-        discount = (gross * rate).cast("decimal(18,7)")
+        """One row per line item. `row_no` orders the rows of a package: line number, then price, discount and tax."""
+        cents, off, tax = hundredths("l_extendedprice"), hundredths("l_discount"), hundredths("l_tax")
+        row_no = ((F.col("l_linenumber").cast("bigint") * 1_000_000_000 + cents) * 1000 + off) * 1000 + tax
+        gross = scaled(cents, 5)
         return self.table("lineitem").select(
             F.col("l_orderkey").cast("string").alias("package_no"),
             F.col("l_partkey").cast("string").alias("barcode"),
             F.col("l_linenumber").alias("line_no"),
+            row_no.alias("row_no"),
             F.col("l_quantity").cast("bigint").alias("qty"),
-            ratio(gross, F.col("l_quantity")).alias("unit_price"),
+            (cents / F.lit(100000.0) / F.col("l_quantity")).alias("unit_price"),
             gross.alias("gross"),
-            discount.alias("discount"),
+            scaled(cents * off, 7).alias("discount"),
             F.lit(0).cast("decimal(18,7)").alias("ty_discount"),
-            (gross - discount).cast("decimal(18,7)").alias("net"),
-            (F.col("l_tax").cast("decimal(4,2)") * 100).cast("decimal(6,2)").alias("commission_rate"),
+            scaled(cents * (100 - off), 7).alias("net"),
+            tax.cast("decimal(6,2)").alias("commission_rate"),
             F.col("l_returnflag").alias("flag"),
             (F.col("l_returnflag") == "R").alias("returned"),
         )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarlens.functions.parsing import MONTH_SHORT
+from bazaarlens.operators.core import ops_pivot
+from bazaarlens.sources.catalog import report_file_catalog
 from bazaarlens.sources.fixtures import Fixture
 
 FILE_MONTHS = ("Ocak", "Şubat", "Mart", "Nisan", "may_s", "Haziran", "Temmuz", "Ağustos", "eyl_l", "Ekim", "Kasım", "Aralık")
@@ -25,11 +27,15 @@ def file_rows(fx: Fixture) -> DataFrame:
     return fx.table("orders").select(key.alias("order_key"), at.alias("order_at"), F.concat(month, year, F.lit("-"), kind, F.lit(".xlsx")).alias("file_name"))
 
 
-def uploads(fx: Fixture) -> DataFrame:
-    from bazaarlens.sources.catalog import report_file_catalog
+def file_list(fx: Fixture) -> DataFrame:
+    """The files, with the time they landed; the name as an aggregate, so it is parsed once per file."""
+    seen = file_rows(fx).groupBy(F.col("file_name").alias("_group")).agg(
+        F.max("file_name").alias("file_name"), F.count(F.lit(1)).alias("row_count"), F.max("order_at").alias("landed_at"))
+    return report_file_catalog(seen.drop("_group"))
+
 
-    seen = file_rows(fx).groupBy("file_name").agg(F.count(F.lit(1)).alias("row_count"), F.max("order_at").alias("uploaded_at"))
-    return report_file_catalog(seen)
+def uploads(fx: Fixture) -> DataFrame:
+    return file_list(fx).withColumnRenamed("landed_at", "uploaded_at")
 
 
 def number_texts(fx: Fixture) -> DataFrame:
@@ -126,8 +132,6 @@ def raw_store(fx: Fixture) -> DataFrame:
 
 
 def raw_ops(fx: Fixture) -> DataFrame:
-    from bazaarlens.operators.core import ops_pivot
-
     wide = ops_pivot(fx.ops, fx.params.months)
     headers = {m: f"{MONTH_SHORT[int(m[5:]) - 1]} {m[:4]}" for m in fx.params.months}
     return wide.select(F.col("metric").alias("Kalite Metriklerim"), F.lit(None).cast("string").alias("Bu yılki performans"),
