@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from bazaarlens.functions.binning import bin_index, labelled_spine, spine
 from bazaarlens.functions.money import ratio
 from bazaarlens.params import AMOUNT_EDGES, AMOUNT_LABELS, CLIFF_BANDS
+from bazaarlens.session import materialise
 
 
 def amount_bins(packs: DataFrame, edges: tuple = AMOUNT_EDGES, labels: tuple = AMOUNT_LABELS) -> DataFrame:
@@ -59,6 +60,11 @@ def item_packages(lines: DataFrame, item: str) -> DataFrame:
     return lines.select("package_no", F.col(item).alias("item")).distinct()
 
 
+def saved_items(lines: DataFrame, item: str) -> DataFrame:
+    """Distinct (package, item), written once: pair counting reads these two narrow columns several times."""
+    return materialise(item_packages(lines, item), "items")
+
+
 def single_counts(items: DataFrame) -> DataFrame:
     return items.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
 
@@ -99,14 +105,14 @@ def pair_measures(pairs: DataFrame, singles: DataFrame, n_packages: DataFrame) -
         (n / nb * F.lit(100.0)).alias("conf_ba"), (support / ((na / whole) * (nb / whole))).alias("lift"))
 
 
-def package_count(lines: DataFrame) -> DataFrame:
-    return lines.select("package_no").distinct().agg(F.count(F.lit(1)).alias("packages"))
+def package_count(items: DataFrame) -> DataFrame:
+    return items.select("package_no").distinct().agg(F.count(F.lit(1)).alias("packages"))
 
 
 def model_pairs(lines: DataFrame, min_n: int = 12) -> DataFrame:
     """All model pairs with at least `min_n` common packages."""
-    items = item_packages(lines, "model")
-    return pair_measures(pair_counts(items, min_n), single_counts(items), package_count(lines))
+    items = saved_items(lines, "model")
+    return pair_measures(pair_counts(items, min_n), single_counts(items), package_count(items))
 
 
 def top_pairs(pairs: DataFrame, k: int = 60) -> DataFrame:
@@ -134,8 +140,8 @@ def describe_pairs(pairs: DataFrame, models: DataFrame) -> DataFrame:
 
 def category_pairs(lines: DataFrame, k: int = 20, hide: tuple[str, ...] = ()) -> DataFrame:
     """Category pairs with most common packages; `hide` leaves categories out of the list."""
-    items = item_packages(lines, "category")
-    out = pair_measures(pair_counts(items), single_counts(items), package_count(lines)).drop("support")
+    items = saved_items(lines, "category")
+    out = pair_measures(pair_counts(items), single_counts(items), package_count(items)).drop("support")
     if hide:
         out = out.where(~F.col("a").isin(*hide) & ~F.col("b").isin(*hide))
     return out.orderBy(F.desc("n"), "a", "b").limit(k)

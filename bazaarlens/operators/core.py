@@ -58,13 +58,14 @@ def first_known(col: str, order: str = "row_no") -> Column:
     return F.min_by(col, F.when(F.col(col).isNotNull(), F.col(order))).alias(col)
 
 
-def order_line_rollup(raw: DataFrame, order: str = "row_no", extra: list[Column] | None = None) -> DataFrame:
+def order_line_rollup(raw: DataFrame, order: str = "row_no", extra: list[Column] | None = None,
+                      keys: tuple[str, ...] = ("package_no", "barcode")) -> DataFrame:
     """Sums per (package, barcode); unit price and commission rate of the first line that has one.
 
     `order` is the row's place in its report, a single number, so that the
     aggregation stays a hash aggregation.
     """
-    return raw.groupBy("package_no", "barcode").agg(
+    return raw.groupBy(*keys).agg(
         F.coalesce(F.sum("qty"), F.lit(0)).alias("qty"),
         first_known("unit_price", order),
         *[F.coalesce(F.sum(c), F.lit(0)).cast("decimal(18,7)").alias(c) for c in ("gross", "discount", "ty_discount", "net")],

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarlens.functions.parsing import locale_number, month_header, report_day
@@ -54,15 +55,16 @@ def pseudonymise_customers(raw: DataFrame, salt: str | None, name: str = "Alıc
     return coded.drop(*[c for c in {*pii, name} if c in raw.columns])
 
 
-def package_rollup_ingest(raw: DataFrame, order: str = "row_no", attributes: tuple[str, ...] = ATTRIBUTES) -> DataFrame:
-    """Equal rows once, then one row per package: first known attribute in row order, sums of the amounts."""
+def package_rollup_ingest(raw: DataFrame, order: str = "row_no", attributes: tuple[str, ...] = ATTRIBUTES, distinct: bool = True,
+                          keys: tuple[str, ...] = ("package_no",)) -> DataFrame:
+    """Equal rows once (unless the caller saw to that), then one row per package: first known attribute in row order, sums of the amounts."""
     def added(col: str) -> Column:
         return F.coalesce(F.sum(col), F.lit(0)).cast("decimal(18,7)").alias(col)
 
-    rows = raw.dropDuplicates()
+    rows = raw.dropDuplicates() if distinct else raw
     commission = F.coalesce(F.sum(line_commission()), F.lit(0)).cast("decimal(18,9)").alias("commission")
     extra = [c for c in ("cargo_fee", "desi") if c in raw.columns]
-    return rows.groupBy("package_no").agg(
+    return rows.groupBy(*keys).agg(
         *[first_known(c, order) for c in (*attributes, *extra)], *[added(c) for c in ("gross", "discount", "ty_discount", "net")], commission)
 
 
@@ -84,26 +86,27 @@ def distribution_long(sheets: dict[str, DataFrame]) -> DataFrame:
     return long.groupBy(*keys).agg(F.max(F.struct("orders", "customers")).alias("v")).select(*keys, "v.orders", "v.customers")
 
 
-def store_daily_normalise(raw: DataFrame, names: dict[str, str], day: str = "Tarih") -> DataFrame:
+def store_daily_normalise(raw: DataFrame, names: dict[str, str], day: str = "Tarih", keep: list[str] | None = None) -> DataFrame:
     """Store report with our column names: {report header: measure}; day and numbers parsed from text."""
     found = {m: h for h, m in names.items() if h in raw.columns}
     cols = [(locale_number(F.col(f"`{found[m]}`")) if m in found else F.lit(None).cast("double")).alias(m) for m in STORE_MEASURES]
-    return raw.select(report_day(F.col(f"`{day}`")).alias("day"), *cols)
+    return raw.select(report_day(F.col(f"`{day}`")).alias("day"), *cols, *(keep or []))
 
 
-def ops_unpivot(raw: DataFrame, metric: str = "Kalite Metriklerim", skip: int = 1) -> DataFrame:
+def ops_unpivot(raw: DataFrame, metric: str = "Kalite Metriklerim", skip: int = 1, keep: list[str] | None = None) -> DataFrame:
     """Metric x month matrix to rows (period, metric, value); `skip` columns after the metric are ignored."""
-    months = [c for c in raw.columns if c != metric][skip:]
-    texts = raw.select(F.col(f"`{metric}`").alias("metric"), *[F.col(f"`{c}`").cast("string").alias(c) for c in months])
-    long = texts.unpivot(["metric"], months, "header", "text")
-    return long.select(month_header(F.col("header")).alias("period"), "metric", locale_number(F.col("text")).alias("value"))
+    keep = keep or []
+    months = [c for c in raw.columns if c != metric and c not in keep][skip:]
+    texts = raw.select(F.col(f"`{metric}`").alias("metric"), *keep, *[F.col(f"`{c}`").cast("string").alias(c) for c in months])
+    long = texts.unpivot(["metric", *keep], months, "header", "text")
+    return long.select(month_header(F.col("header")).alias("period"), "metric", locale_number(F.col("text")).alias("value"), *keep)
 
 
 AD_NUMBERS = ("total_budget", "daily_budget", "spent", "cpc", "clicks", "impressions", "direct_sales", "indirect_sales",
               "direct_revenue", "indirect_revenue", "roas")
 
 
-def ad_campaigns_normalise(raw: DataFrame, names: dict[str, str], flavor: str = "report") -> DataFrame:
+def ad_campaigns_normalise(raw: DataFrame, names: dict[str, str], flavor: str = "report", keep: list[str] | None = None) -> DataFrame:
     """Campaign list with our column names: {report header: column}; numbers parsed, dates typed."""
     out = []
     for header, name in names.items():
@@ -115,7 +118,7 @@ def ad_campaigns_normalise(raw: DataFrame, names: dict[str, str], flavor: str =
         elif name == "product_count":
             c = c.try_cast("int")
         out.append(c.alias(name))
-    return raw.select(*out)
+    return raw.select(*out, *(keep or []))
 
 
 def union_keep_last(parts: list[tuple[str, DataFrame]], keys: list[str], order: list[str] | None = None) -> DataFrame:
@@ -142,7 +145,13 @@ def upsert_table(path: str, batch: DataFrame, keys: list[str], partition_by: lis
         raise ValueError("partition columns must belong to the key")
     spark = batch.sparkSession
     batch = materialise(batch, "batch")
-    target = spark.read.schema(batch.schema).parquet(path)
+    try:
+        target = spark.read.schema(batch.schema).parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        batch.write.partitionBy(*partition_by).parquet(path)
+        return
     touched = target.join(batch.select(*partition_by).distinct(), partition_by, "left_semi")
     merged = materialise(upsert(touched, batch, keys), "merged")
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
