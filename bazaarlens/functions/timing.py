@@ -14,6 +14,31 @@ def month_of(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM")
 
 
+def next_month(month: str) -> str:
+    year, number = map(int, month.split("-"))
+    return f"{year + 1:04d}-01" if number == 12 else f"{year:04d}-{number + 1:02d}"
+
+
+def in_months(column: str, months: tuple[str, ...]) -> Column:
+    """Rows whose date or wall-clock time lies in the given months.
+
+    Written as ranges on the stored column, so that they reach the scan and
+    prune files or partitions; adjoining months make one range.
+    """
+    ranges: list[list[str]] = []
+    for month in sorted(months):
+        if ranges and ranges[-1][1] == month:
+            ranges[-1][1] = next_month(month)
+        else:
+            ranges.append([month, next_month(month)])
+    value = F.col(column)
+    hit = F.lit(False)
+    for i, (a, b) in enumerate(ranges):
+        inside = (value >= F.lit(f"{a}-01").cast("timestamp_ntz")) & (value < F.lit(f"{b}-01").cast("timestamp_ntz"))
+        hit = inside if i == 0 else hit | inside
+    return hit
+
+
 def first_of_month(month: Column) -> Column:
     """Date of the first day of a 'yyyy-MM' month."""
     return F.to_date(F.concat(month, F.lit("-01")))

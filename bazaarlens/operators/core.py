@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from bazaarlens.functions.money import cargo_tier, ratio
-from bazaarlens.functions.timing import month_of, seconds_between
+from bazaarlens.functions.timing import in_months, month_of, seconds_between
 from bazaarlens.params import CARGO_TIERS, OTHER_CATEGORY
 
 SALES_MEASURES = ["gross_sales_qty", "cancel_qty", "return_qty", "net_sales_qty", "gross_revenue", "discount",
@@ -92,8 +92,8 @@ def lines_with_product(lines: DataFrame, master: DataFrame) -> DataFrame:
 
 def order_lines_enriched(lines: DataFrame, orders: DataFrame, months: tuple[str, ...] | None = None) -> DataFrame:
     """Lines joined to their package header, with the order month; only known months are kept."""
-    out = lines.join(orders, "package_no").withColumn("month", month_of(F.col("order_at")))
-    return out.where(F.col("month").isin(*months)) if months else out.where(F.col("month").isNotNull())
+    known = orders.where(in_months("order_at", months)) if months else orders.where(F.col("order_at").isNotNull())
+    return lines.join(known, "package_no").withColumn("month", month_of(F.col("order_at")))
 
 
 # ---------------------------------------------------------------- packages

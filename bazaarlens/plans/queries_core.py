@@ -18,7 +18,7 @@ MIX_DIMS = {"new": DIM_NEW, "plus": DIM_PLUS, "qty": DIM_QTY, "amount": DIM_AMOU
 def monthly_all(fx: Fixture):
     return kpis.monthly_table(
         kpis.monthly_sales_kpis(fx.sales),
-        kpis.monthly_order_kpis(fx.window(fx.packages_nth)),
+        kpis.monthly_order_kpis(fx.window_packages_nth),
         kpis.monthly_mix_shares(fx.distribution, MIX_DIMS),
         kpis.monthly_ops(fx.ops, OPS_COLS),
     )
@@ -50,7 +50,7 @@ QUERIES = {
     "monthly_mix_shares": lambda fx: kpis.monthly_mix_shares(fx.distribution, MIX_DIMS),
     "monthly_ops_join": monthly_all,
     "ops_history": lambda fx: core.ops_pivot(fx.ops, fx.params.months, newest_first=False),
-    "totals": lambda fx: kpis.totals(fx.sales, fx.window(fx.packages_lite)),
-    "monthly_order_totals": lambda fx: kpis.monthly_order_totals(fx.packages_lite, fx.params.months[: fx.params.full_months]),
-    "headline_kpis": lambda fx: kpis.headline_kpis(fx.sales, fx.window(fx.packages), fx.ad_totals, fx.params),
+    "totals": lambda fx: kpis.totals(fx.sales, fx.window_packages_lite),
+    "monthly_order_totals": lambda fx: kpis.monthly_order_totals(fx.window_packages_lite, fx.params.months[: fx.params.full_months]),
+    "headline_kpis": lambda fx: kpis.headline_kpis(fx.sales, fx.window_packages, fx.ad_totals, fx.params),
 }

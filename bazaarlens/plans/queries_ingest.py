@@ -68,8 +68,9 @@ def upserted_table(fx: Fixture) -> DataFrame:
     table = fx.sales_monthly.select("month", "barcode", "net_sales_qty", "return_qty")
     path = f"{scratch_root(fx.spark)}/table-{uuid.uuid4().hex}"
     table.write.partitionBy("month").parquet(path)
-    batch = fx.window(table).where(F.col("return_qty") > 0).withColumn("net_sales_qty", F.lit(0).cast("bigint"))
-    batch = batch.unionByName(fx.window(table).select("month", F.concat(F.lit("N"), "barcode").alias("barcode"), "net_sales_qty", "return_qty"))
+    window = table.where(F.col("month").isin(*fx.params.months))
+    batch = window.where(F.col("return_qty") > 0).withColumn("net_sales_qty", F.lit(0).cast("bigint"))
+    batch = batch.unionByName(window.select("month", F.concat(F.lit("N"), "barcode").alias("barcode"), "net_sales_qty", "return_qty"))
     ingest.upsert_table(path, batch, ["month", "barcode"], ["month"])
     return fx.spark.read.schema(batch.schema).parquet(path).select("month", "barcode", "net_sales_qty", "return_qty")
 

@@ -58,7 +58,7 @@ QUERIES = {
     "order_label_counts": lambda fx: customers.order_label_counts(fx.packages_nth),
     "repurchase_gaps": lambda fx: customers.gap_summary(customers.repurchase_gaps(fx.packages_lite)),
     "repurchase_gap_bins": lambda fx: customers.gap_histogram(customers.repurchase_gaps(fx.packages_lite)),
-    "cohort_retention": lambda fx: customers.cohort_retention(fx.window(fx.packages_lite), COHORTS, "1997-08"),
+    "cohort_retention": lambda fx: customers.cohort_retention(fx.window_packages_lite, COHORTS, "1997-08"),
     # demographics and calendar
     "distribution_totals": lambda fx: demographics.distribution_totals(
         fx.distribution, (DIM_AGE, DIM_GENDER, DIM_HOUR, DIM_AMOUNT, DIM_QTY, DIM_PLUS)),

@@ -17,7 +17,7 @@ AVERAGED = ["store_views", "visitors", "followers_gained", "followers_lost", "fo
 
 
 def packs(fx: Fixture):
-    return fx.window(fx.packages_lite)
+    return fx.window_packages_lite
 
 
 def totals(fx: Fixture):
@@ -41,7 +41,7 @@ def default_margin(fx: Fixture):
 
 
 def monthly_margin(fx: Fixture):
-    full = fx.packages_lite.where(F.col("month").isin(*fx.params.months[: fx.params.full_months]))
+    full = fx.window_packages_lite.where(F.col("month").isin(*fx.params.months[: fx.params.full_months]))
     return margin.contribution_margin(kpis.package_totals(full, ("month",)), rates(fx), one(fx), ("month",))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from bazaarlens.functions.timing import month_of
+from bazaarlens.functions.timing import in_months, month_of
 from bazaarlens.operators import baskets, category, core, customers, demographics, fulfilment, inventory, kpis, products
 from bazaarlens.params import RETURNED_STATUS, Params
 from bazaarlens.session import materialise
@@ -12,12 +12,11 @@ from bazaarlens.session import materialise
 
 def shared_relations(tables: dict[str, DataFrame], params: Params) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Sales, lines and packages of the reporting window, each written once (the package roll-up feeds most blocks)."""
-    months = list(params.months)
-    fact = tables["sales_monthly"].withColumn("month", F.date_format("period", "yyyy-MM")).where(F.col("month").isin(*months))
+    fact = tables["sales_monthly"].where(in_months("period", params.months)).withColumn("month", month_of(F.col("period")))
     if dict(fact.dtypes)["reasons"] == "string":
         fact = fact.withColumn("reasons", F.from_json("reasons", "map<string,int>"))
     sales = materialise(core.sales_enriched(fact, tables["products"]), "sales")
-    headers = tables["orders"].where(month_of(F.col("order_at")).isin(*months))
+    headers = tables["orders"].where(in_months("order_at", params.months))
     returned = headers.select("package_no", (F.col("status") == RETURNED_STATUS).alias("returned"))
     own = tables["order_lines"].join(returned, "package_no")
     lines = materialise(core.lines_with_product(own, core.barcode_master(sales)), "lines")

@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bazaarlens.functions.money import ratio
-from bazaarlens.functions.timing import month_of, seconds_between
+from bazaarlens.functions.timing import in_months, month_of, seconds_between
 from bazaarlens.operators import core, products
 from bazaarlens.params import FIRST_ORDER, Params
 from bazaarlens.session import materialise
@@ -194,13 +194,10 @@ class Fixture:
     def packages_nth(self) -> DataFrame:
         return self.packages_from(self.orders_with(nth=True, place=False))
 
-    def window(self, df: DataFrame) -> DataFrame:
-        return df.where(F.col("month").isin(*self.params.months))
-
-    @cached_property
-    def sales_facts(self) -> DataFrame:
+    def sales_facts(self, months: tuple[str, ...] | None = None) -> DataFrame:
         """(month, barcode, flag, status) sums: lines and headers meet once, before any wider key."""
-        head = self.table("orders").select(
+        orders = self.table("orders")
+        head = (orders.where(in_months("o_orderdate", months)) if months else orders).select(
             F.col("o_orderkey").cast("string").alias("package_no"), F.col("o_orderstatus").alias("status"),
             month_of(F.col("o_orderdate")).alias("month"),
         )
@@ -212,15 +209,14 @@ class Fixture:
                  F.sum("net").alias("net"), F.sum(comm).alias("comm"))
         )
 
-    @cached_property
-    def sales_monthly(self) -> DataFrame:
+    def sales_fact(self, months: tuple[str, ...] | None = None) -> DataFrame:
         """(month, barcode) sales fact without product attributes; reasons as a map of counts."""
         back = F.col("flag") == "R"
         cancelled = (F.col("flag") == "A") & (F.col("status") == "O")
         kept = ~back & ~cancelled
         code = F.concat("flag", "status")
         sums = [F.sum(F.when(code == c, F.col("qty"))).alias(f"r_{c}") for c in REASON_CODES]
-        grouped = self.sales_facts.groupBy("month", "barcode").agg(
+        grouped = self.sales_facts(months).groupBy("month", "barcode").agg(
             F.sum("qty").alias("gross_order_qty"),
             F.sum("qty").alias("gross_sales_qty"),
             F.coalesce(F.sum(F.when(cancelled, F.col("qty"))), F.lit(0)).alias("cancel_qty"),
@@ -242,6 +238,10 @@ class Fixture:
             F.map_filter(reasons, lambda k, v: v != 0).alias("reasons"),
         )
 
+    @cached_property
+    def sales_monthly(self) -> DataFrame:
+        return self.sales_fact()
+
     @cached_property
     def all_sales(self) -> DataFrame:
         """Sales fact of every month joined to products (the enriched sales relation)."""
@@ -249,18 +249,30 @@ class Fixture:
 
     @cached_property
     def sales(self) -> DataFrame:
-        return core.sales_enriched(self.window(self.sales_monthly), self.products)
+        return core.sales_enriched(self.sales_fact(self.params.months), self.products)
 
     @cached_property
     def window_headers(self) -> DataFrame:
-        return self.orders_lite.where(month_of(F.col("order_at")).isin(*self.params.months))
+        return self.orders_lite.where(in_months("order_at", self.params.months))
 
     @cached_property
-    def window_lines(self) -> DataFrame:
+    def window_order_lines(self) -> DataFrame:
         """Lines of the window's packages; the packages are chosen before lines are summed."""
         raw = self.raw_lines.join(self.window_headers.select("package_no"), "package_no", "left_semi")
-        rolled = core.order_line_rollup(raw, extra=[F.max("returned").alias("returned")])
-        return core.lines_with_product(rolled, self.products)
+        return core.order_line_rollup(raw, extra=[F.max("returned").alias("returned")])
+
+    @cached_property
+    def window_lines(self) -> DataFrame:
+        return core.lines_with_product(self.window_order_lines, self.products)
+
+    @cached_property
+    def window_packages_lite(self) -> DataFrame:
+        return core.lead_times(core.impute_cargo(core.packages(self.window_order_lines, self.window_headers, variety=False)))
+
+    @cached_property
+    def window_packages_nth(self) -> DataFrame:
+        headers = self.orders_with(nth=True, place=False).where(in_months("order_at", self.params.months))
+        return core.lead_times(core.impute_cargo(core.packages(self.window_order_lines, headers, variety=False)))
 
     @cached_property
     def window_packages(self) -> DataFrame:
@@ -316,7 +328,7 @@ class Fixture:
     @cached_property
     def ops(self) -> DataFrame:
         """(month, metric, value) operational metrics."""
-        flags = self.sales_facts.groupBy("month").agg(
+        flags = self.sales_facts().groupBy("month").agg(
             F.sum("qty").alias("units"),
             F.coalesce(F.sum(F.when(F.col("flag") == "R", F.col("qty"))), F.lit(0)).alias("back"),
             F.coalesce(F.sum(F.when((F.col("flag") == "R") & (F.col("status") == "F"), F.col("qty"))), F.lit(0)).alias("bad"),
