@@ -178,6 +178,14 @@ def test_pareto_breaks_ties_by_code_and_ends_at_100(spark):
     assert got == [("m03", 40.0), ("m00", 60.0), ("m01", 80.0), ("m02", 100.0)]
 
 
+def test_segment_medians_agree_on_both_paths(spark):
+    data = [(f"m{i}", "AB"[i % 2], float(i * i % 37), float(i), Decimal(i), i, None, 1.0, 2.0) for i in range(60)]
+    models = spark.createDataFrame(data, "model_code string, segment string, growth double, asp double, net_rev decimal(28,7), net_units bigint, ret_rate double, multi double, cargo_pct double")
+    cols = ["segment", "n", "rev", "growth", "asp", "share"]
+    got = [rows(products.segment_summary(models, few).select(*cols), "segment") for few in (100, 10)]
+    assert got[0] == got[1] and got[0][0][4] == np.median([d[3] for d in data if d[1] == "A"])
+
+
 def test_running_total_over_many_slices(spark):
     rng = random.Random(1)
     data = [(f"k{i:04d}", Decimal(rng.choice([1, 1, 1, 7, 100]))) for i in range(2000)]
