@@ -15,6 +15,9 @@ SQL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # no call-site capture for every column expression: plans here have thousands
+    "spark.sql.dataFrameQueryContext.enabled": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
