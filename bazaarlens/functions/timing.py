@@ -11,7 +11,8 @@ def seconds_between(start: Column, end: Column) -> Column:
 
 
 def month_of(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM")
+    """'yyyy-MM' of a date or wall-clock time, whatever the session time zone."""
+    return F.substring(ts.cast("string"), 1, 7)
 
 
 def next_month(month: str) -> str:

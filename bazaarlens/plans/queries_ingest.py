@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, functions as F
 
 from bazaarlens.functions.parsing import locale_number, month_header, report_day, report_timestamp
 from bazaarlens.operators import core, ingest, kpis, sinks
 from bazaarlens.schemas import KEYS
-from bazaarlens.session import scratch_root
+from bazaarlens.session import scratch_path
 from bazaarlens.sources import catalog, raw_fixtures as raw
 from bazaarlens.sources.fixtures import REASON_CODES, Fixture
 
@@ -50,7 +48,7 @@ def validation(fx: Fixture) -> DataFrame:
 
 def exported_csv(fx: Fixture) -> DataFrame:
     table = fx.sales_monthly.select("month", "barcode", "net_sales_qty", F.col("net_revenue").cast("decimal(18,7)").alias("net_revenue"), "reasons")
-    folder = f"{scratch_root(fx.spark)}/csv-{uuid.uuid4().hex}"
+    folder = scratch_path(fx.spark, "csv")
     paths = sinks.export_csv({"sales_monthly": table}, folder)
     return fx.spark.read.schema("month string, barcode string, net_sales_qty bigint, net_revenue decimal(18,7), reasons string").option(
         "header", "true").csv(paths["sales_monthly"]).select("month", "barcode", "net_sales_qty", "net_revenue")
@@ -58,7 +56,7 @@ def exported_csv(fx: Fixture) -> DataFrame:
 
 def exported_results(fx: Fixture) -> DataFrame:
     result = kpis.monthly_sales_kpis(fx.sales).select("month", "gross_units", "net_units", F.col("net_rev").cast("double").alias("net_rev"), "ret_rate")
-    folder = f"{scratch_root(fx.spark)}/json-{uuid.uuid4().hex}"
+    folder = scratch_path(fx.spark, "json")
     paths = sinks.export_results({"monthly": result}, folder)
     return fx.spark.read.schema(result.schema).json(paths["monthly"])
 
@@ -66,7 +64,7 @@ def exported_results(fx: Fixture) -> DataFrame:
 def upserted_table(fx: Fixture) -> DataFrame:
     """The written form of the upsert: a month-partitioned table, a batch of changed and new rows."""
     table = fx.sales_monthly.select("month", "barcode", "net_sales_qty", "return_qty")
-    path = f"{scratch_root(fx.spark)}/table-{uuid.uuid4().hex}"
+    path = scratch_path(fx.spark, "table")
     table.write.partitionBy("month").parquet(path)
     window = table.where(F.col("month").isin(*fx.params.months))
     batch = window.where(F.col("return_qty") > 0).withColumn("net_sales_qty", F.lit(0).cast("bigint"))

@@ -21,10 +21,8 @@ def portable(df: DataFrame) -> DataFrame:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, DecimalType):
             c = c.cast("double")
-        elif isinstance(f.dataType, DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
-        elif isinstance(f.dataType, (TimestampNTZType, TimestampType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        elif isinstance(f.dataType, (DateType, TimestampNTZType, TimestampType)):
+            c = c.cast("string")
         cols.append(c.alias(f.name))
     return df.select(*cols)
 

@@ -47,6 +47,11 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared folder, inside one folder per application, which can go when the run is over."""
+    return f"{scratch_root(spark).rstrip('/')}/bazaarlens-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     """Write `df` once as parquet under the shared folder and read it back.
 
@@ -55,6 +60,6 @@ def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     loss of executors and keeps column pruning and size statistics.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
