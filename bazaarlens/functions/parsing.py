@@ -10,10 +10,13 @@ MONTH_SHORT = ("Oca", "Şub", "Mar", "Nis", "May", "Haz", "Tem", "Ağu", "Eyl",
 # --- end of fixed values ---
 
 
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+DOTS_BY_A_COMMA = r"\.(?=.*,)|(?<=,.{0,64})\."
+
+
 def as_double(text: Column) -> Column:
     """Double or null; texts that spell NaN or infinity are null too."""
-    plain = F.trim(text)
-    return F.when(plain.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), plain.try_cast("double"))
+    return F.regexp_extract(F.trim(text), NUMBER, 0).try_cast("double")
 
 
 def locale_number(text: Column, flavor: str = "report") -> Column:
@@ -23,29 +26,27 @@ def locale_number(text: Column, flavor: str = "report") -> Column:
     ads: dots are always thousands separators.
     """
     if flavor == "ads":
-        plain = F.trim(text)
-        return F.when(plain != "-", as_double(F.replace(F.replace(plain, F.lit("."), F.lit("")), F.lit(","), F.lit("."))))
-    if flavor != "report":
+        plain = F.replace(text, F.lit("."), F.lit(""))
+    elif flavor == "report":
+        plain = F.regexp_replace(F.replace(text, F.lit("+"), F.lit("")), DOTS_BY_A_COMMA, "")
+    else:
         raise ValueError(f"unknown number flavor {flavor!r}")
-    plain = F.trim(F.replace(text, F.lit("+"), F.lit("")))
-    european = F.replace(F.replace(plain, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    return F.when(plain.isin("", "-"), None).when(plain.contains(","), as_double(european)).otherwise(as_double(plain))
+    return as_double(F.replace(plain, F.lit(","), F.lit(".")))
 
 
-def _wall_clock(text: Column, pattern: str, order: str) -> Column:
-    part = {unit: F.regexp_extract(text, pattern, i + 1) for i, unit in enumerate(order)}
-    n = {unit: c.try_cast("int") for unit, c in part.items()}
-    return F.when(text.rlike(pattern), F.try_make_timestamp_ntz(n["y"], n["M"], n["d"], n["h"], n["m"], F.lit(0)))
+def _wall_clock(text: Column, pattern: str) -> Column:
+    """Day, month, year, hour and minute groups as wall-clock time."""
+    return F.when(text.rlike(pattern), F.regexp_replace(text, pattern, "$3-$2-$1 $4:$5:00").try_cast("timestamp_ntz"))
 
 
 def report_timestamp(text: Column) -> Column:
     """'dd.MM.yyyy HH:mm' as wall-clock time."""
-    return _wall_clock(F.trim(text), r"^(\d{1,2})\.(\d{1,2})\.(\d{4}) (\d{1,2}):(\d{1,2})$", "dMyhm")
+    return _wall_clock(F.trim(text), r"^(\d{1,2})\.(\d{1,2})\.(\d{4}) (\d{1,2}):(\d{1,2})$")
 
 
 def report_day(text: Column) -> Column:
     """'dd-MM-yyyy HH:mm' as a date."""
-    return F.to_date(_wall_clock(F.trim(text), r"^(\d{1,2})-(\d{1,2})-(\d{4}) (\d{1,2}):(\d{1,2})$", "dMyhm"))
+    return F.to_date(_wall_clock(F.trim(text), r"^(\d{1,2})-(\d{1,2})-(\d{4}) (\d{1,2}):(\d{1,2})$"))
 
 
 def month_header(text: Column) -> Column:

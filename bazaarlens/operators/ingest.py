@@ -110,7 +110,7 @@ def ad_campaigns_normalise(raw: DataFrame, names: dict[str, str], flavor: str =
     """Campaign list with our column names: {report header: column}; numbers parsed, dates typed."""
     out = []
     for header, name in names.items():
-        c = F.col(f"`{header}`")
+        c = F.col(f"`{header}`") if header in raw.columns else F.lit(None).cast("string")
         if name in AD_NUMBERS:
             c = locale_number(c, flavor)
         elif name == "started_at":

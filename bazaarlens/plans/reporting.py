@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, functions as F
 
 from bazaarlens.functions.timing import in_months, month_of
-from bazaarlens.operators import baskets, category, core, customers, demographics, fulfilment, inventory, kpis, products
-from bazaarlens.params import RETURNED_STATUS, Params
+from bazaarlens.operators import (
+    ads, baskets, category, core, coupons, coverage, customers, demographics, fulfilment, inventory, kpis, margin, products,
+)
+from bazaarlens.params import RETURNED_STATUS, Params, scenario_grid
 from bazaarlens.session import materialise
 
 
@@ -24,9 +28,85 @@ def shared_relations(tables: dict[str, DataFrame], params: Params) -> tuple[Data
     return sales, lines, packs
 
 
-def result_blocks(tables: dict[str, DataFrame], params: Params = Params()) -> dict[str, DataFrame]:
-    """Every block that needs only sales, orders and lines, by name."""
+def result_blocks(tables: dict[str, DataFrame], params: Params = Params(), marketplace: str = "", today: dt.date | None = None) -> dict[str, DataFrame]:
+    """Every block the given tables allow, by name."""
     sales, lines, packs = shared_relations(tables, params)
+    blocks = order_blocks(sales, lines, packs, params)
+    if "distribution" in tables:
+        blocks |= distribution_blocks(tables["distribution"], params, marketplace)
+    if "ops_monthly" in tables:
+        ops = with_month(tables["ops_monthly"], params)
+        blocks["operations"] = core.ops_pivot(ops, params.months, newest_first=False)
+    if "store_daily" in tables:
+        blocks |= store_blocks(tables["store_daily"])
+    if "ad_campaigns" in tables:
+        blocks["campaigns"] = ads.ad_campaign_metrics(core.ad_campaigns_derived(tables["ad_campaigns"]))
+    if "ad_totals" in tables:
+        blocks |= money_blocks(tables, sales, packs, blocks, params)
+    if today and {"distribution", "store_daily", "ops_monthly"} <= set(tables):
+        blocks |= coverage_blocks(tables, today)
+    return blocks
+
+
+def with_month(df: DataFrame, params: Params | None = None) -> DataFrame:
+    known = df.where(in_months("period", params.months)) if params else df
+    return known.withColumn("month", month_of(F.col("period")))
+
+
+def distribution_blocks(distribution: DataFrame, params: Params, marketplace: str) -> dict[str, DataFrame]:
+    # fixed values: sheet names of the distribution report
+    dims = {"new": "Yeni & Mevcut Müşteri", "plus": f"{marketplace} Plus", "qty": "Adet Bazlı", "amount": "Tutar Bazlı"}
+    totals = ("Yaş", "Cinsiyet", "Gün ve Saat", "Tutar Bazlı", "Adet Bazlı", dims["plus"])
+    dist = with_month(distribution, params)
+    return {
+        "mix_shares": kpis.monthly_mix_shares(dist, dims), "distribution_shares": core.distribution_shares(dist),
+        "distribution_totals": demographics.distribution_totals(dist, totals),
+    }
+
+
+def store_blocks(store: DataFrame) -> dict[str, DataFrame]:
+    daily = core.store_daily_ratios(store)
+    measures = [f.name for f in daily.schema.fields if f.name != "day"]
+    averages = ads.store_averages(daily, measures)
+    return {"store_daily": daily, "store_averages": averages, "store_funnel": ads.store_funnel(averages)}
+
+
+def money_blocks(tables: dict[str, DataFrame], sales: DataFrame, packs: DataFrame, blocks: dict[str, DataFrame], params: Params) -> dict[str, DataFrame]:
+    """Advertising, margin, break-even, coupon and customer-value blocks."""
+    totals, ad_totals = kpis.package_totals(packs), tables["ad_totals"]
+    rates = materialise(margin.base_rates(totals, ad_totals, sales), "rates")
+    one = margin.scenario_table(packs.sparkSession, [params.scenario])
+    grid = margin.scenario_table(packs.sparkSession, scenario_grid())
+    cm = margin.contribution_margin(totals, rates, one)
+    monthly = kpis.package_totals(packs.where(F.col("month").isin(*params.months[: params.full_months])), ("month",))
+    categories = blocks["categories"].withColumnRenamed("comm_rate", "comm_pct")
+    out = {
+        "ad_totals": ads.ad_totals_kpis(ad_totals, sales), "headline": kpis.headline_kpis(sales, packs, ad_totals, params),
+        "margin": cm, "monthly_margin": margin.contribution_margin(monthly, rates, one, ("month",)),
+        "bin_margin": margin.bin_margin(blocks["amount_bins"], rates, one), "category_margin": margin.category_margin(categories, rates, one),
+        "unit_economics": margin.model_unit_economics(blocks["products"], rates, one),
+        "breakeven_cost": margin.breakeven_cost_ratio(totals, rates, grid), "margin_curve": margin.margin_curve(packs, rates, scenario_grid()),
+        "breakeven_basket": margin.breakeven_basket(rates, grid), "scenarios": margin.contribution_margin(totals, rates, grid),
+        "breakeven_roas": margin.breakeven_roas(margin.contribution_margin(totals, rates, grid), rates),
+        "fee_saving": margin.fee_saving(totals, observed_months=params.observed_months),
+        "coupons": coupons.coupon_scenarios(coupons.histogram_values(blocks["net_histogram"]), rates, params.scenario, observed_months=params.observed_months),
+        "clv": customers.clv_12m(packs, customers.customers(packs), cm, params.observed_months),
+    }
+    if "ad_campaigns" in tables:
+        out["unattributed_spend"] = ads.unattributed_spend(ad_totals, tables["ad_campaigns"])
+    return out
+
+
+def coverage_blocks(tables: dict[str, DataFrame], today: dt.date) -> dict[str, DataFrame]:
+    found = materialise(coverage.coverage_by_month(
+        with_month(tables["sales_monthly"]), tables["orders"], with_month(tables["distribution"]), tables["store_daily"],
+        with_month(tables["ops_monthly"]), today), "coverage")
+    cells = coverage.coverage_cells(found, today)
+    return {"coverage": found, "coverage_months": coverage.coverage_month_score(cells), "coverage_years": coverage.coverage_year_summary(cells)}
+
+
+def order_blocks(sales: DataFrame, lines: DataFrame, packs: DataFrame, params: Params) -> dict[str, DataFrame]:
+    """Blocks from sales, lines and packages."""
     models = products.model_table(products.model_facts(sales, lines, packs, params), params)
     pairs = materialise(baskets.model_pairs(lines), "pairs")
     cust = materialise(customers.customers(packs), "customers")

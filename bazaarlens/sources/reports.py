@@ -123,11 +123,10 @@ def parse_distribution(raw: DataFrame, default_year: int) -> dict[str, DataFrame
 
 def parse_small(raw: DataFrame, report: str) -> dict[str, DataFrame]:
     """Store, operations and advertising reports; on equal keys the last file wins."""
-    own = [c for c in raw.columns if c != "file_name"]
     if report == "store":
         name, rows = "store_daily", ingest.store_daily_normalise(raw, STORE, keep=["file_name"])
     elif report == "ads":
-        name, rows = "ad_campaigns", ingest.ad_campaigns_normalise(raw, {h: n for h, n in ADS.items() if h in own}, keep=["file_name"])
+        name, rows = "ad_campaigns", ingest.ad_campaigns_normalise(raw, ADS, keep=["file_name"])
     else:
         name, rows = "ops_monthly", ingest.ops_unpivot(raw, keep=["file_name"])
     return {name: core.latest_by(rows, KEYS[name], [F.desc("file_name")]).drop("file_name")}

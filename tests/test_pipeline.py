@@ -76,7 +76,22 @@ def test_tables(tables):
 
 
 def test_result_files(spark, tables, tmp_path):
-    blocks = result_blocks(tables, Params(months=("2026-04", "2026-05", "2026-06"), full_months=3, mover_min_revenue=0.0))
+    day = dt.date(2026, 4, 1)
+    given = {
+        **tables,
+        "ad_totals": spark.createDataFrame([(day, day, "panel", 1000, 100, 10, 5000.0, 400.0, 12.5)], "period_from date, period_to date, source string, "
+                                           "impressions bigint, clicks bigint, sales bigint, revenue double, spend double, roas double"),
+        "distribution": spark.createDataFrame([(day, "Adet Bazlı", "1", "", 30, 20), (day, "Adet Bazlı", "2", "", 10, 9), (day, f"{MARKET} Plus", "Plus", "", 4, 4)],
+                                              "period date, dimension string, bucket string, bucket2 string, orders int, customers int"),
+    }
+    params = Params(months=("2026-04", "2026-05", "2026-06"), full_months=3, mover_min_revenue=0.0)
+    blocks = result_blocks(given, params, MARKET, dt.date(2026, 6, 20))
+    assert {"monthly", "products", "clv", "coupons", "coverage_months", "store_funnel", "campaigns", "unattributed_spend", "distribution_totals"} <= set(blocks)
+    assert blocks["mix_shares"].first()["single_item_share"] == 75.0 and blocks["mix_shares"].first()["plus_share"] == 100.0
+    assert blocks["scenarios"].count() == 24 and blocks["coupons"].count() == 6 and blocks["coverage_years"].first()["months"] == 6
+    cost = blocks["margin"].first()
+    assert cost["cm"] == pytest.approx(cost["net"] - cost["vat_paid"] - cost["cogs"] - cost["comm"] - cost["cargo"] - cost["fees"] - cost["ad_cost"])
+    assert blocks["unit_economics"].count() == 4 and blocks["category_margin"].count() == 2
     picked = {k: blocks[k] for k in ("monthly", "totals", "products", "segments", "pairs", "cohorts", "fulfilment", "returns_by_delivery_time")}
     paths = sinks.export_results(picked, str(tmp_path / "out"))
     got = {k: spark.read.json(p) for k, p in paths.items()}

@@ -24,10 +24,10 @@ def rows(df, *order):
 
 
 def test_locale_numbers(spark):
-    texts = ["1.154", "2,17", "1.154,5", "+ 47", "-", "", "abc", None, "NaN", " 12 "]
+    texts = ["1.154", "2,17", "1.154,5", "+ 47", "-", "", "abc", None, "NaN", " 12 ", "1,154.5"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = rows(df.select(parsing.locale_number(F.col("t")), parsing.locale_number(F.col("t"), "ads")))
-    assert [g[0] for g in got] == [1.154, 2.17, 1154.5, 47.0, None, None, None, None, None, 12.0]
+    assert [g[0] for g in got] == [1.154, 2.17, 1154.5, 47.0, None, None, None, None, None, 12.0, 1.1545]
     assert [g[1] for g in got][:3] == [1154.0, 2.17, 1154.5] and got[4][1] is None and got[6][1] is None
     with pytest.raises(ValueError):
         parsing.locale_number(F.col("t"), "other")
