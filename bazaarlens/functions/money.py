@@ -19,11 +19,6 @@ def total(col: Column | str) -> Column:
     return F.coalesce(summed, F.lit(0))
 
 
-def share_of(cond: Column, scale: float = 100.0) -> Column:
-    """Share of rows where `cond` holds; a null condition counts as false, its row stays in the denominator."""
-    return ratio(F.count_if(cond), F.count(F.lit(1)), scale)
-
-
 def cargo_tier(net: Column, tiers=CARGO_TIERS) -> Column:
     """Cargo fee of a package of value `net`, as an exact decimal."""
     fee = None

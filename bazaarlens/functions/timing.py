@@ -38,8 +38,3 @@ def in_months(column: str, months: tuple[str, ...]) -> Column:
         inside = (value >= F.lit(f"{a}-01").cast("timestamp_ntz")) & (value < F.lit(f"{b}-01").cast("timestamp_ntz"))
         hit = inside if i == 0 else hit | inside
     return hit
-
-
-def first_of_month(month: Column) -> Column:
-    """Date of the first day of a 'yyyy-MM' month."""
-    return F.to_date(F.concat(month, F.lit("-01")))
