@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from bazaarlens.llm.common import written
@@ -40,3 +41,22 @@ def connected_components(links: DataFrame) -> DataFrame:
             break
         seen = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def star_links(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same connections in at most one link per node: every node with its component's smallest, roots left out."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    label = np.arange(len(nodes))
+    while True:
+        m = np.minimum(label[a], label[b])
+        new = label.copy()
+        np.minimum.at(new, a, m)
+        np.minimum.at(new, b, m)
+        np.minimum.at(new, label, new)  # the old root follows its members
+        new = new[new]
+        if np.array_equal(new, label):
+            break
+        label = new
+    out = label != np.arange(len(nodes))
+    return nodes[out], nodes[label[out]]

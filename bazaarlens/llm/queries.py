@@ -11,6 +11,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op5_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
+    from bazaarlens.llm.simhash import simhash_groups
+
+    found = simhash_groups(table(spark, folder, "documents"), shingle=3, distance=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op7_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     from bazaarlens.llm.sharding import hilbert_shards
 
@@ -27,5 +34,19 @@ def op8_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op7_hilbert_shards, op8_secret_scan)}
+def op9_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    from bazaarlens.llm.html_text import extract
+
+    return extract(table(spark, folder, "pages"))
+
+
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    from bazaarlens.llm.language_id import identify
+
+    return identify(table(spark, folder, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op5_simhash_groups, op7_hilbert_shards, op8_secret_scan, op9_html_text, op10_language_id,
+)}
 SQL: dict[str, str] = {}
