@@ -11,6 +11,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_pack(spark: SparkSession, folder: str) -> DataFrame:
+    from bazaarlens.llm.packing import Tokenizer, pack
+
+    return pack(table(spark, folder, "documents"), Tokenizer(tokenizer_path()))
+
+
 def op5_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     from bazaarlens.llm.simhash import simhash_groups
 
@@ -18,6 +30,12 @@ def op5_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_mix(spark: SparkSession, folder: str) -> DataFrame:
+    from bazaarlens.llm.mixing import mix
+
+    return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op7_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     from bazaarlens.llm.sharding import hilbert_shards
 
@@ -47,6 +65,6 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op5_simhash_groups, op7_hilbert_shards, op8_secret_scan, op9_html_text, op10_language_id,
+    op4_pack, op5_simhash_groups, op6_mix, op7_hilbert_shards, op8_secret_scan, op9_html_text, op10_language_id,
 )}
 SQL: dict[str, str] = {}
