@@ -118,7 +118,8 @@ def mix(
     sizes = docs.select(col(id_col).alias("doc_id"), col(source_col).cast("string").alias("source"), words(col(text_col)).alias("size"))
     rows = written(sizes.withColumn("h", F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"))), "sizes")
     targets = written(source_targets(rows, weights, share, most), "targets").select(F.col("source").alias("_of"), "source_size", "n", "target")
-    placed = ranked(rows, ["source", "size", "h", "doc_id"], ["source"], name="by-size")
+    # largest first: what stays open to the end is small
+    placed = ranked(rows.withColumn("_less", -F.col("size")), ["source", "_less", "h", "doc_id"], ["source"], name="by-size")
     due = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "h", "rank"), 11) / F.lit(float(1 << 53))
     ready = placed.join(targets, F.col("source").eqNullSafe(F.col("_of"))).withColumn("due", due).select(

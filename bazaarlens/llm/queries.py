@@ -11,6 +11,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_ann_forest(spark: SparkSession, folder: str) -> DataFrame:
+    from bazaarlens.llm.ann_forest import search
+
+    return search(table(spark, folder, "embeddings"))
+
+
+def op3_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from bazaarlens.llm.embedding_dedup import near_duplicates
+
+    return near_duplicates(table(spark, folder, "embeddings"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -65,6 +77,6 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op4_pack, op5_simhash_groups, op6_mix, op7_hilbert_shards, op8_secret_scan, op9_html_text, op10_language_id,
+    op2_ann_forest, op3_embedding_dedup, op4_pack, op5_simhash_groups, op6_mix, op7_hilbert_shards, op8_secret_scan, op9_html_text, op10_language_id,
 )}
 SQL: dict[str, str] = {}
