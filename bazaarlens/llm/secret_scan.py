@@ -98,7 +98,9 @@ def labelled_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     random = spark.range(generated).select(
         F.when(n % 3 == 0, code).when(n % 3 == 1, coded).otherwise(F.regexp_replace(F.upper(coded), "[+/]", "7")).alias("s")
     )
-    chosen = docs.select(col(id_col).alias("i"), col(text_col).alias("t")).where("t is not null").orderBy(F.xxhash64(F.col("i").cast("string")), "i").limit(sample_docs)
+    rows = docs.select(col(id_col).alias("i"), col(text_col).alias("t")).where("t is not null").withColumn("h", F.xxhash64(F.col("i").cast("string")))
+    last = rows.select("h").orderBy("h").limit(sample_docs).agg(F.max("h")).first()[0]
+    chosen = rows.where(F.col("h") <= F.lit(last).cast("long"))  # repeated ids share a hash and come along
     clean = F.regexp_replace(F.col("t"), PATTERNS[0][1], " ")
     words = F.filter(F.split(clean, "[^A-Za-z0-9]+"), lambda w: F.rlike(w, F.lit("^[A-Za-z]{2,}$")))
     some = chosen.select(words.alias("w")).where(F.size("w") > 2)
