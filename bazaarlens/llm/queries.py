@@ -11,6 +11,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from bazaarlens.llm.suffix_dedup import dedup
+
+    return dedup(table(spark, folder, "documents"), threshold=400)
+
+
 def op2_ann_forest(spark: SparkSession, folder: str) -> DataFrame:
     from bazaarlens.llm.ann_forest import search
 
@@ -77,6 +83,6 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op2_ann_forest, op3_embedding_dedup, op4_pack, op5_simhash_groups, op6_mix, op7_hilbert_shards, op8_secret_scan, op9_html_text, op10_language_id,
+    op1_suffix_dedup, op2_ann_forest, op3_embedding_dedup, op4_pack, op5_simhash_groups, op6_mix, op7_hilbert_shards, op8_secret_scan, op9_html_text, op10_language_id,
 )}
 SQL: dict[str, str] = {}
