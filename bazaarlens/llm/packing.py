@@ -203,7 +203,8 @@ def sequences(docs: DataFrame, packed: DataFrame, tokenizer: Tokenizer, id_col:
             cols = list(zip(*rows, strict=True)) if rows else [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.list_(pa.int32()))], names=["sequence_id", "offset", "ids"])
 
-    met = docs.join(wanted, col(id_col).eqNullSafe(F.col("_of"))).select(col(text_col).alias("text"), "cuts")
+    texts = docs.select(col(id_col).alias("_id"), col(text_col).cast("string").alias("text"))
+    met = texts.join(wanted, F.col("_id").eqNullSafe(F.col("_of"))).select("text", "cuts")
     parts = met.mapInArrow(run, "sequence_id long, offset long, ids array<int>")
     whole = parts.groupBy("sequence_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("offset", "ids"))), lambda p: p["ids"])).alias("ids"))
     size = F.size("ids")

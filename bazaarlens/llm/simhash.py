@@ -39,16 +39,19 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int.from_bytes(np.packbits(counts * 2 > len(parts)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) of each row; fp holds the unsigned fingerprint's bits as a signed long."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp) and the columns of `keep` of each row; fp holds the unsigned fingerprint's bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], names=["doc_id", "fp"])
+            kept = [batch.column(k) for k in range(2, batch.num_columns)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found), *kept], names=["doc_id", "fp", *[f"_{c}" for c in keep]])
 
-    bare = docs.select(col(id_col).alias("doc_id"), col(text_col).cast("string").alias("text"))
-    return bare.mapInArrow(run, f"doc_id {bare.schema['doc_id'].dataType.simpleString()}, fp long")
+    bare = docs.select(col(id_col).alias("doc_id"), col(text_col).cast("string").alias("_words"), *[col(c).alias(f"_{c}") for c in keep])
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in bare.schema.fields[2:]]
+    found = bare.mapInArrow(run, ", ".join([f"doc_id {bare.schema['doc_id'].dataType.simpleString()}", "fp long", *kinds]))
+    return found.select("doc_id", "fp", *[col(f"_{c}").alias(c) for c in keep])
 
 
 def parts_of(distance: int) -> tuple[int, int]:

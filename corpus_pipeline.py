@@ -4,26 +4,67 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from bazaarlens.llm import language_id as lang, mixing, packing, secret_scan as secrets, simhash
 from bazaarlens.llm.common import written
-from bazaarlens.llm.secret_scan import redacted, scan, trained
+from bazaarlens.llm.queries import tokenizer_path
 
 # no stage has an SQL form: frozen statistics, 64-bit hashes, random rounding and tokens
 ORACLE_SQL = None
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
-def _documents(df: DataFrame) -> DataFrame:
-    return df.select("doc_id", "text", "lang", "source", "n_chars")
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of no language (null texts, texts without a letter) go; the others stay as they are, a null lang filled with the predicted one."""
+    named = lang.identify(docs.select(*COLUMNS), keep=COLUMNS[1:])
+    kept = named.where("lang_pred <> 'und'")
+    return kept.select("doc_id", "text", F.coalesce("lang", "lang_pred").alias("lang"), "source", "n_chars")
+
+
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays, the one with the smallest id; of rows that share that id, one.
+
+    Groups are told by id, so their texts are read once and only joined to the ids that stay.
+    A row without an id is the group's document only if no row of it has one.
+    """
+    rows = docs.select(*COLUMNS)
+    found = written(simhash.simhash_groups(rows, shingle=3, distance=3), "groups")
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    keepers = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max(first).alias("kept"), F.min(F.when(first, F.col("fp"))).alias("of"))
+    keepers = written(keepers.where("kept").select(F.col("doc_id").alias("_id"), "rows", "of"), "keepers")
+    met = rows.join(keepers, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    single = met.where("rows = 1").select(*COLUMNS)
+    # an id that several rows share: those of the group it stands for, told by their fingerprint, and one of them
+    several = simhash.fingerprints(met.where("rows > 1"), shingle=3, keep=("of", *COLUMNS[1:])).where("fp = of")
+    one = several.groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("r")).select("doc_id", "r.*")
+    return single.unionByName(one)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; each secret is replaced by a mark, and n_chars follows. A null text stays null."""
-    found = scan(docs, trained(docs), keep=("text", "lang", "source", "n_chars"))
-    clean = found.withColumn("_text", redacted(F.col("text"), F.col("found")))
+    found = secrets.scan(docs, secrets.trained(docs), keep=COLUMNS[1:])
+    clean = found.withColumn("_text", secrets.redacted(F.col("text"), F.col("found")))
     count = F.when(F.size("found") > 0, F.length("_text").cast("long")).otherwise(F.col("n_chars"))
     return clean.select("doc_id", F.col("_text").alias("text"), "lang", "source", count.alias("n_chars"))
 
 
-STAGES = [("secret_scan", secret_scan)]
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it: not at all, once or twice.
+
+    Rows that share an id share its copies, rounded up to the same number each.
+    """
+    mixed = mixing.mix(docs).groupBy("doc_id").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    times = written(mixed.where("copies > 0").select(F.col("doc_id").alias("_id"), F.ceil(F.col("copies") / F.col("rows")).cast("int").alias("times")), "copies")
+    met = docs.select(*COLUMNS).join(times, F.col("doc_id").eqNullSafe(F.col("_id")))
+    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*COLUMNS)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, each copy on its own, with their places in sequences of 1024 tokens."""
+    return packing.pack(docs, packing.Tokenizer(tokenizer_path()))
+
+
+STAGES = [("language_id", language_id), ("simhash_dedup", simhash_dedup), ("secret_scan", secret_scan), ("mix_sources", mix_sources), ("pack", pack)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
