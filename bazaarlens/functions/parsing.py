@@ -11,7 +11,6 @@ MONTH_SHORT = ("Oca", "Şub", "Mar", "Nis", "May", "Haz", "Tem", "Ağu", "Eyl",
 
 
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-DOTS_BY_A_COMMA = r"\.(?=.*,)|(?<=,.{0,64})\."
 
 
 def as_double(text: Column) -> Column:
@@ -28,7 +27,8 @@ def locale_number(text: Column, flavor: str = "report") -> Column:
     if flavor == "ads":
         plain = F.replace(text, F.lit("."), F.lit(""))
     elif flavor == "report":
-        plain = F.regexp_replace(F.replace(text, F.lit("+"), F.lit("")), DOTS_BY_A_COMMA, "")
+        unsigned = F.replace(text, F.lit("+"), F.lit(""))
+        plain = F.when(F.contains(unsigned, F.lit(",")), F.replace(unsigned, F.lit("."), F.lit(""))).otherwise(unsigned)
     else:
         raise ValueError(f"unknown number flavor {flavor!r}")
     return as_double(F.replace(plain, F.lit(","), F.lit(".")))

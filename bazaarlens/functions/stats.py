@@ -17,7 +17,9 @@ def lead_quantiles(df: DataFrame, by: list[str], wanted: dict[str, tuple[str, fl
     """Exact interpolated quantiles of whole-second measures: {name: (column, quantile, seconds per unit)}.
 
     All measures are counted in one pass as (group, measure, value). Their
-    resolution bounds the distinct values, and so every aggregation buffer.
+    resolution bounds the distinct values, and so every aggregation buffer: a
+    year of seconds is 32 million, and spans of several years are bad data that
+    the caller may leave out.
     """
     cols = sorted({c for c, _, _ in wanted.values()})
     cells = F.array(*[F.struct(F.lit(c).alias("m"), F.col(c).cast("bigint").alias("v")) for c in cols])
@@ -30,45 +32,6 @@ def lead_quantiles(df: DataFrame, by: list[str], wanted: dict[str, tuple[str, fl
     return counts.groupBy(*by).agg(*[quantile(*spec).alias(name) for name, spec in wanted.items()])
 
 
-def exact_quantile(df: DataFrame, by: list[str], value: str, q: float, name: str, digits: int = 6,
-                   accuracy: int = 10000) -> DataFrame:
-    """Exact quantile of a continuous measure per group, without holding a group in one task.
-
-    A rank sketch brackets the wanted rank (its error is at most n/accuracy);
-    rows below the bracket are only counted, and the few inside it are ranked.
-    Groups of up to 10 * accuracy rows are ranked whole.
-    """
-    rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
-    margin = 2.0 / accuracy
-    lo_q, hi_q = max(0.0, q - margin), min(1.0, q + margin)
-    few = F.col("_n") <= 10 * accuracy
-    bracket = rows.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", [lo_q, hi_q], accuracy).alias("_b"),
-        F.min("_v").alias("_min"),
-        F.max("_v").alias("_max"),
-    ).select(
-        *by, "_n",
-        F.when(few | F.lit(lo_q == 0.0), F.col("_min")).otherwise(F.col("_b")[0]).alias("_lo"),
-        F.when(few | F.lit(hi_q == 1.0), F.col("_max")).otherwise(F.col("_b")[1]).alias("_hi"),
-    )
-    placed = rows.join(bracket, by) if by else rows.crossJoin(bracket)
-    below = placed.groupBy(*by).agg(F.count_if(F.col("_v") < F.col("_lo")).alias("_below"))
-    inside = (
-        placed.where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-        .groupBy(*by, "_v", "_n").agg(F.count(F.lit(1)).alias("_c"))
-    )
-    seen = inside.join(below, by) if by else inside.crossJoin(below)
-    upto = F.col("_below") + F.sum("_c").over(W.partitionBy(*by).orderBy("_v"))
-    ranked = seen.withColumn("_upto", upto)
-    spot = F.lit(q) * (F.col("_n") - 1)  # 0-based rank, possibly between two rows
-    low, high = F.floor(spot), F.ceil(spot)
-    lower = F.min(F.when(F.col("_upto") > low, F.col("_v")))
-    upper = F.min(F.when(F.col("_upto") > high, F.col("_v")))
-    frac = F.max(spot - low)
-    return ranked.groupBy(*by).agg(F.round(lower + (upper - lower) * frac, digits).alias(name))
-
-
 def running_total(df: DataFrame, order: list[Column], value: str, name: str, total: str) -> DataFrame:
     """Running sum of `value` in `order`, and its grand total, with no single-task window.
 

@@ -75,7 +75,8 @@ def pair_counts(items: DataFrame, min_n: int = 1, block: int = 256) -> DataFrame
     Items rarer than `min_n` cannot be in such a pair and go first. A package
     of more than `block` items is cut into blocks of items; its pairs are then
     made block against block in many tasks, each pair once, and are summed
-    before they are shuffled. Ordinary packages are a single block.
+    before they are shuffled. Ordinary packages are a single block. `block`
+    only decides how the work of a large package is split, never the result.
     """
     if min_n > 1:
         frequent = single_counts(items).where(F.col("n") >= min_n).select("item")
@@ -154,6 +155,12 @@ def pair_advice(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("advice", label)
 
 
+def with_names(items: DataFrame, models: DataFrame) -> DataFrame:
+    """Name of each model; an unknown one keeps its code."""
+    named = models.select(F.col("model_code").alias("model"), "name")
+    return items.join(named, "model", "left").withColumn("name", F.coalesce("name", "model"))
+
+
 def several_barcodes(lines: DataFrame) -> DataFrame:
     """(package, model) groups with two or more barcodes of the model; lines are unique on (package, barcode)."""
     return lines.groupBy("package_no", "model").agg(F.count("barcode").alias("k")).where("k > 1")

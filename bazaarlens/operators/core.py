@@ -121,7 +121,8 @@ def packages(lines: DataFrame, orders: DataFrame, variety: bool = True) -> DataF
         F.max("returned").alias("returned"),
     ]
     if variety:
-        sums += [F.countDistinct("model").alias("models"), F.countDistinct("category").alias("cats")]
+        # sets, not distinct counts: lines are read once, and a set is at most the models or categories there are
+        sums += [F.size(F.collect_set("model")).cast("bigint").alias("models"), F.size(F.collect_set("category")).cast("bigint").alias("cats")]
     per_package = lines.groupBy("package_no").agg(*sums)
     header = orders.select(*[c for c in HEADER if c in orders.columns])
     return header.join(per_package, "package_no").withColumn("month", month_of(F.col("order_at")))
@@ -167,9 +168,13 @@ def distribution_shares(dist: DataFrame) -> DataFrame:
     )
 
 
-def ops_pivot(ops: DataFrame, months: tuple[str, ...], newest_first: bool = True) -> DataFrame:
-    """metric x month matrix; the month columns are listed, so no extra pass finds them."""
+def ops_pivot(ops: DataFrame, months: tuple[str, ...] | None = None, newest_first: bool = True) -> DataFrame:
+    """metric x month matrix of all months, found by one distinct, or of the months given."""
+    if months is None:
+        months = tuple(r[0] for r in ops.select("month").where("month is not null").distinct().collect())  # a row per month
     ordered = sorted(months, reverse=newest_first)
+    if not ordered:
+        return ops.select("metric").distinct()
     return ops.groupBy("metric").pivot("month", ordered).agg(F.first("value", ignorenulls=True))
 
 
@@ -195,7 +200,11 @@ def ad_campaigns_derived(ads: DataFrame) -> DataFrame:
 
 
 def ad_totals_by_source(totals: DataFrame) -> DataFrame:
-    """Panel figures and, where present, the meta figures on one row."""
+    """Panel figures and, where present, the meta figures on one row, each source's from its latest period."""
+    period = [F.desc(c) for c in ("period_to", "period_from") if c in totals.columns]
+    if period:
+        totals = latest_by(totals, ["source"], period)
+
     def pick(source: str, col: str) -> Column:
         return F.max(F.when(F.col("source") == source, F.col(col))).alias(f"{source}_{col}")
 

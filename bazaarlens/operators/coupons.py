@@ -48,7 +48,7 @@ def coupon_scenarios(values: DataFrame, rates: DataFrame, scenario: Scenario, co
             F.sum(F.when(used, -uses * d).when(stepped, steps * (paid - v)).otherwise(0.0)).alias(f"rev{i}"),
             F.sum(F.when(used, uses * use_cm).when(stepped, steps * step_cm).otherwise(0.0)).alias(f"cm{i}"),
         ]
-    sums = values.crossJoin(F.broadcast(rates.select("comm_rate", "tacos").limit(1))).groupBy("comm_rate", "tacos").agg(*aggs).crossJoin(rates.select("aov", "pk"))
+    sums = values.crossJoin(F.broadcast(rates.select("comm_rate", "tacos"))).groupBy("comm_rate", "tacos").agg(*aggs).crossJoin(rates.select("aov", "pk"))
     rows = F.array(*[
         F.struct(F.lit(i).alias("coupon_no"), F.lit(name).alias("coupon"), F.lit(float(t)).alias("t"), F.lit(float(d)).alias("d"), F.lit(g / 100.0).alias("g"),
                  F.col(f"cost{i}").alias("cost"), F.col(f"rev{i}").alias("rev"), F.col(f"cm{i}").alias("dcm"))

@@ -29,8 +29,9 @@ def parse_numbers(raw: DataFrame, columns: list[str], flavor: str = "report") ->
 
 
 def product_dimension_latest(raw_sales: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per barcode: the whole row of the latest period (then of the last file)."""
-    return latest_by(raw_sales, ["barcode"], [F.desc("period"), F.desc("file_name")]).select("barcode", *columns)
+    """One row per barcode: the whole row of the latest period, a file without one being the latest; then of the last file, in it the last row."""
+    last = [F.desc_nulls_first("period"), F.desc("file_name")] + ([F.desc("row_no")] if "row_no" in raw_sales.columns else [])
+    return latest_by(raw_sales, ["barcode"], last).select("barcode", *columns)
 
 
 def sales_monthly_fact(raw: DataFrame, measures: list[str], reasons: tuple[str, ...]) -> DataFrame:
@@ -68,22 +69,20 @@ def package_rollup_ingest(raw: DataFrame, order: str = "row_no", attributes: tup
         *[first_known(c, order) for c in (*attributes, *extra)], *[added(c) for c in ("gross", "discount", "ty_discount", "net")], commission)
 
 
-def distribution_long(sheets: dict[str, DataFrame]) -> DataFrame:
-    """Sheets (bucket[, second bucket], ..., orders, customers) under one another, one row per key.
+def distribution_sheet(dimension: str | Column, sheet: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """One sheet (bucket[, second bucket], orders, share, customers, share) as rows; the second bucket is there if it has six columns."""
+    keep = keep or []
+    own = [c for c in sheet.columns if c not in ("period", "dimension", *keep)]
+    second = F.coalesce(F.col(f"`{own[1]}`").cast("string"), F.lit("")) if len(own) == 6 else F.lit("")
+    return sheet.select(
+        "period", (F.lit(dimension) if isinstance(dimension, str) else dimension).alias("dimension"), F.col(f"`{own[0]}`").cast("string").alias("bucket"),
+        second.alias("bucket2"), F.col("orders").cast("bigint").alias("orders"), F.col("customers").cast("bigint").alias("customers"), *keep)
 
-    A sheet has a second bucket if it has six columns besides the period.
-    Of rows with one key, the one with most orders stays.
-    """
-    def rows(dimension: str, sheet: DataFrame) -> DataFrame:
-        own = [c for c in sheet.columns if c != "period"]
-        second = F.col(f"`{own[1]}`").cast("string") if len(own) == 6 else F.lit("")
-        return sheet.select(
-            "period", F.lit(dimension).alias("dimension"), F.col(f"`{own[0]}`").cast("string").alias("bucket"),
-            second.alias("bucket2"), F.col("orders").cast("bigint").alias("orders"), F.col("customers").cast("bigint").alias("customers"))
 
-    long = reduce(DataFrame.unionByName, [rows(d, s) for d, s in sheets.items()])
-    keys = ["period", "dimension", "bucket", "bucket2"]
-    return long.groupBy(*keys).agg(F.max(F.struct("orders", "customers")).alias("v")).select(*keys, "v.orders", "v.customers")
+def distribution_long(sheets: dict[str, DataFrame], order: str = "row_no") -> DataFrame:
+    """Sheets under one another, one row per key: of rows with one key the first of the file stays."""
+    long = reduce(DataFrame.unionByName, [distribution_sheet(d, s, [order]) for d, s in sheets.items()])
+    return latest_by(long, ["period", "dimension", "bucket", "bucket2"], [F.asc(order)]).drop(order)
 
 
 def store_daily_normalise(raw: DataFrame, names: dict[str, str], day: str = "Tarih", keep: list[str] | None = None) -> DataFrame:
@@ -121,40 +120,60 @@ def ad_campaigns_normalise(raw: DataFrame, names: dict[str, str], flavor: str =
     return raw.select(*out, *(keep or []))
 
 
-def union_keep_last(parts: list[tuple[str, DataFrame]], keys: list[str], order: list[str] | None = None) -> DataFrame:
-    """All files of a table under one another; on equal keys the last file wins (after `order`, if given)."""
+def union_keep_last(parts: list[tuple[str, DataFrame]], keys: list[str], order: list[str] | None = None, row: str = "row_no") -> DataFrame:
+    """All files of a table under one another; on equal keys the last file wins (after `order`, if given), in it the last row."""
     tagged = [df.withColumn("_file", F.lit(name)) for name, df in parts]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-    ranking = [F.desc(c) for c in (order or [])] + [F.desc("_file")]
+    ranking = [F.desc(c) for c in (order or [])] + [F.desc("_file")] + ([F.desc(row)] if row in rows.columns else [])
     return latest_by(rows, keys, ranking).drop("_file")
 
 
-def upsert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Target with the batch's rows inserted, or in place of the row with the same key, nulls included."""
-    return target.join(batch.select(*keys), keys, "left_anti").unionByName(batch.select(*target.columns))
+def unique_by(batch: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """One row per key: the first in `order`, or else the greatest by its other columns."""
+    others = [F.desc(f"`{c}`") for c in batch.columns if c not in keys]
+    return latest_by(batch, keys, order or others or [F.lit(0)])
 
 
-def upsert_table(path: str, batch: DataFrame, keys: list[str], partition_by: list[str]) -> None:
-    """Upsert into a partitioned parquet table, rewriting only the partitions the batch touches.
+def upsert(target: DataFrame, batch: DataFrame, keys: list[str], order: list[Column] | None = None) -> DataFrame:
+    """Target with the batch's rows inserted, or in place of the row with the same key, nulls included.
+
+    Of batch rows with one key the first in `order` counts (`unique_by`).
+    """
+    single = unique_by(batch, keys, order)
+    same = reduce(lambda a, b: a & b, [target[k].eqNullSafe(F.col(f"_new.{k}")) for k in keys])
+    kept = target.join(single.select(*keys).alias("_new"), same, "left_anti")
+    return kept.unionByName(single.select(*target.columns))
+
+
+def upsert_table(path: str, batch: DataFrame, keys: list[str], partition_by: list[str], order: list[Column] | None = None) -> list[tuple]:
+    """Upsert into a partitioned parquet table, reading and rewriting only the partitions the batch touches; returns those.
 
     Partition columns must be part of the key, so a row never changes
-    partition. The merged partitions are written aside before the overwrite:
-    a lost executor or a failed job leaves the table as it was.
+    partition. Their values in the batch (as many as folders it touches) are
+    listed on the driver and filter the target's scan as literals. The merged
+    partitions are written aside before the overwrite, which replaces one
+    folder after the other: a failure between leaves some folders new and
+    some old, and the same batch run again gives the whole result.
     """
     if not set(partition_by) <= set(keys):
         raise ValueError("partition columns must belong to the key")
     spark = batch.sparkSession
-    batch = materialise(batch, "batch")
+    batch = materialise(unique_by(batch, keys, order), "batch")
+    parts = sorted(tuple(r) for r in batch.select(*partition_by).distinct().collect()) if partition_by else []
     try:
         target = spark.read.schema(batch.schema).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         batch.write.partitionBy(*partition_by).parquet(path)
-        return
-    touched = target.join(batch.select(*partition_by).distinct(), partition_by, "left_semi")
-    merged = materialise(upsert(touched, batch, keys), "merged")
+        return parts
+    if partition_by:
+        for k, column in enumerate(partition_by):
+            target = target.where(F.col(column).isin(*sorted({p[k] for p in parts})))
+        target = target.join(F.broadcast(spark.createDataFrame(parts, batch.select(*partition_by).schema)), partition_by, "left_semi") if parts else target.where(F.lit(False))
+    merged = materialise(upsert(target, batch, keys), "merged")
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    return parts
 
 
 def key_slot(keys: list[str], slots: int = 256) -> Column:
@@ -165,13 +184,16 @@ def key_slot(keys: list[str], slots: int = 256) -> Column:
 def tighten_integer_columns(df: DataFrame, endings: tuple[str, ...] = DECIMAL_ENDINGS) -> DataFrame:
     """Floating columns that hold only whole numbers become integers, unless their name says money or rate.
 
-    One aggregation row decides all columns; columns without any value stay.
+    One aggregation row decides all columns; NaN is no value; columns without any value stay.
     """
     floats = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float") and not f.name.endswith(endings)]
     if not floats:
         return df
-    whole = df.agg(*[F.bool_and(F.col(f"`{c}`") == F.round(F.col(f"`{c}`"))).alias(c) for c in floats]).first()
-    return df.withColumns({c: F.col(f"`{c}`").cast("bigint") for c in floats if whole[c]})
+    def known(c: str) -> Column:
+        return F.when(~F.isnan(f"`{c}`"), F.col(f"`{c}`"))
+
+    whole = df.agg(*[F.bool_and((known(c) == F.round(known(c))) & (F.abs(known(c)) < 2.0**63)).alias(c) for c in floats]).first()
+    return df.withColumns({c: known(c).cast("bigint") for c in floats if whole[c]})
 
 
 def validate_report(batch: DataFrame, report: str, required: list[str], keys: list[str], typed: dict[str, Column] | None = None) -> DataFrame:

@@ -108,7 +108,7 @@ def margin_curve(packs: DataFrame, rates: DataFrame, scenarios: list[Scenario],
     spark = packs.sparkSession
     slot = F.floor(F.col("net") / step).cast("int") * step
     valued = packs.where((F.col("net") >= lo) & (F.col("net") < hi + step)).select(
-        slot.alias("v"), F.col("net").cast("double").alias("_net")).crossJoin(F.broadcast(rates.limit(1)))
+        slot.alias("v"), F.col("net").cast("double").alias("_net")).crossJoin(F.broadcast(rates))
 
     def margin(s: Scenario) -> Column:
         after = F.col("_net") * F.lit(1.0 - s.cost) / F.lit(1.0 + s.vat) - F.col("comm_rate") * F.col("_net")

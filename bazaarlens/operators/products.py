@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarlens.functions.money import ratio
 from bazaarlens.functions.names import COLOURS, clean_name, short_name, with_override
-from bazaarlens.functions.stats import exact_quantile, running_total, value_counts
+from bazaarlens.functions.stats import running_total, value_counts
 from bazaarlens.operators.category import allocation_shares, cargo_allocation
 from bazaarlens.params import Params
 
@@ -183,21 +183,16 @@ def model_ranking(sales: DataFrame, params: Params) -> DataFrame:
     return model_table(base, params)
 
 
-def segment_summary(models: DataFrame, few: int = 100_000) -> DataFrame:
+def segment_summary(models: DataFrame) -> DataFrame:
     """Models, revenue, units, means and medians per segment, and share of revenue.
 
-    Up to `few` models the medians come from Spark's own percentile, whose
-    buffer holds a segment's values; beyond that from the bracketed quantile.
+    One aggregation; a median's buffer holds a segment's distinct values, so at most its models.
     """
-    medians = {"growth": "growth", "asp": "asp"}
-    small = models.limit(few + 1).count() <= few
-    direct = [F.round(F.percentile(c, F.lit(0.5)), 6).alias(n) for n, c in medians.items()] if small else []
     per = models.groupBy("segment").agg(
         F.count("model_code").alias("n"), F.sum("net_rev").alias("rev"), F.sum("net_units").alias("units"),
-        F.round(F.avg("ret_rate"), 6).alias("ret"), F.round(F.avg("multi"), 6).alias("multi"), F.round(F.avg("cargo_pct"), 4).alias("cargo"), *direct,
+        F.round(F.avg("ret_rate"), 6).alias("ret"), F.round(F.avg("multi"), 6).alias("multi"), F.round(F.avg("cargo_pct"), 4).alias("cargo"),
+        *[F.round(F.percentile(c, F.lit(0.5)), 6).alias(c) for c in ("growth", "asp")],
     )
-    for name, c in ({} if small else medians).items():
-        per = per.join(exact_quantile(models, ["segment"], c, 0.5, name), "segment", "left")
     whole = models.agg(F.sum("net_rev").alias("_all"))
     return per.crossJoin(whole).withColumn("share", ratio(F.col("rev"), F.col("_all"), 100.0)).drop("_all")
 

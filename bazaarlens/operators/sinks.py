@@ -12,7 +12,7 @@ def export_csv(tables: dict[str, DataFrame], folder: str, mode: str = "errorifex
         maps = {f.name: F.to_json(f"`{f.name}`") for f in df.schema.fields if f.dataType.typeName() in ("map", "array", "struct")}
         paths[name] = f"{folder.rstrip('/')}/{name}"
         plain = df.withColumns(maps) if maps else df
-        plain.write.mode(mode).option("header", "true").csv(paths[name])
+        plain.write.mode(mode).option("header", "true").option("escape", "\"").csv(paths[name])
     return paths
 
 

@@ -59,7 +59,8 @@ SQL = {
     "distribution_shares": """SELECT month, dimension, bucket, bucket2, orders, customers,
  CAST(orders AS DOUBLE) / greatest(sum(orders) OVER w, 1) * 100 AS order_share, CAST(customers AS DOUBLE) / greatest(sum(customers) OVER w, 1) * 100 AS customer_share
  FROM fx_distribution WINDOW w AS (PARTITION BY month, dimension)""",
-    "ops_pivot": "SELECT metric, " + ", ".join(f"max(value) FILTER (month = '{m}') AS \"{m}\"" for m in reversed(MONTHS)) + " FROM fx_ops GROUP BY metric",
+    "ops_pivot": """SELECT a.metric, CAST(down AS INTEGER) AS place, b.month, c.value FROM (SELECT DISTINCT metric FROM fx_ops) a CROSS JOIN (SELECT month, row_number() OVER (ORDER BY month) - 1 AS up, row_number() OVER (ORDER BY month DESC) - 1 AS down
+ FROM (SELECT DISTINCT month FROM fx_ops)) b LEFT JOIN fx_ops c ON c.metric = a.metric AND c.month = b.month""",
     "store_daily_ratios": f"""SELECT CAST(day AS VARCHAR) AS day, store_views, visitors, followers_gained, followers_lost, store_orders, total_orders, {D('store_revenue')} AS store_revenue,
  {D('total_revenue')} AS total_revenue, {RATIO('store_revenue', 'total_revenue', ' * 100')} AS store_revenue_share,
  {RATIO('store_orders', 'total_orders', ' * 100')} AS store_order_share, {RATIO('store_customers', 'total_customers', ' * 100')} AS store_customer_share FROM fx_store""",
@@ -72,7 +73,7 @@ SQL = {
     "barcode_master": "SELECT DISTINCT barcode, model_code, category FROM fx_s",
     "lines_model_category": f"""SELECT {LINE_COLS.format(p='l.')}, coalesce(m.model_code, l.barcode) AS model, coalesce(m.category, 'Diğer') AS category,
  {D('CAST(l.net * l.commission_rate * CAST(0.01 AS DECIMAL(2,2)) AS DECIMAL(18,9))')} AS commission, l.returned
- FROM fx_order_lines l LEFT JOIN (SELECT DISTINCT barcode, model_code, category FROM fx_s) m ON l.barcode = m.barcode""",
+ FROM fx_order_lines l LEFT JOIN (SELECT DISTINCT barcode, model_code, category FROM fx_sales_all) m ON l.barcode = m.barcode""",
     "packages": f"SELECT {PACK_COLS} FROM fx_p",
     "cargo_imputed": f"SELECT package_no, {D('net')} AS net, {D('cargo_fee')} AS cargo_fee, cargo_known, {D('cargo')} AS cargo FROM fx_p",
     "lead_times": "SELECT package_no, s_to_ship, s_to_deliver, s_total, s_to_ship / 3600.0 AS h_to_ship, s_to_deliver / 86400.0 AS d_to_deliv, s_total / 86400.0 AS d_total FROM fx_p",
@@ -80,7 +81,8 @@ SQL = {
     "monthly_order_kpis": ORDER_KPI,
     "monthly_mix_shares": MIX,
     "monthly_ops_join": f"SELECT * FROM ({SALES_KPI}) LEFT JOIN ({ORDER_KPI}) USING (month) LEFT JOIN ({MIX}) USING (month) LEFT JOIN ({OPS_MONTH}) USING (month)",
-    "ops_history": "SELECT metric, " + ", ".join(f"max(value) FILTER (month = '{m}') AS \"{m}\"" for m in MONTHS) + " FROM fx_ops GROUP BY metric",
+    "ops_history": """SELECT a.metric, CAST(up AS INTEGER) AS place, b.month, c.value FROM (SELECT DISTINCT metric FROM fx_ops) a CROSS JOIN (SELECT month, row_number() OVER (ORDER BY month) - 1 AS up, row_number() OVER (ORDER BY month DESC) - 1 AS down
+ FROM (SELECT DISTINCT month FROM fx_ops)) b LEFT JOIN fx_ops c ON c.metric = a.metric AND c.month = b.month""",
     "totals": f"""SELECT {D('sum(gross_revenue)')} AS gross_rev, {D('sum(net_revenue)')} AS net_rev, CAST(sum(gross_sales_qty) AS BIGINT) AS gross_units,
  CAST(sum(net_sales_qty) AS BIGINT) AS net_units, CAST(sum(return_qty) AS BIGINT) AS ret, CAST(sum(cancel_qty) AS BIGINT) AS cancel, {D('sum(discount)')} AS disc,
  {D('sum(commission)')} AS comm, count(DISTINCT barcode) AS skus, count(DISTINCT model_code) AS models, any_value(pk) AS pk, any_value(units_o) AS units_o,

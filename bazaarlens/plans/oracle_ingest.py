@@ -49,10 +49,10 @@ SQL = {
     "order_line_rollup": f"SELECT package_no, barcode, qty, unit_price, {D('gross')} AS gross, {D('discount')} AS discount, {D('net')} AS net, {D('commission_rate')} AS commission_rate FROM fx_order_lines",
     "pseudonymise_customers": """SELECT package_no, upper(city) AS city, substr(sha256(concat('fixture-salt', CASE order_key % 3 WHEN 0 THEN lower(replace(buyer, '#', ' ')) WHEN 1 THEN lower(replace(buyer, '#', ' ')) ELSE '' END,
  '|', lower(city), '|', CASE WHEN order_key % 7 <> 0 THEN lower(district) ELSE '' END)), 1, 24) AS customer_hash FROM fx_orders""",
-    "distribution_long": "SELECT month || '-01' AS period, dimension, bucket, bucket2, orders, customers FROM fx_distribution WHERE dimension IN ('Yaş', 'Gün ve Saat', 'Adet Bazlı')",
+    "distribution_long": "SELECT month || '-01' AS period, dimension, bucket, bucket2, orders, customers FROM fx_distribution",
     "store_daily_normalise": f"""SELECT CAST(day AS VARCHAR) AS day, {D('store_views')} AS store_views, {D('followers_gained')} AS followers_gained, {D('followers_lost')} AS followers_lost, {D('visitors')} AS visitors,
  CAST(CAST(follow_rate AS DECIMAL(10,2)) AS DOUBLE) AS follow_rate, {D('store_orders')} AS store_orders, {D('store_revenue')} AS store_revenue FROM fx_store""",
-    "ops_unpivot": "SELECT month || '-01' AS period, metric, value FROM fx_ops WHERE month BETWEEN '1997-04' AND '1997-09'",
+    "ops_unpivot": "SELECT month || '-01' AS period, metric, value FROM fx_ops",
     "ad_campaigns_normalise": f"""SELECT name, status, strftime(started_on, '%Y-%m-%d 09:30:00') AS started_at, {D('total_budget')} AS total_budget, {D('CAST(spent AS DECIMAL(18,2))')} AS spent, {D('clicks')} AS clicks,
  {D('impressions')} AS impressions, {D('direct_sales')} AS direct_sales, {D('direct_revenue')} AS direct_revenue FROM fx_ads""",
     "union_keep_last": MERGED,
@@ -60,7 +60,16 @@ SQL = {
     "upsert_table": """SELECT month, barcode, CASE WHEN month BETWEEN '1997-04' AND '1997-09' AND return_qty > 0 THEN 0 ELSE net_sales_qty END AS net_sales_qty, return_qty FROM fx_sales
  UNION ALL SELECT month, 'N' || barcode, net_sales_qty, return_qty FROM fx_sales WHERE month BETWEEN '1997-04' AND '1997-09'""",
     "upload_manifest": "SELECT file_name, report_type, CAST(period AS VARCHAR) AS period, row_count, '1998-08-17 10:00:00' AS uploaded_at FROM fx_files",
-    "export_csv": f"SELECT month, barcode, net_sales_qty, {D('net_revenue')} AS net_revenue FROM fx_sales",
+    "export_csv": f"""SELECT 'products' AS table_name, count(*) AS n_rows, {D('sum(current_price)')} AS total FROM fx_products UNION ALL SELECT 'sales_monthly', count(*), {D('sum(net_revenue)')} FROM fx_sales
+ UNION ALL SELECT 'orders', count(*), {D('sum(cargo_fee)')} FROM fx_orders UNION ALL SELECT 'order_lines', count(*), {D('sum(net)')} FROM fx_order_lines UNION ALL SELECT 'distribution', count(*), {D('sum(orders)')} FROM fx_distribution
+ UNION ALL SELECT 'ops_monthly', count(*), {D('sum(round(value * 1000))')} FROM fx_ops UNION ALL SELECT 'store_daily', count(*), {D('sum(store_revenue)')} FROM fx_store UNION ALL SELECT 'ad_campaigns', count(*), {D('sum(spent)')} FROM fx_ads
+ UNION ALL SELECT 'ad_totals', count(*), {D('sum(spend)')} FROM fx_ad_totals UNION ALL SELECT 'uploads', count(*), {D('sum(row_count)')} FROM fx_files""",
+    "export_csv_sales": f"""SELECT month, barcode, net_sales_qty, {D('net_revenue')} AS net_revenue, """ + ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in ("AF", "AO", "AP", "RF", "RO", "RP")) + " FROM fx_sales",
+    "load_orders": f"""SELECT h.package_no, carrier, status, city, x.gross, x.discount, x.net, x.commission, {D('cargo_fee')} AS cargo_fee FROM (SELECT package_no,
+ {D('sum(gross * n)')} AS gross, {D('sum(discount * n)')} AS discount, {D('sum(net * n)')} AS net, {D('sum(CAST(net * commission_rate * CAST(0.01 AS DECIMAL(2,2)) AS DECIMAL(18,9)) * n)')} AS commission
+ FROM (SELECT *, CASE WHEN CAST(package_no AS BIGINT) % 50 = 1 THEN 2 ELSE 1 END AS n FROM fx_raw) GROUP BY package_no) x JOIN fx_orders h USING (package_no)""",
+    "load_ops": "SELECT month || '-01' AS period, metric, value FROM fx_ops",
+    "load_distribution": "SELECT (CAST(left(month, 4) AS INTEGER) + 20) || right(month, 3) || '-01' AS period, dimension, bucket, bucket2, orders, customers FROM fx_distribution",
     "export_results": f"SELECT month, gross_units, net_units, net_rev, ret_rate FROM ({SALES_KPI})",
     "tighten_integer_columns": "SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS qty, l_quantity AS unit_price, l_discount AS share, CAST(NULL AS DOUBLE) AS unknown FROM lineitem",
     "replace_snapshot": f"""SELECT file_name, report_type, {T('landed_at')} FROM (SELECT *, row_number() OVER (PARTITION BY report_type,

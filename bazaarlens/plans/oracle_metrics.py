@@ -174,14 +174,17 @@ SQL = {
     "model_pairs": """SELECT x.*, coalesce(ma.name, x.a) AS a_name, coalesce(mb.name, x.b) AS b_name, coalesce(ma.category, '') AS a_category, coalesce(mb.category, '') AS b_category,
  coalesce(ma.segment, '') AS a_segment, coalesce(mb.segment, '') AS b_segment, coalesce(ma.asp, 0) AS a_asp, coalesce(mb.asp, 0) AS b_asp
  FROM (SELECT * FROM fx_pairs ORDER BY n DESC, a, b LIMIT 60) x LEFT JOIN fx_models ma ON ma.model_code = x.a LEFT JOIN fx_models mb ON mb.model_code = x.b""",
-    "model_pairs_by_lift": "SELECT * FROM fx_pairs WHERE n >= 15 ORDER BY lift DESC, a, b LIMIT 30",
+    "model_pairs_by_lift": """SELECT x.*, coalesce(ma.name, x.a) AS a_name, coalesce(mb.name, x.b) AS b_name, coalesce(ma.category, '') AS a_category, coalesce(mb.category, '') AS b_category,
+ coalesce(ma.segment, '') AS a_segment, coalesce(mb.segment, '') AS b_segment, coalesce(ma.asp, 0) AS a_asp, coalesce(mb.asp, 0) AS b_asp
+ FROM (SELECT * FROM fx_pairs WHERE n >= 15 ORDER BY lift DESC, a, b LIMIT 30) x LEFT JOIN fx_models ma ON ma.model_code = x.a LEFT JOIN fx_models mb ON mb.model_code = x.b""",
+    "model_pairs_blocked": "SELECT a, b, n FROM fx_pairs",
     "category_pairs": f"""SELECT x.a, x.b, x.n, x.n / {D('sa.n')} * 100 AS conf_ab, x.n / {D('sb.n')} * 100 AS conf_ba, (x.n / t.c) / ((sa.n / t.c) * (sb.n / t.c)) AS lift
  FROM (SELECT i.item AS a, j.item AS b, count(*) AS n FROM fx_citems i JOIN fx_citems j ON i.package_no = j.package_no AND i.item < j.item GROUP BY 1, 2) x
  JOIN fx_csingle sa ON sa.item = x.a JOIN fx_csingle sb ON sb.item = x.b, (SELECT CAST(count(DISTINCT package_no) AS DOUBLE) AS c FROM fx_o) t ORDER BY n DESC, a, b LIMIT 20""",
     "category_single_counts": "SELECT item, n FROM fx_csingle",
     "multicolor": "SELECT (SELECT count(DISTINCT package_no) FROM fx_multi) AS pk_same_model_multi, (SELECT count(DISTINCT package_no) FROM fx_o) AS pk",
-    "multicolor_models": f"SELECT m.model, count(*) AS n, {RATIO('count(*)', 'any_value(s.n)', ' * 100')} AS share FROM fx_multi m JOIN fx_single s ON s.item = m.model GROUP BY m.model ORDER BY 2 DESC, 1 LIMIT 10",
-    "multiunit_models": f"SELECT model, {RATIO('sum(qty)', 'count(*)')} AS avg_qty, count(*) AS lines FROM fx_o GROUP BY model HAVING count(*) >= 100 ORDER BY 2 DESC, 1 LIMIT 10",
+    "multicolor_models": f"SELECT x.*, coalesce(n.name, x.model) AS name FROM (SELECT m.model, count(*) AS n, {RATIO('count(*)', 'any_value(s.n)', ' * 100')} AS share FROM fx_multi m JOIN fx_single s ON s.item = m.model GROUP BY m.model ORDER BY 2 DESC, 1 LIMIT 10) x LEFT JOIN fx_names n ON n.model_code = x.model",
+    "multiunit_models": f"SELECT x.*, coalesce(n.name, x.model) AS name FROM (SELECT model, {RATIO('sum(qty)', 'count(*)')} AS avg_qty, count(*) AS lines FROM fx_o GROUP BY model HAVING count(*) >= 100 ORDER BY 2 DESC, 1 LIMIT 10) x LEFT JOIN fx_names n ON n.model_code = x.model",
     "pair_advice": "SELECT a, b, n, lift, CASE WHEN lift >= 3 THEN 'Set yap' WHEN lift >= 1.2 THEN 'Çapraz öner' ELSE 'Hacimden kaynaklı: öneri yeterli' END AS advice FROM fx_pairs",
     "fulfilment_summary": f"""SELECT round(quantile_cont(s_to_ship, 0.5) / 3600.0, 6) AS h_ship_med, round(quantile_cont(s_to_ship, 0.9) / 3600.0, 6) AS h_ship_p90, round(quantile_cont(s_to_deliver, 0.5) / 86400.0, 6) AS d_deliv_med,
  round(quantile_cont(s_total, 0.5) / 86400.0, 6) AS d_total_med, round(quantile_cont(s_total, 0.9) / 86400.0, 6) AS d_total_p90, {RATIO('count(*) FILTER (s_to_ship < 86400)', 'count(s_to_ship)', ' * 100')} AS same_day FROM fx_p""",

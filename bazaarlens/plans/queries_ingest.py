@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from bazaarlens.functions.parsing import locale_number, month_header, report_day, report_timestamp
 from bazaarlens.operators import core, ingest, kpis, sinks
 from bazaarlens.schemas import KEYS
 from bazaarlens.session import scratch_path
-from bazaarlens.sources import catalog, raw_fixtures as raw
+from bazaarlens.sources import catalog, raw_fixtures as raw, reports
 from bazaarlens.sources.fixtures import REASON_CODES, Fixture
 
 SALT = "fixture-salt"
@@ -23,8 +25,17 @@ def header_batches(fx: Fixture) -> tuple[DataFrame, DataFrame]:
 
 
 def keep_last(fx: Fixture) -> DataFrame:
+    """Two files; the second has every package twice, the right row last."""
     first, second = header_batches(fx)
-    return ingest.union_keep_last([("agustos.xlsx", first), ("eylul.xlsx", second)], KEYS["orders"])
+    twice = second.withColumns({"status": F.lit("ara"), "row_no": F.lit(1)}).unionByName(second.withColumn("row_no", F.lit(2)))
+    return ingest.union_keep_last([("agustos.xlsx", first), ("eylul.xlsx", twice)], KEYS["orders"]).drop("row_no")
+
+
+def upserted(fx: Fixture) -> DataFrame:
+    """A batch with every package twice, the right row marked."""
+    first, second = header_batches(fx)
+    twice = second.withColumns({"status": F.lit("ara"), "row_no": F.lit(1)}).unionByName(second.withColumn("row_no", F.lit(2)))
+    return ingest.upsert(first, twice, KEYS["orders"], [F.desc("row_no")])
 
 
 def tightened(fx: Fixture) -> DataFrame:
@@ -47,11 +58,36 @@ def validation(fx: Fixture) -> DataFrame:
 
 
 def exported_csv(fx: Fixture) -> DataFrame:
-    table = fx.sales_monthly.select("month", "barcode", "net_sales_qty", F.col("net_revenue").cast("decimal(18,7)").alias("net_revenue"), "reasons")
-    folder = scratch_path(fx.spark, "csv")
-    paths = sinks.export_csv({"sales_monthly": table}, folder)
-    return fx.spark.read.schema("month string, barcode string, net_sales_qty bigint, net_revenue decimal(18,7), reasons string").option(
-        "header", "true").csv(paths["sales_monthly"]).select("month", "barcode", "net_sales_qty", "net_revenue")
+    """All ten tables as CSV and back: rows per table, and the sum of a measure; the sales with their reasons are compared in full by `export_csv_sales`."""
+    tables = fixture_tables(fx)
+    paths = sinks.export_csv(tables, scratch_path(fx.spark, "csv"))
+    counted = []
+    for name, path in paths.items():
+        text = ", ".join(f"`{c}` string" for c in tables[name].columns)
+        back = fx.spark.read.schema(text).option("header", "true").option("escape", '"').csv(path)
+        counted.append(back.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.sum(F.col(EXPORT_SUMS[name]).cast("decimal(30,7)")).alias("total")))
+    return reduce(DataFrame.unionByName, counted)
+
+
+EXPORT_SUMS = {"products": "current_price", "sales_monthly": "net_revenue", "orders": "cargo_fee", "order_lines": "net", "distribution": "orders", "ops_monthly": "value_scaled",
+               "store_daily": "store_revenue", "ad_campaigns": "spent", "ad_totals": "spend", "uploads": "row_count"}
+
+
+def fixture_tables(fx: Fixture) -> dict[str, DataFrame]:
+    return {
+        "products": fx.products.select("barcode", "model_code", "name", "category", "current_price"),
+        "sales_monthly": fx.sales_monthly.select("month", "barcode", "net_sales_qty", F.col("net_revenue").cast("decimal(18,7)").alias("net_revenue"), "reasons"),
+        "orders": fx.orders.drop("order_key"), "order_lines": fx.order_lines.drop("returned"), "distribution": fx.distribution,
+        "ops_monthly": fx.ops.withColumn("value_scaled", F.round(F.col("value") * 1000).cast("bigint")), "store_daily": fx.store_daily,
+        "ad_campaigns": fx.ad_campaigns, "ad_totals": fx.ad_totals, "uploads": raw.uploads(fx),
+    }
+
+
+def exported_sales(fx: Fixture) -> DataFrame:
+    """The sales table as CSV and back, the reasons as JSON text."""
+    path = sinks.export_csv({"sales_monthly": fixture_tables(fx)["sales_monthly"]}, scratch_path(fx.spark, "csv"))["sales_monthly"]
+    back = fx.spark.read.schema("month string, barcode string, net_sales_qty bigint, net_revenue decimal(18,7), reasons string").option("header", "true").option("escape", '"').csv(path)
+    return core.reasons_wide(back, REASON_CODES)
 
 
 def exported_results(fx: Fixture) -> DataFrame:
@@ -68,11 +104,40 @@ def upserted_table(fx: Fixture) -> DataFrame:
     table.write.partitionBy("month").parquet(path)
     window = table.where(F.col("month").isin(*fx.params.months))
     batch = window.where(F.col("return_qty") > 0).withColumn("net_sales_qty", F.lit(0).cast("bigint"))
+    batch = batch.unionByName(batch.withColumn("net_sales_qty", F.lit(-1).cast("bigint")))  # repeated keys: the greater row counts
     batch = batch.unionByName(window.select("month", F.concat(F.lit("N"), "barcode").alias("barcode"), "net_sales_qty", "return_qty"))
     ingest.upsert_table(path, batch, ["month", "barcode"], ["month"])
     return fx.spark.read.schema(batch.schema).parquet(path).select("month", "barcode", "net_sales_qty", "return_qty")
 
 
+def landed(fx: Fixture, name: str) -> str:
+    return scratch_path(fx.spark, f"landing-{name}")
+
+
+def loaded_orders(fx: Fixture) -> DataFrame:
+    """Order exports written from the test tables, a file per month, and loaded."""
+    folder = landed(fx, "orders")
+    raw.land(raw.order_export(fx), folder, ["Paket No", "Stok Kodu"])
+    orders = reports.load_reports(fx.spark, folder, SALT, "Pazar")["orders"]
+    return orders.select("package_no", "carrier", "status", "city", "gross", "discount", "net", "commission", "cargo_fee")
+
+
+def loaded_ops(fx: Fixture) -> DataFrame:
+    """Two operations files with different months, loaded."""
+    folder = landed(fx, "ops")
+    for k, part in enumerate(raw.ops_export(fx)):
+        raw.land(part, f"{folder}/{k}", ["Kalite Metriklerim"])
+    return reports.load_reports(fx.spark, folder, None, "Pazar")["ops_monthly"].select("period", "metric", "value")
+
+
+def loaded_distribution(fx: Fixture) -> DataFrame:
+    """Distribution sheets with share columns and repeated rows, loaded."""
+    folder = landed(fx, "distribution")
+    for k, part in enumerate(raw.distribution_export(fx)):
+        raw.land(part, f"{folder}/{k}", ["dimension", "row_no"])
+    return reports.load_reports(fx.spark, folder, None, "Pazar")["distribution"].select("period", "dimension", "bucket", "bucket2", "orders", "customers")
+
+
 QUERIES = {
     "report_file_catalog": lambda fx: raw.file_list(fx).select("file_name", "report_type", "period"),
     "parse_locale_numbers": lambda fx: raw.number_texts(fx).select(
@@ -93,10 +158,14 @@ QUERIES = {
     "ops_unpivot": lambda fx: ingest.ops_unpivot(raw.raw_ops(fx)),
     "ad_campaigns_normalise": lambda fx: ingest.ad_campaigns_normalise(raw.raw_ads(fx), raw.AD_HEADERS),
     "union_keep_last": keep_last,
-    "upsert": lambda fx: ingest.upsert(*header_batches(fx), KEYS["orders"]),
+    "upsert": upserted,
     "upsert_table": upserted_table,
     "upload_manifest": lambda fx: catalog.upload_manifest(raw.file_rows(fx), F.lit("1998-08-17 10:00:00").cast("timestamp_ntz")),
     "export_csv": exported_csv,
+    "export_csv_sales": exported_sales,
+    "load_orders": loaded_orders,
+    "load_ops": loaded_ops,
+    "load_distribution": loaded_distribution,
     "export_results": exported_results,
     "tighten_integer_columns": tightened,
     "replace_snapshot": lambda fx: catalog.active_files(raw.file_list(fx)).select("file_name", "report_type", "landed_at"),

@@ -73,12 +73,14 @@ QUERIES = {
     "net_histogram": lambda fx: baskets.net_histogram(fx.packages_lite),
     "basket_size_dists": lambda fx: baskets.basket_size_dists(fx.packages, fx.order_lines),
     "model_pairs": lambda fx: baskets.describe_pairs(baskets.top_pairs(baskets.model_pairs(fx.lines)), fx.models),
-    "model_pairs_by_lift": lambda fx: baskets.top_pairs_by_lift(baskets.model_pairs(fx.lines)),
+    "model_pairs_by_lift": lambda fx: baskets.describe_pairs(baskets.top_pairs_by_lift(baskets.model_pairs(fx.lines)), fx.models),
+    # every package of more than two models crosses the block
+    "model_pairs_blocked": lambda fx: baskets.pair_counts(baskets.saved_items(fx.lines, "model"), 12, block=2),
     "category_pairs": lambda fx: baskets.category_pairs(fx.lines),
     "category_single_counts": lambda fx: baskets.single_counts(baskets.item_packages(fx.lines, "category")),
     "multicolor": lambda fx: baskets.multicolor_packages(fx.lines),
-    "multicolor_models": lambda fx: baskets.multicolor_models(fx.lines),
-    "multiunit_models": lambda fx: baskets.multiunit_models(fx.lines),
+    "multicolor_models": lambda fx: baskets.with_names(baskets.multicolor_models(fx.lines), products.model_names(fx.sales, colours=NAME_COLOURS)),
+    "multiunit_models": lambda fx: baskets.with_names(baskets.multiunit_models(fx.lines), products.model_names(fx.sales, colours=NAME_COLOURS)),
     "pair_advice": lambda fx: baskets.pair_advice(baskets.model_pairs(fx.lines)).select("a", "b", "n", "lift", "advice"),
     # fulfilment
     "fulfilment_summary": lambda fx: fulfilment.fulfilment_summary(fx.packages_lite),

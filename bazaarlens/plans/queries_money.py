@@ -17,7 +17,7 @@ AVERAGED = ["store_views", "visitors", "followers_gained", "followers_lost", "fo
 
 
 def packs(fx: Fixture):
-    return fx.window_packages_lite
+    return fx.packs_table
 
 
 def totals(fx: Fixture):
@@ -25,7 +25,7 @@ def totals(fx: Fixture):
 
 
 def rates(fx: Fixture):
-    return margin.base_rates(totals(fx), fx.ad_totals, fx.sales)
+    return fx.written("rates", lambda: margin.base_rates(totals(fx), fx.ad_totals, fx.sales_table))
 
 
 def one(fx: Fixture):
@@ -41,13 +41,13 @@ def default_margin(fx: Fixture):
 
 
 def monthly_margin(fx: Fixture):
-    full = fx.window_packages_lite.where(F.col("month").isin(*fx.params.months[: fx.params.full_months]))
+    full = packs(fx).where(F.col("month").isin(*fx.params.months[: fx.params.full_months]))
     return margin.contribution_margin(kpis.package_totals(full, ("month",)), rates(fx), one(fx), ("month",))
 
 
 def category_inputs(fx: Fixture):
-    lines, packages = fx.window_lines, fx.window_packages
-    summary = category.category_summary(core.category_month(fx.sales)).select("category", "net_rev", F.col("comm_rate").alias("comm_pct"))
+    lines, packages = fx.lines_table, core.lead_times(core.impute_cargo(core.packages(fx.lines_table, fx.window_headers)))
+    summary = category.category_summary(core.category_month(fx.sales_table)).select("category", "net_rev", F.col("comm_rate").alias("comm_pct"))
     basket = category.category_basket(lines, packages, fx.products).select("category", "aov_with")
     cargo = products.category_cargo_share(lines, packages).select("category", "cargo_pct")
     return summary.join(basket, "category", "left").join(cargo, "category", "left")
@@ -67,7 +67,7 @@ def covered(fx: Fixture):
 
 
 def cells(fx: Fixture):
-    return coverage.coverage_cells(covered(fx), TODAY)
+    return coverage.coverage_cells(fx.written("coverage", lambda: covered(fx)), TODAY)
 
 
 QUERIES = {

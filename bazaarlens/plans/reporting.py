@@ -12,15 +12,21 @@ from bazaarlens.operators import (
 )
 from bazaarlens.params import RETURNED_STATUS, Params, scenario_grid
 from bazaarlens.session import materialise
+from bazaarlens.sources.tables import MONTH
+
+
+def in_folders(table: DataFrame, params: Params) -> DataFrame:
+    """Only the month folders of the window, where the table is stored by month."""
+    return table.where(F.col(MONTH).isin(*params.months)).drop(MONTH) if MONTH in table.columns else table
 
 
 def shared_relations(tables: dict[str, DataFrame], params: Params) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Sales, lines and packages of the reporting window, each written once (the package roll-up feeds most blocks)."""
-    fact = tables["sales_monthly"].where(in_months("period", params.months)).withColumn("month", month_of(F.col("period")))
+    fact = in_folders(tables["sales_monthly"], params).where(in_months("period", params.months)).withColumn("month", month_of(F.col("period")))
     if dict(fact.dtypes)["reasons"] == "string":
         fact = fact.withColumn("reasons", F.from_json("reasons", "map<string,int>"))
     sales = materialise(core.sales_enriched(fact, tables["products"]), "sales")
-    headers = tables["orders"].where(in_months("order_at", params.months))
+    headers = in_folders(tables["orders"], params).where(in_months("order_at", params.months))
     returned = headers.select("package_no", (F.col("status") == RETURNED_STATUS).alias("returned"))
     own = tables["order_lines"].join(returned, "package_no")
     lines = materialise(core.lines_with_product(own, core.barcode_master(sales)), "lines")
@@ -28,18 +34,20 @@ def shared_relations(tables: dict[str, DataFrame], params: Params) -> tuple[Data
     return sales, lines, packs
 
 
-def result_blocks(tables: dict[str, DataFrame], params: Params = Params(), marketplace: str = "", today: dt.date | None = None) -> dict[str, DataFrame]:
-    """Every block the given tables allow, by name."""
+def result_blocks(tables: dict[str, DataFrame], params: Params = Params(), marketplace: str = "", today: dt.date | None = None,
+                  names: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every block the given tables allow, by name. `names` (code, name) overrides the display names of models."""
     sales, lines, packs = shared_relations(tables, params)
-    blocks = order_blocks(sales, lines, packs, params)
+    blocks = order_blocks(sales, lines, packs, params, names)
     if "distribution" in tables:
         blocks |= distribution_blocks(tables["distribution"], params, marketplace)
     if "ops_monthly" in tables:
-        ops = with_month(tables["ops_monthly"], params)
-        blocks["operations"] = core.ops_pivot(ops, params.months, newest_first=False)
+        blocks["operations"] = core.ops_pivot(with_month(tables["ops_monthly"]), newest_first=False)
     if "store_daily" in tables:
         blocks |= store_blocks(tables["store_daily"])
     if "ad_campaigns" in tables:
+        if "uploads" in tables:
+            blocks["last_loads"] = coverage.last_loads(tables["uploads"], tables["ad_campaigns"])
         blocks["campaigns"] = ads.ad_campaign_metrics(core.ad_campaigns_derived(tables["ad_campaigns"]))
     if "ad_totals" in tables:
         blocks |= money_blocks(tables, sales, packs, blocks, params)
@@ -105,9 +113,9 @@ def coverage_blocks(tables: dict[str, DataFrame], today: dt.date) -> dict[str, D
     return {"coverage": found, "coverage_months": coverage.coverage_month_score(cells), "coverage_years": coverage.coverage_year_summary(cells)}
 
 
-def order_blocks(sales: DataFrame, lines: DataFrame, packs: DataFrame, params: Params) -> dict[str, DataFrame]:
+def order_blocks(sales: DataFrame, lines: DataFrame, packs: DataFrame, params: Params, names: DataFrame | None = None) -> dict[str, DataFrame]:
     """Blocks from sales, lines and packages."""
-    models = products.model_table(products.model_facts(sales, lines, packs, params), params)
+    models = materialise(products.model_table(products.model_facts(sales, lines, packs, params, names), params), "models")
     pairs = materialise(baskets.model_pairs(lines), "pairs")
     cust = materialise(customers.customers(packs), "customers")
     gaps = customers.repurchase_gaps(packs)
@@ -129,6 +137,8 @@ def order_blocks(sales: DataFrame, lines: DataFrame, packs: DataFrame, params: P
         "stock": inventory.oos_summary(sales, snap, days),
         "sku_presence": inventory.sku_presence(sales, params.months),
         "low_cover": inventory.low_cover_list(sales, snap, days),
+        "lost_revenue": inventory.lost_revenue(sales, snap, days),
+        "run_rate": kpis.run_rate(sales, snap, days),
         "lost_items": inventory.lost_items(sales, snap, days),
         "repeat": customers.repeat_summary(cust),
         "order_counts": customers.order_count_histogram(cust),
@@ -145,11 +155,12 @@ def order_blocks(sales: DataFrame, lines: DataFrame, packs: DataFrame, params: P
         "net_histogram": baskets.net_histogram(packs),
         "basket_sizes": baskets.basket_size_dists(packs, lines),
         "pairs": baskets.pair_advice(baskets.describe_pairs(baskets.top_pairs(pairs), models)),
-        "pairs_by_lift": baskets.top_pairs_by_lift(pairs),
+        "pairs_by_lift": baskets.describe_pairs(baskets.top_pairs_by_lift(pairs), models),
         "category_pairs": baskets.category_pairs(lines),
+        "category_counts": baskets.single_counts(baskets.item_packages(lines, "category")),
         "multicolor": baskets.multicolor_packages(lines),
-        "multicolor_models": baskets.multicolor_models(lines),
-        "multiunit_models": baskets.multiunit_models(lines),
+        "multicolor_models": baskets.with_names(baskets.multicolor_models(lines), models),
+        "multiunit_models": baskets.with_names(baskets.multiunit_models(lines), models),
         "fulfilment": fulfilment.fulfilment_summary(packs),
         "carriers": fulfilment.carrier_scorecard(packs),
         "returns_by_delivery_time": fulfilment.returns_by_delivery_time(packs),

@@ -2,22 +2,23 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-MONEY = "decimal(18,4)"
+MONEY = "decimal(18,7)"
 
 TABLES = {
     "products": f"barcode string, model_code string, name string, category string, brand string, color string, "
-                f"size string, current_price {MONEY}, current_stock int, updated_at timestamp_ntz",
+                f"size string, current_price {MONEY}, current_stock int",
     "sales_monthly": f"period date, barcode string, gross_order_qty int, gross_sales_qty int, cancel_qty int, "
                      f"return_qty int, net_sales_qty int, gross_revenue {MONEY}, discount {MONEY}, net_revenue {MONEY}, "
-                     f"commission {MONEY}, commission_rate {MONEY}, avg_price {MONEY}, stock int, reasons map<string,int>",
+                     f"commission {MONEY}, commission_rate {MONEY}, avg_price {MONEY}, stock int, reasons string",
     "orders": f"package_no string, order_no string, order_at timestamp_ntz, deadline_at timestamp_ntz, "
               f"shipped_at timestamp_ntz, delivered_at timestamp_ntz, carrier string, status string, city string, "
-              f"district string, customer_hash string, customer_nth string, age_band string, gender string, gross {MONEY}, "
-              f"discount {MONEY}, ty_discount {MONEY}, net {MONEY}, cargo_fee {MONEY}, desi {MONEY}, commission {MONEY}, "
+              f"district string, customer string, customer_nth string, age_band string, gender string, gross {MONEY}, "
+              f"discount {MONEY}, ty_discount {MONEY}, net {MONEY}, cargo_fee {MONEY}, desi {MONEY}, commission decimal(18,9), "
               f"fast_delivery string",
-    "order_lines": f"package_no string, barcode string, qty int, unit_price {MONEY}, gross {MONEY}, discount {MONEY}, "
+    "order_lines": f"package_no string, barcode string, qty bigint, unit_price {MONEY}, gross {MONEY}, discount {MONEY}, "
                    f"ty_discount {MONEY}, net {MONEY}, commission_rate {MONEY}",
     "distribution": "period date, dimension string, bucket string, bucket2 string, orders int, customers int",
     "store_daily": "day date, store_views double, followers_total double, followers_gained double, followers_lost double, "
@@ -55,3 +56,9 @@ STORE_MEASURES = [field.split()[0] for field in TABLES["store_daily"].split(",")
 def table_schema(name: str) -> StructType:
     """Spark schema of a table; needs a running session."""
     return StructType.fromDDL(TABLES[name])
+
+
+def conform(df: DataFrame, name: str) -> DataFrame:
+    """`df` with exactly the declared columns and types of table `name`; columns it lacks are null."""
+    have = set(df.columns)
+    return df.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in table_schema(name).fields])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -37,14 +39,24 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for cut lineage: the cluster's own setting, or in local mode a temporary one."""
+    """The shared folder for cut lineage: the setting spark.checkpoint.dir.
+
+    Only a single local process (master local[...], as in tests), where it is
+    unset, makes a folder of its own, and removes it when it ends.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="bazaarlens-"))
-    return spark.sparkContext.getCheckpointDir()
+    if master not in _own:
+        _own[master] = tempfile.mkdtemp(prefix="bazaarlens-")
+        atexit.register(shutil.rmtree, _own[master], ignore_errors=True)
+    return _own[master]
+
+
+_own: dict[str, str] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -56,10 +56,17 @@ def report_file_catalog(files: DataFrame, path_column: str = "file_name", defaul
     )
 
 
+def logical_file(path: Column) -> Column:
+    """The report file a physical file belongs to: itself, or the folder that an engine wrote part files into."""
+    plain = F.regexp_replace(F.url_decode(path), "^([a-z0-9]+):/+", "$1:/")
+    return F.regexp_replace(plain, "/part-[^/]*$", "")
+
+
 def landed_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Names, times and sizes of the files in a folder, listed without reading them."""
+    """Names, times and sizes of the report files in a folder, listed without reading them."""
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    return listed.select(F.col("path").alias("file_name"), F.col("modificationTime").alias("landed_at"), F.col("length").alias("bytes"))
+    parts = listed.select(logical_file(F.col("path")).alias("file_name"), "modificationTime", "length")
+    return parts.groupBy("file_name").agg(F.max("modificationTime").alias("landed_at"), F.sum("length").alias("bytes"))
 
 
 def upload_manifest(rows: DataFrame, uploaded_at: Column, path_column: str = "file_name") -> DataFrame:

@@ -21,6 +21,7 @@ WINDOW = Params(
     rising_min_revenue=150.0,
     mover_min_revenue=1000.0,
 )
+# fixed values: reason codes of the views, and labels of the distribution and operations reports
 REASON_CODES = ("AF", "AO", "AP", "RF", "RO", "RP")
 NAME_COLOURS = ("red", "blue", "green", "small", "large", "black", "white")  # leading words of the part names
 NEW, EXISTING = "Yeni Müşteri", "Mevcut Müşteri"
@@ -278,6 +279,21 @@ class Fixture:
     def window_packages(self) -> DataFrame:
         return core.lead_times(core.impute_cargo(core.packages(self.window_lines, self.window_headers)))
 
+    def written(self, name: str, build) -> DataFrame:
+        """A relation that several branches of one result read, written once per result."""
+        if name not in self._written:
+            self._written[name] = materialise(build(), name)
+        return self._written[name]
+
+    @cached_property
+    def _written(self) -> dict[str, DataFrame]:
+        return {}
+
+    @property
+    def packs_table(self) -> DataFrame:
+        """The window's packages as a written table."""
+        return self.written("packs", lambda: self.window_packages_lite)
+
     @cached_property
     def sales_table(self) -> DataFrame:
         """The window's sales as a written table, as an ingested store would hold it; many results read it."""

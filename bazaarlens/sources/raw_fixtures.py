@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarlens.functions.parsing import MONTH_SHORT
 from bazaarlens.operators.core import ops_pivot
 from bazaarlens.sources.catalog import report_file_catalog
-from bazaarlens.sources.fixtures import Fixture
+from bazaarlens.sources.fixtures import DIM_AGE, DIM_AMOUNT, DIM_GENDER, DIM_HOUR, DIM_NEW, DIM_PLUS, DIM_QTY, Fixture
 
 FILE_MONTHS = ("Ocak", "Şubat", "Mart", "Nisan", "may_s", "Haziran", "Temmuz", "Ağustos", "eyl_l", "Ekim", "Kasım", "Aralık")
 FILE_KINDS = ("tum-siparisler", "Satış-Raporu", "sat__-raporu", "siparis-dagilim-raporu", "Mağaza-Raporu", "operasyon-raporu",
@@ -94,16 +96,69 @@ def raw_buyers(fx: Fixture) -> DataFrame:
 
 
 def raw_sheets(fx: Fixture) -> dict[str, DataFrame]:
-    """Distribution sheets, one frame per dimension; the age sheet arrives twice."""
+    """All distribution sheets, one frame per dimension with its rows numbered; each row comes a second time further down, with other counts."""
     dist = fx.distribution.withColumn("period", F.to_date(F.concat("month", F.lit("-01"))))
     share = F.lit(0.0)
 
     def sheet(dimension: str, *first: str) -> DataFrame:
         rows = dist.where(F.col("dimension") == dimension)
-        return rows.select(*first, "orders", share.alias("order_share"), "customers", share.alias("customer_share"), "period")
+        once = rows.select(*first, "orders", share.alias("order_share"), "customers", share.alias("customer_share"), "period", F.lit(1).alias("row_no"))
+        return once.unionByName(once.withColumns({"orders": F.col("orders") + 7, "customers": F.col("customers") + 5, "row_no": F.lit(2)}))
+
+    return {d: sheet(d, "bucket", *(["bucket2"] if d == DIM_HOUR else [])) for d in (DIM_AGE, DIM_GENDER, DIM_HOUR, DIM_QTY, DIM_AMOUNT, DIM_NEW, DIM_PLUS)}
+
+
+def order_export(fx: Fixture) -> DataFrame:
+    """The order export under its own headers, with personal columns, a file per month.
+
+    Rows of every fiftieth package come twice, equal; those of the next come twice with another invoice number.
+    """
+    head = fx.orders.select("package_no", "order_key", "order_no", "order_at", "shipped_at", "carrier", "status", "city", "district", "customer", "cargo_fee")
+    rows = fx.raw_lines.join(head, "package_no").withColumn("invoice", F.concat(F.lit("F"), "package_no"))
+    again = rows.where(F.col("order_key") % 50 < 2).withColumn("invoice", F.when(F.col("order_key") % 50 == 1, F.concat("invoice", F.lit("-2"))).otherwise(F.col("invoice")))
+    month = pick(FILE_MONTHS, F.month("order_at") - 1)
+
+    def when(c: str) -> Column:
+        return F.date_format(c, "dd.MM.yyyy HH:mm")
+
+    return rows.unionByName(again).select(
+        F.col("package_no").alias("Paket No"), F.col("order_no").alias("Sipariş Numarası"), when("order_at").alias("Sipariş Tarihi"), when("shipped_at").alias("Kargoya Teslim Tarihi"),
+        F.col("carrier").alias("Kargo Firması"), F.col("status").alias("Sipariş Statüsü"), F.concat(F.lit("Ad  "), "customer").alias("Alıcı"), F.col("city").alias("İl"),
+        F.col("district").alias("İlçe"), F.col("invoice").alias("Fatura No"), F.col("line_no").cast("string").alias("Stok Kodu"), F.col("barcode").alias("Barkod"), F.col("qty").cast("string").alias("Adet"),
+        comma(F.col("gross")).alias("Satış Tutarı"), comma(F.col("discount")).alias("İndirim Tutarı"), comma(F.col("net")).alias("Faturalanacak Tutar"),
+        comma(F.col("commission_rate")).alias("Komisyon Oranı"), comma(F.col("cargo_fee")).alias("Faturalanan Kargo Tutarı"),
+        F.concat(F.lit("rapor-"), month, F.lit("-"), F.year("order_at").cast("string"), F.lit("-tum-siparisler")).alias("file"),
+    )
+
+
+def distribution_export(fx: Fixture) -> tuple[DataFrame, DataFrame]:
+    """Distribution sheets under their own headers with share columns, those of one bucket and those of two, a file per month; each row comes again with other counts."""
+    def under_headers(rows: DataFrame, dimension: str, first: list[str]) -> DataFrame:
+        month = pick(FILE_MONTHS, F.month("period") - 1)
+        return rows.select(
+            F.lit(dimension).alias("dimension"), *[F.col(c).alias(f"Kova {c}") for c in first], F.col("orders").cast("string").alias("Sipariş Adedi"), F.lit("40").alias("Sipariş Payı"),
+            F.col("customers").cast("string").alias("Müşteri Adedi"), F.lit("30").alias("Müşteri Payı"),
+            F.concat(F.lit("rapor-"), month, F.lit("-"), (F.year("period") + 20).cast("string"), F.lit("-siparis-dagilim")).alias("file"), "row_no")
+
+    sheets = raw_sheets(fx)
+    one = reduce(DataFrame.unionByName, [under_headers(rows, d, ["bucket"]) for d, rows in sheets.items() if d != DIM_HOUR])
+    return one, under_headers(sheets[DIM_HOUR], DIM_HOUR, ["bucket", "bucket2"])
+
+
+def ops_export(fx: Fixture) -> tuple[DataFrame, DataFrame]:
+    """Two operations reports: the first half of the months and one more, spoilt there, and from that month on."""
+    wide = raw_ops(fx)
+    metric, note, *months = wide.columns
+    half = len(months) // 2
+    early = wide.select(metric, note, *[F.col(f"`{m}`") for m in months[:half]], *[F.lit("9").alias(m) for m in months[half : half + 1]], F.lit("operasyon-raporu-1").alias("file"))
+    late = wide.select(metric, note, *[F.col(f"`{m}`") for m in months[half:]], F.lit("operasyon-raporu-2").alias("file"))
+    return early, late
+
 
-    age = sheet("Yaş", "bucket")
-    return {"Yaş": age.unionByName(age), "Gün ve Saat": sheet("Gün ve Saat", "bucket", "bucket2"), "Adet Bazlı": sheet("Adet Bazlı", "bucket")}
+def land(df: DataFrame, folder: str, order: list[str]) -> None:
+    """One CSV folder per value of `file`, its rows in order; `row_no` orders and isn't written."""
+    dealt = df.repartition("file").sortWithinPartitions("file", *order).drop("row_no")
+    dealt.write.option("header", "true").option("emptyValue", "").partitionBy("file").csv(folder)
 
 
 STORE_HEADERS = {
@@ -132,8 +187,8 @@ def raw_store(fx: Fixture) -> DataFrame:
 
 
 def raw_ops(fx: Fixture) -> DataFrame:
-    wide = ops_pivot(fx.ops, fx.params.months)
-    headers = {m: f"{MONTH_SHORT[int(m[5:]) - 1]} {m[:4]}" for m in fx.params.months}
+    wide = ops_pivot(fx.ops)
+    headers = {m: f"{MONTH_SHORT[int(m[5:]) - 1]} {m[:4]}" for m in wide.columns if m != "metric"}
     return wide.select(F.col("metric").alias("Kalite Metriklerim"), F.lit(None).cast("string").alias("Bu yılki performans"),
                        *[F.col(f"`{m}`").cast("string").alias(h) for m, h in headers.items()])
 

@@ -6,12 +6,19 @@ parsed by column expressions; nothing is inferred.
 
 from __future__ import annotations
 
+import datetime as dt
+from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bazaarlens.functions.parsing import locale_number, report_timestamp
 from bazaarlens.operators import core, ingest
-from bazaarlens.schemas import KEYS
-from bazaarlens.sources.catalog import landed_files, normal_name, report_file_catalog, report_period
+from bazaarlens.schemas import KEYS, conform
+from bazaarlens.session import materialise
+from bazaarlens.sources.catalog import active_files, landed_files, logical_file, report_file_catalog
+from bazaarlens.sources.tables import upsert_tables
 
 # --- fixed values: headers of the exports and the names of our columns ---
 SALES_TEXT = {"Barkod": "barcode", "Model Kodu": "model_code", "Ürün Adı": "name", "Kategori": "category", "Marka": "brand",
@@ -44,22 +51,33 @@ ADS = {"Reklam Adı": "name", "Reklam Statüsü": "status", "Başlangıç Tarihi
 # --- end of fixed values ---
 
 MONEY = "decimal(18,7)"
+FILE, ROW, PERIOD = "file_name", "row_no", "period"
+OWN = (FILE, ROW, PERIOD)
+# what a file must have to be taken: its required headers
+REQUIRED = {"sales": ["Barkod", "Brüt Sipariş Adedi"], "orders": ["Paket No", "Alıcı", "İl", "İlçe", "Barkod", "Adet"], "distribution": ["dimension", *DISTRIBUTION_COUNTS],
+            "store": ["Tarih"], "ops": ["Kalite Metriklerim"], "ads": ["Reklam Adı"]}
+
+
+def headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """Column names of each file, from its first line or footer; a listing, one short entry per file."""
+    def of(path: str) -> list[str]:
+        return (spark.read.parquet(path) if path.endswith(".parquet") else spark.read.option("header", "true").option("escape", '"').csv(path)).columns
+
+    with ThreadPoolExecutor(8) as pool:
+        return dict(zip(paths, pool.map(of, paths), strict=True))
 
 
-def read_export(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """All files of one report as text rows, with the path of the file each row came from.
+def read_export(spark: SparkSession, paths: list[str], header: list[str]) -> DataFrame:
+    """Files of one report with the same header as text rows, with the file each row came from and its place in it.
 
-    Files of one report must agree on their header; a file that does not raises an error.
+    A CSV export is read whole by one task: its cells may hold line breaks, and the
+    order of its rows decides which one counts. Exports are a file per seller and month.
     """
     if paths[0].endswith(".parquet"):
         raw = spark.read.parquet(*paths)
-        return raw.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in raw.columns], F.col("_metadata.file_path").alias("file_name"))
-    raw = spark.read.option("header", "true").option("enforceSchema", "false").option("multiLine", "true").option("escape", '"').csv(paths)
-    return raw.select("*", F.col("_metadata.file_path").alias("file_name"))
-
-
-def period_column(default_year: int) -> Column:
-    return report_period(normal_name(F.url_decode("file_name")), default_year)
+    else:
+        raw = spark.read.schema(", ".join(f"`{c}` string" for c in header)).option("header", "true").option("enforceSchema", "false").option("multiLine", "true").option("escape", '"').csv(paths)
+    return raw.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in header], logical_file(F.col("_metadata.file_path")).alias(FILE), F.monotonically_increasing_id().alias(ROW))
 
 
 def _text(raw: DataFrame, names: dict[str, str]) -> list[Column]:
@@ -74,79 +92,163 @@ def _numbers(raw: DataFrame, names: dict[str, str], kind: str | None = None) ->
     return out
 
 
-def parse_sales(raw: DataFrame, default_year: int) -> dict[str, DataFrame]:
-    """Products (latest period wins) and the monthly fact with packed reasons; reason columns go by position."""
-    reasons = [c for c in raw.columns if c != "file_name"][REASON_POSITIONS]
+def sales_rows(raw: DataFrame) -> DataFrame:
+    """Sales rows typed and named, with the reasons (columns that go by position) as JSON text of the non-zero ones."""
+    reasons = [c for c in raw.columns if c not in OWN][REASON_POSITIONS]
     counts = [F.coalesce(locale_number(F.col(f"`{r}`")).cast("int"), F.lit(0)).alias(r) for r in reasons]
-    rows = raw.select(period_column(default_year).alias("period"), "file_name", *_text(raw, SALES_TEXT), *_numbers(raw, SALES_NUMBERS), *counts)
+    rows = raw.select(*OWN, *_text(raw, SALES_TEXT), *_numbers(raw, SALES_NUMBERS), *counts)
     money = {c: F.col(c).cast(MONEY) for c in ("current_price", "gross_revenue", "discount", "net_revenue", "commission")}
     whole = {c: F.col(c).cast("int") for c in ("stock", "gross_order_qty", "gross_sales_qty", "cancel_qty", "return_qty", "net_sales_qty")}
-    rows = rows.withColumns({**money, **whole})
+    kept = [c for c in (*OWN, *SALES_TEXT.values(), *SALES_NUMBERS.values()) if c not in ("period", "barcode")]
+    return ingest.sales_monthly_fact(rows.withColumns({**money, **whole}), kept, tuple(reasons))
+
+
+def parse_sales(rows: DataFrame) -> dict[str, DataFrame]:
+    """Products (latest period wins) and the monthly fact."""
     attributes = [c for c in SALES_TEXT.values() if c != "barcode"]
     products = ingest.product_dimension_latest(rows, [*attributes, "current_price", "stock"]).withColumnRenamed("stock", "current_stock")
-    measures = [c for c in SALES_NUMBERS.values() if c != "current_price"]
-    fact = core.latest_by(rows, KEYS["sales_monthly"], [F.desc("file_name")])
-    return {"products": products, "sales_monthly": ingest.sales_monthly_fact(fact, measures, tuple(reasons))}
+    return {"products": products, "sales_monthly": last_of(rows, "sales_monthly")}
 
 
-def parse_orders(raw: DataFrame, salt: str | None, marketplace: str) -> dict[str, DataFrame]:
-    """Package headers and order lines. Personal columns are gone before anything is aggregated.
+def last_of(rows: DataFrame, table: str) -> DataFrame:
+    """One row per key: that of the last file, in it the last row."""
+    return core.latest_by(rows, KEYS[table], [F.desc(FILE), F.desc(ROW)])
+
+
+def order_rows(raw: DataFrame, salt: str | None, marketplace: str) -> DataFrame:
+    """Order rows typed and named. Rows equal in every column of their file count once; only then the personal columns go.
 
-    A package or line that is in two files is taken from the file that sorts last.
+    Two lines that differ in a personal or a delivery number alone are two lines.
     """
-    coded = ingest.pseudonymise_customers(raw, salt)
-    placed = coded.withColumn("row_no", F.monotonically_increasing_id())
-    once = placed.groupBy(*[F.col(f"`{c}`") for c in coded.columns]).agg(F.min("row_no").alias("row_no"))
-    rows = once.select(
-        "file_name", "row_no", F.col("customer_hash").alias("customer"), *_text(coded, {**ORDER_TEXT, FAST_DELIVERY: "fast_delivery"}),
+    own = [c for c in raw.columns if c != ROW]
+    once = raw.groupBy(*[F.col(f"`{c}`") for c in own]).agg(F.min(ROW).alias(ROW))
+    coded = ingest.pseudonymise_customers(once, salt)
+    return coded.select(
+        FILE, ROW, F.col("customer_hash").alias("customer"), *_text(coded, {**ORDER_TEXT, FAST_DELIVERY: "fast_delivery"}),
         *[(report_timestamp(F.col(f"`{h}`")) if h in coded.columns else F.lit(None).cast("timestamp_ntz")).alias(n) for h, n in ORDER_TIMES.items()],
         *_numbers(coded, {**ORDER_NUMBERS, f"{marketplace} İndirim Tutarı": "ty_discount"}, MONEY),
     ).withColumn("qty", F.col("qty").cast("bigint"))
 
-    def last_file(df: DataFrame, table: str) -> DataFrame:
-        return core.latest_by(df, KEYS[table], [F.desc("file_name")]).drop("file_name")
 
-    headers = ingest.package_rollup_ingest(
-        rows, attributes=(*ingest.ATTRIBUTES, "deadline_at", "fast_delivery"), distinct=False, keys=("package_no", "file_name"))
-    lines = core.order_line_rollup(rows, keys=("package_no", "barcode", "file_name"))
-    return {"orders": last_file(headers, "orders"), "order_lines": last_file(lines, "order_lines")}
+def file_orders(rows: DataFrame) -> dict[str, DataFrame]:
+    """Package headers and order lines of each file."""
+    attributes = (*ingest.ATTRIBUTES, "deadline_at", "fast_delivery")
+    return {
+        "orders": ingest.package_rollup_ingest(rows, attributes=attributes, distinct=False, keys=("package_no", FILE)),
+        "order_lines": core.order_line_rollup(rows, keys=("package_no", "barcode", FILE)),
+    }
 
 
-def parse_distribution(raw: DataFrame, default_year: int) -> dict[str, DataFrame]:
-    """Distribution rows landed with a `dimension` column; bucket columns come first, counts by header."""
-    own = [c for c in raw.columns if c not in ("file_name", "dimension", *DISTRIBUTION_COUNTS)]
-    second = F.coalesce(F.col(f"`{own[1]}`"), F.lit("")) if len(own) > 1 else F.lit("")
-    rows = raw.select(period_column(default_year).alias("period"), "file_name", "dimension", F.col(f"`{own[0]}`").alias("bucket"), second.alias("bucket2"),
-                      *_numbers(raw, DISTRIBUTION_COUNTS, "int"))
-    return {"distribution": core.latest_by(rows, KEYS["distribution"], [F.desc("file_name")]).drop("file_name")}
+def parse_orders(raw: DataFrame, salt: str | None, marketplace: str) -> dict[str, DataFrame]:
+    """Package headers and order lines; one that is in two files is taken from the file that sorts last."""
+    parts = file_orders(order_rows(raw, salt, marketplace))
+    return {name: conform(core.latest_by(df, KEYS[name], [F.desc(FILE)]), name) for name, df in parts.items()}
+
+
+def distribution_rows(raw: DataFrame) -> DataFrame:
+    """Sheets landed with a `dimension` column, one row per key of a file: the first."""
+    counted = raw.select(*[F.col(f"`{c}`") for c in raw.columns if c not in DISTRIBUTION_COUNTS], *_numbers(raw, DISTRIBUTION_COUNTS, "int"))
+    # a sheet's own order of columns: buckets first, then counts and shares
+    order = [DISTRIBUTION_COUNTS.get(c, c) for c in raw.columns]
+    rows = ingest.distribution_sheet(F.col("dimension"), counted.select(*[F.col(f"`{c}`") for c in order]), [FILE, ROW])
+    return core.latest_by(rows, [*KEYS["distribution"], FILE], [F.asc(ROW)])
+
+
+def typed_rows(raw: DataFrame, report: str, salt: str | None, marketplace: str) -> DataFrame:
+    """Rows of files with one header, under our names."""
+    if report == "sales":
+        return sales_rows(raw)
+    if report == "orders":
+        return order_rows(raw, salt, marketplace)
+    if report == "distribution":
+        return distribution_rows(raw)
+    plain, keep = raw.drop(PERIOD), [FILE, ROW]
+    if report == "store":
+        return ingest.store_daily_normalise(plain, STORE, keep=keep)
+    if report == "ads":
+        return ingest.ad_campaigns_normalise(plain, ADS, keep=keep)
+    return ingest.ops_unpivot(plain, keep=keep)
 
 
-def parse_small(raw: DataFrame, report: str) -> dict[str, DataFrame]:
-    """Store, operations and advertising reports; on equal keys the last file wins."""
-    if report == "store":
-        name, rows = "store_daily", ingest.store_daily_normalise(raw, STORE, keep=["file_name"])
-    elif report == "ads":
-        name, rows = "ad_campaigns", ingest.ad_campaigns_normalise(raw, ADS, keep=["file_name"])
-    else:
-        name, rows = "ops_monthly", ingest.ops_unpivot(raw, keep=["file_name"])
-    return {name: core.latest_by(rows, KEYS[name], [F.desc("file_name")]).drop("file_name")}
-
-
-def load_reports(spark: SparkSession, folder: str, salt: str | None, marketplace: str, default_year: int = 2026) -> dict[str, DataFrame]:
-    """Tables of every report found in a folder. Unknown files are skipped."""
-    known = report_file_catalog(landed_files(spark, folder).withColumn("file_name", F.url_decode("file_name")), default_year=default_year)
-    paths: dict[str, list[str]] = {}
-    for row in known.select("file_name", "report_type").collect():  # a listing: one short row per file
-        paths.setdefault(row["report_type"], []).append(row["file_name"])
-    tables: dict[str, DataFrame] = {}
-    for report, files in paths.items():
-        raw = read_export(spark, sorted(files))
-        if report == "sales":
-            tables |= parse_sales(raw, default_year)
-        elif report == "orders":
-            tables |= parse_orders(raw, salt, marketplace)
-        elif report == "distribution":
-            tables |= parse_distribution(raw, default_year)
-        else:
-            tables |= parse_small(raw, report)
+SMALL = {"store": "store_daily", "ops": "ops_monthly", "ads": "ad_campaigns"}
+
+
+def report_tables(rows: DataFrame, report: str) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+    """Tables of one report, and what each file holds of them (with its file name)."""
+    if report == "sales":
+        return parse_sales(rows), [rows, rows]
+    if report == "orders":
+        parts = file_orders(rows)
+        return {name: core.latest_by(df, KEYS[name], [F.desc(FILE)]) for name, df in parts.items()}, list(parts.values())
+    name = SMALL.get(report, "distribution")
+    return {name: last_of(rows, name)}, [rows]
+
+
+def listed(spark: SparkSession, folder: str, default_year: int, replaced: bool) -> list[dict]:
+    """One short entry per known report file: path, type, period, time. With `replaced`, files that a newer one stands for are left out."""
+    known = report_file_catalog(landed_files(spark, folder), default_year=default_year)
+    return [r.asDict() for r in (active_files(known) if replaced else known).collect()]
+
+
+def load_reports(spark: SparkSession, folder: str, salt: str | None, marketplace: str, default_year: int = 2026, ad_totals: DataFrame | None = None,
+                 replaced: bool = False, loaded_at: dt.datetime | None = None) -> dict[str, DataFrame]:
+    """Tables of every report found in a folder, with the declared schemas. Unknown files are skipped.
+
+    Files of a report with different headers are read apart and put under one
+    another by name. A file without its required columns is refused: it is in
+    `refused` (file_name, report_type, missing_columns). `ad_totals` are the panel's
+    own sums, which no export holds. With `replaced`, a newer file of a
+    report's month takes the place of the older one. `uploads` lists the files
+    read, with the rows of the tables that each gave.
+    """
+    files = listed(spark, folder, default_year, replaced)
+    kinds: dict[str, list[str]] = defaultdict(list)
+    for f in files:
+        kinds[f["report_type"]].append(f["file_name"])
+    columns = headers(spark, [f["file_name"] for f in files])
+    refused, tables, counts = [], {}, []
+    months = spark.createDataFrame([(f["file_name"], f[PERIOD]) for f in files], "file_name string, period date")
+    for report, paths in kinds.items():
+        groups: dict[tuple, list[str]] = defaultdict(list)
+        for path in sorted(paths):
+            missing = [c for c in REQUIRED[report] if c not in columns[path]]
+            if missing:
+                refused.append((path, report, ",".join(missing)))
+            else:
+                groups[path.endswith(".parquet"), *columns[path]].append(path)
+        if not groups:
+            continue
+        read = [read_export(spark, paths, list(header[1:])) for header, paths in groups.items()]
+        # the month is read off the name once per file, and joined to its rows
+        dated = [raw.join(months, FILE, "left") if report in ("sales", "distribution") else raw.withColumn(PERIOD, F.lit(None).cast("date")) for raw in read]
+        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [typed_rows(raw.drop(PERIOD) if report == "orders" else raw, report, salt, marketplace) for raw in dated])
+        found, parts = report_tables(rows, report)
+        tables |= found
+        counts += [p.select(FILE) for p in parts]
+    tables = {name: conform(df, name) for name, df in tables.items()}
+    if ad_totals is not None:
+        tables["ad_totals"] = conform(ad_totals, "ad_totals")
+    if counts:
+        per_file = reduce(DataFrame.unionByName, [c.groupBy(FILE).count() for c in counts]).groupBy(FILE).agg(F.sum("count").alias("row_count"))
+        known = spark.createDataFrame([(f["file_name"], f["report_type"], f[PERIOD]) for f in files], "path string, report_type string, period date")
+        uploads = known.join(per_file, F.col("path") == F.col(FILE)).select(
+            F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "report_type", F.coalesce(F.date_format("period", "yyyy-MM-dd"), F.lit("")).alias("period"), "row_count",
+            F.lit(loaded_at or dt.datetime.now()).cast("timestamp_ntz").alias("uploaded_at"))
+        tables["uploads"] = conform(uploads, "uploads")
+    if refused:
+        tables["refused"] = spark.createDataFrame(refused, "file_name string, report_type string, missing_columns string")
+    return tables
+
+
+def load_batch(spark: SparkSession, folder: str, root: str, salt: str | None, marketplace: str, default_year: int = 2026, ad_totals: DataFrame | None = None,
+               slots: int = 16) -> dict[str, DataFrame]:
+    """Load a folder of reports into the tables at rest under `root`: gate, newest file per month, upsert in key order, upload log.
+
+    Returns what was loaded (`load_reports`). Running the same folder again
+    leaves the same rows, but logs its files again.
+    """
+    tables = load_reports(spark, folder, salt, marketplace, default_year, ad_totals, replaced=True)
+    if "orders" in tables:
+        tables["orders"] = materialise(tables["orders"], "orders")  # lines take their folder from it
+    upsert_tables({n: df for n, df in tables.items() if n != "refused"}, root, slots)
     return tables

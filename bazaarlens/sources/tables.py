@@ -1,31 +1,71 @@
-"""The commerce tables at rest: explicit schemas, month partitions, and a bucketed form for co-located joins."""
+"""The commerce tables at rest: parquet with the declared schemas, in folders by month and key slot."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from bazaarlens.functions.timing import month_of
-from bazaarlens.schemas import TABLES, table_schema
+from bazaarlens.operators import ingest
+from bazaarlens.schemas import KEYS, LOAD_ORDER, TABLES, conform, table_schema
 
+MONTH, SLOT = "stored_month", "key_slot"
+
+
+def month_part(date: str) -> Column:
+    """Month of a row as its folder's name; 'none' without a date."""
+    return F.coalesce(F.date_format(date, "yyyy-MM"), F.lit("none"))
 
-def read_tables(spark: SparkSession, root: str, names: tuple[str, ...] = tuple(TABLES)) -> dict[str, DataFrame]:
-    """Parquet tables under `root`, with their declared schemas; missing ones raise when first used."""
-    return {n: spark.read.schema(table_schema(n)).parquet(f"{root.rstrip('/')}/{n}") for n in names}
 
+def stored(tables: dict[str, DataFrame], slots: int) -> dict[str, tuple[DataFrame, list[str]]]:
+    """Every table with its folder columns.
 
-def read_jdbc(spark: SparkSession, url: str, name: str, properties: dict[str, str], split_by: str | None = None,
-              bounds: tuple[str, str] | None = None, partitions: int = 32) -> DataFrame:
-    """A table of a relational store, read in parallel ranges of `split_by` where given."""
-    if split_by is None or bounds is None:
-        return spark.read.jdbc(url, name, properties=properties)
-    return spark.read.jdbc(url, name, column=split_by, lowerBound=bounds[0], upperBound=bounds[1], numPartitions=partitions, properties=properties)
+    Orders lie by order month, which never changes for a package, and a slot of
+    the package number; lines by the month and slot of their package. Dated
+    tables lie by month. The small ones are one folder.
+    """
+    slot = ingest.key_slot(["package_no"], slots)
+    out = {}
+    for name, df in tables.items():
+        if name == "orders":
+            df, parts = df.withColumns({MONTH: month_part("order_at"), SLOT: slot}), [MONTH, SLOT]
+        elif name == "order_lines":
+            months = tables["orders"].select("package_no", month_part("order_at").alias(MONTH))
+            df, parts = df.join(months, "package_no", "left").withColumns({MONTH: F.coalesce(MONTH, F.lit("none")), SLOT: slot}), [MONTH, SLOT]
+        elif name in ("sales_monthly", "distribution", "ops_monthly"):
+            df, parts = df.withColumn(MONTH, month_part("period")), [MONTH]
+        elif name == "store_daily":
+            df, parts = df.withColumn(MONTH, month_part("day")), [MONTH]
+        else:
+            parts = []
+        out[name] = df, parts
+    return out
 
 
-def save_by_month(df: DataFrame, path: str, time_column: str, mode: str = "errorifexists") -> None:
-    """Month-partitioned parquet: reports on a few months then read only their folders."""
-    df.withColumn("month", month_of(F.col(time_column))).write.mode(mode).partitionBy("month").parquet(path)
+def upsert_tables(tables: dict[str, DataFrame], root: str, slots: int = 16) -> None:
+    """Upsert of every given table under `root`, in the order of their references; `uploads` rows are appended."""
+    for name, (df, parts) in sorted(stored(tables, slots).items(), key=lambda x: (*LOAD_ORDER, *TABLES).index(x[0])):
+        path = f"{root.rstrip('/')}/{name}"
+        if name in KEYS:
+            ingest.upsert_table(path, df, [*KEYS[name], *parts], parts)
+        else:
+            df.write.mode("append").parquet(path)
 
 
-def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "errorifexists") -> None:
-    """Catalog table bucketed and sorted by `key`; headers and lines saved alike join without a shuffle."""
-    df.write.mode(mode).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+def read_tables(spark: SparkSession, root: str, names: tuple[str, ...] = tuple(TABLES)) -> dict[str, DataFrame]:
+    """The parquet tables found under `root`, with their declared schemas.
+
+    A filter on the folder column (`stored_month`) reads only its folders, so it is kept.
+    """
+    found = {}
+    for name in names:
+        try:
+            df = spark.read.parquet(f"{root.rstrip('/')}/{name}")
+        except AnalysisException as missing:
+            if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            continue
+        if not {f.name for f in table_schema(name).fields} <= set(df.columns):
+            raise ValueError(f"{root}/{name} lacks columns of the table")
+        keep = [F.col(MONTH).cast("string").alias(MONTH)] if MONTH in df.columns else []
+        found[name] = df.select(*[F.col(c) for c in conform(df, name).columns], *keep)
+    return found

@@ -4,28 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from bazaarlens.operators import ingest
-from bazaarlens.sources.reports import parse_orders
+from bazaarlens.session import materialise
+from bazaarlens.sources.catalog import logical_file
+from bazaarlens.sources.reports import FILE, ROW, parse_orders
+from bazaarlens.sources.tables import upsert_tables
 
-SLOT = "key_slot"
 
-
-def load_new_orders(spark: SparkSession, landing: str, tables: dict[str, str], checkpoint: str, header: list[str],
-                    salt: str | None, marketplace: str, slots: int = 64) -> None:
+def load_new_orders(spark: SparkSession, landing: str, root: str, checkpoint: str, header: list[str],
+                    salt: str | None, marketplace: str, slots: int = 16) -> None:
     """Process all order files that have landed since the last call, then stop.
 
     The file-source checkpoint remembers which files were read. Each batch is
-    an idempotent upsert by key, so a batch repeated after a failure leaves
-    the same tables. `tables` gives the paths of `orders` and `order_lines`;
-    both are partitioned by a stable slot of the package number.
+    an idempotent upsert by key into `orders` and `order_lines` under `root`, so
+    a batch repeated after a failure leaves the same tables, and a batch
+    rewrites only the months and key slots of its packages. A file whose
+    header differs from `header` stops the load: columns are never taken by place.
     """
     schema = ", ".join(f"`{c}` string" for c in header)
-    rows = spark.readStream.schema(schema).option("header", "true").csv(landing).select("*", F.col("_metadata.file_path").alias("file_name"))
+    files = spark.readStream.schema(schema).option("header", "true").option("enforceSchema", "false").option("multiLine", "true").option("escape", '"').csv(landing)
+    rows = files.select("*", logical_file(F.col("_metadata.file_path")).alias(FILE))
 
     def apply(batch: DataFrame, _: int) -> None:
-        for name, df in parse_orders(batch, salt, marketplace).items():
-            keyed = df.withColumn(SLOT, ingest.key_slot(["package_no"], slots))
-            keys = ["package_no", SLOT] if name == "orders" else ["package_no", "barcode", SLOT]
-            ingest.upsert_table(tables[name], keyed, keys, [SLOT])
+        placed = batch.withColumn(ROW, F.monotonically_increasing_id())
+        tables = parse_orders(placed, salt, marketplace)
+        tables["orders"] = materialise(tables["orders"], "orders")  # lines take their folder from it
+        upsert_tables(tables, root, slots)
 
     rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

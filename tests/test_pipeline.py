@@ -4,6 +4,8 @@ import csv
 import datetime as dt
 import glob
 import json
+import os
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +13,9 @@ from pyspark.sql import functions as F
 from bazaarlens.operators import sinks
 from bazaarlens.params import Params
 from bazaarlens.plans.reporting import result_blocks
+from bazaarlens.schemas import conform
 from bazaarlens.sources import reports
+from bazaarlens.sources.tables import read_tables, upsert_tables
 from bazaarlens.streaming.landing import load_new_orders
 
 MARKET = "Pazar"
@@ -60,7 +64,7 @@ def tables(spark, tmp_path_factory):
 
 
 def test_tables(tables):
-    assert set(tables) == {"products", "sales_monthly", "orders", "order_lines", "store_daily", "ops_monthly", "ad_campaigns"}
+    assert set(tables) == {"products", "sales_monthly", "orders", "order_lines", "store_daily", "ops_monthly", "ad_campaigns", "uploads"}
     assert tables["orders"].count() == 180 and tables["orders"].where("cargo_fee is null").count() == 90
     first = tables["order_lines"].where("package_no = '4002' and barcode = 'b2'").first()
     assert (first["qty"], float(first["net"]), float(first["unit_price"])) == (2, 110.5, 60.25)
@@ -103,17 +107,103 @@ def test_result_files(spark, tables, tmp_path):
 
 
 def test_new_files_are_upserted_once(spark, tmp_path):
-    landing = tmp_path / "in"
+    landing, root = tmp_path / "in", str(tmp_path / "tables")
     landing.mkdir()
-    paths = {"orders": str(tmp_path / "orders"), "order_lines": str(tmp_path / "lines")}
-    load = lambda: load_new_orders(spark, str(landing), paths, str(tmp_path / "cp"), ORDER_HEADER, "salt", MARKET, slots=4)
+    load = lambda: load_new_orders(spark, str(landing), root, str(tmp_path / "cp"), ORDER_HEADER, "salt", MARKET, slots=4)
     write_csv(landing / "nisan-2026-tum-siparisler.csv", ORDER_HEADER, order_rows(4, 20))
     load()
-    write_csv(landing / "nisan-2026-tum-siparisler-2.csv", ORDER_HEADER, order_rows(4, 5, "İade edildi"))
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "tables" / "orders").rglob("*.parquet")}
     write_csv(landing / "mayis-2026-tum-siparisler.csv", ORDER_HEADER, order_rows(5, 10))
     load()
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "tables" / "orders").rglob("*.parquet")}
+    assert all(after.get(p) == t for p, t in before.items())  # another month's folders aren't rewritten
+    write_csv(landing / "nisan-2026-tum-siparisler-2.csv", ORDER_HEADER, order_rows(4, 5, "İade edildi"))
+    load()
     load()
-    orders = spark.read.parquet(paths["orders"])
+    orders = read_tables(spark, root)["orders"]
     assert orders.count() == 30 and orders.where("status = 'İade edildi'").count() == 5
-    lines = spark.read.parquet(paths["order_lines"])
+    lines = read_tables(spark, root)["order_lines"]
     assert lines.count() == lines.select("package_no", "barcode").distinct().count() == len({(r[0], r[12]) for r in order_rows(4, 20) + order_rows(5, 10)})
+
+
+def test_streamed_columns_go_by_name(spark, tmp_path):
+    landing = tmp_path / "in"
+    landing.mkdir()
+    swapped = [ORDER_HEADER.index(c) for c in ORDER_HEADER]
+    i, j = ORDER_HEADER.index("İl"), ORDER_HEADER.index("İlçe")
+    swapped[i], swapped[j] = j, i
+    write_csv(landing / "nisan-2026-tum-siparisler.csv", [ORDER_HEADER[k] for k in swapped], [[r[k] for k in swapped] for r in order_rows(4, 3)])
+    with pytest.raises(Exception, match="header does not conform"):
+        load_new_orders(spark, str(landing), str(tmp_path / "tables"), str(tmp_path / "cp"), ORDER_HEADER, "salt", MARKET)
+
+
+def test_lines_that_differ_in_a_personal_column_are_two(spark, tmp_path):
+    header = [*ORDER_HEADER, "Fatura No"]
+    row = order_rows(4, 1)[0]
+    write_csv(tmp_path / "nisan-2026-tum-siparisler.csv", header, [[*row, "F1"], [*row, "F2"], [*row, "F2"]])
+    tables = reports.load_reports(spark, str(tmp_path), "salt", MARKET)
+    line, head = tables["order_lines"].first(), tables["orders"].first()
+    assert (line["qty"], float(line["net"]), float(head["net"])) == (4, 221.0, 221.0)
+    assert tables["uploads"].first()["row_count"] == 2  # a package and a line
+
+
+def test_operations_files_of_other_months(spark, tmp_path):
+    write_csv(tmp_path / "operasyon-raporu.csv", ["Kalite Metriklerim", "Bu yıl", "Nis 2026", "May 2026"], [["Süre", "", "1", "2"], ["Süre", "", "1", "3"]])
+    write_csv(tmp_path / "operasyon-raporu-2.csv", ["Kalite Metriklerim", "Bu yıl", "May 2026", "Haz 2026"], [["Süre", "", "4", "5"]])
+    ops = reports.load_reports(spark, str(tmp_path), None, MARKET)["ops_monthly"]
+    # the file that sorts last wins, in it the last row
+    assert {(str(r["period"])[:7], r["value"]) for r in ops.collect()} == {("2026-04", 1.0), ("2026-05", 3.0), ("2026-06", 5.0)}
+
+
+def test_distribution_sheets_with_shares(spark, tmp_path):
+    counts = ["Sipariş Adedi", "Sipariş Payı", "Müşteri Adedi", "Müşteri Payı"]
+    write_csv(tmp_path / "mayis-2026-siparis-dagilim-yas.csv", ["dimension", "Yaş", *counts], [["Yaş", "18-24", 3, "40", 2, "30"], ["Yaş", "18-24", 5, "60", 4, "70"]])
+    write_csv(tmp_path / "mayis-2026-siparis-dagilim-saat.csv", ["dimension", "Gün", "Saat", *counts], [["Gün ve Saat", "Pzt", "0-3", 7, "1", 6, "1"]])
+    rows = reports.load_reports(spark, str(tmp_path), None, MARKET)["distribution"].collect()
+    assert {(r["dimension"], r["bucket"], r["bucket2"], r["orders"], r["customers"]) for r in rows} == {("Yaş", "18-24", "", 3, 2), ("Gün ve Saat", "Pzt", "0-3", 7, 6)}
+
+
+def test_last_row_of_a_file_counts(spark, tmp_path):
+    write_csv(tmp_path / "magaza-raporu.csv", ["Tarih", "Tekil Ziyaretçi Sayısı"], [["01-05-2026 00:00", v] for v in (1, 2, 0)])
+    assert reports.load_reports(spark, str(tmp_path), None, MARKET)["store_daily"].first()["visitors"] == 0
+
+
+def test_tables_survive_storage(spark, tables, tmp_path):
+    """What the loader returns, written and read back, gives the same results; a second load changes nothing."""
+    given = {**tables, "ad_totals": conform(ad_totals(spark), "ad_totals")}
+    for _ in range(2):
+        upsert_tables(given, str(tmp_path / "t"), slots=2)
+    kept = read_tables(spark, str(tmp_path / "t"))
+    params = Params(months=("2026-04", "2026-05", "2026-06"), full_months=3, mover_min_revenue=0.0)
+    assert {n: kept[n].count() for n in given if n != "uploads"} == {n: given[n].count() for n in given if n != "uploads"}
+    plan = kept["orders"].where("stored_month = '2026-04'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(stored_month" in plan
+    fresh, stored = (result_blocks(t, params, MARKET) for t in (given, kept))
+    assert set(fresh) == set(stored)
+    for name in ("monthly", "totals", "products", "clv", "unit_economics", "cohorts"):
+        rows = [sorted(str([round(float(v), 6) if isinstance(v, (float, Decimal)) else v for v in r]) for r in t[name].collect()) for t in (fresh, stored)]
+        assert rows[0] == rows[1], name
+
+
+def test_batch_load_with_gate_and_replacement(spark, tmp_path):
+    landing, root = tmp_path / "in", str(tmp_path / "tables")
+    landing.mkdir()
+    write_reports(landing)
+    write_csv(landing / "temmuz-2026-satis-raporu.csv", ["Barkod", "x"], [["b1", 1]])
+    old = landing / "nisan-2026-tum-siparisler-eski.csv"
+    write_csv(old, ORDER_HEADER, order_rows(4, 90))
+    os.utime(old, (1, 1))
+    loaded = reports.load_batch(spark, str(landing), root, "salt", MARKET, ad_totals=ad_totals(spark), slots=2)
+    assert [tuple(r)[1:] for r in loaded["refused"].collect()] == [("sales", "Brüt Sipariş Adedi")]
+    found = read_tables(spark, root)
+    assert set(found) == {"products", "sales_monthly", "orders", "order_lines", "store_daily", "ops_monthly", "ad_campaigns", "ad_totals", "uploads"}
+    assert found["orders"].count() == 180  # the older April file has given way
+    assert {r["file_name"]: r["row_count"] for r in found["uploads"].collect()}["nisan-2026-satis-raporu.csv"] == 18
+    params = Params(months=("2026-04", "2026-05", "2026-06"), full_months=3, mover_min_revenue=0.0)
+    assert {"margin", "coupons", "clv", "last_loads"} <= set(result_blocks(found, params, MARKET))
+
+
+def ad_totals(spark):
+    day = dt.date(2026, 4, 1)
+    return spark.createDataFrame([(day, day, "panel", 1000, 100, 10, 5000.0, 400.0, 12.5)], "period_from date, period_to date, source string, "
+                                 "impressions bigint, clicks bigint, sales bigint, revenue double, spend double, roas double")

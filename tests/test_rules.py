@@ -178,14 +178,6 @@ def test_pareto_breaks_ties_by_code_and_ends_at_100(spark):
     assert got == [("m03", 40.0), ("m00", 60.0), ("m01", 80.0), ("m02", 100.0)]
 
 
-def test_segment_medians_agree_on_both_paths(spark):
-    data = [(f"m{i}", "AB"[i % 2], float(i * i % 37), float(i), Decimal(i), i, None, 1.0, 2.0) for i in range(60)]
-    models = spark.createDataFrame(data, "model_code string, segment string, growth double, asp double, net_rev decimal(28,7), net_units bigint, ret_rate double, multi double, cargo_pct double")
-    cols = ["segment", "n", "rev", "growth", "asp", "share"]
-    got = [rows(products.segment_summary(models, few).select(*cols), "segment") for few in (100, 10)]
-    assert got[0] == got[1] and got[0][0][4] == np.median([d[3] for d in data if d[1] == "A"])
-
-
 def test_running_total_over_many_slices(spark):
     rng = random.Random(1)
     data = [(f"k{i:04d}", Decimal(rng.choice([1, 1, 1, 7, 100]))) for i in range(2000)]
@@ -197,16 +189,6 @@ def test_running_total_over_many_slices(spark):
         assert got[code] == (run, sum(v for _, v in data))
 
 
-@pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.9, 1.0])
-def test_exact_quantile_with_and_without_bracket(spark, q):
-    rng = np.random.default_rng(2)
-    values = {"hot": np.round(rng.normal(0, 50, 6000), 2), "tied": np.repeat([1.0, 2.0], [2500, 2500]), "few": rng.normal(0, 1, 7)}
-    df = spark.createDataFrame([(g, float(v)) for g, vs in values.items() for v in vs] + [("few", None)], "g string, v double")
-    for accuracy in (20, 10000):
-        got = dict(rows(stats.exact_quantile(df, ["g"], "v", q, "x", accuracy=accuracy)))
-        assert got == {g: pytest.approx(np.percentile(vs, q * 100), abs=1e-6) for g, vs in values.items()}
-
-
 @pytest.mark.parametrize("block,min_n", [(256, 1), (3, 1), (3, 4)])
 def test_pairs_against_brute_force(spark, block, min_n):
     rng = random.Random(4)
