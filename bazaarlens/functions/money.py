@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarlens.params import CARGO_TIERS
 
@@ -13,6 +13,11 @@ def ratio(num: Column, den: Column, scale: float = 1.0) -> Column:
     return value if scale == 1.0 else value * F.lit(float(scale))
 
 
+def beside(a: DataFrame, b: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Group totals next to each other: joined on `by`, or one row beside one row."""
+    return a.join(b, list(by)) if by else a.crossJoin(b)
+
+
 def total(col: Column | str) -> Column:
     """Sum that is 0, not null, over an empty or all-null group."""
     summed = F.sum(col)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from bazaarlens.functions.money import ratio
+from bazaarlens.functions.money import beside, ratio
 from bazaarlens.functions.parsing import locale_number
 
 
@@ -16,16 +16,16 @@ def ad_campaign_metrics(campaigns: DataFrame) -> DataFrame:
     })
 
 
-def sales_totals(sales: DataFrame) -> DataFrame:
-    return sales.agg(F.sum("net_revenue").alias("net_rev"), F.sum("gross_sales_qty").alias("gross_units"))
+def sales_totals(sales: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    return sales.groupBy(*by).agg(F.sum("net_revenue").alias("net_rev"), F.sum("gross_sales_qty").alias("gross_units"))
 
 
-def ad_totals_kpis(totals: DataFrame, sales: DataFrame, months: float = 5.75) -> DataFrame:
+def ad_totals_kpis(totals: DataFrame, sales: DataFrame, months: float = 5.75, by: tuple[str, ...] = ()) -> DataFrame:
     """Return on spend, cost shares, click figures and monthly spend of the panel row."""
-    panel = totals.where(F.col("source") == "panel").select("impressions", "clicks", "sales", "revenue", "spend", "roas")
+    panel = totals.where(F.col("source") == "panel").select(*by, "impressions", "clicks", "sales", "revenue", "spend", "roas")
     spend = F.col("spend")
-    return panel.crossJoin(sales_totals(sales)).select(
-        "roas", ratio(spend, F.col("revenue"), 100.0).alias("acos"), ratio(spend, F.col("net_rev"), 100.0).alias("tacos"),
+    return beside(panel, sales_totals(sales, by), by).select(
+        *by, "roas", ratio(spend, F.col("revenue"), 100.0).alias("acos"), ratio(spend, F.col("net_rev"), 100.0).alias("tacos"),
         ratio(spend, F.col("clicks")).alias("cpc"), ratio(F.col("clicks"), F.col("impressions"), 100.0).alias("ctr"),
         ratio(F.col("sales"), F.col("clicks"), 100.0).alias("cvr"), ratio(F.col("sales"), F.col("gross_units"), 100.0).alias("unit_share"),
         (spend.cast("double") / F.lit(months)).alias("monthly_spend"))

@@ -17,10 +17,10 @@ def cover(elapsed_days: int) -> Column:
     return ratio(F.col("stock"), daily(elapsed_days))
 
 
-def oos_summary(sales: DataFrame, snapshot: str, elapsed_days: int = 22, low_days: float = 21) -> DataFrame:
+def oos_summary(sales: DataFrame, snapshot: str, elapsed_days: int = 22, low_days: float = 21, by: tuple[str, ...] = ()) -> DataFrame:
     """Barcodes, out of stock, out of stock but selling, and stock lasting less than `low_days`."""
     empty = F.col("stock") == 0
-    return sales.where(F.col("month") == snapshot).agg(
+    return sales.where(F.col("month") == snapshot).groupBy(*by).agg(
         F.count(F.lit(1)).alias("skus_now"), F.count_if(empty).alias("oos_now"),
         F.count_if(empty & (F.col("gross_sales_qty") > 0)).alias("oos_selling"),
         F.count_if(cover(elapsed_days) < low_days).alias("low_cover"),
@@ -42,18 +42,18 @@ def low_cover_list(sales: DataFrame, snapshot: str, elapsed_days: int = 22, belo
     )
 
 
-def lost_items(sales: DataFrame, snapshot: str, elapsed_days: int = 22, colours: tuple[str, ...] | None = None) -> DataFrame:
+def lost_items(sales: DataFrame, snapshot: str, elapsed_days: int = 22, colours: tuple[str, ...] | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """Barcodes without stock, with the units and price they sold at per day."""
     named = clean_name(F.col("name")) if colours is None else clean_name(F.col("name"), colours)
     return sales.where((F.col("month") == snapshot) & (F.col("stock") == 0)).select(
-        "barcode", named.alias("name"), F.coalesce("color", F.lit("")).alias("color"),
+        *by, "barcode", named.alias("name"), F.coalesce("color", F.lit("")).alias("color"),
         F.round(daily(elapsed_days), 1).alias("daily"), F.col("avg_price").alias("asp"),
         (daily(elapsed_days) * F.col("avg_price")).alias("lost_per_day"),
     )
 
 
-def lost_revenue(sales: DataFrame, snapshot: str, elapsed_days: int = 22) -> DataFrame:
+def lost_revenue(sales: DataFrame, snapshot: str, elapsed_days: int = 22, by: tuple[str, ...] = ()) -> DataFrame:
     """Revenue per day that empty stock costs."""
-    return lost_items(sales, snapshot, elapsed_days).agg(
+    return lost_items(sales, snapshot, elapsed_days, by=by).groupBy(*by).agg(
         F.count(F.lit(1)).alias("items"), F.round(F.coalesce(F.sum("lost_per_day"), F.lit(0.0)), 4).alias("lost_daily")
     )

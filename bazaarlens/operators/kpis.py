@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from bazaarlens.functions.money import ratio, total
+from bazaarlens.functions.money import beside, ratio, total
 from bazaarlens.functions.stats import lead_quantiles
 from bazaarlens.params import FIRST_ORDER
 
@@ -95,17 +95,17 @@ def monthly_table(*parts: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.join(b, "month", "left"), parts)
 
 
-def totals(sales: DataFrame, packs: DataFrame) -> DataFrame:
-    """Grand totals of sales and packages on one row."""
-    s = sales.agg(
+def totals(sales: DataFrame, packs: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Grand totals of sales and packages on one row, or per group of `by`."""
+    s = sales.groupBy(*by).agg(
         total("gross_revenue").alias("gross_rev"), total("net_revenue").alias("net_rev"),
         total("gross_sales_qty").alias("gross_units"), total("net_sales_qty").alias("net_units"),
         total("return_qty").alias("ret"), total("cancel_qty").alias("cancel"), total("discount").alias("disc"),
         total("commission").alias("comm"),
     )
-    skus = sales.select("barcode").distinct().agg(F.count("barcode").alias("skus"))
-    models = sales.select("model_code").distinct().agg(F.count("model_code").alias("models"))
-    return s.crossJoin(package_totals(packs)).crossJoin(skus).crossJoin(models)
+    skus = sales.select(*by, "barcode").distinct().groupBy(*by).agg(F.count("barcode").alias("skus"))
+    models = sales.select(*by, "model_code").distinct().groupBy(*by).agg(F.count("model_code").alias("models"))
+    return beside(beside(beside(s, package_totals(packs, by), by), skus, by), models, by)
 
 
 def package_totals(packs: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
@@ -122,29 +122,29 @@ def monthly_order_totals(packs: DataFrame, months: tuple[str, ...]) -> DataFrame
     )
 
 
-def run_rate(sales: DataFrame, snapshot: str, elapsed_days: int, full_days: int = 30) -> DataFrame:
+def run_rate(sales: DataFrame, snapshot: str, elapsed_days: int, full_days: int = 30, by: tuple[str, ...] = ()) -> DataFrame:
     """Revenue of the partial snapshot month, scaled to a whole month."""
-    part = sales.where(F.col("month") == snapshot).agg(total("net_revenue").alias("snapshot_rev"))
+    part = sales.where(F.col("month") == snapshot).groupBy(*by).agg(total("net_revenue").alias("snapshot_rev"))
     return part.withColumn("run_rate", F.col("snapshot_rev").cast("double") / F.lit(float(elapsed_days)) * F.lit(float(full_days)))
 
 
-def headline_kpis(sales: DataFrame, packs: DataFrame, ad_totals: DataFrame, params) -> DataFrame:
-    """Basket, return, stock, cargo and advertising headline figures on one row."""
+def headline_kpis(sales: DataFrame, packs: DataFrame, ad_totals: DataFrame, params, by: tuple[str, ...] = ()) -> DataFrame:
+    """Basket, return, stock, cargo and advertising headline figures on one row, or per group of `by` (columns of all three tables)."""
     first, fifth = params.months[0], params.months[params.full_months - 1]
     in_month = lambda m: F.col("month") == m
     snap = in_month(params.snapshot)
-    s = sales.agg(
+    s = sales.groupBy(*by).agg(
         total("gross_sales_qty").alias("_g"), total("return_qty").alias("_r"), total("cancel_qty").alias("_c"),
         F.count_if(snap).alias("_skus"), F.count_if(snap & (F.col("stock") == 0)).alias("_oos"),
         *[total(F.when(in_month(m), F.col("net_revenue"))).alias(a) for m, a in ((params.snapshot, "_s"), (first, "_m1"), (fifth, "_m5"))],
     )
-    p = packs.agg(
+    p = packs.groupBy(*by).agg(
         rows().alias("_n"), total("net").alias("_net"), total("units").alias("_u"), total("cargo").alias("_cargo"),
         F.count_if(F.col("models") == 1).alias("_one"), F.count_if(F.col("net") < 200).alias("_low"),
     )
-    a = ad_totals.where(F.col("source") == "panel").agg(total("sales").alias("_as"), total("clicks").alias("_ac"))
-    return s.crossJoin(p).crossJoin(a).select(
-        ratio(F.col("_net"), F.col("_n")).alias("aov"),
+    a = ad_totals.where(F.col("source") == "panel").groupBy(*by).agg(total("sales").alias("_as"), total("clicks").alias("_ac"))
+    return beside(beside(s, p, by), a, by).select(
+        *by, ratio(F.col("_net"), F.col("_n")).alias("aov"),
         ratio(F.col("_u"), F.col("_n")).alias("upt"),
         ratio(F.col("_r"), F.col("_g"), 100.0).alias("return_pct"),
         ratio(F.col("_c"), F.col("_g"), 100.0).alias("cancel_pct"),

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from bazaarlens.functions.money import ratio
+from bazaarlens.functions.money import beside, ratio
 from bazaarlens.functions.names import COLOURS, clean_name, short_name, with_override
 from bazaarlens.functions.stats import running_total, value_counts
 from bazaarlens.operators.category import allocation_shares, cargo_allocation
@@ -247,16 +247,18 @@ def product_roles(models: DataFrame) -> DataFrame:
     return models.withColumn("role", role).withColumn("action", action.otherwise(ACTIONS["tail"]))
 
 
-def concentration(models: DataFrame, rising: str = "Rising") -> DataFrame:
+def concentration(models: DataFrame, rising: str = "Rising", by: tuple[str, ...] = ()) -> DataFrame:
     """Share of the five largest models, how many models make 80 % of revenue, the leader, rising models."""
-    five = models.orderBy(F.desc("net_rev"), "model_code").limit(5).agg(F.sum("net_rev").alias("_five"))
+    place = F.row_number().over(W.partitionBy(*by).orderBy(F.desc("net_rev"), "model_code")) if by else None
+    top = models.withColumn("_place", place).where("_place <= 5") if by else models.orderBy(F.desc("net_rev"), "model_code").limit(5)
+    five = top.groupBy(*by).agg(F.sum("net_rev").alias("_five"))
     lead = F.max_by("model_code", F.struct(F.col("net_rev"), F.col("cum").cast("double") * F.lit(-1.0)))
-    whole = models.agg(
+    whole = models.groupBy(*by).agg(
         F.count(F.lit(1)).alias("models"), F.sum("net_rev").alias("_all"), F.count_if(F.col("cum") < 80).alias("_below"),
         F.max("net_rev").alias("leader_rev"), lead.alias("leader"), F.count_if(F.col("segment") == rising).alias("rising"),
     )
-    return whole.crossJoin(five).select(
-        "models", ratio(F.col("_five"), F.col("_all"), 100.0).alias("top5_share"),
+    return beside(whole, five, by).select(
+        *by, "models", ratio(F.col("_five"), F.col("_all"), 100.0).alias("top5_share"),
         (F.col("_below") + 1).alias("models_for_80"), ratio(F.col("_below") + 1, F.col("models"), 100.0).alias("models_for_80_pct"),
         "leader", "leader_rev", "rising",
     )

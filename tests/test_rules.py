@@ -333,3 +333,28 @@ def test_hot_customer_and_hot_package(spark):
         t = sorted(d["at"] for d in data if d["customer"] == c)
         want += sum((b - a).days > 0 for a, b in zip(t, t[1:]))
     assert gaps == want
+
+
+def test_one_row_results_by_group(spark, folder):
+    """Per group of `by`, each result is what it is on the group's rows alone."""
+    from bazaarlens.operators import ads, inventory, kpis, products as P
+    from bazaarlens.sources.fixtures import Fixture
+
+    fx = Fixture(spark, folder)
+    sales, packs = (t.withColumn("seller", F.substring(F.col(c), -1, 1).cast("int") % 2) for t, c in ((fx.sales_table, "barcode"), (fx.packs_table, "package_no")))
+    ads_rows = fx.ad_totals.withColumn("seller", F.explode(F.array(F.lit(0), F.lit(1))))
+    models = spark.createDataFrame([(k % 2, f"m{k}", Decimal(k * k), float(k), "Rising") for k in range(30)], "seller int, model_code string, net_rev decimal(18,7), cum double, segment string")
+    by = ("seller",)
+    results = {
+        "totals": lambda s, p, a, m, by: kpis.totals(s, p, by), "run_rate": lambda s, p, a, m, by: kpis.run_rate(s, fx.params.snapshot, 22, by=by),
+        "oos": lambda s, p, a, m, by: inventory.oos_summary(s, fx.params.snapshot, by=by), "lost": lambda s, p, a, m, by: inventory.lost_revenue(s, fx.params.snapshot, by=by),
+        "repeat": lambda s, p, a, m, by: customers.repeat_summary(customers.customers(p, by), by), "gaps": lambda s, p, a, m, by: customers.gap_summary(customers.repurchase_gaps(p, by), by),
+        "ads": lambda s, p, a, m, by: ads.ad_totals_kpis(a, s, by=by), "concentration": lambda s, p, a, m, by: P.concentration(m, by=by),
+    }
+    for name, build in results.items():
+        grouped = {r["seller"]: r.asDict() for r in build(sales, packs, ads_rows, models, by).collect()}
+        for seller in grouped:
+            alone = build(*[t.where(F.col("seller") == seller) for t in (sales, packs, ads_rows, models)], ()).first().asDict()
+            for k, v in alone.items():
+                got = grouped[seller][k]
+                assert got == v or float(got) == pytest.approx(float(v)), (name, k)
