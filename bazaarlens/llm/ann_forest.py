@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,16 +9,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from bazaarlens.llm.common import col, written
-from bazaarlens.llm.vectors import by_tile, matrix, usable
+from bazaarlens.llm.vectors import as_floats, by_tile, matrix, packed, unpacked, usable
 
 POINTS, ASKED = 1024, 256  # points and queries that meet in one block
+FINE = 8  # rotated axes that the letters after the first choose from
 
 
 class Forest:
     """`trees` hash strings of `letters` letters for each vector.
 
     A letter is the axis, with its sign, that lies nearest to the centred vector
-    after a random rotation: near vectors share it far more often than others. Rotations follow from the seed.
+    after a random rotation: near vectors share it far more often than others. The
+    first letter chooses from all axes, the further ones, which refine it
+    step by step, from a few. Rotations follow from the seed.
     """
 
     def __init__(self, centre: np.ndarray, trees: int, letters: int, seed: int = 7):
@@ -33,7 +35,8 @@ class Forest:
         dim = len(self.centre)
         if self._turns is None:
             rng = np.random.default_rng(self.seed)
-            self._turns = [np.linalg.qr(rng.normal(size=(dim, dim)))[0] for _ in range(self.trees * self.letters)]
+            turns = [np.linalg.qr(rng.normal(size=(dim, dim)))[0] for _ in range(self.trees * self.letters)]
+            self._turns = [t if k % self.letters == 0 else t[:, :FINE] for k, t in enumerate(turns)]
         x = x - self.centre
         out = np.empty((len(x), self.trees * self.letters), dtype=np.int64)
         for k, turn in enumerate(self._turns):
@@ -58,24 +61,24 @@ def _keyed(points: DataFrame, forest: Forest, lengths: list[int], vectors: bool)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                prefixes = forest.prefixes(matrix(part.column(1)))
+                prefixes, bytes_of = forest.prefixes(matrix(part.column(1))), packed(part.column(1))
                 for length in lengths:
                     trees = forest.trees if length else 1
                     rows = np.repeat(np.arange(part.num_rows), trees)
                     cols = [part.column(0).take(pa.array(rows)), pa.array(np.tile(np.arange(trees), part.num_rows)), pa.array(np.full(len(rows), length)), pa.array(prefixes[:, :trees, length].ravel())]
-                    yield pa.RecordBatch.from_arrays([*cols, *([part.column(1).take(pa.array(rows))] if vectors else [])], names=["class", "tree", "length", "prefix", "vector"][: 4 + vectors])
+                    yield pa.RecordBatch.from_arrays([*cols, *([bytes_of.take(pa.array(rows))] if vectors else [])], names=["class", "tree", "length", "prefix", "vector"][: 4 + vectors])
 
     schema = "class long, tree long, length long, prefix long"
-    return points.select("class", "vector").mapInArrow(run, schema + f", vector {points.schema['vector'].dataType.simpleString()}" * vectors)
+    return points.select("class", "vector").mapInArrow(run, schema + ", vector binary" * vectors)
 
 
-def _nearest(k: int):
+def _nearest(k: int, kind: str):
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids = batch.column(batch.schema.get_field_index("class")).to_numpy(zero_copy_only=False)
         asks = batch.column(batch.schema.get_field_index("asks")).to_numpy(zero_copy_only=False).astype(bool)
         if not asks.any() or asks.all():
             return
-        x = matrix(batch.column(batch.schema.get_field_index("vector")))
+        x = unpacked(batch.column(batch.schema.get_field_index("vector")), kind)
         points, names = x[~asks], ids[~asks]
         out = []
         for who, q in zip(ids[asks], x[asks], strict=True):
@@ -95,14 +98,14 @@ def _least(far: np.ndarray, names: np.ndarray, k: int) -> np.ndarray:
 
 
 def search(
-    vectors: DataFrame, is_query: Column | None = None, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", trees: int = 40, letters: int = 3, effort: float = 32.0,
+    vectors: DataFrame, is_query: Column | None = None, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", trees: int = 64, letters: int = 5, effort: float = 11.0,
 ) -> DataFrame:
     """query_id, rank, vec_id and score (Euclidean distance) of the `k` nearest found for each query row.
 
     Every tree has all points by their hash strings. A query descends in all
     trees to its longest matching prefixes, then ascends in all of them at once, a
     letter at a time, until the points that share the prefix are `effort` times
-    the square root of all points, or more; the empty prefix has them all. Counts of points per prefix decide
+    the 0.6th power of all points, or more, and `k` at least; the empty prefix has them all. Counts of points per prefix decide
     this, only for the prefixes that queries have. What is found is scored by the exact
     distance, in blocks of at most about `POINTS` points and `ASKED` queries, of which the best leave.
 
@@ -112,7 +115,7 @@ def search(
     equal in id and vector are one. Without queries or points the result is empty.
     """
     asked = F.pmod(col(id_col).cast("long"), F.lit(100)) == 0 if is_query is None else is_query
-    rows = vectors.select(col(id_col).cast("long").alias("vec_id"), col(vector_col).alias("vector"), asked.alias("asks"))
+    rows = vectors.select(col(id_col).cast("long").alias("vec_id"), as_floats(col(vector_col), vectors.schema[vector_col].dataType.simpleString()).alias("vector"), asked.alias("asks"))
     rows = written(rows.where(F.col("vec_id").isNotNull() & usable(F.col("vector"))).distinct(), "vectors")
     top = rows.groupBy(F.size("vector").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
     dim = top[0] if top else 1
@@ -122,7 +125,7 @@ def search(
     mean = classes.select(F.posexplode("vector").alias("at", "x")).groupBy("at").agg(F.avg(F.col("x").cast("double")).alias("m")).orderBy("at").collect()
     forest = Forest(np.array([r["m"] for r in mean] or [0.0]), trees, letters)
     total = classes.count()
-    enough = effort * math.sqrt(total)
+    enough = max(effort * total**0.6, trees * k)  # a point counts once per tree, so these are k others at least
 
     asking = classes.where("asks")
     wanted = written(_keyed(asking, forest, list(range(letters + 1)), False), "asked")
@@ -131,7 +134,7 @@ def search(
     present = written(wanted.groupBy(*keys).agg(F.count("*").alias("queries")), "prefixes")
     counts = _keyed(classes, forest, list(range(letters + 1)), False).groupBy(*keys).agg(F.count("*").alias("points"))
     sized = written(present.join(counts, keys), "buckets")
-    met = wanted.join(sized, keys).groupBy("class", "length").agg(F.sum("points").alias("found"))
+    met = wanted.join(sized, keys).groupBy("class", "length").agg((F.sum("points") - F.when(F.col("length") > 0, trees).otherwise(1)).alias("found"))  # without itself
     stop = met.where((F.col("found") >= enough) | (F.col("length") == 0)).groupBy("class").agg(F.max("length").alias("length"))
     stop = written(stop, "stops")
     used = wanted.join(stop, ["class", "length"])
@@ -144,7 +147,7 @@ def search(
     points = _keyed(classes, forest, lengths, True).join(buckets, keys).withColumn("pi", part("p")).withColumn("qi", every("q")).withColumn("asks", F.lit(0))
     queries = _keyed(asking, forest, lengths, True).join(stop, ["class", "length"]).join(buckets, keys).withColumn("qi", part("q")).withColumn("pi", every("p")).withColumn("asks", F.lit(1))
     blocks = points.select(*keys, "pi", "qi", "class", "asks", "vector").unionByName(queries.select(*keys, "pi", "qi", "class", "asks", "vector"))
-    near = by_tile(blocks, [*keys, "pi", "qi"], _nearest(k + 1), "query long, class long, score double")
+    near = by_tile(blocks, [*keys, "pi", "qi"], _nearest(k + 1, rows.schema["vector"].dataType.simpleString()), "query long, class long, score double")
     near = near.groupBy("query", "class").agg(F.min("score").alias("score"))
     place = F.row_number().over(Window.partitionBy("query").orderBy("score", "class"))
     near = written(near.withColumn("r", place).where(F.col("r") <= k + 1).drop("r"), "near")
