@@ -11,10 +11,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from bazaarlens.llm.common import col, written
 from bazaarlens.llm.components import connected_components, star_links
-from bazaarlens.llm.vectors import by_tile, matrix, usable
+from bazaarlens.llm.vectors import as_floats, by_tile, matrix, packed, unpacked, usable
 
-TILE = 512  # vectors of one side of a block
-PER_CELL = 4096  # vectors that a cell is meant to have
+TILE = 1024  # vectors of one side of a block
+ROWS = 256  # of them multiplied at a time
+PER_CELL = 16_384  # vectors that a cell is meant to have
 MOST_CELLS = 64  # more cells mean more vectors near a border, each of which visits other cells
 
 
@@ -61,30 +62,35 @@ def _placed(classes: DataFrame, centroids: np.ndarray, reach: float) -> DataFram
                 homes.append(home[at] == cell)
             at = pa.array(np.concatenate(rows))
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(k).take(at) for k in range(4)], pa.array(np.concatenate(cells).astype(np.int64)), pa.array(np.concatenate(homes))],
-                names=["class", "vector", "label", "n", "cell", "home"],
+                [batch.column(0).take(at), packed(batch.column(1)).take(at), batch.column(2).take(at), batch.column(3).take(at), pa.array(np.concatenate(cells).astype(np.int64)), pa.array(np.concatenate(homes)), pa.array(sizes.astype(np.int32)).take(at)],
+                names=["class", "vector", "label", "n", "cell", "home", "size"],
             )
 
     kinds = classes.schema
-    schema = f"class long, vector {kinds['vector'].dataType.simpleString()}, label {kinds['label'].dataType.simpleString()}, n long, cell long, home boolean"
-    return classes.select("class", "vector", "label", "n").mapInArrow(run, schema)
+    schema = f"class long, vector binary, label {kinds['label'].dataType.simpleString()}, n long, cell long, home boolean"
+    return classes.select("class", "vector", "label", "n").mapInArrow(run, schema + ", size int")
 
 
-def _compared(threshold: float):
+def _compared(threshold: float, kind: str):
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         get = lambda name: batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False)
         i, j = get("i")[0], get("j")[0]
         ids, n, home, own = get("class"), get("n"), get("home"), get("own")
-        x = matrix(batch.column(batch.schema.get_field_index("vector")))
+        x = unpacked(batch.column(batch.schema.get_field_index("vector")), kind)
         x /= np.linalg.norm(x, axis=1, keepdims=True)
-        near = x @ x.T >= threshold
-        np.fill_diagonal(near, False)
-        if i != j:
-            near &= own[:, None] != own[None, :]  # pairs of one part are compared in that part's own block
-        count = np.where(home, near @ n, 0)
-        linked = near & (home[:, None] | home[None, :])
-        u, v = np.nonzero(np.triu(linked))
-        root = dict(zip(*[k.tolist() for k in star_links(ids[u], ids[v])], strict=True)) if len(u) else {}
+        count, held = np.zeros(len(x), dtype=np.int64), []
+        for a in range(0, len(x), ROWS):
+            rows = np.arange(a, min(a + ROWS, len(x)))
+            near = x[rows] @ x.T >= threshold
+            near[np.arange(len(rows)), rows] = False
+            if i != j:
+                near &= own[rows, None] != own[None, :]  # pairs of one part are compared in that part's own block
+            count[rows] = np.where(home[rows], near @ n, 0)
+            u, v = np.nonzero(near & (home[rows, None] | home[None, :]))
+            if len(u):
+                held.append(star_links(ids[rows[u]], ids[v]))
+        links = star_links(*map(np.concatenate, zip(*held, strict=True))) if held else ([], [])
+        root = {int(u): int(v) for u, v in zip(*links, strict=True)}
         at = np.flatnonzero((count > 0) | np.isin(ids, list(root)))
         if len(at):
             yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(count[at].astype(np.int64)), pa.array([root.get(int(k), int(k)) for k in ids[at]], pa.int64())], names=["class", "links", "root"])
@@ -105,7 +111,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     components) link with nothing: n_links 0, component their own id.
     Vectors of different lengths never link. Repeated rows count as further vectors.
     """
-    rows = written(vectors.select(col(id_col).cast("long").alias("vec_id"), col(vector_col).alias("vector"), col(label_col).alias("label")), "vectors")
+    rows = written(vectors.select(col(id_col).cast("long").alias("vec_id"), as_floats(col(vector_col), vectors.schema[vector_col].dataType.simpleString()).alias("vector"), col(label_col).alias("label")), "vectors")
     fit = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & usable(F.col("vector"))
     classes = rows.where(fit).groupBy("label", "vector").agg(F.min("vec_id").alias("class"), F.count("*").alias("n"))
     classes = written(classes, "classes")
@@ -120,12 +126,12 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     else:
         placed = _placed(classes, np.ones((1, 1)), 2.0)
     # the label is part of a block's key by its hash: a clash would only compare more, and is undone below
-    placed = placed.withColumn("tag", F.xxhash64("label", F.size("vector")))
+    placed = placed.withColumn("tag", F.xxhash64("label", "size"))
     cuts = written(placed.groupBy("tag", "cell").agg(F.ceil(F.count("*") / TILE).cast("long").alias("cuts")), "cells")
     met = placed.join(cuts, ["tag", "cell"]).withColumn("own", F.pmod(F.xxhash64("class", F.lit("part")), F.col("cuts")))
     dealt = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)))
     tiles = dealt.select("tag", "cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "class", "n", "home", "vector")
-    found = written(by_tile(tiles, ["tag", "cell", "i", "j"], _compared(threshold), "class long, links long, root long"), "links")
+    found = written(by_tile(tiles, ["tag", "cell", "i", "j"], _compared(threshold, rows.schema["vector"].dataType.simpleString()), "class long, links long, root long"), "links")
     roots = connected_components(found.where("class <> root").select(F.col("class").alias("u"), F.col("root").alias("v")))
     counts = found.groupBy("class").agg(F.sum("links").alias("links"))
     named = classes.join(counts, "class", "left").join(roots, F.col("class") == F.col("node"), "left").select(
