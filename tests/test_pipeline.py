@@ -96,14 +96,16 @@ def test_result_files(spark, tables, tmp_path):
     cost = blocks["margin"].first()
     assert cost["cm"] == pytest.approx(cost["net"] - cost["vat_paid"] - cost["cogs"] - cost["comm"] - cost["cargo"] - cost["fees"] - cost["ad_cost"])
     assert blocks["unit_economics"].count() == 4 and blocks["category_margin"].count() == 2
-    picked = {k: blocks[k] for k in ("monthly", "totals", "products", "segments", "pairs", "cohorts", "fulfilment", "returns_by_delivery_time")}
-    paths = sinks.export_results(picked, str(tmp_path / "out"))
-    got = {k: spark.read.json(p) for k, p in paths.items()}
+    assert {"lost_revenue", "run_rate", "category_counts", "last_loads"} <= set(blocks)
+    paths = sinks.export_results(blocks, str(tmp_path / "out"))
+    assert set(paths) == set(blocks)
+    got = {k: spark.read.schema(blocks[k].schema).json(p) for k, p in paths.items()}
+    assert all(got[k].count() == blocks[k].count() for k in ("pairs", "multicolor_models", "categories", "margin_curve", "last_loads"))
     assert {r["month"]: r["pkgs"] for r in got["monthly"].collect()} == {"2026-04": 60, "2026-05": 60, "2026-06": 60}
     assert got["totals"].first()["pk"] == 180 and got["products"].agg(F.max("cum")).first()[0] == pytest.approx(100)
     assert got["fulfilment"].first()["h_ship_med"] == 20.0
-    csvs = sinks.export_csv({"sales_monthly": tables["sales_monthly"]}, str(tmp_path / "csv"))
-    assert glob.glob(f"{csvs['sales_monthly']}/*.csv")
+    csvs = sinks.export_csv(given, str(tmp_path / "csv"))
+    assert set(csvs) == set(given) and all(glob.glob(f"{p}/*.csv") for p in csvs.values())
 
 
 def test_new_files_are_upserted_once(spark, tmp_path):
