@@ -26,6 +26,8 @@ MARKS = {
     "footer", "header", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "popup", "promo", "promotion", "related", "replies", "reply",
     "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "subscription", "toolbar", "widget", "alert", "gdpr", "disqus", "respond",
 }
+# beginnings of such words
+STARTS = ("commentlist", "commentsection", "commentbox", "usercomment", "advert", "cookie", "sidebar", "newsletter", "breadcrumb", "sponsor", "subscri", "navbar", "navig", "masthead", "disqus", "footer")
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "menu", "menubar", "alert", "dialog", "form"}
 CONTENT = {"article", "main"}
 BOXES = ASIDE | CONTENT | {"html", "body", "div", "section", "ul", "ol", "dl", "table", "tr", "td", "th", "tbody", "thead", "figure", "details", "center", "blockquote"}
@@ -39,6 +41,7 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _ATTR = re.compile(r"\b(class|id|role|aria-label|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_CUT_TAG = re.compile(r"<[a-zA-Z/!?][^>]*\Z")
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -61,7 +64,7 @@ def _marked(name: str, attrs: str, inside: bool) -> bool:
             return True
         if what.lower() in ("class", "id") and name not in CONTENT and name not in ("body", "html"):
             words = set(re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", next((v for v in values if v), "")).lower()))
-            if words & (MARKS - {"header"} if inside else MARKS):
+            if words & (MARKS - {"header"} if inside else MARKS) or any(w.startswith(STARTS) for w in words):
                 return True
     return False
 
@@ -121,7 +124,7 @@ def blocks_of(page: str) -> list[Block]:
                 boxes.append((name, True, inside, section))
             elif m["close"] and boxes and boxes[-1][0] == name:
                 boxes.pop()
-    parts.append(page[at:])
+    parts.append(_CUT_TAG.sub("", page[at:]))  # a page may end inside a tag
     end()
     return found
 
