@@ -85,4 +85,17 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_suffix_dedup, op2_ann_forest, op3_embedding_dedup, op4_pack, op5_simhash_groups, op6_mix, op7_hilbert_shards, op8_secret_scan, op9_html_text, op10_language_id,
 )}
-SQL: dict[str, str] = {}
+
+# Only op3 has an SQL form: the others need 64-bit XXH64 or CRC-32, byte windows of every
+# text, tokens, frozen models or random rounding, and are tested against brute force.
+SQL: dict[str, str] = {
+    "op3_embedding_dedup": """
+WITH RECURSIVE usable AS (
+ SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+  AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS u, b.vec_id AS v FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reached AS (SELECT u AS node, u AS root FROM links UNION SELECT l.v, r.root FROM reached r JOIN links l ON l.u = r.node),
+counted AS (SELECT u, count(*) AS n FROM links GROUP BY u), rooted AS (SELECT node, min(root) AS root FROM reached GROUP BY node)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(root, vec_id) AS component_id, vec_id = coalesce(root, vec_id) AS kept
+FROM embeddings LEFT JOIN counted ON u = vec_id LEFT JOIN rooted ON node = vec_id""",
+}

@@ -118,3 +118,18 @@ def test_recall_on_the_test_table(spark, folder):
         hits += len(best & set(found[found["query_id"] == rows["vec_id"][k]]["vec_id"]))
         total += len(best)
     assert hits >= 0.9 * total
+
+
+def test_near_duplicates_match_the_sql(spark, tmp_path):
+    import duckdb
+
+    from bazaarlens.llm.queries import QUERIES, SQL
+
+    seen = set()
+    rows = [r for r in rows_of() if r[0] is not None and not (r[0] in seen or seen.add(r[0]))]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = sorted(con.execute(SQL["op3_embedding_dedup"]).fetchall())
+    got = QUERIES["op3_embedding_dedup"](spark, str(tmp_path)).select("vec_id", "n_links", "component_id", "kept").collect()
+    assert sorted(tuple(r) for r in got) == want and max(r[1] for r in want) > 0
