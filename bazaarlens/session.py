@@ -75,3 +75,9 @@ def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application wrote under the shared folder. Call it when no result that was built is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark).rstrip('/')}/bazaarlens-{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

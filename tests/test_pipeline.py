@@ -5,6 +5,8 @@ import datetime as dt
 import glob
 import json
 import os
+import subprocess
+import sys
 from decimal import Decimal
 
 import pytest
@@ -209,3 +211,18 @@ def ad_totals(spark):
     day = dt.date(2026, 4, 1)
     return spark.createDataFrame([(day, day, "panel", 1000, 100, 10, 5000.0, 400.0, 12.5)], "period_from date, period_to date, source string, "
                                  "impressions bigint, clicks bigint, sales bigint, revenue double, spend double, roas double")
+
+
+def test_scratch_has_a_lifetime(tmp_path):
+    """In a process of its own, as it removes what the application wrote: nothing is left, and a cluster needs a shared folder."""
+    code = """
+import os, sys
+from pyspark.sql import SparkSession
+from bazaarlens import session
+spark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').config('spark.checkpoint.dir', sys.argv[1]).getOrCreate()
+df = session.materialise(spark.range(3), 'x')
+assert df.count() == 3 and os.listdir(sys.argv[1])
+session.clear_scratch(spark)
+assert not [x for x in os.listdir(sys.argv[1]) if x.startswith('bazaarlens')]
+"""
+    subprocess.run([sys.executable, "-c", code, str(tmp_path)], check=True, cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))), timeout=120)
