@@ -24,10 +24,9 @@ COUPON_PRESETS = (
     ("Sepete ekleyenler", 250, 25, 4, 0, 1.5),
     ("Yorum Yap", 250, 25, 8, 0, 2),
 )
-# cancellation and return reasons of the sales report; the marketplace's own name goes into the second one
-REASONS_HEAD = ("Müşterinin İptal Ettiği",)
-REASONS_TAIL = (
-    "Benim İptal Ettiğim", "Modelini Beğenmedim", "Kusurlu Ürün Gönderildi", "Yanlış Ürün Gönderildi", "Vazgeçtim", "Diğer",
+# cancellation and return reasons of the sales report; the marketplace's own name goes where {marketplace} stands
+REASONS = (
+    "Müşterinin İptal Ettiği", "{marketplace}'un İptal Ettiği", "Benim İptal Ettiğim", "Modelini Beğenmedim", "Kusurlu Ürün Gönderildi", "Yanlış Ürün Gönderildi", "Vazgeçtim", "Diğer",
     "Bedeni/Ebatı Küçük Geldi", "Bedeni/Ebatı Büyük Geldi", "Ürün ile Görsel & İçerik Bilgisi Uyuşmuyor",
     "Yanlış Sipariş Verdim", "Kalitesini Beğenmedim", "Teslim Edilemeyen Gönderi", "Gönderi Sevk Edilemedi", "Tazmin",
     "Taşıma Sürecinde İade Edildi", "Oluşmayan Gönderi Kodu", "Tedarik Edilemedi", "Kargo Teslimatı Gecikmesi",
@@ -38,7 +37,7 @@ REASONS_TAIL = (
 
 def cancel_reasons(marketplace: str) -> tuple[str, ...]:
     """The 21 reason headers of a sales report, for the marketplace that wrote it."""
-    return (*REASONS_HEAD, f"{marketplace}'un İptal Ettiği", *REASONS_TAIL)
+    return tuple(r.replace("{marketplace}", marketplace) for r in REASONS)
 
 
 @dataclass(frozen=True)

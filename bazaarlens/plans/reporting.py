@@ -10,7 +10,7 @@ from bazaarlens.functions.timing import in_months, month_of
 from bazaarlens.operators import (
     ads, baskets, category, core, coupons, coverage, customers, demographics, fulfilment, inventory, kpis, margin, products,
 )
-from bazaarlens.params import RETURNED_STATUS, Params, scenario_grid
+from bazaarlens.params import RETURNED_STATUS, Params, cancel_reasons, scenario_grid
 from bazaarlens.session import materialise
 from bazaarlens.sources.tables import MONTH
 
@@ -39,6 +39,8 @@ def result_blocks(tables: dict[str, DataFrame], params: Params = Params(), marke
     """Every block the given tables allow, by name. `names` (code, name) overrides the display names of models."""
     sales, lines, packs = shared_relations(tables, params)
     blocks = order_blocks(sales, lines, packs, params, names)
+    if marketplace:
+        blocks["reasons_wide"] = core.reasons_wide(sales.select("month", "barcode", "reasons"), cancel_reasons(marketplace))
     if "distribution" in tables:
         blocks |= distribution_blocks(tables["distribution"], params, marketplace)
     if "ops_monthly" in tables:

@@ -98,6 +98,7 @@ def test_result_files(spark, tables, tmp_path):
     cost = blocks["margin"].first()
     assert cost["cm"] == pytest.approx(cost["net"] - cost["vat_paid"] - cost["cogs"] - cost["comm"] - cost["cargo"] - cost["fees"] - cost["ad_cost"])
     assert blocks["unit_economics"].count() == 4 and blocks["category_margin"].count() == 2
+    assert {r["Vazgeçtim"] for r in blocks["reasons_wide"].where("barcode = 'b2'").collect()} == {2.0} and len(blocks["reasons_wide"].columns) == 23
     assert {"lost_revenue", "run_rate", "category_counts", "last_loads"} <= set(blocks)
     paths = sinks.export_results(blocks, str(tmp_path / "out"))
     assert set(paths) == set(blocks)
