@@ -63,7 +63,7 @@ def clv(fx: Fixture):
 
 
 def covered(fx: Fixture):
-    return coverage.coverage_by_month(fx.sales_monthly, fx.orders_lite, fx.distribution, fx.store_daily, fx.ops, TODAY)
+    return coverage.coverage_by_month(fx.sales_monthly, fx.orders_lite, fx.written("distribution", lambda: fx.distribution), fx.store_daily, fx.ops, TODAY)
 
 
 def cells(fx: Fixture):
