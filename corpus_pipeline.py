@@ -32,7 +32,7 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     first = F.col("doc_id").eqNullSafe(F.col("component_id"))
     keepers = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max(first).alias("kept"), F.min(F.when(first, F.col("fp"))).alias("of"))
     keepers = written(keepers.where("kept").select(F.col("doc_id").alias("_id"), "rows", "of"), "keepers")
-    met = rows.join(keepers, F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    met = rows.join(keepers.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
     single = met.where("rows = 1").select(*COLUMNS)
     # an id that several rows share: those of the group it stands for, told by their fingerprint, and one of them
     several = simhash.fingerprints(met.where("rows > 1"), shingle=3, keep=("of", *COLUMNS[1:])).where("fp = of")
@@ -55,7 +55,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     mixed = mixing.mix(docs).groupBy("doc_id").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
     times = written(mixed.where("copies > 0").select(F.col("doc_id").alias("_id"), F.ceil(F.col("copies") / F.col("rows")).cast("int").alias("times")), "copies")
-    met = docs.select(*COLUMNS).join(times, F.col("doc_id").eqNullSafe(F.col("_id")))
+    # one row per document: a side that grows with the input is never broadcast, at no size
+    met = docs.select(*COLUMNS).join(times.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")))
     return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*COLUMNS)
 
 
