@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 from bazaarlens.llm.common import col, written
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-SLICE = 1 << 19  # suffixes sorted into runs at a time
-BLOCK = 64  # suffixes of a run that the second pass takes together
+SLICE = 1 << 18  # suffixes sorted into runs at a time
+BLOCK = 64  # suffixes of a run that the first digit takes together
 _LOW = np.uint64((1 << 20) - 1)
 
 
@@ -62,16 +62,16 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(right[:n], left[width - 1 : width - 1 + n])
 
 
-def runs(data: np.ndarray, ends: np.ndarray, threshold: int, gram: int) -> tuple[np.ndarray, ...]:
+def runs(strings: Strings, ends: np.ndarray, threshold: int, gram: int) -> tuple[np.ndarray, ...]:
     """(anchor, place, first, last) of the runs of suffixes in documents laid end to end.
 
-    A suffix's first digit is the least hash among the substrings of `gram` bytes
+    A suffix's anchor is the least hash among the substrings of `gram` bytes
     in its first `threshold` bytes, with its distance from the start: equal
     for all suffixes that agree on those bytes. Neighbouring suffixes mostly share
-    it, and travel as one run. Suffixes shorter than the threshold have none.
+    it, and make a run. Suffixes shorter than the threshold have none.
     """
     width = threshold - gram + 1
-    grams = Strings(data).grams(gram)
+    grams = strings.grams(gram)
     if len(grams) < width:
         return tuple(np.zeros(0, dtype=np.int64) for _ in range(4))
     least = sliding_min((grams & ~_LOW) | np.arange(len(grams), dtype=np.uint64), width)
@@ -87,6 +87,25 @@ def runs(data: np.ndarray, ends: np.ndarray, threshold: int, gram: int) -> tuple
     return grams[place[first]].view(np.int64), place[first], first, last
 
 
+def blocks(data: np.ndarray, ends: np.ndarray, threshold: int, gram: int) -> tuple[np.ndarray, ...]:
+    """(anchor, core, whole, first, last) of the blocks that runs are cut into, by distance from the anchor, `BLOCK` suffixes to a full one.
+
+    `core` is the hash of the bytes that all suffixes of a full block share,
+    `whole` that of all bytes of the block as it is, with its place.
+    """
+    strings = Strings(data)
+    anchor, place, first, last = runs(strings, ends, threshold, gram)
+    near, far = (place - last) // BLOCK, (place - first) // BLOCK
+    n = far - near + 1
+    run = np.repeat(np.arange(len(n)), n)
+    number = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + near[run]
+    top = place[run] - BLOCK * number  # the block's last possible suffix
+    a, b = np.maximum(first[run], top - BLOCK + 1), np.minimum(last[run], top)
+    core = strings.hash(top, threshold - BLOCK + 1) + mixed(number.view(np.uint64))
+    whole = strings.hash(a, b - a + threshold) + mixed(((top - a) * 1000 + (top - b)).view(np.uint64))
+    return anchor[run], core.view(np.int64), whole.view(np.int64), a, b
+
+
 def _slices(batch: pa.RecordBatch, at: int, threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(bytes, ends, row, offset in the row's text): documents laid end to end up to a size, long ones in overlapping parts."""
     parts, rows, offsets, size = [], [], [], 0
@@ -111,17 +130,17 @@ def _first_pass(docs: DataFrame, threshold: int, gram: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data, ends, rows, offsets in _slices(batch, 2, threshold):
-                anchor, place, first, last = runs(data, ends, threshold, gram)
+                anchor, core, whole, first, last = blocks(data, ends, threshold, gram)
                 owner = np.searchsorted(ends, first, side="right")
                 shift = offsets[owner] - np.concatenate([[0], ends[:-1]])[owner]
                 at = pa.array(rows[owner])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(at), batch.column(1).take(at), pa.array(anchor), *[pa.array(x + shift) for x in (place, first, last)]],
-                    names=["id", "tk", "anchor", "place", "first", "last"],
+                    [batch.column(0).take(at), batch.column(1).take(at), *[pa.array(x) for x in (anchor, core, whole)], *[pa.array((x + shift).astype(np.int32)) for x in (first, last)]],
+                    names=["id", "tk", "anchor", "core", "whole", "first", "last"],
                 )
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(work, f"id {kind}, tk long, anchor long, place long, first long, last long")
+    return docs.mapInArrow(work, f"id {kind}, tk long, anchor long, core long, whole long, first int, last int")
 
 
 def _listed(batch: pa.RecordBatch, names: list[str]) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -137,8 +156,8 @@ def _bytes(batch: pa.RecordBatch, at: int, row: int) -> np.ndarray:
     return np.frombuffer(batch.column(at)[row].as_buffer(), dtype=np.uint8)
 
 
-def _parts(data: np.ndarray, first: np.ndarray, last: np.ndarray, lead: int, tail: int) -> Iterator[tuple[int, np.ndarray, Strings]]:
-    """(shift, which, hashes): a long text in parts, each with what starts in it and room on both sides."""
+def _parts(data: np.ndarray, first: np.ndarray, last: np.ndarray, tail: int) -> Iterator[tuple[int, np.ndarray, Strings]]:
+    """(shift, which, hashes): a long text in parts, each with what starts in it and room after that."""
     step = SLICE
     if len(data) <= 2 * step:
         yield 0, np.arange(len(first)), Strings(data)
@@ -146,43 +165,7 @@ def _parts(data: np.ndarray, first: np.ndarray, last: np.ndarray, lead: int, tai
     for begin in range(0, len(data), step):
         which = np.flatnonzero((first >= begin) & (first < begin + step))
         if len(which):
-            low = max(0, begin - lead)
-            yield low, which, Strings(data[low : int(last[which].max()) + tail])
-
-
-def _second_pass(met: DataFrame, threshold: int) -> DataFrame:
-    """Runs cut into blocks: (id, tk, anchor, core, whole, first, last).
-
-    `core` is the second digit: the bytes that all suffixes of a full block
-    share; `whole` covers all bytes of the block as it is, and its place.
-    """
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            owners, out = [], [[], [], [], [], []]
-            for k, (anchor, place, first, last) in _listed(batch, ["anchor", "place", "first", "last"]):
-                if not len(anchor):
-                    continue
-                data = _bytes(batch, 2, k)
-                near, far = (place - last) // BLOCK, (place - first) // BLOCK
-                n = far - near + 1
-                run = np.repeat(np.arange(len(n)), n)
-                number = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + near[run]
-                top = place[run] - BLOCK * number  # the block's last possible suffix
-                a, b = np.maximum(first[run], top - BLOCK + 1), np.minimum(last[run], top)
-                for low, which, strings in _parts(data, a, b, BLOCK, 2 * threshold):
-                    x, y, t = a[which] - low, b[which] - low, top[which] - low
-                    core = strings.hash(t, threshold - BLOCK + 1) + mixed(number[which].view(np.uint64))
-                    whole = strings.hash(x, y - x + threshold) + mixed(((t - x) * 1000 + (t - y)).view(np.uint64))
-                    owners.append(np.full(len(which), k))
-                    for c, values in zip(out, (anchor[run[which]], core.view(np.int64), whole.view(np.int64), a[which], b[which]), strict=True):
-                        c.append(values)
-            if owners:
-                at = pa.array(np.concatenate(owners))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *[pa.array(np.concatenate(c)) for c in out]], names=["id", "tk", "anchor", "core", "whole", "first", "last"])
-
-    kind = met.schema["id"].dataType.simpleString()
-    return met.mapInArrow(work, f"id {kind}, tk long, anchor long, core long, whole long, first long, last long")
+            yield begin, which, Strings(data[begin : int(last[which].max()) + tail])
 
 
 def _last_pass(met: DataFrame, threshold: int) -> DataFrame:
@@ -192,7 +175,7 @@ def _last_pass(met: DataFrame, threshold: int) -> DataFrame:
         for batch in batches:
             for k, (anchor, first, last, alone) in _listed(batch, ["anchor", "first", "last", "alone"]):
                 data = _bytes(batch, 2, k)
-                for low, which, strings in _parts(data, first, last, 0, 2 * threshold):
+                for low, which, strings in _parts(data, first, last, threshold):
                     n = last[which] - first[which] + 1
                     block = np.repeat(which, n)
                     at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[block]
@@ -215,15 +198,11 @@ def _with_text(docs: DataFrame, items: DataFrame, names: list[str], how: str = "
 
 def repeated_spans(docs: DataFrame, threshold: int = 400, gram: int = 128) -> DataFrame:
     """(id, tk, first, last): suffixes first to last of a document whose first `threshold` bytes start somewhere else, too. See `dedup`."""
-    found = written(_first_pass(docs, threshold, gram), "runs")
-    shared = written(found.groupBy("anchor").count().where("count > 1").select(F.col("anchor").alias("_a")), "anchors")
-    left = found.join(shared, F.col("anchor") == F.col("_a")).drop("_a")
-
-    blocks = written(_second_pass(_with_text(docs, left, ["anchor", "place", "first", "last"]), threshold), "blocks")
+    found = written(_first_pass(docs, threshold, gram), "blocks")
     keys = ["anchor", "core"]
-    groups = blocks.groupBy(*keys).agg(F.count("*").alias("n"), F.min("whole").alias("a"), F.max("whole").alias("b")).where("n > 1")
+    groups = found.groupBy(*keys).agg(F.count("*").alias("n"), F.min("whole").alias("a"), F.max("whole").alias("b")).where("n > 1")
     groups = written(groups.select(F.col("anchor").alias("_a"), F.col("core").alias("_c"), (F.col("a") == F.col("b")).alias("same")), "groups")
-    met = written(blocks.join(groups, (F.col("anchor") == F.col("_a")) & (F.col("core") == F.col("_c"))).drop("_a", "_c"), "met")
+    met = written(found.join(groups, (F.col("anchor") == F.col("_a")) & (F.col("core") == F.col("_c"))).drop("_a", "_c"), "met")
     spans = met.where("same").select("id", "tk", "first", "last")
 
     # blocks that differ beyond the core: equal ones are classes, one of each is opened
@@ -238,7 +217,7 @@ def repeated_spans(docs: DataFrame, threshold: int = 400, gram: int = 128) -> Da
     ends = suffixes.groupBy("anchor", "string").count().where("count > 1")
     ends = written(ends.select(F.col("anchor").alias("_a"), F.col("string").alias("_s")), "ends")
     alone = suffixes.where("alone").join(ends, (F.col("anchor") == F.col("_a")) & (F.col("string") == F.col("_s")))
-    return spans.unionByName(alone.select("id", "tk", F.col("at").alias("first"), F.col("at").alias("last")))
+    return spans.unionByName(alone.select("id", "tk", F.col("at").cast("int").alias("first"), F.col("at").cast("int").alias("last")))
 
 
 def _cut(threshold: int, kept_text: bool):
@@ -283,10 +262,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each row, after cutting every byte of a string of `threshold` bytes that also starts anywhere else.
 
     The suffixes of all texts (UTF-8, never across documents) are sorted by the digits of a radix sort
-    that stops at the threshold. The first digit is the least substring
-    hash within it and its distance (`runs`), so about every 137 neighbouring suffixes are one row; runs
-    alone with their anchor are unique and drop out. The second digit is
-    the 337 bytes that the suffixes of a block of 64 share; blocks alone drop out,
+    that stops at the threshold. The first digit is taken for up to 64 neighbouring
+    suffixes at a time, a block: the least substring hash within the threshold and its distance (`runs`), and the 337 bytes that
+    the block's suffixes share (`blocks`). Blocks alone with their digit are unique and drop out,
     and blocks equal in all bytes are repeated as a whole. What is left lies at the ends of
     repeated passages: one block of each kind is opened, and the last
     digit, all bytes up to the threshold, decides each suffix. Groups are
@@ -300,6 +278,6 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
     text = F.coalesce(col(text_col).cast("string"), F.lit("")).cast("binary")
     rows = docs.select(col(id_col).alias("id"), F.xxhash64(text).alias("tk"), text.alias("text"))
     spans = repeated_spans(rows, threshold, gram)
-    met = _with_text(rows, spans, ["first", "last"], "left").withColumn("list", F.coalesce("list", F.expr("cast(array() as array<struct<first:bigint,last:bigint>>)")))
+    met = _with_text(rows, spans, ["first", "last"], "left").withColumn("list", F.coalesce("list", F.expr("cast(array() as array<struct<first:int,last:int>>)")))
     schema = f"doc_id {rows.schema['id'].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return met.mapInArrow(_cut(threshold, kept_text), schema + ", kept binary, starts array<long>, ends array<long>" * kept_text)

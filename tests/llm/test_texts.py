@@ -35,10 +35,13 @@ def brute_repeats(texts, threshold):
     return out
 
 
-@pytest.mark.parametrize("threshold,gram", [(400, 128), (150, 40)])
-def test_suffix_dedup_matches_brute_force(spark, threshold, gram):
+@pytest.mark.parametrize("threshold,gram,cut", [(400, 128, 1 << 18), (150, 40, 600)])
+def test_suffix_dedup_matches_brute_force(spark, monkeypatch, threshold, gram, cut):
+    from bazaarlens.llm import suffix_dedup
     from bazaarlens.llm.suffix_dedup import dedup
 
+    monkeypatch.setattr(suffix_dedup, "SLICE", cut)  # the small one: texts in overlapping parts
+
     rows = awkward()
     # one edit inside a long copy, a copy inside its own document, and a period
     long = rows[10][1]
@@ -63,7 +66,7 @@ def test_suffix_runs_cross_slices(monkeypatch):
 
     rng = np.random.default_rng(0)
     data = rng.integers(97, 101, 5000).astype(np.uint8)
-    whole = S.runs(data, np.array([5000]), 200, 50)
+    whole = S.runs(S.Strings(data), np.array([5000]), 200, 50)
     assert whole[2][0] == 0 and whole[3][-1] == 4800 and (whole[2][1:] == whole[3][:-1] + 1).all()
     assert ((whole[1] >= whole[3]) & (whole[1] + 50 <= whole[2] + 200)).all()  # the anchor lies in every suffix of its run
 
