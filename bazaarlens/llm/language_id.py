@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from bazaarlens.llm.common import col
+from bazaarlens.llm.common import col, written
 
 START = 256  # stands in contexts for the places before a document's first byte
 SLICE = 1 << 20  # bytes scored at a time
@@ -133,10 +133,15 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     """
     rows = labelled.select(col(id_col).alias("id"), col(lang_col).cast("string").alias("lang"), col(text_col).cast("string").alias("text"))
     rows = rows.where("lang is not null and text is not null").withColumn("h", F.xxhash64(F.col("id").cast("string"), F.lit("sample")))
+    # hashes are even, so a share of their range well above the wanted one holds the least ones; the exact cut follows
+    sizes = written(rows.groupBy("lang").agg(F.count("*").alias("n")).select(F.col("lang").alias("of"), "n"), "languages")
+    share = (F.col("h").cast("double") / F.lit(2.0**64) + 0.5) * F.col("n")
+    some = rows.select("lang", "h", "id").join(sizes, F.col("lang") == F.col("of")).where(share <= 4 * sample_docs + 64).drop("of", "n")
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
-    picked = rows.select("lang", "h", "id").withColumn("r", place).where(F.col("r") <= sample_docs)
+    picked = some.withColumn("r", place).where(F.col("r") <= sample_docs)
     last = picked.groupBy("lang").agg(F.max("h").alias("last")).select(F.col("lang").alias("of"), "last")
     # one bound per language; repeated ids share a hash and come along
+    # one row per language, as many as models that come to the driver
     taught = rows.join(F.broadcast(last), (F.col("lang") == F.col("of")) & (F.col("h") <= F.col("last")))
     by: dict[str, list] = {}
     for r in _counts(taught).collect():
@@ -146,7 +151,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
 
 def predict(docs: DataFrame, models: PpmModels, text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """lang_pred and score for each row, after the columns of `keep`; the text is the only input.
+    """lang_pred and score for each row, after the columns of `keep`; the text is the only input, and is sent to a worker once.
 
     The language whose statistics code the whole text in the fewest bits wins,
     ties to the first by code point; score is its share of the chances of all
@@ -166,13 +171,14 @@ def predict(docs: DataFrame, models: PpmModels, text_col: str = "text", keep: tu
                 gap = bits - bits.min(axis=1, keepdims=True)
                 pred[rows] = np.array(models.langs, dtype=object)[best]
                 score[rows] = 1 / np.exp2(-np.minimum(gap, 1000)).sum(axis=1)
-            kept = [batch.column(k) for k in range(batch.num_columns - 2)]
+            others = iter(range(batch.num_columns - 2))
+            kept = [texts if c == text_col else batch.column(next(others)) for c in keep]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(pred, pa.string()), pa.array(score)], names=[*keep, "lang_pred", "score"])
 
     text = col(text_col).cast("string")
     asked = F.coalesce(F.rlike(text, F.lit(r"\p{L}")), F.lit(False))
-    bare = docs.select(*[col(c) for c in keep], text.alias("_text"), asked.alias("_ask"))
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in bare.schema.fields[: len(keep)]]
+    bare = docs.select(*[col(c) for c in keep if c != text_col], text.alias("_text"), asked.alias("_ask"))
+    kinds = [f"`{c}` {'string' if c == text_col else docs.schema[c].dataType.simpleString()}" for c in keep]
     return bare.mapInArrow(run, ", ".join([*kinds, "lang_pred string", "score double"]))
 
 
@@ -184,6 +190,7 @@ def held_out(doc_id: Column) -> Column:
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", keep: tuple[str, ...] = ()) -> DataFrame:
     """Learns from the documents that are not held out and predicts all of them: id, held_out, lang_pred, score, and `keep`."""
     models = train(docs.where(~held_out(col(id_col))), id_col, text_col, lang_col)
-    named = docs.select(col(id_col).alias("doc_id"), held_out(col(id_col)).alias("held_out"), col(text_col).alias("_whole"), *[col(c).alias(f"_k_{c}") for c in keep])
-    out = predict(named, models, "_whole", ("doc_id", "held_out", *[f"_k_{c}" for c in keep]))
-    return out.select("doc_id", "held_out", "lang_pred", "score", *[F.col(f"_k_{c}").alias(c) for c in keep])
+    named = docs.select(col(id_col).alias("doc_id"), held_out(col(id_col)).alias("held_out"), col(text_col).alias("_whole"), *[col(c).alias(f"_k_{c}") for c in keep if c != text_col])
+    own = {c: "_whole" if c == text_col else f"_k_{c}" for c in keep}
+    out = predict(named, models, "_whole", ("doc_id", "held_out", *own.values()))
+    return out.select("doc_id", "held_out", "lang_pred", "score", *[col(own[c]).alias(c) for c in keep])
