@@ -115,7 +115,7 @@ def labelled_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.concat_ws("_", F.lower("a"), F.lower("b"), F.lower("c")), F.concat(F.lower("a"), F.initcap("b"), F.initcap("c"), small),
         F.concat_ws("-", F.lower("a"), F.lower("b"), year), F.concat_ws("/", F.lit(""), F.lower("a"), F.lower("b"), F.lower("c")),
         F.concat_ws("_", F.upper("a"), F.upper("b"), small), F.concat_ws("-", year, F.format_string("%02d", F.col("i") % 12 + 1), F.format_string("%02d", F.col("i") % 28 + 1)),
-        F.concat(F.lit("="), F.lower("a"), F.lit("="), small),
+        F.concat(F.lit("="), F.lower("a"), F.lit("="), small), F.concat(F.lower("a"), year, F.format_string("%02d%02d", F.col("i") % 12 + 1, F.col("i") % 28 + 1), F.lower("b")),
     )
     return random, part.select(F.explode(forms).alias("s"))
 
