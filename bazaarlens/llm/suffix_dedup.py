@@ -88,10 +88,10 @@ def runs(strings: Strings, ends: np.ndarray, threshold: int, gram: int) -> tuple
 
 
 def blocks(data: np.ndarray, ends: np.ndarray, threshold: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(anchor, core, whole, first, last) of the blocks that runs are cut into, by distance from the anchor, `BLOCK` suffixes to a full one.
+    """(digit, whole, first, last) of the blocks that runs are cut into, by distance from the anchor, `BLOCK` suffixes to a full one.
 
-    `core` is the hash of the bytes that all suffixes of a full block share,
-    `whole` that of all bytes of the block as it is, with its place.
+    `digit` is a hash of the anchor, the distance, and the bytes that all suffixes of a full block
+    share, `whole` one of all bytes of the block as it is, with its place.
     """
     strings = Strings(data)
     anchor, place, first, last = runs(strings, ends, threshold, gram)
@@ -103,7 +103,8 @@ def blocks(data: np.ndarray, ends: np.ndarray, threshold: int, gram: int) -> tup
     a, b = np.maximum(first[run], top - BLOCK + 1), np.minimum(last[run], top)
     core = strings.hash(top, threshold - BLOCK + 1) + mixed(number.view(np.uint64))
     whole = strings.hash(a, b - a + threshold) + mixed(((top - a) * 1000 + (top - b)).view(np.uint64))
-    return anchor[run], core.view(np.int64), whole.view(np.int64), a, b
+    digit = mixed(core + BASE * anchor[run].view(np.uint64))
+    return digit.view(np.int64), whole.view(np.int64), a, b
 
 
 def _slices(batch: pa.RecordBatch, at: int, threshold: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -130,17 +131,17 @@ def _first_pass(docs: DataFrame, threshold: int, gram: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data, ends, rows, offsets in _slices(batch, 2, threshold):
-                anchor, core, whole, first, last = blocks(data, ends, threshold, gram)
+                digit, whole, first, last = blocks(data, ends, threshold, gram)
                 owner = np.searchsorted(ends, first, side="right")
                 shift = offsets[owner] - np.concatenate([[0], ends[:-1]])[owner]
                 at = pa.array(rows[owner])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(at), batch.column(1).take(at), *[pa.array(x) for x in (anchor, core, whole)], *[pa.array((x + shift).astype(np.int32)) for x in (first, last)]],
-                    names=["id", "tk", "anchor", "core", "whole", "first", "last"],
+                    [batch.column(0).take(at), batch.column(1).take(at), pa.array(digit), pa.array(whole), *[pa.array((x + shift).astype(np.int32)) for x in (first, last)]],
+                    names=["id", "tk", "digit", "whole", "first", "last"],
                 )
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(work, f"id {kind}, tk long, anchor long, core long, whole long, first int, last int")
+    return docs.mapInArrow(work, f"id {kind}, tk long, digit long, whole long, first int, last int")
 
 
 def _listed(batch: pa.RecordBatch, names: list[str]) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -169,11 +170,11 @@ def _parts(data: np.ndarray, first: np.ndarray, last: np.ndarray, tail: int) ->
 
 
 def _last_pass(met: DataFrame, threshold: int) -> DataFrame:
-    """Blocks opened into suffixes: (id, tk, anchor, string, at, alone); `string` is the last digit, all bytes up to the threshold."""
+    """Blocks opened into suffixes: (id, tk, digit, string, at, alone); `string` is the last digit, all bytes up to the threshold."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, (anchor, first, last, alone) in _listed(batch, ["anchor", "first", "last", "alone"]):
+            for k, (digit, first, last, alone) in _listed(batch, ["digit", "first", "last", "alone"]):
                 data = _bytes(batch, 2, k)
                 for low, which, strings in _parts(data, first, last, threshold):
                     n = last[which] - first[which] + 1
@@ -182,12 +183,12 @@ def _last_pass(met: DataFrame, threshold: int) -> DataFrame:
                     owner = pa.array(np.full(len(at), k))
                     string = strings.hash(at - low, threshold).view(np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(owner), batch.column(1).take(owner), pa.array(anchor[block]), pa.array(string), pa.array(at), pa.array(alone[block])],
-                        names=["id", "tk", "anchor", "string", "at", "alone"],
+                        [batch.column(0).take(owner), batch.column(1).take(owner), pa.array(digit[block]), pa.array(string), pa.array(at), pa.array(alone[block])],
+                        names=["id", "tk", "digit", "string", "at", "alone"],
                     )
 
     kind = met.schema["id"].dataType.simpleString()
-    return met.mapInArrow(work, f"id {kind}, tk long, anchor long, string long, at long, alone boolean")
+    return met.mapInArrow(work, f"id {kind}, tk long, digit long, string long, at long, alone boolean")
 
 
 def _with_text(docs: DataFrame, items: DataFrame, names: list[str], how: str = "inner") -> DataFrame:
@@ -199,24 +200,22 @@ def _with_text(docs: DataFrame, items: DataFrame, names: list[str], how: str = "
 def repeated_spans(docs: DataFrame, threshold: int = 400, gram: int = 128) -> DataFrame:
     """(id, tk, first, last): suffixes first to last of a document whose first `threshold` bytes start somewhere else, too. See `dedup`."""
     found = written(_first_pass(docs, threshold, gram), "blocks")
-    keys = ["anchor", "core"]
-    groups = found.groupBy(*keys).agg(F.count("*").alias("n"), F.min("whole").alias("a"), F.max("whole").alias("b")).where("n > 1")
-    groups = written(groups.select(F.col("anchor").alias("_a"), F.col("core").alias("_c"), (F.col("a") == F.col("b")).alias("same")), "groups")
-    met = written(found.join(groups, (F.col("anchor") == F.col("_a")) & (F.col("core") == F.col("_c"))).drop("_a", "_c"), "met")
+    groups = found.groupBy("digit").agg(F.count("*").alias("n"), F.min("whole").alias("a"), F.max("whole").alias("b")).where("n > 1")
+    groups = written(groups.select(F.col("digit").alias("_d"), (F.col("a") == F.col("b")).alias("same")), "groups")
+    met = written(found.join(groups, F.col("digit") == F.col("_d")).drop("_d"), "met")
     spans = met.where("same").select("id", "tk", "first", "last")
 
-    # blocks that differ beyond the core: equal ones are classes, one of each is opened
+    # blocks that differ beyond the digit: equal ones are classes, one of each is opened
     mixed_up = met.where("not same")
-    kinds = mixed_up.groupBy(*keys, "whole").agg(F.count("*").alias("n"), F.min(F.struct("id", "tk", "first", "last")).alias("one"))
+    kinds = mixed_up.groupBy("digit", "whole").agg(F.count("*").alias("n"), F.min(F.struct("id", "tk", "first", "last")).alias("one"))
     kinds = written(kinds, "kinds")
-    many = written(kinds.where("n > 1").select(F.col("anchor").alias("_a"), F.col("core").alias("_c"), F.col("whole").alias("_w")), "many")
-    same = (F.col("anchor") == F.col("_a")) & (F.col("core") == F.col("_c")) & (F.col("whole") == F.col("_w"))
-    spans = spans.unionByName(mixed_up.join(many, same).select("id", "tk", "first", "last"))
-    opened = kinds.select("one.*", "anchor", (F.col("n") == 1).alias("alone"))
-    suffixes = written(_last_pass(_with_text(docs, opened, ["anchor", "first", "last", "alone"]), threshold), "suffixes")
-    ends = suffixes.groupBy("anchor", "string").count().where("count > 1")
-    ends = written(ends.select(F.col("anchor").alias("_a"), F.col("string").alias("_s")), "ends")
-    alone = suffixes.where("alone").join(ends, (F.col("anchor") == F.col("_a")) & (F.col("string") == F.col("_s")))
+    many = written(kinds.where("n > 1").select(F.col("digit").alias("_d"), F.col("whole").alias("_w")), "many")
+    spans = spans.unionByName(mixed_up.join(many, (F.col("digit") == F.col("_d")) & (F.col("whole") == F.col("_w"))).select("id", "tk", "first", "last"))
+    opened = kinds.select("one.*", "digit", (F.col("n") == 1).alias("alone"))
+    suffixes = written(_last_pass(_with_text(docs, opened, ["digit", "first", "last", "alone"]), threshold), "suffixes")
+    ends = suffixes.groupBy("digit", "string").count().where("count > 1")
+    ends = written(ends.select(F.col("digit").alias("_d"), F.col("string").alias("_s")), "ends")
+    alone = suffixes.where("alone").join(ends, (F.col("digit") == F.col("_d")) & (F.col("string") == F.col("_s")))
     return spans.unionByName(alone.select("id", "tk", F.col("at").cast("int").alias("first"), F.col("at").cast("int").alias("last")))
 
 
