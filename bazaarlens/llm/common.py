@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from bazaarlens.session import scratch_path
 
@@ -35,8 +35,8 @@ def ranked(df: DataFrame, order: list[str], within: list[str] = (), rank: str =
     `within` must be a prefix of `order`. Rows are range partitioned on all of
     `order`, so a hot value of `within` spreads over many tasks; each slice
     numbers its own rows, and is shifted by the row counts of the slices before
-    it. The table of shifts has a row per slice and per value of `within` at
-    most one more per slice boundary. Null sorts first; ties are interchangeable.
+    it. The table of shifts has a row per slice and value of `within` in it; without
+    `within`, it is as long as there are shuffle partitions. Null sorts first; ties are interchangeable.
     """
     spark = df.sparkSession
     keys = [col(c) for c in order]
@@ -47,8 +47,6 @@ def ranked(df: DataFrame, order: list[str], within: list[str] = (), rank: str =
     counts = rows.groupBy("_slice", *by).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
     counts = written(counts, f"{name}-slices")
     if within:
-        from pyspark.sql import Window
-
         before = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
         counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     else:
@@ -58,7 +56,6 @@ def ranked(df: DataFrame, order: list[str], within: list[str] = (), rank: str =
             shifts.append((at, total, first))
             total += n
         counts = spark.createDataFrame(shifts, "_slice long, _before long, _first long")
-    same = F.lit(True)
     shift = counts.select(F.col("_slice").alias("_s"), "_before", "_first", *[col(c).alias(f"_w{k}") for k, c in enumerate(within)])
     same = F.col("_slice") == F.col("_s")
     for k, c in enumerate(within):

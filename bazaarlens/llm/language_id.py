@@ -71,7 +71,7 @@ class PpmModels:
         starts = np.concatenate([[0], np.cumsum(sizes + 2)[:-1]]) + 2
         data = self._symbol[np.frombuffer(b"\0\0" + b"\0\0".join(texts), dtype=np.uint8)]
         data[starts - 2] = data[starts - 1] = pad
-        out, width = np.zeros((len(texts), len(self.langs))), len(self._symbol) and self._tables[0].shape[1]
+        out, width = np.zeros((len(texts), len(self.langs))), self._tables[0].shape[1]
         full = np.flatnonzero(sizes)
         if not len(full):
             return out
