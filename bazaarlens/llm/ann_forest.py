@@ -13,6 +13,7 @@ from bazaarlens.llm.vectors import as_floats, by_tile, matrix, packed, unpacked,
 
 POINTS, ASKED = 1024, 256  # points and queries that meet in one block
 FINE = 8  # rotated axes that the letters after the first choose from
+SAMPLE, RECALL = 128, 0.95  # queries that recall is measured on, and the share of their neighbours to be met
 
 
 class Forest:
@@ -97,6 +98,65 @@ def _least(far: np.ndarray, names: np.ndarray, k: int) -> np.ndarray:
     return near[np.lexsort((names[near], far[near]))][:k]
 
 
+def _true_nearest(classes: DataFrame, names: np.ndarray, asked: np.ndarray, k: int) -> DataFrame:
+    """(query, class, score): the `k` nearest other points of each of a few queries, by comparing all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, far = np.empty((len(names), 0), dtype=np.int64), np.empty((len(names), 0))
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                points, x = part.column(0).to_numpy(zero_copy_only=False), matrix(part.column(1))
+                gap = np.maximum((asked * asked).sum(axis=1)[:, None] + (x * x).sum(axis=1) - 2 * asked @ x.T, 0)
+                gap[names[:, None] == points] = np.inf
+                ids, far = np.concatenate([ids, np.broadcast_to(points, gap.shape)], axis=1), np.concatenate([far, gap], axis=1)
+                if far.shape[1] > k:
+                    best = np.argpartition(far, k - 1, axis=1)[:, :k]
+                    ids, far = np.take_along_axis(ids, best, axis=1), np.take_along_axis(far, best, axis=1)
+        row, at = np.nonzero(np.isfinite(far))
+        yield pa.RecordBatch.from_arrays([pa.array(names[row]), pa.array(ids[row, at]), pa.array(far[row, at])], names=["query", "class", "score"])
+
+    found = classes.select("class", "vector").mapInArrow(run, "query long, class long, score double")
+    place = F.row_number().over(Window.partitionBy("query").orderBy("score", "class"))
+    return found.withColumn("r", place).where(F.col("r") <= k).drop("r")
+
+
+def _points_needed(found: np.ndarray, reached: np.ndarray, least: float) -> float:
+    """The smallest count from `least` on at which queries that stop there reach `RECALL` of their neighbours on average.
+
+    Both arrays are (query, length): points met and share of the true neighbours among them.
+    """
+    for limit in [least, *np.unique(found[found >= least] + 1).tolist()]:
+        fits = found >= limit
+        fits[:, 0] = True  # the empty prefix, which meets all
+        stop = fits.shape[1] - 1 - fits[:, ::-1].argmax(axis=1)
+        if not len(found) or reached[np.arange(len(found)), stop].mean() >= RECALL:
+            break
+    return limit
+
+
+def _measured(classes: DataFrame, asking: DataFrame, met: DataFrame, forest: Forest, k: int, least: float) -> float:
+    """The points that a query must meet, from the recall of each prefix length on at most `SAMPLE` queries."""
+    sample = asking.orderBy(F.xxhash64("class"), "class").select("class", "vector").limit(SAMPLE).collect()
+    if not sample:
+        return least
+    names, asked = np.array([r[0] for r in sample], dtype=np.int64), np.array([r[1] for r in sample], dtype=np.float64)
+    row = {n: at for at, n in enumerate(names.tolist())}
+    near = written(_true_nearest(classes, names, asked, k), "true")
+    pairs = near.join(classes.select("class", "vector"), "class").select("query", "vector").collect()  # at most `SAMPLE` times `k`
+    found = np.zeros((len(names), forest.letters + 1))
+    for r in met.where(F.col("class").isin(list(row))).collect():
+        found[row[r["class"]], r["length"]] = r["found"]
+    hits, total = np.zeros(found.shape), np.zeros(len(names))
+    if pairs:
+        of = np.array([row[r[0]] for r in pairs])
+        same = forest.strings(asked)[of] == forest.strings(np.array([r[1] for r in pairs], dtype=np.float64))
+        depth = np.cumprod(same, axis=2).sum(axis=2).max(axis=1)  # the longest prefix shared in any tree
+        np.add.at(hits, of, depth[:, None] >= np.arange(forest.letters + 1))
+        np.add.at(total, of, 1)
+    return _points_needed(found, np.where(total[:, None] > 0, hits / np.maximum(total, 1)[:, None], 1.0), least)
+
+
 def search(
     vectors: DataFrame, is_query: Column | None = None, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", trees: int = 64, letters: int = 5, effort: float = 11.0,
 ) -> DataFrame:
@@ -104,8 +164,10 @@ def search(
 
     Every tree has all points by their hash strings. A query descends in all
     trees to its longest matching prefixes, then ascends in all of them at once, a
-    letter at a time, until the points that share the prefix are `effort` times
-    the 0.6th power of all points, or more, and `k` at least; the empty prefix has them all. Counts of points per prefix decide
+    letter at a time, until the points that share the prefix are enough; the empty prefix has them all.
+    Enough is what a sample of at most `SAMPLE` queries needs to meet `RECALL` of their true
+    neighbours, which all points are compared for, and at least `effort` times
+    the 0.6th power of all points, and `k`. Counts of points per prefix decide
     this, only for the prefixes that queries have. What is found is scored by the exact
     distance, in blocks of at most about `POINTS` points and `ASKED` queries, of which the best leave.
 
@@ -135,6 +197,8 @@ def search(
     counts = _keyed(classes, forest, list(range(letters + 1)), False).groupBy(*keys).agg(F.count("*").alias("points"))
     sized = written(present.join(counts, keys), "buckets")
     met = wanted.join(sized, keys).groupBy("class", "length").agg((F.sum("points") - F.when(F.col("length") > 0, trees).otherwise(1)).alias("found"))  # without itself
+    met = written(met, "met")
+    enough = _measured(classes, asking, met, forest, k, enough)
     stop = met.where((F.col("found") >= enough) | (F.col("length") == 0)).groupBy("class").agg(F.max("length").alias("length"))
     stop = written(stop, "stops")
     used = wanted.join(stop, ["class", "length"])

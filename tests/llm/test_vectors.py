@@ -89,6 +89,33 @@ def test_search_is_exact_with_enough_effort_and_good_without(spark):
     assert hits >= 0.9 * sum(len(f) for f in want.values())
 
 
+def test_the_stop_follows_recall(spark, monkeypatch):
+    """Vectors without structure, of which the floor of points alone would stop at prefixes that miss most neighbours."""
+    from bazaarlens.llm import ann_forest as A
+
+    x = np.random.default_rng(1).normal(size=(4000, 64)).astype(np.float32)
+    keyed, lengths = A._keyed, set()
+    monkeypatch.setattr(A, "_keyed", lambda points, forest, of, vectors: (lengths.update(of if vectors else ()), keyed(points, forest, of, vectors))[1])
+    found = {(r["query_id"], r["vec_id"]) for r in A.search(frame(spark, [(k, v.tolist(), 0) for k, v in enumerate(x)]), k=2, letters=3, effort=0.5).collect()}
+    assert lengths and 0 not in lengths  # not by comparing all
+    hits = 0
+    for q in range(0, 4000, 100):
+        far = ((x - x[q]) ** 2).sum(axis=1)
+        far[q] = np.inf
+        hits += sum((q, int(n)) in found for n in np.argsort(far)[:2])
+    assert hits >= 0.9 * 2 * 40
+
+
+def test_points_needed():
+    from bazaarlens.llm.ann_forest import _points_needed
+
+    found = np.array([[99.0, 50, 10], [99.0, 40, 12]])
+    assert _points_needed(found, np.ones((2, 3)), 5) == 5  # the floor reaches it
+    assert _points_needed(found, np.array([[1.0, 1, 0.5]] * 2), 5) == 13  # one letter for both
+    assert _points_needed(found, np.array([[1.0, 0.5, 0.5]] * 2), 5) == 51  # all points
+    assert _points_needed(np.zeros((0, 3)), np.zeros((0, 3)), 5) == 5
+
+
 def test_few_candidates_and_none(spark):
     from bazaarlens.llm.ann_forest import search
     from bazaarlens.llm.embedding_dedup import near_duplicates
