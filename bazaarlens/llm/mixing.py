@@ -100,7 +100,7 @@ def _rounded(finish: bool):
 
 def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-    weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: str = "mix",
+    weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: str = "mix", tag_col: str | None = None,
 ) -> DataFrame:
     """doc_id, size (words), source_size, target, copies and taken (copies times size) of each row.
 
@@ -114,21 +114,23 @@ def mix(
     Draws are hashes of seed, id and rank: reruns agree. Null text: size 0.
     A null source is a source of its own. Sources of size 0 and empty tables have
     nothing to take. Wholly equal rows are interchangeable; each has its own copies.
+    `tag_col` (a long) tells rows of one id apart and is kept as tag.
     """
-    sizes = docs.select(col(id_col).alias("doc_id"), col(source_col).cast("string").alias("source"), words(col(text_col)).alias("size"))
+    tag = [tag_col] if tag_col else []
+    sizes = docs.select(col(id_col).alias("doc_id"), col(source_col).cast("string").alias("source"), words(col(text_col)).alias("size"), *[col(c).alias("tag") for c in tag])
     rows = written(sizes.withColumn("h", F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"))), "sizes")
     targets = written(source_targets(rows, weights, share, most), "targets").select(F.col("source").alias("_of"), "source_size", "n", "target")
     # largest first: what stays open to the end is small
-    placed = ranked(rows.withColumn("_less", -F.col("size")), ["source", "_less", "h", "doc_id"], ["source"], name="by-size")
+    placed = ranked(rows.withColumn("_less", -F.col("size")), ["source", "_less", "h", "doc_id", *["tag" for _ in tag]], ["source"], name="by-size")
     due = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "h", "rank"), 11) / F.lit(float(1 << 53))
     ready = placed.join(targets, F.col("source").eqNullSafe(F.col("_of"))).withColumn("due", due).select(
         "doc_id", "source", "size", "rank", F.expr(f"rank div {CHUNK}").alias("node"), "source_size", "target",
-        F.floor("due").cast("int").alias("base"), (F.col("due") - F.floor("due")).alias("chance"), draw.alias("draw"),
+        F.floor("due").cast("int").alias("base"), (F.col("due") - F.floor("due")).alias("chance"), draw.alias("draw"), *["tag" for _ in tag],
     )
     largest = targets.agg(F.max("n")).first()[0] or 0
-    schema = "doc_id {}, source string, size long, rank long, node long, source_size double, target double, base int, chance double, draw double, extra int".format(
-        rows.schema["doc_id"].dataType.simpleString()
+    schema = "doc_id {}, source string, size long, rank long, node long, source_size double, target double, base int, chance double, draw double{}, extra int".format(
+        rows.schema["doc_id"].dataType.simpleString(), ", tag long" * len(tag)
     )
     nodes = math.ceil(largest / CHUNK)
     level = written(ready.groupBy("source", "node").applyInPandas(_rounded(False), schema), "rounded")
@@ -141,4 +143,4 @@ def mix(
         if nodes <= 1:
             break
     copies = F.col("base") + F.col("extra")
-    return settled.select("doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
+    return settled.select("doc_id", "size", F.col("source_size").cast("long").alias("source_size"), "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"), *["tag" for _ in tag])

@@ -163,13 +163,14 @@ def near_links(fps: DataFrame, distance: int = 3) -> DataFrame:
     return sorted_tiles.mapInArrow(_compared(distance), "u long, v long")
 
 
-def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 3) -> DataFrame:
+def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 3, with_root: bool = False) -> DataFrame:
     """(doc_id, fp, component_id) per row: fingerprint, and the smallest id reachable over fingerprints within `distance` bits.
 
     Equal fingerprints are one node, so copies cost one row. A null or empty
     text has no words: fingerprint zero, linked like any other. Null ids are
     never the smallest unless a group has no other; repeated ids and rows keep
     a row each. An empty table gives no rows; extra columns are ignored.
+    With `with_root` there is a column root, the group's smallest fingerprint, which also tells groups without an id apart.
     """
     rows = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     classes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
@@ -177,5 +178,5 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rooted = classes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     rooted = written(rooted, "rooted")
     least = written(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "components")
-    named = written(rooted.join(least, "root").select(F.col("fp").alias("of"), "component_id"), "named")
-    return rows.join(named, F.col("fp") == F.col("of")).select("doc_id", "fp", "component_id")
+    named = written(rooted.join(least, "root").select(F.col("fp").alias("of"), "component_id", *["root"] * with_root), "named")
+    return rows.join(named, F.col("fp") == F.col("of")).select("doc_id", "fp", "component_id", *["root"] * with_root)

@@ -25,19 +25,25 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """One document of each group stays, the one with the smallest id; of rows that share that id, one.
 
     Groups are told by id, so their texts are read once and only joined to the ids that stay.
-    A row without an id is the group's document only if no row of it has one.
+    A row without an id is the group's document only if no row of it has one; such
+    groups are told by their fingerprints, and each keeps a row.
     """
     rows = docs.select(*COLUMNS)
-    found = written(simhash.simhash_groups(rows, shingle=3, distance=3), "groups")
-    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    keepers = found.groupBy("doc_id").agg(F.count("*").alias("rows"), F.max(first).alias("kept"), F.min(F.when(first, F.col("fp"))).alias("of"))
+    found = written(simhash.simhash_groups(rows, shingle=3, distance=3, with_root=True), "groups")
+    first = F.col("doc_id") == F.col("component_id")
+    keepers = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows"), F.max(first).alias("kept"), F.min(F.when(first, F.col("fp"))).alias("of"))
     keepers = written(keepers.where("kept").select(F.col("doc_id").alias("_id"), "rows", "of"), "keepers")
-    met = rows.join(keepers.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
+    met = rows.join(keepers.hint("merge"), F.col("doc_id") == F.col("_id")).drop("_id")
     single = met.where("rows = 1").select(*COLUMNS)
     # an id that several rows share: those of the group it stands for, told by their fingerprint, and one of them
     several = simhash.fingerprints(met.where("rows > 1"), shingle=3, keep=("of", *COLUMNS[1:])).where("fp = of")
     one = several.groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("r")).select("doc_id", "r.*")
-    return single.unionByName(one)
+    # groups in which no row has an id
+    nameless = written(found.where("component_id is null").groupBy("root").agg(F.min("fp").alias("of")).select("of"), "nameless")
+    texts = simhash.fingerprints(rows.where("doc_id is null"), shingle=3, keep=COLUMNS[1:])
+    texts = texts.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct(*COLUMNS[1:])).alias("r"))
+    alone = texts.join(nameless.hint("merge"), F.col("fp") == F.col("of")).select("doc_id", "r.*")
+    return single.unionByName(one).unionByName(alone)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,13 +57,17 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: not at all, once or twice.
 
-    Rows that share an id share its copies, rounded up to the same number each.
+    Rows are told by id and a hash of the others; those equal in both are one text, given as often as all of them are taken.
     """
-    mixed = mixing.mix(docs).groupBy("doc_id").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
-    times = written(mixed.where("copies > 0").select(F.col("doc_id").alias("_id"), F.ceil(F.col("copies") / F.col("rows")).cast("int").alias("times")), "copies")
+    rows = docs.select(*COLUMNS).withColumn("_tag", F.xxhash64(*COLUMNS[1:]))
+    mixed = mixing.mix(rows, tag_col="_tag").groupBy("doc_id", "tag").agg(F.sum("copies").cast("int").alias("times"), F.count("*").alias("rows"))
+    times = written(mixed.where("times > 0").select(F.col("doc_id").alias("_id"), F.col("tag").alias("_of"), "times", "rows"), "copies")
     # one row per document: a side that grows with the input is never broadcast, at no size
-    met = docs.select(*COLUMNS).join(times.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")))
-    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*COLUMNS)
+    met = rows.join(times.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tag") == F.col("_of")))
+    out = met.where("rows = 1").select(*COLUMNS, "times")
+    if times.where("rows > 1").head(1):
+        out = out.unionByName(met.where("rows > 1").groupBy(*COLUMNS).agg(F.max("times").alias("times")))
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

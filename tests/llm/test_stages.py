@@ -36,6 +36,33 @@ def test_simhash_stage_keeps_one_of_each_group(spark):
     assert C.simhash_dedup(spark, docs, "").count() == groups
 
 
+def test_unlike_texts_without_an_id_all_stay(spark):
+    import random
+
+    import corpus_pipeline as C
+    from llm.frames import WORDS, prose
+
+    rng = random.Random(8)
+    texts = [prose(rng, WORDS["en"], 60) for _ in range(12)]
+    rows = [(None, t, "en", "s", 1) for t in texts[:10] + texts[:4]] + [(None, None, "en", "s", 1), (5, texts[10], "en", "s", 1), (None, texts[10], "en", "s", 1), (6, texts[11], "en", "s", 1)]
+    got = C.simhash_dedup(spark, documents(spark, rows, extra=False), "").collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter([(None, t) for t in texts[:10]] + [(None, None), (5, texts[10]), (6, texts[11])])
+
+
+def test_mixed_rows_without_an_id_have_their_own_copies(spark):
+    import corpus_pipeline as C
+    from bazaarlens.llm.mixing import mix
+
+    rows = [(None if k % 3 else k // 6, "w " * (k % 7 + 1) + str(k), "en", f"s{k % 2}", 1) for k in range(90)] + [(None, "again and again", "en", "s1", 1)] * 5
+    docs = documents(spark, rows, extra=False)
+    got = Counter(tuple(r) for r in C.mix_sources(spark, docs, "").collect())
+    tagged = docs.withColumn("tag", F.xxhash64(*C.COLUMNS[1:]))
+    want = Counter()
+    for r in mix(tagged, tag_col="tag").join(tagged.select("tag", *C.COLUMNS[1:]).distinct(), "tag").collect():
+        want[tuple(r[c] for c in C.COLUMNS)] += r["copies"]
+    assert got == +want and len(set(want.values())) > 1
+
+
 def test_empty_pipeline(spark, tmp_path):
     import corpus_pipeline as C
 
