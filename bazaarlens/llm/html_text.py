@@ -40,7 +40,8 @@ _TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S | re.I,
 )
-_ATTR = re.compile(r"\b(class|id|role|aria-label|hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_UNSEEN = re.compile(r"(?:^|;)\s*visibility\s*:\s*hidden\b", re.I)
 _CUT_TAG = re.compile(r"<[a-zA-Z/!?][^>]*\Z")
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -59,11 +60,15 @@ def _marked(name: str, attrs: str, inside: bool) -> bool:
     if name in ASIDE and not (name == "header" and inside):
         return True
     for what, *values in _ATTR.findall(attrs) if attrs else ():
-        value = next((v for v in values if v), "").lower()
-        if what.lower() == "role" and value in ROLES or what.lower() == "hidden":
+        what, value = what.lower(), next((v for v in values if v), "")
+        if what == "role" and value.lower() in ROLES or what == "hidden":
             return True
-        if what.lower() in ("class", "id") and name not in CONTENT and name not in ("body", "html"):
-            words = set(re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", next((v for v in values if v), "")).lower()))
+        if name in CONTENT or name in ("body", "html"):
+            continue
+        if what == "style" and _UNSEEN.search(value):
+            return True
+        if what in ("class", "id"):
+            words = set(re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower()))
             if words & (MARKS - {"header"} if inside else MARKS) or any(w.startswith(STARTS) for w in words):
                 return True
     return False

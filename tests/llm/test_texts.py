@@ -452,6 +452,18 @@ def test_main_text_of_a_page():
     assert main_text(None, known) == main_text("", known) == main_text("<p><<>>< &#x0;", known) .replace("<<>>< �", "") == ""
 
 
+def test_attributes_are_told_by_their_names():
+    from bazaarlens.llm.html_text import STOP_WORDS, main_text
+
+    known = {k: frozenset(v.split()) for k, v in STOP_WORDS.items()}
+    text = "This is one of the things that we had in the house, and it is what they said of it."
+    for name in ("body", "article", "main", "div"):
+        for attrs in ('style="overflow:hidden"', "style='overflow-x: hidden'", 'aria-hidden="false"', "aria-hidden=false", 'data-id="ad"', "data-role=banner", 'data-class="menu"', 'title="hidden id=ad"', 'data-x="a b" class="text"'):
+            assert main_text(f"<{name} {attrs}><p>{text}</p></{name}>", known) == text, (name, attrs)
+    for attrs in ("hidden", 'class="x" hidden', 'hidden=""', "HIDDEN", "id=ad", 'data-a="1" id="ad"', "role='banner'", 'style="color:red; visibility: hidden"'):
+        assert main_text(f"<div {attrs}><p>{text}</p></div>", known) == "", attrs
+
+
 def test_extract_keeps_every_page(spark):
     from bazaarlens.llm.html_text import extract
 
