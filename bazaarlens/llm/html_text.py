@@ -44,6 +44,7 @@ _ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+
 _UNSEEN = re.compile(r"(?:^|;)\s*visibility\s*:\s*hidden\b", re.I)
 _CUT_TAG = re.compile(r"<[a-zA-Z/!?][^>]*\Z")
 _WORDS = re.compile(r"[^\W\d_]+")
+_WIDE = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]")  # characters that say as much as three letters
 
 
 class Block:
@@ -140,6 +141,11 @@ def stop_density(text: str, stop_words: dict[str, frozenset]) -> float:
     return max((sum(w in known for w in words) for known in stop_words.values()), default=0) / len(words) if words else 0.0
 
 
+def unlisted(texts: list[str], stop_words: dict[str, frozenset], low: float) -> bool:
+    """Whether no language has a share of `low` of the words of all these texts: they are in none of them."""
+    return bool(texts) and stop_density(" ".join(texts), stop_words) < low
+
+
 def main_text(page: str | None, stop_words: dict[str, frozenset], short: int = 70, long: int = 200, low: float = 0.2, high: float = 0.3, links: float = 0.3) -> str:
     """The main text: blocks of the article joined by newlines, empty if there is none.
 
@@ -149,14 +155,20 @@ def main_text(page: str | None, stop_words: dict[str, frozenset], short: int = 7
     a long one with few stop words is bad; the rest is ambiguous. Second pass:
     an ambiguous block takes the label of the nearest decided block of its
     section (of two equally near ones, good wins; a heading goes with what follows it); without
-    any, it is good inside an article and bad outside.
+    any, it is good inside an article and bad outside. On a page in a language
+    without stop words here, length and link density alone decide.
     """
     blocks = blocks_of(page or "")
     labels: list[bool | None] = []
+    plain = [b for b in blocks if not b.aside and not b.heading and b.linked <= links * len(b.text)]
+    size = lambda b: len(b.text) + 2 * len(_WIDE.findall(b.text))
+    foreign = unlisted([b.text for b in plain if size(b) >= short], stop_words, low)
     for b in blocks:
         density = stop_density(b.text, stop_words)
         if b.aside or b.linked > links * len(b.text):
             labels.append(False)
+        elif foreign:
+            labels.append(False if not b.inside and "\xa9" in b.text else True if size(b) >= short and not b.heading else None)
         elif len(b.text) >= short and not b.heading and density >= (low if len(b.text) >= long else high):
             labels.append(True)
         elif not b.inside and ("\xa9" in b.text or len(b.text) >= short and density < low):

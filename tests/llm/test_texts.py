@@ -464,6 +464,25 @@ def test_attributes_are_told_by_their_names():
         assert main_text(f"<div {attrs}><p>{text}</p></div>", known) == "", attrs
 
 
+def test_pages_in_other_languages_keep_their_text():
+    from bazaarlens.llm.html_text import STOP_WORDS, main_text
+
+    known = {k: frozenset(v.split()) for k, v in STOP_WORDS.items()}
+    for long, brief in [
+        ("Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему. Всё смешалось в доме Облонских.", "Вот и всё."),
+        ("Bir zamanlar küçük bir köyde yaşayan yaşlı adam her sabah erkenden kalkıp denize bakardı ve eski günleri düşünürdü.", "Sonra gitti."),
+        ("Litwo! Ojczyzno moja! ty jesteś jak zdrowie; ile cię trzeba cenić, ten tylko się dowie, kto cię stracił. Dziś piękność twą widzę.", "Koniec."),
+        ("学而时习之不亦说乎有朋自远方来不亦乐乎人不知而不愠不亦君子乎其为人也孝弟而好犯上者鲜矣", "好的"),
+    ]:
+        menu = f'<div class="menu"><p>{long}</p></div><div><a href="x">{long}</a></div>'
+        page = f"<body>{menu}<div><h2>{brief}</h2><p>{long}</p><p>{brief}</p><p>{long}</p></div><div>\xa9 {long}</div></body>"
+        assert main_text(page, known).split("\n") == [brief, long, brief, long]
+    # in a listed language, long blocks with few function words still go
+    prose = "This is one of the things that we had in the house. " * 6
+    words = "shoes shirts jackets trousers hats gloves socks belts scarves watches rings bags"
+    assert words not in main_text(f"<div><p>{prose}</p><p>{words}</p></div>", known)
+
+
 def test_extract_keeps_every_page(spark):
     from bazaarlens.llm.html_text import extract
 
