@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -22,15 +23,24 @@ class Tokenizer:
     """The byte-level vocabulary of a tokenizer file, read on the driver and sent along, as only it need have the file.
 
     Gives the ids that the tokenizers library gives; its faster sibling does the
-    merging, with which the same vocabulary is read by rank.
+    merging, with which the same vocabulary is read by rank. As there,
+    `encode_special_tokens` reads the file's added tokens as ordinary text; without
+    it each one in a text is its own id.
     """
 
-    def __init__(self, path: str):
-        self.vocab: dict[str, int] = json.loads(Path(path).read_text(encoding="utf-8"))["model"]["vocab"]
+    def __init__(self, path: str, encode_special_tokens: bool = True):
+        file = json.loads(Path(path).read_text(encoding="utf-8"))
+        self.vocab: dict[str, int] = file["model"]["vocab"]
+        self.added: dict[str, int] = {}
+        if not encode_special_tokens:
+            for token in file.get("added_tokens", []):
+                if token["single_word"] or token["lstrip"] or token["rstrip"]:
+                    raise ValueError(f"added token {token['content']!r} takes in or asks for what is around it")
+                self.added[token["content"]] = token["id"]
         self.coder = None
 
     def __getstate__(self):
-        return {"vocab": self.vocab, "coder": None}
+        return {"vocab": self.vocab, "added": self.added, "coder": None}
 
     def ids(self, text: str | None) -> np.ndarray:
         import tiktoken
@@ -42,7 +52,13 @@ class Tokenizer:
             byte = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
             ranks = {bytes(byte[c] for c in token): k for token, k in self.vocab.items() if all(c in byte for c in token) and token != "<|endoftext|>"}
             self.coder = tiktoken.Encoding("byte-level", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
-        return np.array(self.coder.encode_ordinary(text or ""), dtype="<u4")
+        if not self.added:
+            return np.array(self.coder.encode_ordinary(text or ""), dtype="<u4")
+        ids: list[int] = []
+        # the longest of those that begin at one place
+        for part in re.split("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")", text or ""):
+            ids += [self.added[part]] if part in self.added else self.coder.encode_ordinary(part)
+        return np.array(ids, dtype="<u4")
 
 
 def cut(docs: DataFrame, tokenizer: Tokenizer, id_col: str = "doc_id", text_col: str = "text", window: int = 1024, end: int = 0) -> DataFrame:

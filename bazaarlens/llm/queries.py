@@ -38,7 +38,7 @@ def tokenizer_path() -> str:
 def op4_pack(spark: SparkSession, folder: str) -> DataFrame:
     from bazaarlens.llm.packing import Tokenizer, pack
 
-    return pack(table(spark, folder, "documents"), Tokenizer(tokenizer_path()))
+    return pack(table(spark, folder, "documents"), Tokenizer(tokenizer_path(), encode_special_tokens=False))
 
 
 def op5_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:

@@ -72,7 +72,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents, each copy on its own, with their places in sequences of 1024 tokens."""
-    return packing.pack(docs, packing.Tokenizer(tokenizer_path()))
+    return packing.pack(docs, packing.Tokenizer(tokenizer_path(), encode_special_tokens=False))
 
 
 STAGES = [("language_id", language_id), ("simhash_dedup", simhash_dedup), ("secret_scan", secret_scan), ("mix_sources", mix_sources), ("pack", pack)]

@@ -374,6 +374,20 @@ def test_ids_are_those_of_the_tokenizer_file():
         assert mine.ids(text).tolist() == other.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_in_a_text_are_their_own_ids(spark, tmp_path):
+    from tokenizers import Tokenizer as Other
+
+    from bazaarlens.llm.queries import QUERIES, tokenizer_path
+
+    other = Other.from_file(tokenizer_path())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>\n\n x", "one  <|endoftext|>two<|endoftext", "no such", "'<|endoftext|>'s <|ENDOFTEXT|>", "  ", ""]
+    documents(spark, [(k, t, None, None, 1) for k, t in enumerate(texts)], extra=False).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["doc_tokens"], r["ids_crc32"]) for r in QUERIES["op4_pack"](spark, str(tmp_path)).collect()}
+    for k, t in enumerate(texts):
+        ids = [*other.encode(t, add_special_tokens=False).ids, 0]
+        assert got[k] == (len(ids), zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids)))
+
+
 def test_packing_round_trip(spark):
     from bazaarlens.llm.packing import pack
 
