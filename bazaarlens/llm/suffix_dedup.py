@@ -1,4 +1,4 @@
-"""Repeated byte strings: a depth-limited radix sort of all suffixes, by runs of neighbouring suffixes."""
+"""Repeated byte strings: all suffixes up to a depth, grouped by content anchors and hashes, by runs of neighbouring suffixes."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from bazaarlens.llm.common import col, written
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-SLICE = 1 << 18  # suffixes sorted into runs at a time
+SLICE = 1 << 18  # suffixes cut into runs at a time
 BLOCK = 64  # suffixes of a run that the first digit takes together
 _LOW = np.uint64((1 << 20) - 1)
 
@@ -260,8 +260,9 @@ def _cut(threshold: int, kept_text: bool):
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 400, gram: int = 128, kept_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each row, after cutting every byte of a string of `threshold` bytes that also starts anywhere else.
 
-    The suffixes of all texts (UTF-8, never across documents) are sorted by the digits of a radix sort
-    that stops at the threshold. The first digit is taken for up to 64 neighbouring
+    The suffixes of all texts (UTF-8, never across documents) are grouped up to the threshold in two
+    passes, by hashes. They aren't sorted: that would move the threshold's bytes for each byte of
+    text. Equal hashes count as equal bytes, without a look at the bytes. The first digit (what a pass groups by) is taken for up to 64 neighbouring
     suffixes at a time, a block: the least substring hash within the threshold and its distance (`runs`), and the 337 bytes that
     the block's suffixes share (`blocks`). Blocks alone with their digit are unique and drop out,
     and blocks equal in all bytes are repeated as a whole. What is left lies at the ends of
