@@ -82,11 +82,41 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return identify(table(spark, folder, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    from bazaarlens.llm.vector_codes import compress
+
+    return compress(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_suffix_dedup, op2_ann_forest, op3_embedding_dedup, op4_pack, op5_simhash_groups, op6_mix, op7_hilbert_shards, op8_secret_scan, op9_html_text, op10_language_id,
+    op11_vector_codes,
 )}
 
-# Only op3 has an SQL form: the others need 64-bit XXH64 or CRC-32, byte windows of every
+
+
+def _codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """The rounds written out one after the other; vectors of one length."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""a{k} AS (SELECT q.r, q.p, any_value(q.v) AS v, min(row(list_sum(list_transform(list_zip(q.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), c.e)) AS best
+ FROM cut q JOIN c{k} c ON c.p = q.p GROUP BY q.r, q.p)""")
+        if k < rounds:
+            steps.append(f"""s{k} AS (SELECT p, best[2] AS e, j, sum(v[j]) AS total, count(*) AS n FROM a{k}, range(1, 1 + (SELECT max(len(v)) FROM cut)) t(j) GROUP BY ALL),
+m{k} AS (SELECT p, e, list(CAST((total - ((total % n) + n) % n) // n AS BIGINT) ORDER BY j) AS v FROM s{k} GROUP BY p, e),
+c{k + 1} AS (SELECT c.p, c.e, coalesce(m.v, c.v) AS v FROM c{k} c LEFT JOIN m{k} m ON m.p = c.p AND m.e = c.e)""")
+    return f"""
+WITH kept AS (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(256 * x) AS BIGINT)) AS w
+ FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+cut AS (SELECT r, p, list_slice(w, p * (len(w) // {parts}) + 1, (p + 1) * (len(w) // {parts})) AS v FROM kept, range({parts}) t(p)),
+c0 AS (SELECT p, r - 1 AS e, v FROM cut WHERE r <= {entries}),
+{", ".join(steps)},
+coded AS (SELECT r, string_agg(printf('%02x', best[2]), '' ORDER BY p) AS code, CAST(sum(best[1]) AS BIGINT) AS error FROM a{rounds} GROUP BY r),
+books AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS sha FROM c{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, (SELECT sha FROM books) AS codebooks_sha256 FROM kept JOIN coded USING (r)"""
+
+
+# Only op3 and op11 have an SQL form: the others need 64-bit XXH64 or CRC-32, byte windows of every
 # text, tokens, frozen models or random rounding, and are tested against brute force.
 SQL: dict[str, str] = {
     "op3_embedding_dedup": """
@@ -98,4 +128,5 @@ reached AS (SELECT u AS node, u AS root FROM links UNION SELECT l.v, r.root FROM
 counted AS (SELECT u, count(*) AS n FROM links GROUP BY u), rooted AS (SELECT node, min(root) AS root FROM reached GROUP BY node)
 SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(root, vec_id) AS component_id, vec_id = coalesce(root, vec_id) AS kept
 FROM embeddings LEFT JOIN counted ON u = vec_id LEFT JOIN rooted ON node = vec_id""",
+    "op11_vector_codes": _codes_sql(),
 }
