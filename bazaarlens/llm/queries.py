@@ -88,9 +88,15 @@ def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return compress(table(spark, folder, "embeddings"))
 
 
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    from bazaarlens.llm.spelling import variants
+
+    return variants(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_suffix_dedup, op2_ann_forest, op3_embedding_dedup, op4_pack, op5_simhash_groups, op6_mix, op7_hilbert_shards, op8_secret_scan, op9_html_text, op10_language_id,
-    op11_vector_codes,
+    op11_vector_codes, op13_spelling_variants,
 )}
 
 
