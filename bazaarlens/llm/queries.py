@@ -88,6 +88,12 @@ def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return compress(table(spark, folder, "embeddings"))
 
 
+def op12_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    from bazaarlens.llm.license_scan import scan
+
+    return scan(table(spark, folder, "documents")).drop("spans")
+
+
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     from bazaarlens.llm.spelling import variants
 
@@ -96,7 +102,7 @@ def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_suffix_dedup, op2_ann_forest, op3_embedding_dedup, op4_pack, op5_simhash_groups, op6_mix, op7_hilbert_shards, op8_secret_scan, op9_html_text, op10_language_id,
-    op11_vector_codes, op13_spelling_variants,
+    op11_vector_codes, op12_license_scan, op13_spelling_variants,
 )}
 
 
@@ -122,7 +128,33 @@ books AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e))
 SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, (SELECT sha FROM books) AS codebooks_sha256 FROM kept JOIN coded USING (r)"""
 
 
-# Only op3 and op11 have an SQL form: the others need 64-bit XXH64 or CRC-32, byte windows of every
+def _license_sql() -> str:
+    from bazaarlens.llm import license_scan as L
+
+    found = L.templates()
+    facts = ", ".join(f"({k}, '{t.label}', {t.base}, {len(t.words)}, {t.gap}, {t.least})" for k, t in enumerate(found))
+    grams = ", ".join(f"({k}, {at}, '{' '.join(t.words[at : at + L.K])}')" for k, t in enumerate(found) for at in range(len(t.words) - L.K + 1))
+    return f"""
+WITH facts(template, label, base, size, gap, least) AS (VALUES {facts}), table_grams(template, place, gram) AS (VALUES {grams}),
+docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{L.WORD}') AS words FROM documents),
+rolled AS (SELECT r, pos, array_to_string(list_slice(words, pos + 1, pos + {L.K}), ' ') AS gram FROM docs, unnest(range(0, len(words) - {L.K - 1})) t(pos)),
+voted AS (SELECT r, template, pos - place AS diagonal, list(DISTINCT place) AS places FROM rolled JOIN table_grams USING (gram) GROUP BY ALL),
+stepped AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) <= gap THEN 0 ELSE 1 END AS fresh FROM voted JOIN facts USING (template)),
+numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY r, template ORDER BY diagonal) AS island FROM stepped),
+merged AS (SELECT r, template, label, base, size, least, list_distinct(flatten(list(places))) AS places, min(diagonal + list_min(places)) AS start, max(diagonal + list_max(places)) + {L.K} AS stop
+ FROM numbered GROUP BY r, template, island, label, base, size, least),
+scored AS (SELECT *, len(list_distinct(flatten(list_transform(places, lambda p: range(p, p + {L.K}))))) / greatest(size, stop - start) AS similarity FROM merged),
+held AS (SELECT *, CASE WHEN base OR coalesce(start >= max(stop) OVER (PARTITION BY r, base ORDER BY start, stop, template ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) THEN 1 ELSE 0 END AS fresh
+ FROM scored WHERE similarity >= least),
+runs AS (SELECT *, sum(fresh) OVER (PARTITION BY r, base ORDER BY start, stop, template ROWS UNBOUNDED PRECEDING) AS run FROM held),
+kept AS (SELECT * FROM (SELECT *, max(similarity) OVER (PARTITION BY r, base, run) AS best FROM runs) WHERE similarity = best),
+per AS (SELECT r, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+ array_to_string(list_sort(list(DISTINCT label) FILTER (base)), ',') AS base_labels, array_to_string(list_sort(list(DISTINCT label)), ',') AS labels, max(similarity) AS score FROM kept GROUP BY r)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM docs LEFT JOIN per USING (r)"""
+
+
+# Only op3, op11 and op12 have an SQL form: the others need 64-bit XXH64 or CRC-32, byte windows of every
 # text, tokens, frozen models or random rounding, and are tested against brute force.
 SQL: dict[str, str] = {
     "op3_embedding_dedup": """
@@ -135,4 +167,5 @@ counted AS (SELECT u, count(*) AS n FROM links GROUP BY u), rooted AS (SELECT no
 SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(root, vec_id) AS component_id, vec_id = coalesce(root, vec_id) AS kept
 FROM embeddings LEFT JOIN counted ON u = vec_id LEFT JOIN rooted ON node = vec_id""",
     "op11_vector_codes": _codes_sql(),
+    "op12_license_scan": _license_sql(),
 }
