@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from bazaarlens.llm.common import col
+from bazaarlens.llm.common import col, written
 
 # fixed values: the words of a text once A-Z are lower-cased, the base phrases with their labels, and well-known notices with theirs
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -163,7 +163,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", found:
     The whole text is read once; what is shuffled is a row per document and per diagonal met.
     """
     found = templates() if found is None else found
-    each = spans(votes(docs, found, id_col, text_col), found)
+    # written, as marks and spans both come from it: the texts are read once
+    each = spans(written(votes(docs, found, id_col, text_col), "votes"), found)
     start = F.when(F.col("base"), F.col("start").cast("long"))
     span = F.when(F.col("label").isNotNull(), F.struct("start", "end", "label", "base", "similarity"))
     text = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
