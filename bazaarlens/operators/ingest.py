@@ -196,6 +196,12 @@ def tighten_integer_columns(df: DataFrame, endings: tuple[str, ...] = DECIMAL_EN
     return df.withColumns({c: known(c).cast("bigint") for c in floats if whole[c]})
 
 
+def file_verdicts(rows: DataFrame, file: str, keys: list[str]) -> DataFrame:
+    """(file, n_rows, null_keys) of each file that has rows: those without all of their key count in the latter, too."""
+    bad_key = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys], F.lit(False))
+    return rows.groupBy(file).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(bad_key).alias("null_keys"))
+
+
 def validate_report(batch: DataFrame, report: str, required: list[str], keys: list[str], typed: dict[str, Column] | None = None) -> DataFrame:
     """One verdict row: missing columns, rows, rows without key, values that did not parse, accepted or not.
 

@@ -58,7 +58,8 @@ def table_schema(name: str) -> StructType:
     return StructType.fromDDL(TABLES[name])
 
 
-def conform(df: DataFrame, name: str) -> DataFrame:
-    """`df` with exactly the declared columns and types of table `name`; columns it lacks are null."""
+def conform(df: DataFrame, name: str, keep: list[str] | None = None) -> DataFrame:
+    """`df` with exactly the declared columns and types of table `name`, and the columns of `keep`; columns it lacks are null."""
     have = set(df.columns)
-    return df.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in table_schema(name).fields])
+    cols = [(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in table_schema(name).fields]
+    return df.select(*cols, *[F.col(f"`{c}`") for c in keep or []])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from bazaarlens.functions.parsing import MONTH_NAMES
@@ -62,11 +64,58 @@ def logical_file(path: Column) -> Column:
     return F.regexp_replace(plain, "/part-[^/]*$", "")
 
 
-def landed_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Names, times and sizes of the report files in a folder, listed without reading them."""
+def landed_files(spark: SparkSession, folder: str | list[str]) -> DataFrame:
+    """Names, times and sizes of the report files in a folder or under several paths, listed without reading them."""
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    parts = listed.select(logical_file(F.col("path")).alias("file_name"), "modificationTime", "length")
-    return parts.groupBy("file_name").agg(F.max("modificationTime").alias("landed_at"), F.sum("length").alias("bytes"))
+    parts = listed.select(logical_file(F.col("path")).alias("file_name"), "modificationTime", "length", F.col("path").endswith(".parquet").alias("parquet"))
+    return parts.groupBy("file_name").agg(F.max("modificationTime").alias("landed_at"), F.sum("length").alias("bytes"), F.bool_or("parquet").alias("parquet"))
+
+
+# the first record of a CSV text, a cell of it (followed by a comma), and how much of a file is looked at for it
+RECORD = r'^((?:[^"\r\n]++|"(?:[^"]++|"")*+")*+)'
+CELL = r'("(?:[^"]++|"")*+"|[^,]*+),'
+HEAD_BYTES = 1 << 18
+
+
+def csv_header(content: Column) -> Column:
+    """Column names of a CSV file from its bytes: the cells of its first record."""
+    text = F.regexp_replace(F.make_valid_utf8(F.substring(content, 1, HEAD_BYTES).cast("string")), "^\ufeff", "")
+    cells = F.regexp_extract_all(F.concat(F.regexp_extract(text, RECORD, 1), F.lit(",")), F.lit(CELL), F.lit(1))
+    return F.transform(cells, lambda c: F.when(c.startswith('"'), F.replace(F.substr(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
+
+
+def inspected_files(spark: SparkSession, texts: list[str], tables: list[str]) -> DataFrame:
+    """(file_name, header, digest) of report files, CSV `texts` and parquet `tables`, by one job however many they are.
+
+    A file is read by one task for its digest and the names of its columns: a CSV's first record, a parquet file's
+    footer (the one place where Python reads a file, as Spark gives a footer only by a job each). A report written in
+    part files has the header of its first, and a digest of theirs.
+    """
+    def footers(batches):
+        import hashlib
+        import io
+
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            for path, content in zip(batch.column(0), batch.column(1), strict=True):
+                data = content.as_buffer()
+                names = pq.read_schema(io.BytesIO(data)).names
+                yield pa.RecordBatch.from_arrays([pa.array([path.as_py()]), pa.array([names], pa.list_(pa.string())), pa.array([hashlib.sha256(data).hexdigest()])], names=["path", "header", "digest"])
+
+    def read(paths: list[str]) -> DataFrame:
+        return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path", "content")
+
+    found = []
+    if texts:
+        found.append(read(texts).select("path", csv_header(F.col("content")).alias("header"), F.sha2("content", 256).alias("digest")))
+    if tables:
+        found.append(read(tables).mapInArrow(footers, "path string, header array<string>, digest string"))
+    parts = reduce(DataFrame.unionByName, found).withColumn("file_name", logical_file(F.col("path")))
+    per_file = parts.groupBy("file_name").agg(F.min(F.struct("path", "header"))["header"].alias("header"), F.array_sort(F.collect_list(F.struct("path", "digest"))).alias("parts"))
+    digests = F.transform("parts", lambda p: p["digest"])
+    return per_file.select("file_name", "header", F.when(F.size("parts") == 1, digests[0]).otherwise(F.sha2(F.concat_ws("", digests).cast("binary"), 256)).alias("digest"))
 
 
 def upload_manifest(rows: DataFrame, uploaded_at: Column, path_column: str = "file_name") -> DataFrame:
@@ -78,12 +127,16 @@ def upload_manifest(rows: DataFrame, uploaded_at: Column, path_column: str = "fi
         F.coalesce(F.date_format("period", "yyyy-MM-dd"), F.lit("")).alias("period"), "row_count", uploaded_at.alias("uploaded_at"))
 
 
+def file_slot() -> Column:
+    """What a file stands for: its month, for ads the one list, for store and operations files, which hold date ranges, itself."""
+    return F.when(F.col("report_type").isin(*MONTHLY_REPORTS), F.coalesce(F.date_format("period", "yyyy-MM"), F.lit(""))).when(
+        F.col("report_type") == "ads", F.lit("")).otherwise(F.col("file_name"))
+
+
 def active_files(catalog: DataFrame) -> DataFrame:
     """The files that count: a newer file replaces an older one of its type and month (ads: of its type).
 
-    Store and operations files hold date ranges and all stay.
+    Store and operations files all stay. What did not pass the gate must not be in `catalog`: it replaces nothing.
     """
-    slot = F.when(F.col("report_type").isin(*MONTHLY_REPORTS), F.coalesce(F.date_format("period", "yyyy-MM"), F.lit(""))).when(
-        F.col("report_type") == "ads", F.lit("")).otherwise(F.col("file_name"))
     newest = F.row_number().over(W.partitionBy("report_type", "_slot").orderBy(F.desc("landed_at"), F.desc("file_name")))
-    return catalog.withColumn("_slot", slot).withColumn("_rank", newest).where("_rank = 1").drop("_slot", "_rank")
+    return catalog.withColumn("_slot", file_slot()).withColumn("_rank", newest).where("_rank = 1").drop("_slot", "_rank")

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -17,8 +16,8 @@ from bazaarlens.functions.parsing import locale_number, report_timestamp
 from bazaarlens.operators import core, ingest
 from bazaarlens.schemas import KEYS, conform
 from bazaarlens.session import materialise
-from bazaarlens.sources.catalog import active_files, landed_files, logical_file, report_file_catalog
-from bazaarlens.sources.tables import upsert_tables
+from bazaarlens.sources.catalog import DEFAULT_YEAR, active_files, file_slot, inspected_files, landed_files, logical_file, report_file_catalog
+from bazaarlens.sources.tables import STAMP, STORED, read_files, upsert_tables
 
 # --- fixed values: headers of the exports and the names of our columns ---
 SALES_TEXT = {"Barkod": "barcode", "Model Kodu": "model_code", "Ürün Adı": "name", "Kategori": "category", "Marka": "brand",
@@ -58,22 +57,13 @@ REQUIRED = {"sales": ["Barkod", "Brüt Sipariş Adedi"], "orders": ["Paket No",
             "store": ["Tarih"], "ops": ["Kalite Metriklerim"], "ads": ["Reklam Adı"]}
 
 
-def headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
-    """Column names of each file, from its first line or footer; a listing, one short entry per file."""
-    def of(path: str) -> list[str]:
-        return (spark.read.parquet(path) if path.endswith(".parquet") else spark.read.option("header", "true").option("escape", '"').csv(path)).columns
-
-    with ThreadPoolExecutor(8) as pool:
-        return dict(zip(paths, pool.map(of, paths), strict=True))
-
-
-def read_export(spark: SparkSession, paths: list[str], header: list[str]) -> DataFrame:
+def read_export(spark: SparkSession, paths: list[str], header: list[str], parquet: bool = False) -> DataFrame:
     """Files of one report with the same header as text rows, with the file each row came from and its place in it.
 
     A CSV export is read whole by one task: its cells may hold line breaks, and the
     order of its rows decides which one counts. Exports are a file per seller and month.
     """
-    if paths[0].endswith(".parquet"):
+    if parquet:
         raw = spark.read.parquet(*paths)
     else:
         raw = spark.read.schema(", ".join(f"`{c}` string" for c in header)).option("header", "true").option("enforceSchema", "false").option("multiLine", "true").option("escape", '"').csv(paths)
@@ -106,13 +96,18 @@ def sales_rows(raw: DataFrame) -> DataFrame:
 def parse_sales(rows: DataFrame) -> dict[str, DataFrame]:
     """Products (latest period wins) and the monthly fact."""
     attributes = [c for c in SALES_TEXT.values() if c != "barcode"]
-    products = ingest.product_dimension_latest(rows, [*attributes, "current_price", "stock"]).withColumnRenamed("stock", "current_stock")
+    products = ingest.product_dimension_latest(rows, [*attributes, "current_price", "stock", PERIOD, FILE]).withColumnRenamed("stock", "current_stock")
     return {"products": products, "sales_monthly": last_of(rows, "sales_monthly")}
 
 
 def last_of(rows: DataFrame, table: str) -> DataFrame:
     """One row per key: that of the last file, in it the last row."""
-    return core.latest_by(rows, KEYS[table], [F.desc(FILE), F.desc(ROW)])
+    return core.latest_by(rows, KEYS[table], [F.desc(stamp()), F.desc(ROW)])
+
+
+def stamp() -> Column:
+    """Order of files: by their names, as they come, then by their folders."""
+    return F.concat_ws("\t", F.regexp_extract(FILE, r"([^/]+)$", 1), F.col(FILE))
 
 
 def order_rows(raw: DataFrame, salt: str | None, marketplace: str) -> DataFrame:
@@ -170,6 +165,8 @@ def typed_rows(raw: DataFrame, report: str, salt: str | None, marketplace: str)
     return ingest.ops_unpivot(plain, keep=keep)
 
 
+# the table whose keys tell whether a report's row is one
+MAIN = {"sales": "sales_monthly", "orders": "orders", "distribution": "distribution", "store": "store_daily", "ops": "ops_monthly", "ads": "ad_campaigns"}
 SMALL = {"store": "store_daily", "ops": "ops_monthly", "ads": "ad_campaigns"}
 
 
@@ -179,76 +176,161 @@ def report_tables(rows: DataFrame, report: str) -> tuple[dict[str, DataFrame], l
         return parse_sales(rows), [rows, rows]
     if report == "orders":
         parts = file_orders(rows)
-        return {name: core.latest_by(df, KEYS[name], [F.desc(FILE)]) for name, df in parts.items()}, list(parts.values())
+        return {name: core.latest_by(df, KEYS[name], [F.desc(stamp())]) for name, df in parts.items()}, list(parts.values())
     name = SMALL.get(report, "distribution")
     return {name: last_of(rows, name)}, [rows]
 
 
-def listed(spark: SparkSession, folder: str, default_year: int, replaced: bool) -> list[dict]:
-    """One short entry per known report file: path, type, period, time. With `replaced`, files that a newer one stands for are left out."""
-    known = report_file_catalog(landed_files(spark, folder), default_year=default_year)
-    return [r.asDict() for r in (active_files(known) if replaced else known).collect()]
+def named_apart(header: list[str]) -> list[str]:
+    """Column names of a CSV as Spark gives them: one without a name by its place, those that occur twice with their place."""
+    low = [c.lower() for c in header]
+    return [f"_c{k}" if not c else f"{c}{k}" if low.count(c.lower()) > 1 else c for k, c in enumerate(header)]
 
 
-def load_reports(spark: SparkSession, folder: str, salt: str | None, marketplace: str, default_year: int = 2026, ad_totals: DataFrame | None = None,
-                 replaced: bool = False, loaded_at: dt.datetime | None = None) -> dict[str, DataFrame]:
-    """Tables of every report found in a folder, with the declared schemas. Unknown files are skipped.
+def listed(files: DataFrame, default_year: int = DEFAULT_YEAR) -> list[dict]:
+    """One short entry per known report file, as Spark's own file index holds one: path, type, period, time, size."""
+    return [r.asDict() for r in report_file_catalog(files, default_year=default_year).collect()]
 
-    Files of a report with different headers are read apart and put under one
-    another by name. A file without its required columns is refused: it is in
-    `refused` (file_name, report_type, missing_columns). `ad_totals` are the panel's
-    own sums, which no export holds. With `replaced`, a newer file of a
-    report's month takes the place of the older one. `uploads` lists the files
-    read, with the rows of the tables that each gave.
-    """
-    files = listed(spark, folder, default_year, replaced)
-    kinds: dict[str, list[str]] = defaultdict(list)
+
+def inspected(spark: SparkSession, files: list[dict]) -> list[dict]:
+    """The entries with their digests, headers and missing columns."""
+    if not files:
+        return []
+    of = lambda parquet: [f["file_name"] for f in files if f["parquet"] == parquet]
+    seen = {r["file_name"]: r for r in inspected_files(spark, of(False), of(True)).collect()}
+    out = []
     for f in files:
-        kinds[f["report_type"]].append(f["file_name"])
-    columns = headers(spark, [f["file_name"] for f in files])
-    refused, tables, counts = [], {}, []
+        header = seen[f["file_name"]]["header"]
+        names = header if f["parquet"] else named_apart(header)
+        out.append({**f, "digest": seen[f["file_name"]]["digest"], "header": names, "missing": ",".join(c for c in REQUIRED[f["report_type"]] if c not in names)})
+    return out
+
+
+def parsed(spark: SparkSession, files: list[dict], salt: str | None, marketplace: str) -> dict[str, DataFrame]:
+    """Typed rows of each report, all of its files under one another by name. A read per distinct header, none per file."""
     months = spark.createDataFrame([(f["file_name"], f[PERIOD]) for f in files], "file_name string, period date")
-    for report, paths in kinds.items():
+    out = {}
+    for report in {f["report_type"]: None for f in files}:
         groups: dict[tuple, list[str]] = defaultdict(list)
-        for path in sorted(paths):
-            missing = [c for c in REQUIRED[report] if c not in columns[path]]
-            if missing:
-                refused.append((path, report, ",".join(missing)))
-            else:
-                groups[path.endswith(".parquet"), *columns[path]].append(path)
-        if not groups:
-            continue
-        read = [read_export(spark, paths, list(header[1:])) for header, paths in groups.items()]
+        for f in files:
+            if f["report_type"] == report:
+                groups[f["parquet"], *f["header"]].append(f["file_name"])
+        read = [read_export(spark, sorted(paths), list(header), parquet) for (parquet, *header), paths in sorted(groups.items(), key=lambda g: min(g[1]))]
         # the month is read off the name once per file, and joined to its rows
         dated = [raw.join(months, FILE, "left") if report in ("sales", "distribution") else raw.withColumn(PERIOD, F.lit(None).cast("date")) for raw in read]
-        rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [typed_rows(raw.drop(PERIOD) if report == "orders" else raw, report, salt, marketplace) for raw in dated])
-        found, parts = report_tables(rows, report)
-        tables |= found
+        typed = [typed_rows(raw.drop(PERIOD) if report == "orders" else raw, report, salt, marketplace) for raw in dated]
+        out[report] = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), typed)
+    return out
+
+
+def gated(files: list[dict], rows: dict[str, DataFrame]) -> list[dict]:
+    """The entries with the rows that their parser gave, and why a file is refused: missing columns, or no row with a key."""
+    counts: dict[str, int] = {}
+    for report, df in rows.items():
+        verdicts = ingest.file_verdicts(df, FILE, [k for k in KEYS[MAIN[report]] if k in df.columns])
+        counts |= {r[FILE]: r["n_rows"] - r["null_keys"] for r in verdicts.collect()}
+    return [{**f, "reason": f"missing columns: {f['missing']}" if f["missing"] else "" if counts.get(f["file_name"]) else "no rows"} for f in files]
+
+
+def newest(spark: SparkSession, files: list[dict]) -> set[tuple]:
+    """Names and times of the files that count of those that passed (`active_files`)."""
+    if not files:
+        return set()
+    known = spark.createDataFrame([(f["file_name"], f["report_type"], f[PERIOD], f["landed_at"]) for f in files], "file_name string, report_type string, period date, landed_at timestamp")
+    return {tuple(r) for r in active_files(known).select("file_name", "landed_at").collect()}
+
+
+def load_files(spark: SparkSession, files: list[dict], salt: str | None, marketplace: str, replaced: bool = False, standing: list[dict] | None = None,
+               loaded_at: dt.datetime | None = None) -> tuple[dict[str, DataFrame], list[dict]]:
+    """Tables of the given files, and the files with their verdicts. First the gate, then the replacement.
+
+    A file whose header lacks a required column, or that its parser finds no row in, is refused, and replaces
+    nothing. Of those that pass, with `replaced`, the newest of a slot counts, `standing` files of
+    earlier loads among them. Rows carry the stamp of their file, so that loads in any order give one table.
+    """
+    seen = files if files and "digest" in files[0] else inspected(spark, files)
+    whole = [f for f in seen if not f["missing"]]
+    rows = {report: materialise(df, report) for report, df in parsed(spark, whole, salt, marketplace).items()} if whole else {}
+    checked = gated(seen, rows)
+    passed = [f for f in checked if not f["reason"]]
+    taken = newest(spark, [*passed, *(standing or [])]) if replaced else {(f["file_name"], f["landed_at"]) for f in passed}
+    verdicts = [{**f, "status": "refused" if f["reason"] else "active" if (f["file_name"], f["landed_at"]) in taken else "archived"} for f in checked]
+    tables, counts = {}, []
+    active = [f for f in verdicts if f["status"] == "active"]
+    names = spark.createDataFrame([(f["file_name"],) for f in active], "of string")
+    for report in {f["report_type"]: None for f in active}:
+        kept = rows[report].join(names, F.col(FILE) == F.col("of"), "left_semi")
+        found, parts = report_tables(kept, report)
+        # a product's row goes by its month first; a file without one is the latest
+        of = {name: F.concat_ws("\t", F.coalesce(F.date_format(PERIOD, "yyyy-MM"), F.lit("none")), stamp()) if name == "products" else stamp() for name in found}
+        tables |= {name: conform(df.withColumn(STAMP, of[name]), name, [STAMP]) for name, df in found.items()}
         counts += [p.select(FILE) for p in parts]
-    tables = {name: conform(df, name) for name, df in tables.items()}
-    if ad_totals is not None:
-        tables["ad_totals"] = conform(ad_totals, "ad_totals")
     if counts:
         per_file = reduce(DataFrame.unionByName, [c.groupBy(FILE).count() for c in counts]).groupBy(FILE).agg(F.sum("count").alias("row_count"))
-        known = spark.createDataFrame([(f["file_name"], f["report_type"], f[PERIOD]) for f in files], "path string, report_type string, period date")
+        known = spark.createDataFrame([(f["file_name"], f["report_type"], f[PERIOD]) for f in active], "path string, report_type string, period date")
         uploads = known.join(per_file, F.col("path") == F.col(FILE)).select(
-            F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "report_type", F.coalesce(F.date_format("period", "yyyy-MM-dd"), F.lit("")).alias("period"), "row_count",
+            "path", F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "report_type", F.coalesce(F.date_format("period", "yyyy-MM-dd"), F.lit("")).alias("period"), "row_count",
             F.lit(loaded_at or dt.datetime.now()).cast("timestamp_ntz").alias("uploaded_at"))
-        tables["uploads"] = conform(uploads, "uploads")
-    if refused:
-        tables["refused"] = spark.createDataFrame(refused, "file_name string, report_type string, missing_columns string")
-    return tables
+        tables["uploads"] = conform(uploads, "uploads", ["path"])
+    return tables, verdicts
 
 
-def load_batch(spark: SparkSession, folder: str, root: str, salt: str | None, marketplace: str, default_year: int = 2026, ad_totals: DataFrame | None = None,
-               slots: int = 16) -> dict[str, DataFrame]:
-    """Load a folder of reports into the tables at rest under `root`: gate, newest file per month, upsert in key order, upload log.
+def refused(spark: SparkSession, verdicts: list[dict]) -> dict[str, DataFrame]:
+    """The refused files as a table, if there are any; one without rows lacks no columns."""
+    found = [(f["file_name"], f["report_type"], f["missing"]) for f in verdicts if f["status"] == "refused"]
+    return {"refused": spark.createDataFrame(found, "file_name string, report_type string, missing_columns string")} if found else {}
 
-    Returns what was loaded (`load_reports`). Running the same folder again
-    leaves the same rows, but logs its files again.
+
+def load_reports(spark: SparkSession, folder: str, salt: str | None, marketplace: str, default_year: int = 2026, ad_totals: DataFrame | None = None,
+                 replaced: bool = False, loaded_at: dt.datetime | None = None) -> dict[str, DataFrame]:
+    """Tables of every report found in a folder, with the declared schemas. Unknown files are skipped.
+
+    Files of a report with different headers are read apart and put under one
+    another by name. A file without its required columns, or without rows, is refused: it is in
+    `refused` (file_name, report_type, missing_columns). `ad_totals` are the panel's
+    own sums, which no export holds. With `replaced`, a newer file of a
+    report's month that passes takes the place of the older one. `uploads` lists the files
+    read, with the rows of the tables that each gave.
     """
-    tables = load_reports(spark, folder, salt, marketplace, default_year, ad_totals, replaced=True)
-    if "orders" in tables:
-        tables["orders"] = materialise(tables["orders"], "orders")  # lines take their folder from it
-    upsert_tables({n: df for n, df in tables.items() if n != "refused"}, root, slots)
-    return tables
+    found, verdicts = load_files(spark, listed(landed_files(spark, folder), default_year), salt, marketplace, replaced, loaded_at=loaded_at)
+    tables = {name: conform(df, name) for name, df in found.items()}
+    if ad_totals is not None:
+        tables["ad_totals"] = conform(ad_totals, "ad_totals")
+    return tables | refused(spark, verdicts)
+
+
+def load_batch(spark: SparkSession, folder: str | list[str], root: str, salt: str | None, marketplace: str, default_year: int = 2026, ad_totals: DataFrame | None = None,
+               slots: int = 16, loaded_at: dt.datetime | None = None) -> dict[str, DataFrame]:
+    """Load a folder of reports, or some files, into the tables at rest under `root`: gate, newest file per month, upsert, ledger and upload log, as one version.
+
+    The ledger (`read_files`) keeps each file's digest and whether it is active, archived (a newer one stands for it) or refused. What it
+    holds already isn't loaded again, so running the same folder twice changes nothing and logs
+    nothing twice, after a failure as well: ledger, log and tables appear together. Returns what was loaded
+    (`load_reports`); nothing new gives no tables.
+    """
+    now, ledger = loaded_at or dt.datetime.now(), read_files(spark, root)
+    # what comes to the driver from the ledger has to do with the files of this load
+    landed = listed(landed_files(spark, folder).join(ledger.select("file_name", "landed_at", "bytes"), ["file_name", "landed_at", "bytes"], "left_anti"), default_year)
+    seen = inspected(spark, landed)
+    if not seen and ad_totals is None:
+        return {}
+    at_hand = spark.createDataFrame([(f["file_name"], f["digest"], f["report_type"], f[PERIOD]) for f in seen], "file_name string, digest string, report_type string, period date")
+    same = {tuple(r) for r in ledger.join(at_hand, ["file_name", "digest"], "left_semi").select("file_name", "digest").collect()}
+    new = [f for f in seen if (f["file_name"], f["digest"]) not in same]
+    slots_of = at_hand.select(F.col("report_type").alias("_type"), file_slot().alias("_slot")).distinct()
+    active = ledger.where("status = 'active'").join(slots_of, (F.col("report_type") == F.col("_type")) & (file_slot() == F.col("_slot")), "left_semi")
+    standing = [r.asDict() for r in active.collect()]
+    tables, verdicts = load_files(spark, new, salt, marketplace, True, standing, now) if new else ({}, [])
+    if ad_totals is not None:
+        tables["ad_totals"] = conform(ad_totals, "ad_totals")
+    if not tables and not verdicts:
+        return {}
+    winners = newest(spark, [*(f for f in verdicts if f["status"] == "active"), *standing])
+    gone = [{**r, "status": "archived"} for r in standing if (r["file_name"], r["landed_at"]) not in winners]
+    if "uploads" in tables:
+        tables["uploads"] = materialise(tables["uploads"], "uploads")
+    counts = {r["path"]: r["row_count"] for r in tables["uploads"].collect()} if "uploads" in tables else {}
+    entries = [(f["file_name"], f["digest"], f["report_type"], f[PERIOD], f["landed_at"], f["bytes"], f["status"], f["reason"], counts.get(f["file_name"], 0), now) for f in verdicts]
+    entries += [tuple(r[c] for c in ("file_name", "digest", "report_type", PERIOD, "landed_at", "bytes", "status", "reason", "row_count", "loaded_at")) for r in gone]
+    upsert_tables(tables, root, slots, ledger=spark.createDataFrame(entries, STORED["files"]))
+    return {name: conform(df, name) for name, df in tables.items()} | refused(spark, verdicts)
