@@ -33,6 +33,8 @@ NUM = "CAST(CASE slot WHEN 3 THEN q WHEN 4 THEN NULL WHEN 5 THEN NULL WHEN 6 THE
 JSON = "concat('{', array_to_string(list_filter([" + ", ".join(
     f"CASE WHEN \"{c}\" <> 0 THEN concat('\"{c}\":', \"{c}\") END" for c in ("AF", "AO", "AP", "RF", "RO", "RP")) + "], lambda x: x IS NOT NULL), ','), '}')"
 
+LOADED_SALES = f"""SELECT (CAST(left(month, 4) AS INTEGER) + 20) || right(month, 3) || '-01' AS period, barcode, gross_order_qty, cancel_qty, return_qty, net_sales_qty,
+ {D('gross_revenue')} AS gross_revenue, {D('net_revenue')} AS net_revenue, {D('CAST(commission AS DECIMAL(18,7))')} AS commission FROM fx_sales"""
 SQL = {
     "report_file_catalog": "SELECT file_name, report_type, CAST(period AS VARCHAR) AS period FROM fx_files",
     "parse_locale_numbers": f"SELECT l_orderkey, l_linenumber, text, {NUM} AS report_value, CAST(CASE slot WHEN 0 THEN price WHEN 1 THEN price WHEN 2 THEN price * 100 END AS DOUBLE) AS ads_value FROM fx_spelt",
@@ -68,6 +70,12 @@ SQL = {
     "load_orders": f"""SELECT h.package_no, carrier, status, city, x.gross, x.discount, x.net, x.commission, {D('cargo_fee')} AS cargo_fee FROM (SELECT package_no,
  {D('sum(gross * n)')} AS gross, {D('sum(discount * n)')} AS discount, {D('sum(net * n)')} AS net, {D('sum(CAST(net * commission_rate * CAST(0.01 AS DECIMAL(2,2)) AS DECIMAL(18,9)) * n)')} AS commission
  FROM (SELECT *, CASE WHEN CAST(package_no AS BIGINT) % 50 = 1 THEN 2 ELSE 1 END AS n FROM fx_raw) GROUP BY package_no) x JOIN fx_orders h USING (package_no)""",
+    "load_refused_newer": LOADED_SALES,
+    "load_empty_newer": LOADED_SALES,
+    "load_ops_backwards": "SELECT month || '-01' AS period, metric, value FROM fx_ops",
+    "upsert_moved_orders": f"""SELECT package_no, {T('moved', 'order_at')}, strftime(moved, '%Y-%m') AS stored_month, n_lines, qty
+ FROM (SELECT package_no, CASE WHEN order_key % 3 = 0 THEN order_at + INTERVAL 40 DAY ELSE order_at END AS moved FROM fx_orders)
+ JOIN (SELECT package_no, count(*) AS n_lines, CAST(sum(qty) AS BIGINT) AS qty FROM fx_order_lines GROUP BY package_no) USING (package_no)""",
     "load_ops": "SELECT month || '-01' AS period, metric, value FROM fx_ops",
     "load_distribution": "SELECT (CAST(left(month, 4) AS INTEGER) + 20) || right(month, 3) || '-01' AS period, dimension, bucket, bucket2, orders, customers FROM fx_distribution",
     "export_results": f"SELECT month, gross_units, net_units, net_rev, ret_rate FROM ({SALES_KPI})",

@@ -10,7 +10,7 @@ from bazaarlens.functions.parsing import locale_number, month_header, report_day
 from bazaarlens.operators import core, ingest, kpis, sinks
 from bazaarlens.schemas import KEYS
 from bazaarlens.session import scratch_path
-from bazaarlens.sources import catalog, raw_fixtures as raw, reports
+from bazaarlens.sources import catalog, raw_fixtures as raw, reports, tables as tables_at_rest
 from bazaarlens.sources.fixtures import REASON_CODES, Fixture
 
 SALT = "fixture-salt"
@@ -138,6 +138,44 @@ def loaded_distribution(fx: Fixture) -> DataFrame:
     return reports.load_reports(fx.spark, folder, None, "Pazar")["distribution"].select("period", "dimension", "bucket", "bucket2", "orders", "customers")
 
 
+SALES_COLUMNS = ("gross_order_qty", "cancel_qty", "return_qty", "net_sales_qty", "gross_revenue", "net_revenue", "commission")
+
+
+def loaded_beside(fx: Fixture, header: list[str], rows: bool) -> DataFrame:
+    """Sales exports, a file per month, and a newer file of each month that must not replace it: with a wrong header and a row, or without rows."""
+    folder, export = landed(fx, "sales"), raw.sales_export(fx)
+    raw.land(export, f"{folder}/1", ["Barkod"])
+    newer = raw.header_files(export, header, "-yeni")
+    lines = newer.unionByName(newer.withColumn("value", F.lit("b1" + ",7" * (len(header) - 1)))) if rows else newer
+    lines.repartition("file").sortWithinPartitions("file", F.desc("value")).write.partitionBy("file").text(f"{folder}/2")
+    root = scratch_path(fx.spark, "tables")
+    reports.load_batch(fx.spark, folder, root, None, "Pazar")
+    return tables_at_rest.read_tables(fx.spark, root)["sales_monthly"].select("period", "barcode", *SALES_COLUMNS)
+
+
+def loaded_backwards(fx: Fixture) -> DataFrame:
+    """The two operations files, the later one loaded first: its rows stay, whatever comes after."""
+    folder, root = landed(fx, "ops"), scratch_path(fx.spark, "tables")
+    for k, part in reversed(list(enumerate(raw.ops_export(fx)))):
+        raw.land(part, f"{folder}/{k}", ["Kalite Metriklerim"])
+        reports.load_batch(fx.spark, f"{folder}/{k}", root, None, "Pazar")
+    return tables_at_rest.read_tables(fx.spark, root)["ops_monthly"].select("period", "metric", "value")
+
+
+def moved_packages(fx: Fixture) -> DataFrame:
+    """Packages at rest after their dates changed: a third moved by 40 days, a third lost theirs and got it back; with the lines found in the folder of their package."""
+    heads = fx.orders_place.select("package_no", "order_key", "order_at", "status", "carrier", "city")
+    lines, root = fx.order_lines.select("package_no", "barcode", "qty", "net"), scratch_path(fx.spark, "tables")
+    third = lambda k: heads.where(F.col("order_key") % 3 == k)
+    tables_at_rest.upsert_tables({"orders": heads, "order_lines": lines}, root, slots=2)
+    moved = third(0).withColumn("order_at", F.col("order_at") + F.expr("INTERVAL 40 DAYS"))
+    tables_at_rest.upsert_tables({"orders": moved.unionByName(third(1).withColumn("order_at", F.lit(None).cast("timestamp_ntz")))}, root, slots=2)
+    tables_at_rest.upsert_tables({"orders": third(1)}, root, slots=2)
+    found = tables_at_rest.read_tables(fx.spark, root, ("orders", "order_lines"))
+    return found["orders"].join(found["order_lines"].select("package_no", "stored_month", "qty"), ["package_no", "stored_month"]).groupBy("package_no", "order_at", "stored_month").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("qty").alias("qty"))
+
+
 QUERIES = {
     "report_file_catalog": lambda fx: raw.file_list(fx).select("file_name", "report_type", "period"),
     "parse_locale_numbers": lambda fx: raw.number_texts(fx).select(
@@ -166,6 +204,10 @@ QUERIES = {
     "load_orders": loaded_orders,
     "load_ops": loaded_ops,
     "load_distribution": loaded_distribution,
+    "load_refused_newer": lambda fx: loaded_beside(fx, ["Barkod", "x"], True),
+    "load_empty_newer": lambda fx: loaded_beside(fx, raw.sales_export(fx).drop("file").columns, False),
+    "load_ops_backwards": loaded_backwards,
+    "upsert_moved_orders": moved_packages,
     "export_results": exported_results,
     "tighten_integer_columns": tightened,
     "replace_snapshot": lambda fx: catalog.active_files(raw.file_list(fx)).select("file_name", "report_type", "landed_at"),

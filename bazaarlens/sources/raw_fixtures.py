@@ -131,6 +131,21 @@ def order_export(fx: Fixture) -> DataFrame:
     )
 
 
+def sales_export(fx: Fixture) -> DataFrame:
+    """The sales report under its own headers, a file per month, twenty years on."""
+    s = fx.sales_monthly
+    named = {"Barkod": "barcode", "Brüt Sipariş Adedi": "gross_order_qty", "İptal Adedi": "cancel_qty", "İade Adedi": "return_qty", "Net Satış Adedi": "net_sales_qty"}
+    amounts = {"Brüt Ciro": "gross_revenue", "Net Ciro": "net_revenue", "Toplam Komisyon Tutarı": "commission"}
+    month = F.substring("month", 6, 2).cast("int")
+    name = F.concat(F.lit("rapor-"), pick(FILE_MONTHS, month - 1), F.lit("-"), (F.substring("month", 1, 4).cast("int") + 20).cast("string"), F.lit("-satis-raporu"))
+    return s.select(*[F.col(c).cast("string").alias(h) for h, c in named.items()], *[comma(F.col(c).cast("decimal(18,7)")).alias(h) for h, c in amounts.items()], name.alias("file"))
+
+
+def header_files(export: DataFrame, header: list[str], mark: str) -> DataFrame:
+    """A later file for each one of an export: its header alone (`value`), with `mark` at the end of its name."""
+    return export.select("file").distinct().select(F.lit(",".join(header)).alias("value"), F.concat("file", F.lit(mark)).alias("file"))
+
+
 def distribution_export(fx: Fixture) -> tuple[DataFrame, DataFrame]:
     """Distribution sheets under their own headers with share columns, those of one bucket and those of two, a file per month; each row comes again with other counts."""
     def under_headers(rows: DataFrame, dimension: str, first: list[str]) -> DataFrame:

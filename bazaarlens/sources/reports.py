@@ -57,16 +57,17 @@ REQUIRED = {"sales": ["Barkod", "Brüt Sipariş Adedi"], "orders": ["Paket No",
             "store": ["Tarih"], "ops": ["Kalite Metriklerim"], "ads": ["Reklam Adı"]}
 
 
-def read_export(spark: SparkSession, paths: list[str], header: list[str], parquet: bool = False) -> DataFrame:
+def read_export(spark: SparkSession, paths: list[str], header: list[str], parquet: bool = False, renamed: bool = False) -> DataFrame:
     """Files of one report with the same header as text rows, with the file each row came from and its place in it.
 
     A CSV export is read whole by one task: its cells may hold line breaks, and the
-    order of its rows decides which one counts. Exports are a file per seller and month.
+    order of its rows decides which one counts. Exports are a file per seller and month. `renamed`: names of the
+    header were told apart (`named_apart`), so that they can't be compared with the file's again.
     """
     if parquet:
         raw = spark.read.parquet(*paths)
     else:
-        raw = spark.read.schema(", ".join(f"`{c}` string" for c in header)).option("header", "true").option("enforceSchema", "false").option("multiLine", "true").option("escape", '"').csv(paths)
+        raw = spark.read.schema(", ".join(f"`{c}` string" for c in header)).option("header", "true").option("enforceSchema", str(renamed).lower()).option("multiLine", "true").option("escape", '"').csv(paths)
     return raw.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in header], logical_file(F.col("_metadata.file_path")).alias(FILE), F.monotonically_increasing_id().alias(ROW))
 
 
@@ -102,12 +103,16 @@ def parse_sales(rows: DataFrame) -> dict[str, DataFrame]:
 
 def last_of(rows: DataFrame, table: str) -> DataFrame:
     """One row per key: that of the last file, in it the last row."""
-    return core.latest_by(rows, KEYS[table], [F.desc(stamp()), F.desc(ROW)])
+    return core.latest_by(rows, KEYS[table], [F.desc(FILE), F.desc(ROW)])
 
 
-def stamp() -> Column:
-    """Order of files: by their names, as they come, then by their folders."""
-    return F.concat_ws("\t", F.regexp_extract(FILE, r"([^/]+)$", 1), F.col(FILE))
+def stamp(file: dict) -> str:
+    """What files are ordered by: their month (one without a month last; store and operations files: their names), then the time they landed, then their names."""
+    month = file[PERIOD].strftime("%Y-%m") if file[PERIOD] else "none"
+    first = {"store": file["file_name"].rsplit("/", 1)[-1], "ads": ""}
+    first["ops"] = first["store"]
+    landed = file["landed_at"].astimezone(dt.timezone.utc).isoformat(timespec="milliseconds")
+    return "\t".join([first.get(file["report_type"], month), landed, file["file_name"]])
 
 
 def order_rows(raw: DataFrame, salt: str | None, marketplace: str) -> DataFrame:
@@ -176,7 +181,7 @@ def report_tables(rows: DataFrame, report: str) -> tuple[dict[str, DataFrame], l
         return parse_sales(rows), [rows, rows]
     if report == "orders":
         parts = file_orders(rows)
-        return {name: core.latest_by(df, KEYS[name], [F.desc(stamp())]) for name, df in parts.items()}, list(parts.values())
+        return {name: core.latest_by(df, KEYS[name], [F.desc(FILE)]) for name, df in parts.items()}, list(parts.values())
     name = SMALL.get(report, "distribution")
     return {name: last_of(rows, name)}, [rows]
 
@@ -202,7 +207,7 @@ def inspected(spark: SparkSession, files: list[dict]) -> list[dict]:
     for f in files:
         header = seen[f["file_name"]]["header"]
         names = header if f["parquet"] else named_apart(header)
-        out.append({**f, "digest": seen[f["file_name"]]["digest"], "header": names, "missing": ",".join(c for c in REQUIRED[f["report_type"]] if c not in names)})
+        out.append({**f, "digest": seen[f["file_name"]]["digest"], "header": names, "renamed": names != header, "missing": ",".join(c for c in REQUIRED[f["report_type"]] if c not in names)})
     return out
 
 
@@ -214,8 +219,8 @@ def parsed(spark: SparkSession, files: list[dict], salt: str | None, marketplace
         groups: dict[tuple, list[str]] = defaultdict(list)
         for f in files:
             if f["report_type"] == report:
-                groups[f["parquet"], *f["header"]].append(f["file_name"])
-        read = [read_export(spark, sorted(paths), list(header), parquet) for (parquet, *header), paths in sorted(groups.items(), key=lambda g: min(g[1]))]
+                groups[f["parquet"], f["renamed"], *f["header"]].append(f["file_name"])
+        read = [read_export(spark, sorted(paths), list(header), parquet, renamed) for (parquet, renamed, *header), paths in sorted(groups.items(), key=lambda g: min(g[1]))]
         # the month is read off the name once per file, and joined to its rows
         dated = [raw.join(months, FILE, "left") if report in ("sales", "distribution") else raw.withColumn(PERIOD, F.lit(None).cast("date")) for raw in read]
         typed = [typed_rows(raw.drop(PERIOD) if report == "orders" else raw, report, salt, marketplace) for raw in dated]
@@ -257,18 +262,18 @@ def load_files(spark: SparkSession, files: list[dict], salt: str | None, marketp
     verdicts = [{**f, "status": "refused" if f["reason"] else "active" if (f["file_name"], f["landed_at"]) in taken else "archived"} for f in checked]
     tables, counts = {}, []
     active = [f for f in verdicts if f["status"] == "active"]
-    names = spark.createDataFrame([(f["file_name"],) for f in active], "of string")
+    stamps = spark.createDataFrame([(f["file_name"], stamp(f)) for f in active], "of string, stamp string")
     for report in {f["report_type"]: None for f in active}:
-        kept = rows[report].join(names, F.col(FILE) == F.col("of"), "left_semi")
+        kept = rows[report].join(stamps, F.col(FILE) == F.col("of")).drop(FILE, "of").withColumnRenamed("stamp", FILE)
         found, parts = report_tables(kept, report)
         # a product's row goes by its month first; a file without one is the latest
-        of = {name: F.concat_ws("\t", F.coalesce(F.date_format(PERIOD, "yyyy-MM"), F.lit("none")), stamp()) if name == "products" else stamp() for name in found}
+        of = {name: F.concat_ws("\t", F.coalesce(F.date_format(PERIOD, "yyyy-MM"), F.lit("none")), FILE) if name == "products" else F.col(FILE) for name in found}
         tables |= {name: conform(df.withColumn(STAMP, of[name]), name, [STAMP]) for name, df in found.items()}
         counts += [p.select(FILE) for p in parts]
     if counts:
         per_file = reduce(DataFrame.unionByName, [c.groupBy(FILE).count() for c in counts]).groupBy(FILE).agg(F.sum("count").alias("row_count"))
         known = spark.createDataFrame([(f["file_name"], f["report_type"], f[PERIOD]) for f in active], "path string, report_type string, period date")
-        uploads = known.join(per_file, F.col("path") == F.col(FILE)).select(
+        uploads = known.join(per_file, F.col("path") == F.substring_index(FILE, "\t", -1)).select(
             "path", F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "report_type", F.coalesce(F.date_format("period", "yyyy-MM-dd"), F.lit("")).alias("period"), "row_count",
             F.lit(loaded_at or dt.datetime.now()).cast("timestamp_ntz").alias("uploaded_at"))
         tables["uploads"] = conform(uploads, "uploads", ["path"])
