@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, functions as F
 
 from bazaarlens.functions.money import beside, ratio
 from bazaarlens.functions.parsing import locale_number
+from bazaarlens.operators.core import ad_cover
 
 
 def ad_campaign_metrics(campaigns: DataFrame) -> DataFrame:
@@ -20,9 +23,9 @@ def sales_totals(sales: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     return sales.groupBy(*by).agg(F.sum("net_revenue").alias("net_rev"), F.sum("gross_sales_qty").alias("gross_units"))
 
 
-def ad_totals_kpis(totals: DataFrame, sales: DataFrame, months: float = 5.75, by: tuple[str, ...] = ()) -> DataFrame:
-    """Return on spend, cost shares, click figures and monthly spend of the panel row."""
-    panel = totals.where(F.col("source") == "panel").select(*by, "impressions", "clicks", "sales", "revenue", "spend", "roas")
+def ad_totals_kpis(totals: DataFrame, sales: DataFrame, months: float = 5.75, by: tuple[str, ...] = (), window: tuple[dt.date, dt.date] | None = None) -> DataFrame:
+    """Return on spend, cost shares, click figures and monthly spend of the panel, its periods as one."""
+    panel = ad_cover(totals.where(F.col("source") == "panel"), window, by).select(*by, "impressions", "clicks", "sales", "revenue", "spend", "roas")
     spend = F.col("spend")
     return beside(panel, sales_totals(sales, by), by).select(
         *by, "roas", ratio(spend, F.col("revenue"), 100.0).alias("acos"), ratio(spend, F.col("net_rev"), 100.0).alias("tacos"),
@@ -31,9 +34,9 @@ def ad_totals_kpis(totals: DataFrame, sales: DataFrame, months: float = 5.75, by
         (spend.cast("double") / F.lit(months)).alias("monthly_spend"))
 
 
-def unattributed_spend(totals: DataFrame, campaigns: DataFrame) -> DataFrame:
+def unattributed_spend(totals: DataFrame, campaigns: DataFrame, window: tuple[dt.date, dt.date] | None = None) -> DataFrame:
     """Panel spend that neither the product campaigns nor the meta row explain."""
-    by_source = totals.agg(*[F.sum(F.when(F.col("source") == s, F.col("spend"))).alias(s) for s in ("panel", "meta")])
+    by_source = ad_cover(totals, window).agg(*[F.sum(F.when(F.col("source") == s, F.col("spend"))).alias(s) for s in ("panel", "meta")])
     product = campaigns.where(F.col("spent") > 0).agg(F.coalesce(F.sum("spent"), F.lit(0)).alias("product_spend"))
     return by_source.crossJoin(product).select(
         F.col("panel").alias("panel_spend"), "product_spend", F.coalesce("meta", F.lit(0)).alias("meta_spend"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from bazaarlens.functions.money import cargo_tier, ratio
@@ -199,14 +201,50 @@ def ad_campaigns_derived(ads: DataFrame) -> DataFrame:
     })
 
 
-def ad_totals_by_source(totals: DataFrame) -> DataFrame:
-    """Panel figures and, where present, the meta figures on one row, each source's from its latest period."""
-    period = [F.desc(c) for c in ("period_to", "period_from") if c in totals.columns]
-    if period:
-        totals = latest_by(totals, ["source"], period)
+def ad_cover(totals: DataFrame, window: tuple[dt.date, dt.date] | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row per source (and `by`): the sums of its periods, no day counted twice.
+
+    The panel gives sums of whole periods, which may overlap (to August, to September) or adjoin. Of all sets of periods that
+    don't overlap the one that covers most days counts, of those the one of fewest periods, then the latest. Periods
+    outside the window of the sales, and rows without any date, are left out. A source has few periods: one row per pair of
+    days and group. `roas` is the panel's own for a single period, else that of the sums. Totals without
+    period columns are of one period.
+    """
+    measures = [c for c in AD_MEASURES if c in totals.columns]
+    if not {"period_from", "period_to"} <= set(totals.columns):
+        return _ad_sums(totals, measures, by)
+    first, last = F.coalesce("period_from", "period_to"), F.coalesce("period_to", "period_from")
+    dated = totals.withColumns({"_f": F.least(first, last), "_t": F.greatest(first, last)}).where(F.col("_f").isNotNull())
+    if window:
+        dated = dated.where((F.col("_t") >= F.lit(window[0])) & (F.col("_f") <= F.lit(window[1])))
+    period = F.struct("_t", "_f", *measures)
+    listed = dated.groupBy(*by, "source").agg(F.array_sort(F.collect_list(period)).alias("_all"))
+    kind = listed.schema["_all"].dataType.simpleString()
+    none = F.array().cast(f"array<struct<days:int,few:int,t:date,kept:{kind}>>")
+
+    def chained(chains: Column, p: Column) -> Column:
+        """The best set that ends with `p`, after those that end with earlier periods."""
+        before = F.array_max(F.filter(chains, lambda c: c["t"] < p["_f"]))
+        days = F.coalesce(before["days"], F.lit(0)) + F.datediff(p["_t"], p["_f"]) + 1
+        kept = F.concat(F.coalesce(before["kept"], F.array().cast(kind)), F.array(p))
+        return F.concat(chains, F.array(F.struct(days.alias("days"), (F.coalesce(before["few"], F.lit(0)) - 1).alias("few"), p["_t"].alias("t"), kept.alias("kept"))))
+
+    best = listed.select(*by, "source", F.array_max(F.aggregate("_all", none, chained))["kept"].alias("_kept"))
+    return _ad_sums(best.select(*by, "source", F.explode("_kept").alias("_p")).select(*by, "source", *[F.col(f"_p.{c}").alias(c) for c in measures]), measures, by)
+
+
+AD_MEASURES = ("impressions", "clicks", "sales", "revenue", "spend", "roas")
+
+
+def _ad_sums(rows: DataFrame, measures: list[str], by: tuple[str, ...]) -> DataFrame:
+    sums = rows.groupBy(*by, "source").agg(F.count(F.lit(1)).alias("_n"), F.max("roas").alias("_roas"), *[F.sum(c).alias(c) for c in measures if c != "roas"])
+    own = F.when(F.col("_n") == 1, F.col("_roas").cast("double")).otherwise(ratio(F.col("revenue"), F.col("spend")))
+    return sums.withColumn("roas", own).drop("_n", "_roas")
+
 
+def ad_totals_by_source(totals: DataFrame, window: tuple[dt.date, dt.date] | None = None) -> DataFrame:
+    """Panel figures and, where present, the meta figures on one row (`ad_cover`)."""
     def pick(source: str, col: str) -> Column:
         return F.max(F.when(F.col("source") == source, F.col(col))).alias(f"{source}_{col}")
 
-    cols = ["impressions", "clicks", "sales", "revenue", "spend", "roas"]
-    return totals.agg(*[pick(s, c) for s in ("panel", "meta") for c in cols])
+    return ad_cover(totals, window).agg(*[pick(s, c) for s in ("panel", "meta") for c in AD_MEASURES])

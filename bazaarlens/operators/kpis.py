@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarlens.functions.money import beside, ratio, total
 from bazaarlens.functions.stats import lead_quantiles
+from bazaarlens.operators import core
 from bazaarlens.params import FIRST_ORDER
 
 def rows() -> Column:
@@ -128,7 +130,7 @@ def run_rate(sales: DataFrame, snapshot: str, elapsed_days: int, full_days: int
     return part.withColumn("run_rate", F.col("snapshot_rev").cast("double") / F.lit(float(elapsed_days)) * F.lit(float(full_days)))
 
 
-def headline_kpis(sales: DataFrame, packs: DataFrame, ad_totals: DataFrame, params, by: tuple[str, ...] = ()) -> DataFrame:
+def headline_kpis(sales: DataFrame, packs: DataFrame, ad_totals: DataFrame, params, by: tuple[str, ...] = (), window: tuple[dt.date, dt.date] | None = None) -> DataFrame:
     """Basket, return, stock, cargo and advertising headline figures on one row, or per group of `by` (columns of all three tables)."""
     first, fifth = params.months[0], params.months[params.full_months - 1]
     in_month = lambda m: F.col("month") == m
@@ -142,7 +144,7 @@ def headline_kpis(sales: DataFrame, packs: DataFrame, ad_totals: DataFrame, para
         rows().alias("_n"), total("net").alias("_net"), total("units").alias("_u"), total("cargo").alias("_cargo"),
         F.count_if(F.col("models") == 1).alias("_one"), F.count_if(F.col("net") < 200).alias("_low"),
     )
-    a = ad_totals.where(F.col("source") == "panel").groupBy(*by).agg(total("sales").alias("_as"), total("clicks").alias("_ac"))
+    a = core.ad_cover(ad_totals.where(F.col("source") == "panel"), window, by).groupBy(*by).agg(total("sales").alias("_as"), total("clicks").alias("_ac"))
     return beside(beside(s, p, by), a, by).select(
         *by, ratio(F.col("_net"), F.col("_n")).alias("aov"),
         ratio(F.col("_u"), F.col("_n")).alias("upt"),

@@ -6,10 +6,13 @@ so each formula is a plain expression over packages or over small results.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bazaarlens.functions.binning import spine
 from bazaarlens.functions.money import cargo_tier_double, ratio
+from bazaarlens.operators.core import ad_cover
 from bazaarlens.params import Scenario
 
 
@@ -21,9 +24,9 @@ def scenario_table(spark: SparkSession, scenarios: list[Scenario]) -> DataFrame:
     return spark.range(1).select(F.explode(F.array(*rows)).alias("s")).select("s.*")
 
 
-def base_rates(totals: DataFrame, ad_totals: DataFrame, sales: DataFrame) -> DataFrame:
+def base_rates(totals: DataFrame, ad_totals: DataFrame, sales: DataFrame, window: tuple[dt.date, dt.date] | None = None) -> DataFrame:
     """Commission rate of the packages, advertising share of net revenue, mean basket and package count."""
-    spend = ad_totals.where(F.col("source") == "panel").agg(F.sum("spend").alias("_spend"))
+    spend = ad_cover(ad_totals.where(F.col("source") == "panel"), window).agg(F.sum("spend").alias("_spend"))
     net = sales.agg(F.sum("net_revenue").alias("_rev"))
     return totals.crossJoin(spend).crossJoin(net).select(
         ratio(F.col("comm_o"), F.col("net_o")).alias("comm_rate"), ratio(F.col("_spend"), F.col("_rev")).alias("tacos"),

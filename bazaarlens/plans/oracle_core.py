@@ -66,6 +66,10 @@ SQL = {
  {RATIO('store_orders', 'total_orders', ' * 100')} AS store_order_share, {RATIO('store_customers', 'total_customers', ' * 100')} AS store_customer_share FROM fx_store""",
     "ad_campaigns_derived": f"""SELECT name, status, {D('total_budget')} AS total_budget, {D('spent')} AS spent, {D('total_budget - spent')} AS remaining_budget,
  coalesce(direct_sales, 0) + coalesce(indirect_sales, 0) AS total_sales, {D('coalesce(direct_revenue, 0) + coalesce(indirect_revenue, 0)')} AS total_ad_revenue FROM fx_ads""",
+    "ad_period_cover": f"""SELECT source, CAST(sum(impressions * k) AS BIGINT) AS impressions, CAST(sum(clicks * k) AS BIGINT) AS clicks, CAST(sum(sales * k) AS BIGINT) AS sales, {D('sum(revenue * k)')} AS revenue, {D('sum(spend * k)')} AS spend,
+ {RATIO('sum(revenue * k)', 'sum(spend * k)')} AS roas FROM (SELECT *, CASE WHEN row_number() OVER (PARTITION BY source ORDER BY m) <= 3 THEN 2 ELSE 1 END AS k FROM (
+ SELECT date_trunc('week', day) AS m, CASE WHEN kind = 'error' THEN 'meta' ELSE 'panel' END AS source, count(*) FILTER (kind IN ('view', 'error')) AS impressions, count(*) FILTER (kind = 'click') AS clicks,
+ count(*) FILTER (kind = 'purchase') AS sales, sum(value) FILTER (kind = 'purchase') AS revenue, count(*) * CAST(0.25 AS DECIMAL(3,2)) AS spend FROM fx_events GROUP BY ALL)) GROUP BY source""",
     "ad_totals_by_source": "SELECT " + ", ".join(
         f"max(CASE WHEN source = '{s}' THEN {c} END) AS {s}_{c}" for s in ("panel", "meta") for c in ("impressions", "clicks", "sales"))
         + ", " + ", ".join(f"CAST(max(CASE WHEN source = '{s}' THEN {c} END) AS DOUBLE) AS {s}_{c}" for s in ("panel", "meta") for c in ("revenue", "spend"))

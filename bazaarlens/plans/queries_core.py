@@ -46,6 +46,7 @@ QUERIES = {
         "total_revenue", "store_revenue_share", "store_order_share", "store_customer_share"),
     "ad_campaigns_derived": lambda fx: core.ad_campaigns_derived(fx.ad_campaigns).select(
         "name", "status", "total_budget", "spent", "remaining_budget", "total_sales", "total_ad_revenue"),
+    "ad_period_cover": lambda fx: core.ad_cover(fx.ad_periods),
     "ad_totals_by_source": lambda fx: core.ad_totals_by_source(fx.ad_totals),
     "barcode_master": lambda fx: core.barcode_master(fx.sales),
     "lines_model_category": lambda fx: core.lines_with_product(fx.order_lines, core.barcode_master(fx.all_sales)).select(

@@ -83,15 +83,16 @@ def store_blocks(store: DataFrame) -> dict[str, DataFrame]:
 
 def money_blocks(tables: dict[str, DataFrame], sales: DataFrame, packs: DataFrame, blocks: dict[str, DataFrame], params: Params) -> dict[str, DataFrame]:
     """Advertising, margin, break-even, coupon and customer-value blocks."""
-    totals, ad_totals = kpis.package_totals(packs), tables["ad_totals"]
-    rates = materialise(margin.base_rates(totals, ad_totals, sales), "rates")
+    totals, ad_totals, window = kpis.package_totals(packs), tables["ad_totals"], sales_window(params)
+    rates = materialise(margin.base_rates(totals, ad_totals, sales, window), "rates")
     one = margin.scenario_table(packs.sparkSession, [params.scenario])
     grid = margin.scenario_table(packs.sparkSession, scenario_grid())
     cm = margin.contribution_margin(totals, rates, one)
     monthly = kpis.package_totals(packs.where(F.col("month").isin(*params.months[: params.full_months])), ("month",))
     categories = blocks["categories"].withColumnRenamed("comm_rate", "comm_pct")
     out = {
-        "ad_totals": ads.ad_totals_kpis(ad_totals, sales), "headline": kpis.headline_kpis(sales, packs, ad_totals, params),
+        "ad_totals": ads.ad_totals_kpis(ad_totals, sales, window=window), "headline": kpis.headline_kpis(sales, packs, ad_totals, params, window=window),
+        "ad_sources": core.ad_totals_by_source(ad_totals, window),
         "margin": cm, "monthly_margin": margin.contribution_margin(monthly, rates, one, ("month",)),
         "bin_margin": margin.bin_margin(blocks["amount_bins"], rates, one), "category_margin": margin.category_margin(categories, rates, one),
         "unit_economics": margin.model_unit_economics(blocks["products"], rates, one),
@@ -103,10 +104,17 @@ def money_blocks(tables: dict[str, DataFrame], sales: DataFrame, packs: DataFram
         "clv": customers.clv_12m(packs, customers.customers(packs), cm, params.observed_months),
     }
     if "ad_campaigns" in tables:
-        out["unattributed_spend"] = ads.unattributed_spend(ad_totals, tables["ad_campaigns"])
+        out["unattributed_spend"] = ads.unattributed_spend(ad_totals, tables["ad_campaigns"], window)
     return out
 
 
+def sales_window(params: Params) -> tuple[dt.date, dt.date]:
+    """First and last day of the months that sales are taken from."""
+    first, last = min(params.months), max(params.months)
+    after = dt.date(int(last[:4]) + (last[5:] == "12"), int(last[5:]) % 12 + 1, 1)
+    return dt.date(int(first[:4]), int(first[5:]), 1), after - dt.timedelta(days=1)
+
+
 def coverage_blocks(tables: dict[str, DataFrame], today: dt.date) -> dict[str, DataFrame]:
     found = materialise(coverage.coverage_by_month(
         with_month(tables["sales_monthly"]), tables["orders"], with_month(tables["distribution"]), tables["store_daily"],

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from bazaarlens.functions.money import ratio
 from bazaarlens.functions.timing import in_months, month_of, seconds_between
@@ -421,6 +421,21 @@ class Fixture:
             "clicks", "impressions", "direct_sales", "indirect_sales", "direct_revenue", "indirect_revenue",
         )
 
+    @cached_property
+    def ad_periods(self) -> DataFrame:
+        """Panel and meta rows of each week, and two that overlap them: one of the first three weeks, as much again, and one of three days in the fifth."""
+        kind, week = F.col("event_type"), F.trunc("day", "week")
+        weeks = self.event_facts.groupBy(week.alias("period_from"), F.when(kind == "error", "meta").otherwise("panel").alias("source")).agg(
+            F.date_add(F.trunc(F.max("day"), "week"), 6).alias("period_to"), F.count_if(kind.isin("view", "error")).alias("impressions"), F.count_if(kind == "click").alias("clicks"),
+            F.count_if(kind == "purchase").alias("sales"), F.sum(F.when(kind == "purchase", F.col("value"))).cast("decimal(18,4)").alias("revenue"),
+            (F.count(F.lit(1)) * F.lit("0.25").cast("decimal(3,2)")).cast("decimal(18,4)").alias("spend"), F.lit(None).cast("double").alias("roas"))
+        place = F.row_number().over(Window.partitionBy("source").orderBy("period_from"))
+        placed = weeks.withColumn("n", place)
+        measures = ("impressions", "clicks", "sales", "revenue", "spend")
+        quarter = placed.where("n <= 3").groupBy("source").agg(F.min("period_from").alias("period_from"), F.max("period_to").alias("period_to"), *[(F.sum(c) * 2).alias(c) for c in measures], F.max("roas").alias("roas"))
+        few = placed.where("n = 5").withColumns({"period_from": F.date_add("period_from", 3), "period_to": F.date_add("period_from", 5)})
+        return weeks.unionByName(quarter).unionByName(few.drop("n"))
+
     @cached_property
     def ad_totals(self) -> DataFrame:
         """A panel row over all campaigns (10 % more spend than they report) and a meta row."""
