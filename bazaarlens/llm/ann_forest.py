@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -173,15 +174,20 @@ def search(
 
     Equal vectors are one point, of which the `k` + 1 smallest ids can be
     among a query's nearest. Ties go to smaller ids. Rows with a null id or an unusable
-    vector (null, zero, null or non-finite components), or of another length than most, take no part; rows
-    equal in id and vector are one. Without queries or points the result is empty.
+    vector (null, zero, null or non-finite components) take no part; rows
+    equal in id and vector are one. Vectors of each length have a forest of their own and are searched among themselves.
+    Without queries or points the result is empty.
     """
     asked = F.pmod(col(id_col).cast("long"), F.lit(100)) == 0 if is_query is None else is_query
     rows = vectors.select(col(id_col).cast("long").alias("vec_id"), as_floats(col(vector_col), vectors.schema[vector_col].dataType.simpleString()).alias("vector"), asked.alias("asks"))
     rows = written(rows.where(F.col("vec_id").isNotNull() & usable(F.col("vector"))).distinct(), "vectors")
-    top = rows.groupBy(F.size("vector").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
-    dim = top[0] if top else 1
-    rows = rows.where(F.size("vector") == dim)
+    # one entry per vector length: as many forests
+    lengths = sorted(r[0] for r in rows.select(F.size("vector")).distinct().collect()) or [1]
+    return reduce(DataFrame.unionByName, [_searched(rows.where(F.size("vector") == n) if len(lengths) > 1 else rows, k, trees, letters, effort) for n in lengths])
+
+
+def _searched(rows: DataFrame, k: int, trees: int, letters: int, effort: float) -> DataFrame:
+    """`search` among the usable vectors of one length: vec_id, vector, asks."""
     classes = rows.groupBy("vector").agg(F.min("vec_id").alias("class"), F.max("asks").alias("asks"))
     classes = written(classes, "classes")
     mean = classes.select(F.posexplode("vector").alias("at", "x")).groupBy("at").agg(F.avg(F.col("x").cast("double")).alias("m")).orderBy("at").collect()

@@ -126,23 +126,18 @@ def _counts(docs: DataFrame) -> DataFrame:
 
 
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = 300) -> PpmModels:
-    """Models from at most `sample_docs` whole documents of each language, those whose id's hash is least.
+    """Models from at most `sample_docs` whole documents of each language, those whose hash of id and text is least.
 
-    Rows without a language or text teach nothing. What comes to the driver is
+    Rows without a language or text teach nothing; rows equal in both are one, however many share an id or have none. What comes to the driver is
     the models: at most one count per language and distinct three bytes.
     """
     rows = labelled.select(col(id_col).alias("id"), col(lang_col).cast("string").alias("lang"), col(text_col).cast("string").alias("text"))
-    rows = rows.where("lang is not null and text is not null").withColumn("h", F.xxhash64(F.col("id").cast("string"), F.lit("sample")))
-    # hashes are even, so a share of their range well above the wanted one holds the least ones; the exact cut follows
-    sizes = written(rows.groupBy("lang").agg(F.count("*").alias("n")).select(F.col("lang").alias("of"), "n"), "languages")
-    share = (F.col("h").cast("double") / F.lit(2.0**64) + 0.5) * F.col("n")
-    some = rows.select("lang", "h", "id").join(sizes, F.col("lang") == F.col("of")).where(share <= 4 * sample_docs + 64).drop("of", "n")
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
-    picked = some.withColumn("r", place).where(F.col("r") <= sample_docs)
+    rows = rows.where("lang is not null and text is not null").withColumn("h", F.xxhash64(F.col("id").cast("string"), F.lit("sample"), "text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    picked = rows.select("lang", "h").distinct().withColumn("r", place).where(F.col("r") <= sample_docs)
     last = picked.groupBy("lang").agg(F.max("h").alias("last")).select(F.col("lang").alias("of"), "last")
-    # one bound per language; repeated ids share a hash and come along
-    # one row per language, as many as models that come to the driver
-    taught = rows.join(F.broadcast(last), (F.col("lang") == F.col("of")) & (F.col("h") <= F.col("last")))
+    # one bound per language, as many as models that come to the driver; rows equal in id and text teach once
+    taught = rows.join(F.broadcast(last), (F.col("lang") == F.col("of")) & (F.col("h") <= F.col("last"))).dropDuplicates(["lang", "h"])
     by: dict[str, list] = {}
     for r in _counts(taught).collect():
         by.setdefault(r[0], []).append(r[1:])

@@ -20,10 +20,11 @@ def test_stages_on_awkward_rows(spark):
             kept = Counter(r[0] for r in docs.select("doc_id").collect())
             assert kept == Counter(r[0] for r in awkward() if r[0] not in (5, 6, 7)) and docs.where("lang is null").count() == 0
         if name == "simhash_dedup":
-            assert docs.count() == docs.select("doc_id").distinct().count()
+            # both texts of id 12 stay, one row of each
+            assert Counter(r[0] for r in docs.collect())[12] == 2 and docs.count() == docs.select("doc_id", "text").distinct().count()
             assert {0, 3, 9, 12} <= {r[0] for r in docs.select("doc_id").collect()} and not {1} & {r[0] for r in docs.select("doc_id").collect()}
         if name == "mix_sources":
-            assert docs.subtract(before).count() == 0 and docs.groupBy("doc_id").count().agg(F.max("count")).first()[0] <= 2
+            assert docs.subtract(before).count() == 0 and docs.groupBy("doc_id", "text").count().agg(F.max("count")).first()[0] <= 2
     assert len(C.STAGES) == 5 and all(sizes)
 
 
@@ -32,11 +33,11 @@ def test_simhash_stage_keeps_one_of_each_group(spark):
     from bazaarlens.llm.simhash import simhash_groups
 
     docs = documents(spark, extra=False)
-    groups = simhash_groups(docs).select("component_id").distinct().count()
+    groups = simhash_groups(docs, with_root=True).select("root").distinct().count()
     assert C.simhash_dedup(spark, docs, "").count() == groups
 
 
-def test_unlike_texts_without_an_id_all_stay(spark):
+def test_unlike_texts_under_one_id_or_none_all_stay(spark):
     import random
 
     import corpus_pipeline as C
@@ -46,6 +47,8 @@ def test_unlike_texts_without_an_id_all_stay(spark):
     texts = [prose(rng, WORDS["en"], 60) for _ in range(12)]
     rows = [(None, t, "en", "s", 1) for t in texts[:10] + texts[:4]] + [(None, None, "en", "s", 1), (5, texts[10], "en", "s", 1), (None, texts[10], "en", "s", 1), (6, texts[11], "en", "s", 1)]
     got = C.simhash_dedup(spark, documents(spark, rows, extra=False), "").collect()
+    shared = C.simhash_dedup(spark, documents(spark, [(7, t, "en", "s", 1) for t in texts * 2] + [(8, texts[0], "en", "s", 1)], extra=False), "").collect()
+    assert Counter((r["doc_id"], r["text"]) for r in shared) == Counter([(7, t) for t in texts])
     assert Counter((r["doc_id"], r["text"]) for r in got) == Counter([(None, t) for t in texts[:10]] + [(None, None), (5, texts[10]), (6, texts[11])])
 
 
@@ -74,5 +77,5 @@ def test_pipeline_is_registered():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
+    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 14))
     assert set(entry.oracle_sql()) <= set(names)

@@ -516,3 +516,19 @@ def test_empty_tables(spark):
     assert sharding.hilbert_shards(docs).count() == packing.pack(docs, tokenizer()).count() == secret_scan.scan(docs, secret_scan.trained(docs)).count() == 0
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
     assert SCHEMA.count(",") == 4
+
+
+def test_languages_without_distinct_ids_are_learned(spark):
+    """Null ids, one id for all, and a hot repeated row: every language is learned, whatever the ids."""
+    import random
+
+    from bazaarlens.llm.language_id import identify
+    from llm.frames import WORDS, prose
+
+    rng = random.Random(4)
+    texts = [(lang, prose(rng, WORDS[lang], 12)) for lang in ("en", "de") for _ in range(1500)]
+    for ids in ([None] * 3000, [1] * 1500 + list(range(1500)), [1] * 3000):
+        rows = [(i, t, lang, "s", 1) for i, (lang, t) in zip(ids, texts, strict=True)] + [(1, texts[0][1], "en", "s", 1)] * 700
+        got = identify(documents(spark, rows), keep=("lang",)).groupBy("lang", "lang_pred").count().collect()
+        right = sum(r["count"] for r in got if r["lang"] == r["lang_pred"])
+        assert right >= 0.99 * 3700, (ids[:2], got)

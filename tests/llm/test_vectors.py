@@ -71,11 +71,11 @@ def test_search_is_exact_with_enough_effort_and_good_without(spark):
     from bazaarlens.llm.ann_forest import search
 
     rows = rows_of()
-    points = {r[:1] + (tuple(r[1]),) for r in rows if r[0] is not None and fit(r[1]) and len(r[1]) == 12}
+    points = {r[:1] + (tuple(r[1]),) for r in rows if r[0] is not None and fit(r[1])}
     want = {}
     for q, v in points:
         if q % 100 == 0:
-            far = sorted((float(np.sqrt(((np.array(w) - np.array(v)) ** 2).sum())), k) for k, w in points if k != q)
+            far = sorted((float(np.sqrt(((np.array(w) - np.array(v)) ** 2).sum())), k) for k, w in points if k != q and len(w) == len(v))
             want[q] = far[:10]
     got = {}
     for r in search(frame(spark, rows), effort=1e9).collect():
@@ -83,7 +83,7 @@ def test_search_is_exact_with_enough_effort_and_good_without(spark):
     assert got.keys() == want.keys()
     for q, found in got.items():
         found.sort()
-        assert [x[0] for x in found] == list(range(1, 11)) and [x[1] for x in found] == [x[1] for x in want[q]]
+        assert [x[0] for x in found] == list(range(1, len(want[q]) + 1)) and [x[1] for x in found] == [x[1] for x in want[q]]
         assert np.allclose([x[2] for x in found], [x[0] for x in want[q]], rtol=1e-12)
     hits = sum((r["query_id"], r["vec_id"]) in {(q, k) for q, f in want.items() for _, k in f} for r in search(frame(spark, rows), effort=4.0).collect())
     assert hits >= 0.9 * sum(len(f) for f in want.values())
@@ -160,3 +160,19 @@ def test_near_duplicates_match_the_sql(spark, tmp_path):
     want = sorted(con.execute(SQL["op3_embedding_dedup"]).fetchall())
     got = QUERIES["op3_embedding_dedup"](spark, str(tmp_path)).select("vec_id", "n_links", "component_id", "kept").collect()
     assert sorted(tuple(r) for r in got) == want and max(r[1] for r in want) > 0
+
+
+def test_vectors_of_every_length_are_searched(spark):
+    """A table of two models: each length is searched within itself, whichever is the commoner."""
+    from bazaarlens.llm.ann_forest import search
+
+    rng = np.random.default_rng(9)
+    rows = [(k, rng.normal(size=8 if k < 300 else 4).astype(np.float32).tolist(), 0) for k in [*range(300), *range(1000, 1200)]]
+    got = {}
+    for r in search(frame(spark, rows), effort=1e9).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    assert got.keys() == {0, 100, 200, 1000, 1100}
+    for q, found in got.items():
+        v = dict((k, w) for k, w, _ in rows)[q]
+        far = sorted((float(((np.array(w, dtype=float) - np.array(v, dtype=float)) ** 2).sum()), k) for k, w, _ in rows if k != q and len(w) == len(v))
+        assert [k for _, k in sorted(found)] == [k for _, k in far[:10]]
