@@ -22,24 +22,26 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest id; of rows that share that id, one.
+    """One document of each group stays, the one with the smallest id; a row without an id only if no row of its group has one.
 
-    Groups are told by id, so their texts are read once and only joined to the ids that stay.
-    A row without an id is the group's document only if no row of it has one; such
-    groups are told by their fingerprints, and each keeps a row.
+    Groups are told by their root fingerprints, so unlike texts under one id, or under none, all stay. Texts
+    are read once and joined to the ids that stay; fingerprints are taken anew only for ids that several rows share.
     """
     rows = docs.select(*COLUMNS)
     found = written(simhash.simhash_groups(rows, shingle=3, distance=3, with_root=True), "groups")
-    first = F.col("doc_id") == F.col("component_id")
-    keepers = found.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("rows"), F.max(first).alias("kept"), F.min(F.when(first, F.col("fp"))).alias("of"))
-    keepers = written(keepers.where("kept").select(F.col("doc_id").alias("_id"), "rows", "of"), "keepers")
-    met = rows.join(keepers.hint("merge"), F.col("doc_id") == F.col("_id")).drop("_id")
+    kept = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("k")).select("k.doc_id", "k.fp")
+    shared = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("_of")).agg(F.count("*").alias("rows"))
+    keepers = kept.where("doc_id is not null").join(shared, F.col("doc_id") == F.col("_of"))
+    keepers = written(keepers.select(F.col("doc_id").alias("_id"), F.col("fp").alias("of"), "rows"), "keepers")
+    ids = keepers.groupBy("_id").agg(F.max("rows").alias("rows"))
+    met = rows.join(ids.hint("merge"), F.col("doc_id") == F.col("_id")).drop("_id")
     single = met.where("rows = 1").select(*COLUMNS)
-    # an id that several rows share: those of the group it stands for, told by their fingerprint, and one of them
-    several = simhash.fingerprints(met.where("rows > 1"), shingle=3, keep=("of", *COLUMNS[1:])).where("fp = of")
-    one = several.groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("r")).select("doc_id", "r.*")
+    # an id that several rows share: the texts that it stands for, told by their fingerprints, and one row of each
+    several = simhash.fingerprints(met.where("rows > 1"), shingle=3, keep=COLUMNS[1:])
+    several = several.join(keepers.where("rows > 1").hint("merge"), (F.col("doc_id") == F.col("_id")) & (F.col("fp") == F.col("of")))
+    one = several.groupBy("doc_id", "fp").agg(F.min(F.struct(*COLUMNS[1:])).alias("r")).select("doc_id", "r.*")
     # groups in which no row has an id
-    nameless = written(found.where("component_id is null").groupBy("root").agg(F.min("fp").alias("of")).select("of"), "nameless")
+    nameless = written(kept.where("doc_id is null").select(F.col("fp").alias("of")), "nameless")
     texts = simhash.fingerprints(rows.where("doc_id is null"), shingle=3, keep=COLUMNS[1:])
     texts = texts.groupBy("fp").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct(*COLUMNS[1:])).alias("r"))
     alone = texts.join(nameless.hint("merge"), F.col("fp") == F.col("of")).select("doc_id", "r.*")
