@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from bazaarlens.plans.oracle_base import VIEWS
-from bazaarlens.plans.oracle_core import D, SALES_KPI
+from bazaarlens.plans.digests import digest_sql
+from bazaarlens.plans.oracle_core import D, RATIO, SALES_KPI
 
 T = lambda c, a=None: f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {a or c}"
 
@@ -33,6 +34,26 @@ NUM = "CAST(CASE slot WHEN 3 THEN q WHEN 4 THEN NULL WHEN 5 THEN NULL WHEN 6 THE
 JSON = "concat('{', array_to_string(list_filter([" + ", ".join(
     f"CASE WHEN \"{c}\" <> 0 THEN concat('\"{c}\":', \"{c}\") END" for c in ("AF", "AO", "AP", "RF", "RO", "RP")) + "], lambda x: x IS NOT NULL), ','), '}')"
 
+A = lambda c: f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}"
+EXPORTED_TABLES = digest_sql({
+    "products": "SELECT barcode, model_code, name, category, current_price FROM fx_products",
+    "sales_monthly": "SELECT month, barcode, net_sales_qty, CAST(net_revenue AS DECIMAL(18,7)) AS net_revenue, AF, AO, AP, RF, RO, RP FROM fx_sales",
+    "orders": f"SELECT * EXCLUDE (order_key) REPLACE ({A('order_at')}, {A('shipped_at')}, {A('delivered_at')}) FROM fx_orders",
+    "order_lines": "SELECT * EXCLUDE (returned) FROM fx_order_lines", "distribution": "SELECT * FROM fx_distribution",
+    "ops_monthly": "SELECT *, CAST(round(value * 1000) AS BIGINT) AS value_scaled FROM fx_ops", "store_daily": f"SELECT * REPLACE ({A('day')}) FROM fx_store",
+    "ad_campaigns": f"SELECT * REPLACE ({A('started_on')}) FROM fx_ads", "ad_totals": f"SELECT *, {RATIO('revenue', 'spend')} AS roas FROM fx_ad_totals",
+    "uploads": f"SELECT file_name, row_count, {A('landed_at').replace('AS landed_at', 'AS uploaded_at')}, report_type, {A('period')} FROM fx_files",
+})
+
+
+def exported_results() -> str:
+    from bazaarlens.plans import oracle_core, oracle_metrics, oracle_money
+    from bazaarlens.plans.queries_ingest import EXPORTED
+
+    known = {**oracle_core.SQL, **oracle_metrics.SQL, **oracle_money.SQL}
+    return digest_sql({name: known[name] for name in EXPORTED})
+
+
 LOADED_SALES = f"""SELECT (CAST(left(month, 4) AS INTEGER) + 20) || right(month, 3) || '-01' AS period, barcode, gross_order_qty, cancel_qty, return_qty, net_sales_qty,
  {D('gross_revenue')} AS gross_revenue, {D('net_revenue')} AS net_revenue, {D('CAST(commission AS DECIMAL(18,7))')} AS commission FROM fx_sales"""
 SQL = {
@@ -66,6 +87,8 @@ SQL = {
  UNION ALL SELECT 'orders', count(*), {D('sum(cargo_fee)')} FROM fx_orders UNION ALL SELECT 'order_lines', count(*), {D('sum(net)')} FROM fx_order_lines UNION ALL SELECT 'distribution', count(*), {D('sum(orders)')} FROM fx_distribution
  UNION ALL SELECT 'ops_monthly', count(*), {D('sum(round(value * 1000))')} FROM fx_ops UNION ALL SELECT 'store_daily', count(*), {D('sum(store_revenue)')} FROM fx_store UNION ALL SELECT 'ad_campaigns', count(*), {D('sum(spent)')} FROM fx_ads
  UNION ALL SELECT 'ad_totals', count(*), {D('sum(spend)')} FROM fx_ad_totals UNION ALL SELECT 'uploads', count(*), {D('sum(row_count)')} FROM fx_files""",
+    "export_csv_whole": EXPORTED_TABLES,
+    "export_results_whole": exported_results,
     "export_csv_sales": f"""SELECT month, barcode, net_sales_qty, {D('net_revenue')} AS net_revenue, """ + ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in ("AF", "AO", "AP", "RF", "RO", "RP")) + " FROM fx_sales",
     "load_orders": f"""SELECT h.package_no, carrier, status, city, x.gross, x.discount, x.net, x.commission, {D('cargo_fee')} AS cargo_fee FROM (SELECT package_no,
  {D('sum(gross * n)')} AS gross, {D('sum(discount * n)')} AS discount, {D('sum(net * n)')} AS net, {D('sum(CAST(net * commission_rate * CAST(0.01 AS DECIMAL(2,2)) AS DECIMAL(18,9)) * n)')} AS commission

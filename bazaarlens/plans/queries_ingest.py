@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from bazaarlens.functions.parsing import locale_number, month_header, report_day, report_timestamp
 from bazaarlens.operators import core, ingest, kpis, sinks
+from bazaarlens.plans.digests import digest
 from bazaarlens.schemas import KEYS
 from bazaarlens.session import scratch_path
 from bazaarlens.sources import catalog, raw_fixtures as raw, reports, tables as tables_at_rest
@@ -90,6 +91,43 @@ def exported_sales(fx: Fixture) -> DataFrame:
     return core.reasons_wide(back, REASON_CODES)
 
 
+# results of the report that `export_results_whole` writes and reads again, by their registered names
+EXPORTED = (
+    "monthly_sales_kpis", "monthly_mix_shares", "ops_history", "category_summary", "category_month_matrix", "cancel_return_reasons", "stock_snapshot", "oos_summary", "sku_presence",
+    "low_cover_list", "lost_revenue", "customers", "cohort_retention", "distribution_totals", "city_top", "weekday_profile", "day_of_month_profile", "daily_sales", "amount_bins", "net_histogram",
+    "threshold_cliff", "multicolor", "fulfilment_summary", "carrier_scorecard", "returns_by_delivery_time", "ad_campaign_metrics", "ad_totals_kpis", "unattributed_spend", "store_averages", "store_funnel",
+)
+
+
+def exported_whole(fx: Fixture) -> DataFrame:
+    """Thirty result blocks as JSON and back: every column of every block."""
+    from bazaarlens.plans import queries_core, queries_metrics, queries_money
+    from bazaarlens.plans.registry import portable
+
+    known = {**queries_core.QUERIES, **queries_metrics.QUERIES, **queries_money.QUERIES}
+    results = {name: portable(known[name](fx)) for name in EXPORTED}
+    folder = scratch_path(fx.spark, "json")
+    sinks.export_results(results, folder)
+    return digest(sinks.read_results(fx.spark, folder, {name: df.schema for name, df in results.items()}))
+
+
+def exported_tables(fx: Fixture) -> DataFrame:
+    """All ten tables as CSV and back: every column of every table, the reasons as their columns."""
+    tables = fixture_tables(fx)
+    paths = sinks.export_csv(tables, scratch_path(fx.spark, "csv"))
+    back = {}
+    for name, path in paths.items():
+        schema = ", ".join(f"`{c}` {'string' if kind.startswith('map') else kind}" for c, kind in tables[name].dtypes)
+        # an empty text is quoted, a null isn't: a null value that no cell holds tells them apart
+        back[name] = portable_times(fx.spark.read.schema(schema).option("header", "true").option("escape", '"').option("nullValue", "\\N").option("emptyValue", "").csv(path))
+    back["sales_monthly"] = core.reasons_wide(back["sales_monthly"], REASON_CODES)
+    return digest(back)
+
+
+def portable_times(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c, kind in df.dtypes if kind in ("date", "timestamp_ntz")})
+
+
 def exported_results(fx: Fixture) -> DataFrame:
     result = kpis.monthly_sales_kpis(fx.sales).select("month", "gross_units", "net_units", F.col("net_rev").cast("double").alias("net_rev"), "ret_rate")
     folder = scratch_path(fx.spark, "json")
@@ -201,6 +239,8 @@ QUERIES = {
     "upload_manifest": lambda fx: catalog.upload_manifest(raw.file_rows(fx), F.lit("1998-08-17 10:00:00").cast("timestamp_ntz")),
     "export_csv": exported_csv,
     "export_csv_sales": exported_sales,
+    "export_csv_whole": exported_tables,
+    "export_results_whole": exported_whole,
     "load_orders": loaded_orders,
     "load_ops": loaded_ops,
     "load_distribution": loaded_distribution,

@@ -43,5 +43,5 @@ def oracle_sql() -> dict[str, str]:
     found = {}
     for group in GROUPS:
         for name, sql in import_module(f"bazaarlens.plans.oracle_{group}").SQL.items():
-            found[name] = with_views(sql)
+            found[name] = with_views(sql() if callable(sql) else sql)
     return found

@@ -107,6 +107,18 @@ def test_result_files(spark, tables, tmp_path):
     assert {r["month"]: r["pkgs"] for r in got["monthly"].collect()} == {"2026-04": 60, "2026-05": 60, "2026-06": 60}
     assert got["totals"].first()["pk"] == 180 and got["products"].agg(F.max("cum")).first()[0] == pytest.approx(100)
     assert got["fulfilment"].first()["h_ship_med"] == 20.0
+    schemas = {k: df.schema for k, df in blocks.items()}
+    checked = sinks.verify_results(spark, str(tmp_path / "out"), schemas).collect()
+    assert {r["name"] for r in checked} == set(blocks) and not [r for r in checked if not r["same"] or r["n_rows"] != r["found_rows"]]
+    back = sinks.read_results(spark, str(tmp_path / "out"), schemas)
+    for column in back["categories"].columns:  # any wrong column is found
+        wrong = back["categories"].withColumn(column, F.lit(None).cast(back["categories"].schema[column].dataType))
+        sinks.export_results({"categories": wrong}, str(tmp_path / "wrong" / column.replace("/", "")))
+        listed = spark.read.json(str(tmp_path / "out" / sinks.MANIFEST)).where("name = 'categories'").first()["checksum"]
+        assert spark.read.json(str(tmp_path / "wrong" / column.replace("/", "") / sinks.MANIFEST)).first()["checksum"] != listed
+    os.replace(tmp_path / "out" / sinks.MANIFEST, tmp_path / "gone")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        sinks.read_results(spark, str(tmp_path / "out"), schemas)
     csvs = sinks.export_csv(given, str(tmp_path / "csv"))
     assert set(csvs) == set(given) and all(glob.glob(f"{p}/*.csv") for p in csvs.values())
 
