@@ -38,6 +38,11 @@ def coverage_by_month(sales: DataFrame, orders: DataFrame, distribution: DataFra
         .unionByName(days.select(F.lit("store").alias("report"), "month", "n", none.alias("reached_day")))
         .unionByName(present(ops.where(F.col("value").isNotNull()), "ops"))
     )
+    return covered(found, today)
+
+
+def covered(found: DataFrame, today: dt.date) -> DataFrame:
+    """Coverage from (report, month, n, reached_day), however those were counted."""
     expected = expected_days(F.col("month"), today)
     part = F.when(F.col("report") == "orders", F.col("reached_day")).when(F.col("report") == "store", F.col("n"))
     value = F.when(part.isNull() | (F.col("expected") == 0), F.lit(1.0)).otherwise(F.least(F.lit(1.0), ratio(part, F.col("expected"))))

@@ -46,6 +46,12 @@ EXPORTED_TABLES = digest_sql({
 })
 
 
+def covered() -> str:
+    from bazaarlens.plans import oracle_money
+
+    return oracle_money.SQL["coverage_by_month"]
+
+
 def exported_results() -> str:
     from bazaarlens.plans import oracle_core, oracle_metrics, oracle_money
     from bazaarlens.plans.queries_ingest import EXPORTED
@@ -96,6 +102,7 @@ SQL = {
     "load_refused_newer": LOADED_SALES,
     "load_empty_newer": LOADED_SALES,
     "load_ops_backwards": "SELECT month || '-01' AS period, metric, value FROM fx_ops",
+    "coverage_at_rest": covered,
     "upsert_moved_orders": f"""SELECT package_no, {T('moved', 'order_at')}, strftime(moved, '%Y-%m') AS stored_month, n_lines, qty
  FROM (SELECT package_no, CASE WHEN order_key % 3 = 0 THEN order_at + INTERVAL 40 DAY ELSE order_at END AS moved FROM fx_orders)
  JOIN (SELECT package_no, count(*) AS n_lines, CAST(sum(qty) AS BIGINT) AS qty FROM fx_order_lines GROUP BY package_no) USING (package_no)""",

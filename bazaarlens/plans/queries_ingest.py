@@ -7,8 +7,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from bazaarlens.functions.parsing import locale_number, month_header, report_day, report_timestamp
-from bazaarlens.operators import core, ingest, kpis, sinks
+from bazaarlens.operators import core, coverage, ingest, kpis, sinks
 from bazaarlens.plans.digests import digest
+from bazaarlens.plans.queries_money import TODAY
 from bazaarlens.schemas import KEYS
 from bazaarlens.session import scratch_path
 from bazaarlens.sources import catalog, raw_fixtures as raw, reports, tables as tables_at_rest
@@ -214,6 +215,16 @@ def moved_packages(fx: Fixture) -> DataFrame:
         F.count(F.lit(1)).alias("n_lines"), F.sum("qty").alias("qty"))
 
 
+def coverage_at_rest(fx: Fixture) -> DataFrame:
+    """Coverage of the stored tables, from the list of their folders."""
+    root, period = scratch_path(fx.spark, "tables"), F.to_date(F.concat("month", F.lit("-01"))).alias("period")
+    tables_at_rest.upsert_tables({
+        "sales_monthly": fx.sales_monthly.select(period, "barcode", "net_sales_qty"), "orders": fx.orders_lite.select("package_no", "order_at"), "store_daily": fx.store_daily,
+        "distribution": fx.distribution.select(period, "dimension", "bucket", "bucket2", "orders", "customers"), "ops_monthly": fx.ops.select(period, "metric", "value"),
+    }, root, slots=2)
+    return coverage.covered(tables_at_rest.read_month_facts(fx.spark, root), TODAY)
+
+
 QUERIES = {
     "report_file_catalog": lambda fx: raw.file_list(fx).select("file_name", "report_type", "period"),
     "parse_locale_numbers": lambda fx: raw.number_texts(fx).select(
@@ -248,6 +259,7 @@ QUERIES = {
     "load_empty_newer": lambda fx: loaded_beside(fx, raw.sales_export(fx).drop("file").columns, False),
     "load_ops_backwards": loaded_backwards,
     "upsert_moved_orders": moved_packages,
+    "coverage_at_rest": coverage_at_rest,
     "export_results": exported_results,
     "tighten_integer_columns": tightened,
     "replace_snapshot": lambda fx: catalog.active_files(raw.file_list(fx)).select("file_name", "report_type", "landed_at"),

@@ -35,8 +35,11 @@ def shared_relations(tables: dict[str, DataFrame], params: Params) -> tuple[Data
 
 
 def result_blocks(tables: dict[str, DataFrame], params: Params = Params(), marketplace: str = "", today: dt.date | None = None,
-                  names: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Every block the given tables allow, by name. `names` (code, name) overrides the display names of models."""
+                  names: DataFrame | None = None, facts: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Every block the given tables allow, by name. `names` (code, name) overrides the display names of models.
+
+    `facts` (`sources.tables.read_month_facts`) gives the coverage of stored tables without reading them.
+    """
     sales, lines, packs = shared_relations(tables, params)
     blocks = order_blocks(sales, lines, packs, params, names)
     if marketplace:
@@ -54,7 +57,7 @@ def result_blocks(tables: dict[str, DataFrame], params: Params = Params(), marke
     if "ad_totals" in tables:
         blocks |= money_blocks(tables, sales, packs, blocks, params)
     if today and {"distribution", "store_daily", "ops_monthly"} <= set(tables):
-        blocks |= coverage_blocks(tables, today)
+        blocks |= coverage_blocks(tables, today, facts)
     return blocks
 
 
@@ -115,10 +118,11 @@ def sales_window(params: Params) -> tuple[dt.date, dt.date]:
     return dt.date(int(first[:4]), int(first[5:]), 1), after - dt.timedelta(days=1)
 
 
-def coverage_blocks(tables: dict[str, DataFrame], today: dt.date) -> dict[str, DataFrame]:
-    found = materialise(coverage.coverage_by_month(
+def coverage_blocks(tables: dict[str, DataFrame], today: dt.date, facts: DataFrame | None = None) -> dict[str, DataFrame]:
+    found = coverage.covered(facts, today) if facts is not None else coverage.coverage_by_month(
         with_month(tables["sales_monthly"]), tables["orders"], with_month(tables["distribution"]), tables["store_daily"],
-        with_month(tables["ops_monthly"]), today), "coverage")
+        with_month(tables["ops_monthly"]), today)
+    found = materialise(found, "coverage")
     cells = coverage.coverage_cells(found, today)
     return {"coverage": found, "coverage_months": coverage.coverage_month_score(cells), "coverage_years": coverage.coverage_year_summary(cells)}
 

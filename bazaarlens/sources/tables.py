@@ -23,6 +23,8 @@ STORED = {INDEX: f"package_no string, {MONTH} string",
 OWN_KEYS = {"files": ["file_name", "digest"]}
 # folder columns by table; the others lie in one folder
 FOLDERS = {"orders": [MONTH, SLOT], "order_lines": [MONTH, SLOT], INDEX: [SLOT], "sales_monthly": [MONTH], "distribution": [MONTH], "ops_monthly": [MONTH], "store_daily": [MONTH]}
+# what the coverage map calls the dated tables
+REPORTS = {"sales_monthly": "sales", "orders": "orders", "distribution": "distribution", "store_daily": "store", "ops_monthly": "ops"}
 DATES = {"orders": "order_at", "sales_monthly": "period", "distribution": "period", "ops_monthly": "period", "store_daily": "day"}
 
 
@@ -35,14 +37,15 @@ class Store:
     """A folder of tables that change together: all new folders are written first, then a version names them.
 
     `<root>/<table>/batch=<id>/stored_month=.../key_slot=...` holds rows, and is never changed. `<root>/versions/<n>.json` lists
-    the folders of every table; it appears by one rename. A reader takes the newest version, so
+    the folders of every table, with the rows and days that the dated ones hold; it appears by one rename. A reader takes the newest version, so
     that it sees a load whole or not at all, and a load that fails leaves the tables as they were. One load at a
     time: two that start from one version can't both publish the next.
     """
 
     def __init__(self, spark: SparkSession, root: str, slots: int = 16):
         self.spark, self.root, self.slots, self.batch = spark, root.rstrip("/"), slots, uuid.uuid4().hex[:12]
-        self.version, self.folders = self._newest()
+        found = self.versions()
+        self.version, (self.folders, self.facts) = (found[-1], self.listed(found[-1])) if found else (0, ({}, {}))
         self.fresh = {name: list(paths) for name, paths in self.folders.items()}
 
     def _path(self, *parts: str):
@@ -56,14 +59,22 @@ class Store:
         names = [s.getPath().getName() for s in fs.listStatus(place)] if fs.exists(place) else []
         return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
 
-    def listed(self, version: int) -> dict[str, list[str]]:
-        """Folders of each table in a version: a short text per folder."""
+    def listed(self, version: int) -> tuple[dict[str, list[str]], dict[str, list]]:
+        """Folders of each table in a version, a short text per folder, and what the dated ones hold: rows, rows with a value, days, last day of the month."""
         path = self._path(VERSIONS, f"{version:09d}.json").toString()
-        return json.loads("\n".join(r[0] for r in self.spark.read.option("wholetext", "true").text(path).collect()))
-
-    def _newest(self) -> tuple[int, dict[str, list[str]]]:
-        found = self.versions()
-        return (found[-1], self.listed(found[-1])) if found else (0, {})
+        found = json.loads("\n".join(r[0] for r in self.spark.read.option("wholetext", "true").text(path).collect()))
+        return found["folders"], found["facts"]
+
+    def month_facts(self) -> DataFrame:
+        """(report, month, n, reached_day) of the dated tables, as `coverage.coverage_by_month` counts them, from the version's list alone: no rows are read."""
+        rows = []
+        for name, report in REPORTS.items():
+            for path in self.folders.get(name, []):
+                month, (n, known, days, last) = self.value(path)[0], self.facts[f"{name}/{path}"]
+                if month != "none":
+                    rows.append((report, month, {"store": days, "ops": known}.get(report, n), last if report == "orders" else None))
+        found = self.spark.createDataFrame(rows, "report string, month string, n bigint, reached_day int").groupBy("report", "month")
+        return found.agg(F.sum("n").alias("n"), F.max("reached_day").alias("reached_day")).where("n > 0")
 
     def schema(self, name: str) -> StructType:
         rows = StructType.fromDDL(STORED[name]) if name in STORED else table_schema(name)
@@ -93,17 +104,25 @@ class Store:
         rows = rows.select(*[F.col(c) for c in self.schema(name).names if c != BATCH])
         # small folders are written by one task, large ones by several
         (rows.hint("rebalance", *parts) if parts else rows).write.partitionBy(*parts).parquet(path)
+        made = [f"{BATCH}={self.batch}"]
         if parts:
-            names = [r[0] for r in self.spark.read.option("basePath", path).schema(rows.schema).parquet(path).select(F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in parts])).distinct().collect()]
-            made = [f"{BATCH}={self.batch}/{n}" for n in names]
-        else:
-            made = [f"{BATCH}={self.batch}"]
+            # one row per folder, from the folder columns, and the date of tables that have one
+            folder = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in parts])
+            day = F.dayofmonth(DATES[name]) if name in DATES else F.lit(None)
+            known = F.count("value") if name == "ops_monthly" else F.count(F.lit(1))
+            found = self.spark.read.option("basePath", path).schema(rows.schema).parquet(path).groupBy(folder.alias("folder")).agg(F.count(F.lit(1)), known, F.size(F.collect_set(day)), F.max(day)).collect()
+            made = [f"{BATCH}={self.batch}/{r['folder']}" for r in found]
+            self.facts |= {f"{name}/{p}": list(r)[1:] for p, r in zip(made, found, strict=True)} if name in DATES else {}
         self.fresh[name] = sorted([*kept, *made])
         return self.read(name, {self.value(p) for p in made}, fresh=True)
 
+    def _text(self) -> str:
+        used = {f"{name}/{p}" for name, paths in self.fresh.items() for p in paths}
+        return json.dumps({"folders": self.fresh, "facts": {p: f for p, f in self.facts.items() if p in used}}, indent=0)
+
     def publish(self) -> int:
         """The next version, by renaming its list into place."""
-        fs, text = self._fs(), json.dumps(self.fresh, indent=0)
+        fs, text = self._fs(), self._text()
         place, aside = self._path(VERSIONS, f"{self.version + 1:09d}.json"), self._path(VERSIONS, f".{self.batch}")
         out = fs.create(aside, False)
         out.write(bytearray(text.encode()))
@@ -117,7 +136,7 @@ class Store:
     def prune(self, keep: int = 2) -> int:
         """Remove what none of the last `keep` versions lists, failed loads' folders included; not while another load runs. Returns the folders removed."""
         fs, kept = self._fs(), self.versions()[-keep:]
-        used = {f"{name}/{p}" for v in kept for name, paths in self.listed(v).items() for p in paths}
+        used = {f"{name}/{p}" for v in kept for name, paths in self.listed(v)[0].items() for p in paths}
         batches, gone = {"/".join(u.split("/")[:2]) for u in used}, 0
         for name in {u.split("/")[0] for u in used}:
             for status in fs.listStatus(self._path(name)):
@@ -216,7 +235,7 @@ def read_tables(spark: SparkSession, root: str, names: tuple[str, ...] = tuple(T
     """
     store = Store(spark, root)
     if version is not None:
-        store.folders = store.listed(version)
+        store.folders, store.facts = store.listed(version)
     found = {}
     for name in names:
         if name in store.folders:
@@ -225,6 +244,11 @@ def read_tables(spark: SparkSession, root: str, names: tuple[str, ...] = tuple(T
     return found
 
 
+def read_month_facts(spark: SparkSession, root: str) -> DataFrame:
+    """(report, month, n, reached_day) of the stored reports, from the newest version's list: see `coverage.covered`."""
+    return Store(spark, root).month_facts()
+
+
 def read_files(spark: SparkSession, root: str) -> DataFrame:
     """The ledger: one row per file content that was loaded, archived or refused."""
     return Store(spark, root).read("files").drop(BATCH)

@@ -202,3 +202,24 @@ def test_order_lines_of_replaced_files_stay_with_their_package(spark, tmp_path):
     assert found["orders"].where("stored_month = '2026-05' and status = 'İade edildi'").count() == 3
     apart = found["order_lines"].join(found["orders"].select("package_no", "stored_month"), ["package_no", "stored_month"], "left_anti")
     assert apart.count() == 0 and at_rest.INDEX in Store(spark, root).folders
+
+
+def test_coverage_of_stored_tables_reads_no_rows(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from bazaarlens.operators import coverage
+    from bazaarlens.sources.tables import read_month_facts
+
+    root, folder, today = str(tmp_path / "t"), tmp_path / "in", dt.date(2026, 6, 20)
+    folder.mkdir()
+    write_reports(folder)
+    reports.load_batch(spark, str(folder), root, "salt", MARKET, slots=2)
+    write_csv(folder / "mayis-2026-siparis-dagilim-yas.csv", ["dimension", "Yaş", "Sipariş Adedi", "x", "Müşteri Adedi", "y"], [["Yaş", "18-24", 3, "40", 2, "30"]])
+    write_csv(folder / "magaza-raporu-2.csv", STORE_HEADER, [["02-05-2026 00:00", 7], ["09-05-2026 00:00", 7], ["01-06-2026 00:00", 7]])
+    reports.load_batch(spark, str(folder), root, "salt", MARKET, slots=2)
+    found, month = read_tables(spark, root), F.date_format("period", "yyyy-MM")
+    dated = {n: found[n].withColumn("month", month) for n in ("sales_monthly", "distribution", "ops_monthly")}
+    want = coverage.coverage_by_month(dated["sales_monthly"], found["orders"], dated["distribution"], found["store_daily"], dated["ops_monthly"], today)
+    got = coverage.covered(read_month_facts(spark, root), today)
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()} and got.count() > 8
+    assert "FileScan" not in got._jdf.queryExecution().toString()
