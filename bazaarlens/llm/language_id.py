@@ -134,7 +134,8 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     rows = labelled.select(col(id_col).alias("id"), col(lang_col).cast("string").alias("lang"), col(text_col).cast("string").alias("text"))
     rows = rows.where("lang is not null and text is not null").withColumn("h", F.xxhash64(F.col("id").cast("string"), F.lit("sample"), "text"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    picked = rows.select("lang", "h").distinct().withColumn("r", place).where(F.col("r") <= sample_docs)
+    # dealt by both columns first, so that a language's rows meet in one task only after every task has left but its least
+    picked = rows.select("lang", "h").repartition("lang", "h").distinct().withColumn("r", place).where(F.col("r") <= sample_docs)
     last = picked.groupBy("lang").agg(F.max("h").alias("last")).select(F.col("lang").alias("of"), "last")
     # one bound per language, as many as models that come to the driver; rows equal in id and text teach once
     taught = rows.join(F.broadcast(last), (F.col("lang") == F.col("of")) & (F.col("h") <= F.col("last"))).dropDuplicates(["lang", "h"])
