@@ -19,8 +19,8 @@ STOP_WORDS = {
     "es": "a al como con cuando de del donde el ella en entre era es esta este ha hay la las le lo los más me mi muy ni no nos o para pero por que se ser si sin sobre son su sus también un una y ya",
 }
 # elements whose contents are no text at all, those that never hold main text, and class or id words that mark such parts
-SILENT = ("script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "select", "textarea", "title", "video", "audio", "map")
-ASIDE = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "fieldset", "header"}
+SILENT = ("script", "style", "noscript", "template", "svg", "annotation-xml", "annotation", "iframe", "object", "canvas", "select", "textarea", "title", "video", "audio", "map")
+ASIDE = {"nav", "footer", "aside", "menu", "dialog", "button", "fieldset", "header"}
 MARKS = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies", "disclaimer",
     "footer", "header", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "popup", "promo", "promotion", "related", "replies", "reply",
@@ -30,7 +30,12 @@ MARKS = {
 STARTS = ("commentlist", "commentsection", "commentbox", "usercomment", "advert", "cookie", "sidebar", "newsletter", "breadcrumb", "sponsor", "subscri", "navbar", "navig", "masthead", "disqus", "footer")
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "menu", "menubar", "alert", "dialog", "form"}
 CONTENT = {"article", "main"}
-BOXES = ASIDE | CONTENT | {"html", "body", "div", "section", "ul", "ol", "dl", "table", "tr", "td", "th", "tbody", "thead", "figure", "details", "center", "blockquote"}
+# words of adverts and of readers' comments, and words beside which such a word names a state of the page, not the box
+ADS = {"ad", "ads"}
+COMMENTS = {"comment", "comments", "replies", "reply", "respond", "disqus"}
+BEFORE = {"has", "no", "not", "with", "without", "show", "hide"}
+AFTER = {"open", "opened", "closed", "fixed", "sticky", "enabled", "disabled", "visible", "collapsed", "expanded", "active"}
+BOXES = ASIDE | CONTENT | {"form", "html", "body", "div", "section", "ul", "ol", "dl", "table", "tr", "td", "th", "tbody", "thead", "figure", "details", "center", "blockquote"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 BLOCKS = BOXES | HEADINGS | {"p", "li", "dt", "dd", "pre", "hr", "address", "caption", "figcaption", "summary", "legend", "option", "head", "meta", "link"}
 VOID = {"br", "hr", "img", "meta", "link", "input", "wbr", "area", "base", "col", "embed", "source", "track"}
@@ -41,7 +46,8 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-_UNSEEN = re.compile(r"(?:^|;)\s*visibility\s*:\s*hidden\b", re.I)
+_UNSEEN = re.compile(r"(?:^|;)\s*(?:visibility\s*:\s*hidden|display\s*:\s*none)\b", re.I)
+_RIGHTS = re.compile(r"\A©|©\s*(?:copyright\b|\d{4}\b)|\bcopyright\s*©|\ball rights reserved\b", re.I)
 _CUT_TAG = re.compile(r"<[a-zA-Z/!?][^>]*\Z")
 _WORDS = re.compile(r"[^\W\d_]+")
 _WIDE = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]")  # characters that say as much as three letters
@@ -50,45 +56,66 @@ _WIDE = re.compile(r"[\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]")  # characters t
 class Block:
     """One run of text between block tags."""
 
-    __slots__ = ("text", "linked", "heading", "section", "inside", "aside")
+    __slots__ = ("text", "linked", "heading", "section", "inside", "aside", "marks")
 
-    def __init__(self, text: str, linked: int, heading: bool, section: int, inside: bool, aside: bool):
-        self.text, self.linked, self.heading, self.section, self.inside, self.aside = text, linked, heading, section, inside, aside
+    def __init__(self, text: str, linked: int, heading: bool, section: int, inside: bool, aside: bool, marks: tuple[tuple[int, bool], ...]):
+        self.text, self.linked, self.heading, self.section, self.inside, self.aside, self.marks = text, linked, heading, section, inside, aside, marks
 
 
-def _marked(name: str, attrs: str, inside: bool) -> bool:
-    """Whether this element holds no main text. A header inside an article holds its title."""
+def _named(value: str) -> set[str]:
+    """Words of a class or id, without those that name a state: what follows has-, no-, with-, and what precedes -open, -fixed, -enabled."""
+    out: set[str] = set()
+    for name in value.split():
+        words = [w for w in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()) if w]
+        stop = next((k for k, w in enumerate(words) if w in BEFORE), len(words))
+        out.update(w for k, w in enumerate(words[:stop]) if w not in AFTER and not (k + 1 < len(words) and words[k + 1] in AFTER))
+    return out
+
+
+def _mark(name: str, attrs: str, inside: bool) -> str:
+    """Why an element may hold no main text: "aside" for what it is, an advert or unseen, "named" for what it is called, "comment"; or "".
+
+    A header inside an article holds its title.
+    """
     if name in ASIDE and not (name == "header" and inside):
-        return True
+        return "aside"
+    mark = "named" if name == "form" else ""
     for what, *values in _ATTR.findall(attrs) if attrs else ():
         what, value = what.lower(), next((v for v in values if v), "")
-        if what == "role" and value.lower() in ROLES or what == "hidden":
-            return True
+        if what == "role" and value.lower() in ROLES:
+            return "aside"
+        if what == "hidden":
+            return "aside"
         if name in CONTENT or name in ("body", "html"):
             continue
         if what == "style" and _UNSEEN.search(value):
-            return True
+            return "aside"
         if what in ("class", "id"):
-            words = set(re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower()))
-            if words & (MARKS - {"header"} if inside else MARKS) or any(w.startswith(STARTS) for w in words):
-                return True
-    return False
+            words = _named(value)
+            if words & ADS or any(w.startswith(("advert", "sponsor")) for w in words):
+                return "aside"
+            if words & COMMENTS or any(w.startswith(("commentlist", "commentsection", "commentbox", "usercomment", "disqus")) for w in words):
+                mark = "comment"
+            elif words & (MARKS - {"header"} if inside else MARKS) or any(w.startswith(STARTS) for w in words):
+                mark = mark or "named"
+    return mark
 
 
 def blocks_of(page: str) -> list[Block]:
     """The page's non-empty blocks in order; character references decoded, white space made one space."""
     found: list[Block] = []
-    boxes: list[tuple[str, bool, bool, int]] = []  # name, aside, inside content, section
+    boxes: list[tuple[str, bool, bool, int, tuple]] = []  # name, aside, inside content, section, marked boxes around as (number, comment)
+    outside = ("", False, False, 0, ())
     parts: list[str] = []
-    links = linked = sections = 0
+    links = linked = sections = named = 0
     heading = False
 
     def end() -> None:
         nonlocal parts, linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            _, aside, inside, section = boxes[-1] if boxes else ("", False, False, 0)
-            found.append(Block(text, linked, heading, section, inside, aside))
+            _, aside, inside, section, marks = boxes[-1] if boxes else outside
+            found.append(Block(text, linked, heading, section, inside, aside, marks))
         parts, linked = [], 0
 
     at = 0
@@ -119,15 +146,19 @@ def blocks_of(page: str) -> list[Block]:
                     if where is not None:
                         del boxes[where:]
                 elif not m["attrs"].endswith("/"):
-                    _, aside, inside, section = boxes[-1] if boxes else ("", False, False, 0)
+                    _, aside, inside, section, marks = boxes[-1] if boxes else outside
                     if name in CONTENT:
                         sections += 1
                         inside, section = True, sections
-                    boxes.append((name, aside or _marked(name, m["attrs"], inside), inside, section))
-            elif not m["close"] and name not in VOID and m["attrs"] and _marked(name, m["attrs"], bool(boxes and boxes[-1][2])):
+                    mark = _mark(name, m["attrs"], inside)
+                    if mark in ("named", "comment"):
+                        named += 1
+                        marks = (*marks, (named, mark == "comment"))
+                    boxes.append((name, aside or mark == "aside", inside, section, marks))
+            elif not m["close"] and name not in VOID and m["attrs"] and _mark(name, m["attrs"], bool(boxes and boxes[-1][2])):
                 # a marked paragraph or list item: its own text alone is aside
-                _, _, inside, section = boxes[-1] if boxes else ("", False, False, 0)
-                boxes.append((name, True, inside, section))
+                _, _, inside, section, marks = boxes[-1] if boxes else outside
+                boxes.append((name, True, inside, section, marks))
             elif m["close"] and boxes and boxes[-1][0] == name:
                 boxes.pop()
     parts.append(_CUT_TAG.sub("", page[at:]))  # a page may end inside a tag
@@ -146,48 +177,84 @@ def unlisted(texts: list[str], stop_words: dict[str, frozenset], low: float) ->
     return bool(texts) and stop_density(" ".join(texts), stop_words) < low
 
 
+def cleared(blocks: list[Block], good: list[bool]) -> set[int]:
+    """Numbers of the marked boxes that a name alone can't set aside, as they hold the page's text.
+
+    A box is cleared if more than half of the page's good text (`good` blocks, not set aside by their elements) is in it; one of
+    comments only if all of it is, as comments may well be longer than what they are about.
+    """
+    held: dict[int, int] = {}
+    comments = set()
+    total = 0
+    for b, counts in zip(blocks, good, strict=True):
+        if counts and not b.aside:
+            total += len(b.text)
+            for number, comment in b.marks:
+                held[number] = held.get(number, 0) + len(b.text)
+                if comment:
+                    comments.add(number)
+    return {number for number, size in held.items() if (size == total if number in comments else 2 * size > total)}
+
+
+def nearest_labels(blocks: list[Block], labels: list[bool | None], aside: list[bool]) -> list[tuple | None]:
+    """For each block the next block before it (in order) of its section with a label, as (place, label); inside an article, parts set aside in it don't count."""
+    out: list[tuple | None] = []
+    every: dict[int, tuple] = {}
+    own: dict[int, tuple] = {}
+    for k, b in enumerate(blocks):
+        out.append((own if b.inside else every).get(b.section))
+        if labels[k] is not None:
+            every[b.section] = (k, labels[k])
+            if not aside[k]:
+                own[b.section] = (k, labels[k])
+    return out
+
+
 def main_text(page: str | None, stop_words: dict[str, frozenset], short: int = 70, long: int = 200, low: float = 0.2, high: float = 0.3, links: float = 0.3) -> str:
     """The main text: blocks of the article joined by newlines, empty if there is none.
 
     First pass: a block in a menu, header, footer, sidebar, notice, advert,
     form or comment, or with a link density over `links`, is bad; one with
     a stop-word density of `high` (or `low`, if `long`) is good; outside an article
-    a long one with few stop words is bad; the rest is ambiguous. Second pass:
+    a long one with few stop words, or a short one of rights, is bad; the rest is ambiguous. A box that is only called
+    one of those stays if it holds most of the page's good text (`cleared`). Second pass:
     an ambiguous block takes the label of the nearest decided block of its
     section (of two equally near ones, good wins; a heading goes with what follows it); without
     any, it is good inside an article and bad outside. On a page in a language
     without stop words here, length and link density alone decide.
     """
     blocks = blocks_of(page or "")
-    labels: list[bool | None] = []
-    plain = [b for b in blocks if not b.aside and not b.heading and b.linked <= links * len(b.text)]
     size = lambda b: len(b.text) + 2 * len(_WIDE.findall(b.text))
-    foreign = unlisted([b.text for b in plain if size(b) >= short], stop_words, low)
+    plain = [b for b in blocks if not b.aside and not b.heading and b.linked <= links * len(b.text) and size(b) >= short]
+    foreign = unlisted([b.text for b in plain], stop_words, low)
+    first: list[bool | None] = []  # labels as if no box were marked
     for b in blocks:
         density = stop_density(b.text, stop_words)
-        if b.aside or b.linked > links * len(b.text):
-            labels.append(False)
+        rights = not b.inside and len(b.text) < long and _RIGHTS.search(b.text)
+        if b.aside or b.linked > links * len(b.text) or rights:
+            first.append(False)
         elif foreign:
-            labels.append(False if not b.inside and "\xa9" in b.text else True if size(b) >= short and not b.heading else None)
+            first.append(True if size(b) >= short and not b.heading else None)
         elif len(b.text) >= short and not b.heading and density >= (low if len(b.text) >= long else high):
-            labels.append(True)
-        elif not b.inside and ("\xa9" in b.text or len(b.text) >= short and density < low):
-            labels.append(False)
+            first.append(True)
+        elif not b.inside and len(b.text) >= short and density < low:
+            first.append(False)
         else:
-            labels.append(None)
+            first.append(None)
+    clear = cleared(blocks, [x is True for x in first])
+    aside = [b.aside or any(number not in clear for number, _ in b.marks) for b in blocks]
+    labels = [False if off else x for x, off in zip(first, aside, strict=True)]
+    before = nearest_labels(blocks, labels, aside)
+    last = len(blocks) - 1
+    after = [x and (last - x[0], x[1]) for x in nearest_labels(blocks[::-1], labels[::-1], aside[::-1])][::-1]
     out = []
     for k, b in enumerate(blocks):
         label = labels[k]
         if label is None:
-            # inside an article only its own blocks count, not the parts set aside in it
-            near = lambda ks: next(((abs(k - j), labels[j]) for j in ks if labels[j] is not None and blocks[j].section == b.section and not (b.inside and blocks[j].aside)), None)  # noqa: E731, B023
-            after, before = near(range(k + 1, len(blocks))), near(range(k - 1, -1, -1))
-            if b.heading and after:
-                label = after[1]
-            elif after and before:
-                label = min(after, before, key=lambda x: (x[0], not x[1]))[1]
+            if b.heading and after[k]:
+                label = after[k][1]
             else:
-                label = (after or before or (0, b.inside))[1]
+                label = min(((abs(k - at), not good) for at, good in filter(None, (after[k], before[k]))), default=(0, not b.inside))[1] is False
         if label:
             out.append(b.text)
     return "\n".join(out)
