@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bazaarlens.llm.common import col
 
@@ -18,6 +18,14 @@ PATTERNS = (
 # the characters the models know, and what they read: long runs of them with a digit
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+# words that programs' names are made of, for the ordinary samples
+NAME_WORDS = (
+    "get set user token cache value name list index file path load read write handler manager service config test error request response client server data model view state event action type node tree map key "
+    "query result table column field source target input output stream buffer thread process task queue worker job status code message format parse build create update delete remove insert find search filter sort "
+    "group count total size length width height start end first last next previous current default global local public private static final abstract base main module package library version release update package "
+    "account address customer order product price payment invoice report summary detail image audio video text string number integer boolean array object class method function argument parameter return"
+).split()
+NAME_TRIPLES = 12_000
 SPANS = "array<struct<start:int,k:int,end:int,kind:string>>"
 
 
@@ -63,6 +71,7 @@ class MarkovModels:
     """Two first-order models of characters, as log-likelihood ratios (random over ordinary, in bits) of each pair."""
 
     ratios: tuple[float, ...]  # by first character, then second, in ALPHABET order
+    threshold: float = 0.5  # bits a pair over which a string counts as random
 
     def score(self, s: Column) -> Column:
         """Mean ratio over the pairs of `s`; above 0, a random string is the likelier source."""
@@ -82,12 +91,12 @@ def _pair_counts(strings: DataFrame) -> dict[str, int]:
     return {r[0]: r[1] for r in pairs.groupBy("pair").count().collect()}
 
 
-def labelled_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = 2000, generated: int = 20_000) -> tuple[DataFrame, DataFrame]:
-    """(random, ordinary) strings to train on, each a column `s`.
+def labelled_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = 2000, generated: int = 20_000) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(random, ordinary, unseen) strings, each a column `s`: the first two to train on, the last ordinary ones of words that the others lack.
 
     Random: `generated` strings in hexadecimal, base 64 and capitals from a
-    hash of a counter. Ordinary: identifiers as programs write them, built from
-    the words of at most `sample_docs` documents (those whose id's hash
+    hash of a counter, with and without digits, and as codes with dashes. Ordinary: identifiers as programs write them, built from
+    words that are common in them and from those of at most `sample_docs` documents (whose id's hash
     is least): plain, capitalised, joined by _, - and /, with small numbers
     and years. Words inside a base match, or that mix in digits, aren't taken.
     """
@@ -96,7 +105,8 @@ def labelled_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     code = F.sha2(F.concat(F.lit("sample"), n.cast("string")), 256)
     coded = F.regexp_replace(F.base64(F.unhex(code)), "=+$", "")
     random = spark.range(generated).select(
-        F.when(n % 3 == 0, code).when(n % 3 == 1, coded).otherwise(F.regexp_replace(F.upper(coded), "[+/]", "7")).alias("s")
+        F.when(n % 5 == 0, code).when(n % 5 == 1, coded).when(n % 5 == 2, F.regexp_replace(F.upper(coded), "[+/]", "7"))
+        .when(n % 5 == 3, F.regexp_replace(coded, "[^A-Za-z]", "")).otherwise(F.regexp_replace(F.substring(code, 1, 32), "^(.{8})(.{4})(.{4})(.{4})", "$1-$2-$3-$4-")).alias("s")
     )
     rows = docs.select(col(id_col).alias("i"), col(text_col).alias("t")).where("t is not null").withColumn("h", F.xxhash64(F.col("i").cast("string")))
     last = rows.select("h").orderBy("h").limit(sample_docs).agg(F.max("h")).first()[0]
@@ -108,19 +118,32 @@ def labelled_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.sequence(F.lit(1), F.size("w") - 2, F.lit(3)),
         lambda i: F.struct(F.element_at("w", i).alias("a"), F.element_at("w", i + 1).alias("b"), F.element_at("w", i + 2).alias("c"), i.alias("i")),
     )
-    part = some.select(F.explode(triples).alias("x")).select("x.*")
+    part = some.select(F.explode(triples).alias("x")).select("x.*").unionByName(_named(spark, NAME_WORDS[: -len(NAME_WORDS) // 5]))
+    return random, _forms(part), _forms(_named(spark, NAME_WORDS[-len(NAME_WORDS) // 5 :]))
+
+
+def _named(spark: SparkSession, words: list[str]) -> DataFrame:
+    """(a, b, c, i): triples of the given words."""
+    names, pick = F.array(*[F.lit(w) for w in words]), lambda k: F.pmod(F.xxhash64("id", F.lit(k)), F.lit(len(words)))
+    return spark.range(NAME_TRIPLES).select(*[F.get(names, pick(k)).alias(c) for k, c in enumerate("abc")], F.col("id").cast("int").alias("i"))
+
+
+def _forms(part: DataFrame) -> DataFrame:
+    """Names as programs write them, of the words a, b and c."""
     year = (F.lit(1990) + F.col("i") % 40).cast("string")
     small = (F.col("i") % 100).cast("string")
     forms = F.array(
         F.concat_ws("_", F.lower("a"), F.lower("b"), F.lower("c")), F.concat(F.lower("a"), F.initcap("b"), F.initcap("c"), small),
         F.concat_ws("-", F.lower("a"), F.lower("b"), year), F.concat_ws("/", F.lit(""), F.lower("a"), F.lower("b"), F.lower("c")),
-        F.concat_ws("_", F.upper("a"), F.upper("b"), small), F.concat_ws("-", year, F.format_string("%02d", F.col("i") % 12 + 1), F.format_string("%02d", F.col("i") % 28 + 1)),
-        F.concat(F.lit("="), F.lower("a"), F.lit("="), small), F.concat(F.lower("a"), year, F.format_string("%02d%02d", F.col("i") % 12 + 1, F.col("i") % 28 + 1), F.lower("b")),
+        F.concat_ws("_", F.upper("a"), F.upper("b"), small), F.concat_ws("_", F.upper("c"), F.upper("a"), F.upper("b")), F.concat_ws("-", year, F.format_string("%02d", F.col("i") % 12 + 1), F.format_string("%02d", F.col("i") % 28 + 1)),
+        F.concat(F.initcap("a"), F.initcap("b"), F.initcap("c"), small), F.concat(F.initcap("a"), F.initcap("b"), F.initcap("c")), F.concat(F.lower("a"), F.lower("b"), F.lower("c")),
+        F.concat_ws("/", F.lower("a"), F.concat_ws("_", F.lower("b"), F.lower("c")), F.concat(F.initcap("a"), F.initcap("b"))), F.concat_ws("/", F.lower("c"), F.concat_ws("-", F.lower("a"), F.lower("b"), small)),
+        F.concat(F.lit("="), F.lower("a"), F.lit("="), small), F.concat(F.repeat(F.substr(F.lit("=-_+"), F.col("i") % 4 + 1, F.lit(1)), F.lit(24)), F.lower("a")), F.concat(F.lower("a"), year, F.format_string("%02d%02d", F.col("i") % 12 + 1, F.col("i") % 28 + 1), F.lower("b")),
     )
-    return random, part.select(F.explode(forms).alias("s"))
+    return part.select(F.explode(forms).alias("s"))
 
 
-def train(random: DataFrame, ordinary: DataFrame, smoothing: float = 0.5) -> MarkovModels:
+def train(random: DataFrame, ordinary: DataFrame, smoothing: float = 5.0) -> MarkovModels:
     """Both models from labelled strings (column `s`): smoothed chances of the second character after the first."""
     n, tables = len(ALPHABET), []
     for strings in (random, ordinary):
@@ -134,20 +157,26 @@ def train(random: DataFrame, ordinary: DataFrame, smoothing: float = 0.5) -> Mar
     return MarkovModels(tuple(round(x - y, 4) for x, y in zip(*tables, strict=True)) if n else ())
 
 
-def scan(docs: DataFrame, models: MarkovModels, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5, keep: tuple[str, ...] = ()) -> DataFrame:
+def chosen(models: MarkovModels, unseen: DataFrame, alarms: float = 0.002) -> MarkovModels:
+    """The models with the threshold that the share `alarms` of ordinary strings, of words they weren't trained on, lies over; 0.1 at least."""
+    long = unseen.where(F.rlike("s", F.lit(f"^{CANDIDATE}$"))).select(models.score(F.col("s")).alias("score"))
+    return MarkovModels(models.ratios, max(0.1, round(long.agg(F.percentile("score", 1 - alarms)).first()[0], 3)))
+
+
+def scan(docs: DataFrame, models: MarkovModels, id_col: str = "doc_id", text_col: str = "text", threshold: float | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Secrets of every whole text: id, n_assign, n_access, n_hex, n_markov, found (array of start, k, end, kind), and the columns of `keep`.
 
     Base spans are the contract's patterns. The models add runs of 20 or more
-    key characters that hold a digit and a letter, lie in no base span and
-    score over `threshold` bits a pair. Places are code points, the end
+    key characters that hold a letter, lie in no base span and
+    score over `threshold` bits a pair, the models' own if none is given. Places are code points, the end
     exclusive, ordered by start, then kind. A null text is read as empty: no
     spans. Repeated rows are scanned each on their own; nothing is shuffled.
     """
     bare = docs.select(col(id_col).alias("doc_id"), F.coalesce(col(text_col), F.lit("")).alias("_t"), *[col(c) for c in keep])
     based = bare.select("*", *[base_spans(F.col("_t"), kind).alias(f"_{kind}") for kind, _, _ in PATTERNS])
     based = based.withColumn("_base", F.concat(*[F.col(f"_{kind}") for kind, _, _ in PATTERNS]))
-    mixed = lambda m: F.rlike(m, F.lit("[0-9]")) & F.rlike(m, F.lit("[A-Za-z]"))
-    added = spans_of(F.col("_t"), CANDIDATE, "markov", len(PATTERNS), lambda m: F.when(mixed(m), models.score(m) > threshold).otherwise(F.lit(False)))
+    least = models.threshold if threshold is None else threshold
+    added = spans_of(F.col("_t"), CANDIDATE, "markov", len(PATTERNS), lambda m: F.when(F.rlike(m, F.lit("[A-Za-z]")), models.score(m) > least).otherwise(F.lit(False)))
     outside = F.filter(F.col("_added"), lambda s: ~F.exists(F.col("_base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     based = based.withColumn("_added", added).withColumn("_markov", outside)
     return based.select(
@@ -175,7 +204,6 @@ def redacted(text: Column, spans: Column, mark: str = "[REDACTED]") -> Column:
 
 
 def trained(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> MarkovModels:
-    """Models from the labelled samples of these documents; without documents, no pair of words is known and all else follows the smoothing."""
-    return train(*labelled_samples(docs, id_col, text_col))
-
-
+    """Models from the labelled samples of these documents, and their threshold from names of words that aren't among them; without documents, from names alone."""
+    random, ordinary, unseen = labelled_samples(docs, id_col, text_col)
+    return chosen(train(random, ordinary), unseen)
