@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from bazaarlens.functions.binning import bin_index, labelled_spine, spine
 from bazaarlens.functions.money import ratio
 from bazaarlens.params import AMOUNT_EDGES, AMOUNT_LABELS, CLIFF_BANDS
+from bazaarlens.operators.products import model_names
 from bazaarlens.session import materialise
 
 
@@ -139,6 +140,15 @@ def describe_pairs(pairs: DataFrame, models: DataFrame) -> DataFrame:
     return pairs
 
 
+def described_pairs(pairs: DataFrame, ranking: DataFrame, sales: DataFrame, **naming) -> DataFrame:
+    """`describe_pairs` for a short list of pairs: names are made for its models alone, segments and prices come from the ranking of all."""
+    pairs = materialise(pairs, "top-pairs")
+    codes = pairs.select(F.col("a").alias("model_code")).unionByName(pairs.select(F.col("b").alias("model_code"))).distinct()
+    names = model_names(sales.join(codes, "model_code", "left_semi"), **naming).select("model_code", "name")
+    about = ranking.join(codes, "model_code", "left_semi").select("model_code", "category", "segment", "asp")
+    return describe_pairs(pairs, about.join(names, "model_code", "left"))
+
+
 def category_pairs(lines: DataFrame, k: int = 20, hide: tuple[str, ...] = ()) -> DataFrame:
     """Category pairs with most common packages; `hide` leaves categories out of the list."""
     items = saved_items(lines, "category")

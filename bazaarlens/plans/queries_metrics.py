@@ -72,8 +72,8 @@ QUERIES = {
     "threshold_cliff": lambda fx: baskets.threshold_cliff(fx.packages_lite),
     "net_histogram": lambda fx: baskets.net_histogram(fx.packages_lite),
     "basket_size_dists": lambda fx: baskets.basket_size_dists(fx.packages, fx.order_lines),
-    "model_pairs": lambda fx: baskets.describe_pairs(baskets.top_pairs(baskets.model_pairs(fx.lines)), fx.models),
-    "model_pairs_by_lift": lambda fx: baskets.describe_pairs(baskets.top_pairs_by_lift(baskets.model_pairs(fx.lines)), fx.models),
+    "model_pairs": lambda fx: baskets.described_pairs(baskets.top_pairs(baskets.model_pairs(fx.lines)), fx.ranking, fx.sales_table, colours=NAME_COLOURS),
+    "model_pairs_by_lift": lambda fx: baskets.described_pairs(baskets.top_pairs_by_lift(baskets.model_pairs(fx.lines)), fx.ranking, fx.sales_table, colours=NAME_COLOURS),
     # every package of more than two models crosses the block
     "model_pairs_blocked": lambda fx: baskets.pair_counts(baskets.saved_items(fx.lines, "model"), 12, block=2),
     "category_pairs": lambda fx: baskets.category_pairs(fx.lines),
