@@ -13,6 +13,8 @@ from bazaarlens.llm.components import connected_components, star_links
 
 # rows of one half of a tile: an anchor with more fingerprints is compared tile by tile
 TILE = 512
+# shingles of a text hashed at a time
+SLICE = 16_384
 # links kept before they are thinned to stars
 HELD_LINKS = 500_000
 
@@ -24,19 +26,15 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII white space only
     if not words:
         return 0
-    joined = b" ".join(words)
-    if len(words) <= shingle:
-        parts = [xxhash.xxh64_digest(joined, 42)]
-    else:
-        ends = np.cumsum([len(w) + 1 for w in words])
-        starts = [0, *ends[:-shingle].tolist()]
-        digest = xxhash.xxh64_digest
-        parts = [digest(joined[a:b], 42) for a, b in zip(starts, (ends[shingle - 1 :] - 1).tolist(), strict=True)]
-    counts = np.zeros(64, dtype=np.int64)
-    for k in range(0, len(parts), 4096):
-        hashes = np.frombuffer(b"".join(parts[k : k + 4096]), dtype=np.uint8).reshape(-1, 8)
-        counts += np.unpackbits(hashes, axis=1).sum(axis=0, dtype=np.int32)
-    return int.from_bytes(np.packbits(counts * 2 > len(parts)).tobytes(), "big")
+    joined, n = b" ".join(words), max(1, len(words) - shingle + 1)
+    ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)
+    del words  # of a long text the words take far more memory than their ends
+    starts, stops = np.concatenate([[0], ends[: n - 1]]), ends[-n:] - 1
+    counts, digest = np.zeros(64, dtype=np.int64), xxhash.xxh64_digest
+    for k in range(0, n, SLICE):
+        parts = b"".join([digest(joined[a:b], 42) for a, b in zip(starts[k : k + SLICE].tolist(), stops[k : k + SLICE].tolist(), strict=True)])
+        counts += np.unpackbits(np.frombuffer(parts, dtype=np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int32)
+    return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
