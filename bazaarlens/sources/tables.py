@@ -185,11 +185,12 @@ def _upsert_packages(store: Store, tables: dict[str, DataFrame]) -> None:
     """
     slot = ingest.key_slot(["package_no"], store.slots)
     new = {name: materialise(_stamped(name, df).withColumn(SLOT, slot), name) for name, df in tables.items() if name in ("orders", "order_lines")}
+    # stored tables are wide and mostly null, so that Spark guesses their key columns at a small part of their size: joins of a row per package are told not to broadcast
     packages = [rows.select("package_no", SLOT) for rows in new.values()]
     packages = (packages[0].unionByName(packages[1]) if len(packages) > 1 else packages[0]).distinct()
     slots = _values(packages, [SLOT])
     index = store.read(INDEX, slots).select("package_no", MONTH, SLOT)
-    places = index.join(packages.drop(SLOT), "package_no", "left_semi").select(MONTH, SLOT)
+    places = index.join(packages.drop(SLOT).hint("merge"), "package_no", "left_semi").select(MONTH, SLOT)
     if "orders" in new:
         places = places.unionByName(new["orders"].select(month_part("order_at").alias(MONTH), SLOT))
     places = places.unionByName(packages.select(F.lit("none").alias(MONTH), SLOT))  # lines whose package wasn't known
@@ -197,11 +198,11 @@ def _upsert_packages(store: Store, tables: dict[str, DataFrame]) -> None:
     if "orders" in new:
         merged = _newer(store.read("orders", touched).drop(BATCH, MONTH), new["orders"], KEYS["orders"]).withColumn(MONTH, month_part("order_at"))
         merged = store.write("orders", merged, touched).select("package_no", MONTH, SLOT)
-        index = store.write(INDEX, index.join(merged, "package_no", "left_anti").unionByName(merged), slots).select("package_no", MONTH, SLOT)
+        index = store.write(INDEX, index.join(merged.hint("merge"), "package_no", "left_anti").unionByName(merged), slots).select("package_no", MONTH, SLOT)
     lines = store.read("order_lines", touched).drop(BATCH, MONTH)
     if "order_lines" in new:
         lines = _newer(lines, new["order_lines"], KEYS["order_lines"])
-    months = index.select(F.col("package_no").alias("_of"), MONTH)
+    months = index.select(F.col("package_no").alias("_of"), MONTH).hint("merge")
     lines = lines.join(months, F.col("package_no") == F.col("_of"), "left").drop("_of").withColumn(MONTH, F.coalesce(MONTH, F.lit("none")))
     store.write("order_lines", lines, touched)
 

@@ -223,3 +223,16 @@ def test_coverage_of_stored_tables_reads_no_rows(spark, tmp_path):
     got = coverage.covered(read_month_facts(spark, root), today)
     assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()} and got.count() > 8
     assert "FileScan" not in got._jdf.queryExecution().toString()
+
+
+def test_a_load_broadcasts_no_row_per_package(spark, tmp_path, monkeypatch):
+    """Stored tables are guessed at a part of their size: nothing that has a row per package may go through the driver."""
+    root, plans = str(tmp_path / "t"), []
+    plan_of = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    values, write = at_rest._values, Store.write
+    monkeypatch.setattr(at_rest, "_values", lambda rows, columns: (plan_of(rows), values(rows, columns))[1])
+    monkeypatch.setattr(Store, "write", lambda self, name, rows, replaced=None: (plan_of(rows), write(self, name, rows, replaced))[1])
+    for date in ("2026-05-03", "2026-06-03"):
+        upsert_tables({"orders": heads(spark, [("P1", date, "a"), ("P2", date, "a")]), "order_lines": lines(spark, [("P1", "x", 1), ("P2", "x", 3)])}, root, 2)
+    assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
+    assert state(spark, root)[1] == [("P1", "x", 1, "2026-06"), ("P2", "x", 3, "2026-06")]
