@@ -211,7 +211,8 @@ def moved_packages(fx: Fixture) -> DataFrame:
     tables_at_rest.upsert_tables({"orders": moved.unionByName(third(1).withColumn("order_at", F.lit(None).cast("timestamp_ntz")))}, root, slots=2)
     tables_at_rest.upsert_tables({"orders": third(1)}, root, slots=2)
     found = tables_at_rest.read_tables(fx.spark, root, ("orders", "order_lines"))
-    return found["orders"].join(found["order_lines"].select("package_no", "stored_month", "qty"), ["package_no", "stored_month"]).groupBy("package_no", "order_at", "stored_month").agg(
+    # no broadcast: a row per package on one side, of which Spark guesses a small part
+    return found["orders"].hint("merge").join(found["order_lines"].select("package_no", "stored_month", "qty"), ["package_no", "stored_month"]).groupBy("package_no", "order_at", "stored_month").agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum("qty").alias("qty"))
 
 
