@@ -107,10 +107,14 @@ HEADER = ["package_no", "order_no", "order_at", "shipped_at", "delivered_at", "c
 def packages(lines: DataFrame, orders: DataFrame, variety: bool = True) -> DataFrame:
     """One row per package: line sums joined to the header.
 
-    Lines are unique on (package, barcode), so counting them counts barcodes.
     Lines are summed before the join, which therefore meets one row per
     package even if a single package holds a large part of all lines.
     """
+    return headed(package_sums(lines, variety), orders)
+
+
+def package_sums(lines: DataFrame, variety: bool = True) -> DataFrame:
+    """Sums of the lines of each package. Lines are unique on (package, barcode), so counting them counts barcodes."""
     commission = F.col("commission") if "commission" in lines.columns else line_commission()
     sums = [
         F.sum("gross").cast("decimal(18,7)").alias("gross"),
@@ -125,9 +129,13 @@ def packages(lines: DataFrame, orders: DataFrame, variety: bool = True) -> DataF
     if variety:
         # sets, not distinct counts: lines are read once, and a set is at most the models or categories there are
         sums += [F.size(F.collect_set("model")).cast("bigint").alias("models"), F.size(F.collect_set("category")).cast("bigint").alias("cats")]
-    per_package = lines.groupBy("package_no").agg(*sums)
+    return lines.groupBy("package_no").agg(*sums)
+
+
+def headed(sums: DataFrame, orders: DataFrame) -> DataFrame:
+    """Line sums joined to the package header, with the order month."""
     header = orders.select(*[c for c in HEADER if c in orders.columns])
-    return header.join(per_package, "package_no").withColumn("month", month_of(F.col("order_at")))
+    return header.join(sums, "package_no").withColumn("month", month_of(F.col("order_at")))
 
 
 def impute_cargo(packs: DataFrame, tiers=CARGO_TIERS) -> DataFrame:

@@ -69,6 +69,7 @@ class Fixture:
 
     def __init__(self, spark: SparkSession, folder: str, params: Params = WINDOW):
         self.spark, self.folder, self.params = spark, folder, params
+        self.shared = False  # whether several relations read the window's lines
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(COLUMNS[name]).parquet(f"{self.folder}/{name}.parquet")
@@ -90,11 +91,15 @@ class Fixture:
 
     @cached_property
     def raw_lines(self) -> DataFrame:
+        return self.line_rows(self.table("lineitem"))
+
+    @staticmethod
+    def line_rows(lines: DataFrame, *more: Column) -> DataFrame:
         """One row per line item. `row_no` orders the rows of a package: line number, then price, discount and tax."""
         cents, off, tax = hundredths("l_extendedprice"), hundredths("l_discount"), hundredths("l_tax")
         row_no = ((F.col("l_linenumber").cast("bigint") * 1_000_000_000 + cents) * 1000 + off) * 1000 + tax
         gross = scaled(cents, 5)
-        return self.table("lineitem").select(
+        return lines.select(
             F.col("l_orderkey").cast("string").alias("package_no"),
             F.col("l_partkey").cast("string").alias("barcode"),
             F.col("l_linenumber").alias("line_no"),
@@ -108,6 +113,7 @@ class Fixture:
             tax.cast("decimal(6,2)").alias("commission_rate"),
             F.col("l_returnflag").alias("flag"),
             (F.col("l_returnflag") == "R").alias("returned"),
+            *more,
         )
 
     @cached_property
@@ -173,9 +179,13 @@ class Fixture:
         """Order lines with model and category."""
         return core.lines_with_product(self.order_lines, self.products)
 
+    @cached_property
+    def package_sums(self) -> DataFrame:
+        return core.package_sums(self.order_lines, variety=False)
+
     def packages_from(self, headers: DataFrame, variety: bool = False) -> DataFrame:
-        lines = self.lines if variety else self.order_lines
-        return core.lead_times(core.impute_cargo(core.packages(lines, headers, variety)))
+        sums = core.package_sums(self.lines) if variety else self.package_sums
+        return core.lead_times(core.impute_cargo(core.headed(sums, headers)))
 
     @cached_property
     def packages(self) -> DataFrame:
@@ -195,20 +205,13 @@ class Fixture:
     def packages_nth(self) -> DataFrame:
         return self.packages_from(self.orders_with(nth=True, place=False))
 
-    def sales_facts(self, months: tuple[str, ...] | None = None) -> DataFrame:
-        """(month, barcode, flag, status) sums: lines and headers meet once, before any wider key."""
+    def sold(self, months: tuple[str, ...] | None = None) -> DataFrame:
+        """Lines with the status and month of their order. They meet as stored, before texts and decimals are made: these are wider to shuffle."""
         orders = self.table("orders")
-        head = (orders.where(in_months("o_orderdate", months)) if months else orders).select(
-            F.col("o_orderkey").cast("string").alias("package_no"), F.col("o_orderstatus").alias("status"),
-            month_of(F.col("o_orderdate")).alias("month"),
-        )
-        comm = (F.col("net") * F.col("commission_rate") * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(18,9)")
-        return (
-            self.raw_lines.join(head, "package_no")
-            .groupBy("month", "barcode", "flag", "status")
-            .agg(F.sum("qty").alias("qty"), F.sum("gross").alias("gross"), F.sum("discount").alias("discount"),
-                 F.sum("net").alias("net"), F.sum(comm).alias("comm"))
-        )
+        head = (orders.where(in_months("o_orderdate", months)) if months else orders).select("o_orderkey", "o_orderstatus", "o_orderdate")
+        lines = self.window_rows if self.shared and months == self.params.months else self.table("lineitem")
+        status, month = F.col("o_orderstatus").alias("status"), month_of(F.col("o_orderdate")).alias("month")
+        return self.line_rows(lines.join(head, F.col("l_orderkey") == F.col("o_orderkey")), status, month)
 
     def sales_fact(self, months: tuple[str, ...] | None = None) -> DataFrame:
         """(month, barcode) sales fact without product attributes; reasons as a map of counts."""
@@ -216,17 +219,22 @@ class Fixture:
         cancelled = (F.col("flag") == "A") & (F.col("status") == "O")
         kept = ~back & ~cancelled
         code = F.concat("flag", "status")
+        comm = (F.col("net") * F.col("commission_rate") * F.lit("0.01").cast("decimal(2,2)")).cast("decimal(18,9)")
+
+        def money(c: Column, digits: int) -> Column:
+            return F.sum(c).cast(f"decimal(38,{digits})")
+
         sums = [F.sum(F.when(code == c, F.col("qty"))).alias(f"r_{c}") for c in REASON_CODES]
-        grouped = self.sales_facts(months).groupBy("month", "barcode").agg(
+        grouped = self.sold(months).groupBy("month", "barcode").agg(
             F.sum("qty").alias("gross_order_qty"),
             F.sum("qty").alias("gross_sales_qty"),
             F.coalesce(F.sum(F.when(cancelled, F.col("qty"))), F.lit(0)).alias("cancel_qty"),
             F.coalesce(F.sum(F.when(back, F.col("qty"))), F.lit(0)).alias("return_qty"),
             F.coalesce(F.sum(F.when(kept, F.col("qty"))), F.lit(0)).alias("net_sales_qty"),
-            F.sum("gross").alias("gross_revenue"),
-            F.sum("discount").alias("discount"),
-            F.coalesce(F.sum(F.when(kept, F.col("net"))), F.lit(0)).alias("net_revenue"),
-            F.sum("comm").alias("commission"),
+            money(F.col("gross"), 5).alias("gross_revenue"),
+            money(F.col("discount"), 7).alias("discount"),
+            F.coalesce(money(F.when(kept, F.col("net")), 7), F.lit(0)).alias("net_revenue"),
+            money(comm, 9).alias("commission"),
             *sums,
         )
         reasons = F.map_from_arrays(
@@ -256,11 +264,19 @@ class Fixture:
     def window_headers(self) -> DataFrame:
         return self.orders_lite.where(in_months("order_at", self.params.months))
 
+    @property
+    def window_rows(self) -> DataFrame:
+        """Line items of the window's orders as stored; where several relations of a result read them, they are written once."""
+        def chosen() -> DataFrame:
+            keys = self.table("orders").where(in_months("o_orderdate", self.params.months)).select(F.col("o_orderkey").alias("l_orderkey"))
+            return self.table("lineitem").join(keys, "l_orderkey", "left_semi")
+
+        return self.written("window", chosen) if self.shared else chosen()
+
     @cached_property
     def window_order_lines(self) -> DataFrame:
         """Lines of the window's packages; the packages are chosen before lines are summed."""
-        raw = self.raw_lines.join(self.window_headers.select("package_no"), "package_no", "left_semi")
-        return core.order_line_rollup(raw, extra=[F.max("returned").alias("returned")])
+        return core.order_line_rollup(self.line_rows(self.window_rows), extra=[F.max("returned").alias("returned")])
 
     @cached_property
     def window_lines(self) -> DataFrame:
@@ -292,15 +308,18 @@ class Fixture:
     @property
     def packs_table(self) -> DataFrame:
         """The window's packages as a written table."""
+        self.shared = True
         return self.written("packs", lambda: self.window_packages_lite)
 
     @cached_property
     def sales_table(self) -> DataFrame:
         """The window's sales as a written table, as an ingested store would hold it; many results read it."""
+        self.shared = True
         return materialise(self.sales, "sales")
 
     @cached_property
     def lines_table(self) -> DataFrame:
+        self.shared = True
         return materialise(self.window_lines, "lines")
 
     @cached_property
@@ -344,7 +363,7 @@ class Fixture:
     @cached_property
     def ops(self) -> DataFrame:
         """(month, metric, value) operational metrics."""
-        flags = self.sales_facts().groupBy("month").agg(
+        flags = self.sold().groupBy("month").agg(
             F.sum("qty").alias("units"),
             F.coalesce(F.sum(F.when(F.col("flag") == "R", F.col("qty"))), F.lit(0)).alias("back"),
             F.coalesce(F.sum(F.when((F.col("flag") == "R") & (F.col("status") == "F"), F.col("qty"))), F.lit(0)).alias("bad"),
@@ -459,3 +478,43 @@ class Fixture:
         )
         out = rows.select(F.explode(F.array(panel, meta)).alias("r")).select("r.*")
         return out.withColumn("roas", ratio(F.col("revenue"), F.col("spend")))
+
+
+class WrittenFixture(Fixture):
+    """The same views, those that many results read written once: for runs that make many results."""
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        self.shared = True
+        lazy = super().sales
+        return self.written("sales", lambda: lazy)
+
+    @cached_property
+    def order_lines(self) -> DataFrame:
+        lazy = super().order_lines
+        return self.written("order_lines", lambda: lazy)
+
+    @cached_property
+    def package_sums(self) -> DataFrame:
+        lazy = super().package_sums
+        return self.written("package_sums", lambda: lazy)
+
+    @cached_property
+    def packages_lite(self) -> DataFrame:
+        lazy = super().packages_lite
+        return self.written("packages", lambda: lazy)
+
+    @cached_property
+    def distribution(self) -> DataFrame:
+        lazy = super().distribution
+        return self.written("distribution", lambda: lazy)
+
+    @cached_property
+    def ops(self) -> DataFrame:
+        lazy = super().ops
+        return self.written("ops", lambda: lazy)
+
+    @cached_property
+    def store_daily(self) -> DataFrame:
+        lazy = super().store_daily
+        return self.written("store_daily", lambda: lazy)
