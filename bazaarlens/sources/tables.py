@@ -92,6 +92,10 @@ class Store:
         base = f"{self.root}/{name}"
         return self.spark.read.schema(self.schema(name)).option("basePath", base).parquet(*[f"{base}/{p}" for p in paths])
 
+    def holds(self, name: str, touched: set[tuple] | None = None) -> bool:
+        """Whether any folder of the table, or of those that `touched` lists, is there."""
+        return any(touched is None or self.value(p) in touched for p in self.folders.get(name, []))
+
     @staticmethod
     def value(folder: str) -> tuple:
         """Folder column values of a folder's path, after its batch."""
@@ -174,7 +178,8 @@ def _upsert_dated(store: Store, name: str, df: DataFrame) -> None:
         rows = rows.withColumn(MONTH, month_part(DATES[name]))
     rows = materialise(rows, "batch")
     touched = _values(rows, FOLDERS[name]) if name in FOLDERS else None
-    store.write(name, _newer(store.read(name, touched).drop(BATCH), rows, KEYS[name]), touched)
+    # new folders hold the batch, which has one row per key
+    store.write(name, _newer(store.read(name, touched).drop(BATCH), rows, KEYS[name]) if store.holds(name, touched) else rows, touched)
 
 
 def _upsert_packages(store: Store, tables: dict[str, DataFrame]) -> None:
