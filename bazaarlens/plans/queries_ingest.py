@@ -13,7 +13,7 @@ from bazaarlens.plans.queries_money import TODAY
 from bazaarlens.schemas import KEYS
 from bazaarlens.session import scratch_path
 from bazaarlens.sources import catalog, raw_fixtures as raw, reports, tables as tables_at_rest
-from bazaarlens.sources.fixtures import REASON_CODES, Fixture
+from bazaarlens.sources.fixtures import REASON_CODES, Fixture, WrittenFixture
 
 SALT = "fixture-salt"
 
@@ -76,18 +76,23 @@ EXPORT_SUMS = {"products": "current_price", "sales_monthly": "net_revenue", "ord
 
 
 def fixture_tables(fx: Fixture) -> dict[str, DataFrame]:
+    fx = WrittenFixture(fx.spark, fx.folder, fx.params)  # order lines are a table, and the distribution sums them
     return {
         "products": fx.products.select("barcode", "model_code", "name", "category", "current_price"),
-        "sales_monthly": fx.sales_monthly.select("month", "barcode", "net_sales_qty", F.col("net_revenue").cast("decimal(18,7)").alias("net_revenue"), "reasons"),
+        "sales_monthly": exported_facts(fx),
         "orders": fx.orders.drop("order_key"), "order_lines": fx.order_lines.drop("returned"), "distribution": fx.distribution,
         "ops_monthly": fx.ops.withColumn("value_scaled", F.round(F.col("value") * 1000).cast("bigint")), "store_daily": fx.store_daily,
         "ad_campaigns": fx.ad_campaigns, "ad_totals": fx.ad_totals, "uploads": raw.uploads(fx),
     }
 
 
+def exported_facts(fx: Fixture) -> DataFrame:
+    return fx.sales_monthly.select("month", "barcode", "net_sales_qty", F.col("net_revenue").cast("decimal(18,7)").alias("net_revenue"), "reasons")
+
+
 def exported_sales(fx: Fixture) -> DataFrame:
     """The sales table as CSV and back, the reasons as JSON text."""
-    path = sinks.export_csv({"sales_monthly": fixture_tables(fx)["sales_monthly"]}, scratch_path(fx.spark, "csv"))["sales_monthly"]
+    path = sinks.export_csv({"sales_monthly": exported_facts(fx)}, scratch_path(fx.spark, "csv"))["sales_monthly"]
     back = fx.spark.read.schema("month string, barcode string, net_sales_qty bigint, net_revenue decimal(18,7), reasons string").option("header", "true").option("escape", '"').csv(path)
     return core.reasons_wide(back, REASON_CODES)
 
@@ -106,6 +111,7 @@ def exported_whole(fx: Fixture) -> DataFrame:
     from bazaarlens.plans.registry import portable
 
     known = {**queries_core.QUERIES, **queries_metrics.QUERIES, **queries_money.QUERIES}
+    fx = WrittenFixture(fx.spark, fx.folder, fx.params)  # ten blocks read the packages, as many the sales
     results = {name: portable(known[name](fx)) for name in EXPORTED}
     folder = scratch_path(fx.spark, "json")
     sinks.export_results(results, folder)
@@ -184,7 +190,9 @@ def loaded_beside(fx: Fixture, header: list[str], rows: bool) -> DataFrame:
     """Sales exports, a file per month, and a newer file of each month that must not replace it: with a wrong header and a row, or without rows."""
     folder, export = landed(fx, "sales"), raw.sales_export(fx)
     raw.land(export, f"{folder}/1", ["Barkod"])
-    newer = raw.header_files(export, header, "-yeni")
+    # their names are those of the landed files: no second look at the rows
+    names = catalog.landed_files(fx.spark, f"{folder}/1").select(F.regexp_extract("file_name", r"file=([^/]+)$", 1).alias("file"))
+    newer = raw.header_files(names, header, "-yeni")
     lines = newer.unionByName(newer.withColumn("value", F.lit("b1" + ",7" * (len(header) - 1)))) if rows else newer
     lines.repartition("file").sortWithinPartitions("file", F.desc("value")).write.partitionBy("file").text(f"{folder}/2")
     root = scratch_path(fx.spark, "tables")

@@ -97,7 +97,7 @@ def raw_buyers(fx: Fixture) -> DataFrame:
 
 def raw_sheets(fx: Fixture) -> dict[str, DataFrame]:
     """All distribution sheets, one frame per dimension with its rows numbered; each row comes a second time further down, with other counts."""
-    dist = fx.distribution.withColumn("period", F.to_date(F.concat("month", F.lit("-01"))))
+    dist = fx.written("distribution", lambda: fx.distribution).withColumn("period", F.to_date(F.concat("month", F.lit("-01"))))
     share = F.lit(0.0)
 
     def sheet(dimension: str, *first: str) -> DataFrame:
@@ -114,14 +114,17 @@ def order_export(fx: Fixture) -> DataFrame:
     Rows of every fiftieth package come twice, equal; those of the next come twice with another invoice number.
     """
     head = fx.orders.select("package_no", "order_key", "order_no", "order_at", "shipped_at", "carrier", "status", "city", "district", "customer", "cargo_fee")
-    rows = fx.raw_lines.join(head, "package_no").withColumn("invoice", F.concat(F.lit("F"), "package_no"))
-    again = rows.where(F.col("order_key") % 50 < 2).withColumn("invoice", F.when(F.col("order_key") % 50 == 1, F.concat("invoice", F.lit("-2"))).otherwise(F.col("invoice")))
+    # lines meet headers as stored, which is narrower to shuffle, and come again without a second join
+    rows = fx.line_rows(fx.table("lineitem").join(head, F.col("l_orderkey") == F.col("order_key")), *[F.col(c) for c in head.columns if c != "package_no"])
+    place = F.col("order_key") % 50
+    copies = F.when(place < 2, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    rows = rows.withColumn("copy", F.explode(copies)).withColumn("invoice", F.concat(F.lit("F"), "package_no", F.when((place == 1) & (F.col("copy") == 2), "-2").otherwise("")))
     month = pick(FILE_MONTHS, F.month("order_at") - 1)
 
     def when(c: str) -> Column:
         return F.date_format(c, "dd.MM.yyyy HH:mm")
 
-    return rows.unionByName(again).select(
+    return rows.select(
         F.col("package_no").alias("Paket No"), F.col("order_no").alias("Sipariş Numarası"), when("order_at").alias("Sipariş Tarihi"), when("shipped_at").alias("Kargoya Teslim Tarihi"),
         F.col("carrier").alias("Kargo Firması"), F.col("status").alias("Sipariş Statüsü"), F.concat(F.lit("Ad  "), "customer").alias("Alıcı"), F.col("city").alias("İl"),
         F.col("district").alias("İlçe"), F.col("invoice").alias("Fatura No"), F.col("line_no").cast("string").alias("Stok Kodu"), F.col("barcode").alias("Barkod"), F.col("qty").cast("string").alias("Adet"),
@@ -141,9 +144,9 @@ def sales_export(fx: Fixture) -> DataFrame:
     return s.select(*[F.col(c).cast("string").alias(h) for h, c in named.items()], *[comma(F.col(c).cast("decimal(18,7)")).alias(h) for h, c in amounts.items()], name.alias("file"))
 
 
-def header_files(export: DataFrame, header: list[str], mark: str) -> DataFrame:
-    """A later file for each one of an export: its header alone (`value`), with `mark` at the end of its name."""
-    return export.select("file").distinct().select(F.lit(",".join(header)).alias("value"), F.concat("file", F.lit(mark)).alias("file"))
+def header_files(files: DataFrame, header: list[str], mark: str) -> DataFrame:
+    """A later file for each one of an export (`file`): its header alone (`value`), with `mark` at the end of its name."""
+    return files.select("file").distinct().select(F.lit(",".join(header)).alias("value"), F.concat("file", F.lit(mark)).alias("file"))
 
 
 def distribution_export(fx: Fixture) -> tuple[DataFrame, DataFrame]:
