@@ -8,7 +8,7 @@ from bazaarlens.functions.binning import bin_index, labelled_spine, spine
 from bazaarlens.functions.money import ratio
 from bazaarlens.params import AMOUNT_EDGES, AMOUNT_LABELS, CLIFF_BANDS
 from bazaarlens.operators.products import model_names
-from bazaarlens.session import materialise
+from bazaarlens.session import dealt, materialise
 
 
 def amount_bins(packs: DataFrame, edges: tuple = AMOUNT_EDGES, labels: tuple = AMOUNT_LABELS) -> DataFrame:
@@ -171,22 +171,26 @@ def with_names(items: DataFrame, models: DataFrame) -> DataFrame:
     return items.join(named, "model", "left").withColumn("name", F.coalesce("name", "model"))
 
 
-def several_barcodes(lines: DataFrame) -> DataFrame:
-    """(package, model) groups with two or more barcodes of the model; lines are unique on (package, barcode)."""
-    return lines.groupBy("package_no", "model").agg(F.count("barcode").alias("k")).where("k > 1")
+def model_barcodes(lines: DataFrame) -> DataFrame:
+    """(package, model, k): barcodes of the model in the package; lines are unique on (package, barcode).
+
+    Lines are written first, so that no task holds the tables of their roll-up and of this step at once.
+    """
+    found = lines.select("package_no", "model", F.col("barcode").isNotNull().alias("known"))
+    return dealt(found, "package_no", "model", name="barcodes").groupBy("package_no", "model").agg(F.count_if("known").alias("k"))
 
 
 def multicolor_packages(lines: DataFrame) -> DataFrame:
     """Packages with several barcodes of one model, among all packages."""
-    hit = several_barcodes(lines).select("package_no").distinct().agg(F.count(F.lit(1)).alias("pk_same_model_multi"))
-    return hit.crossJoin(package_count(lines).withColumnRenamed("packages", "pk"))
+    most = model_barcodes(lines).groupBy("package_no").agg(F.max("k").alias("k"))
+    return most.agg(F.count_if(F.col("k") > 1).alias("pk_same_model_multi"), F.count(F.lit(1)).alias("pk"))
 
 
 def multicolor_models(lines: DataFrame, k: int = 10) -> DataFrame:
     """Models most often bought in several barcodes, and the share of the model's packages."""
-    multi = several_barcodes(lines).groupBy("model").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "model").limit(k)
-    singles = single_counts(item_packages(lines, "model")).select(F.col("item").alias("model"), F.col("n").alias("_all"))
-    return multi.join(singles, "model").select("model", "n", ratio(F.col("n"), F.col("_all"), 100.0).alias("share"))
+    multi = model_barcodes(lines).groupBy("model").agg(F.count_if(F.col("k") > 1).alias("n"), F.count(F.lit(1)).alias("_all")).where("n > 0")
+    top = multi.orderBy(F.desc("n"), "model").limit(k).where(F.col("model").isNotNull())
+    return top.select("model", "n", ratio(F.col("n"), F.col("_all"), 100.0).alias("share"))
 
 
 def multiunit_models(lines: DataFrame, min_lines: int = 100, k: int = 10) -> DataFrame:
