@@ -62,8 +62,12 @@ def item_packages(lines: DataFrame, item: str) -> DataFrame:
 
 
 def saved_items(lines: DataFrame, item: str) -> DataFrame:
-    """Distinct (package, item), written once: pair counting reads these two narrow columns several times."""
-    return materialise(item_packages(lines, item), "items")
+    """Distinct (package, item), written once: pair counting reads these two narrow columns several times.
+
+    Lines are written first, so that no task holds the tables of their roll-up and of this step at once.
+    """
+    found = lines.select("package_no", F.col(item).alias("item"))
+    return materialise(dealt(found, "package_no", "item", name="line-items").distinct(), "items")
 
 
 def single_counts(items: DataFrame) -> DataFrame:

@@ -64,7 +64,7 @@ def test_dealt_tasks_follow_the_rows(spark):
     assert len(table.inputFiles()) == 10 and table.count() == 95
 
 
-@pytest.mark.parametrize("made", [baskets.multicolor_packages, baskets.multicolor_models])
+@pytest.mark.parametrize("made", [baskets.multicolor_packages, baskets.multicolor_models, lambda lines: baskets.saved_items(lines, "model")])
 def test_lines_are_rolled_up_once_and_apart_from_their_grouping(spark, folder, monkeypatch, made):
     seen = []
     write = session.materialise
