@@ -88,9 +88,19 @@ def inspected_files(spark: SparkSession, texts: list[str], tables: list[str]) ->
     """(file_name, header, digest) of report files, CSV `texts` and parquet `tables`, by one job however many they are.
 
     A file is read by one task for its digest and the names of its columns: a CSV's first record, a parquet file's
-    footer (the one place where Python reads a file, as Spark gives a footer only by a job each). A report written in
+    footer, or the first bytes of a compressed CSV (the one place where Python reads a file, as Spark gives a footer only
+    by a job each and unpacks no bytes). A report written in
     part files has the header of its first, and a digest of theirs.
     """
+    def heads(batches):
+        import zlib
+
+        import pyarrow as pa
+
+        for batch in batches:
+            starts = [zlib.decompressobj(31).decompress(start.as_py(), HEAD_BYTES) for start in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(starts, pa.binary()), batch.column(2)], names=["path", "start", "digest"])
+
     def footers(batches):
         import hashlib
         import io
@@ -109,7 +119,10 @@ def inspected_files(spark: SparkSession, texts: list[str], tables: list[str]) ->
 
     found = []
     if texts:
-        found.append(read(texts).select("path", csv_header(F.col("content")).alias("header"), F.sha2("content", 256).alias("digest")))
+        starts = read(texts).select("path", F.substring("content", 1, HEAD_BYTES).alias("start"), F.sha2("content", 256).alias("digest"))
+        packed = F.col("path").endswith(".gz")
+        unpacked = starts.where(packed).mapInArrow(heads, "path string, start binary, digest string")
+        found.append(starts.where(~packed).unionByName(unpacked).select("path", csv_header(F.col("start")).alias("header"), "digest"))
     if tables:
         found.append(read(tables).mapInArrow(footers, "path string, header array<string>, digest string"))
     parts = reduce(DataFrame.unionByName, found).withColumn("file_name", logical_file(F.col("path")))

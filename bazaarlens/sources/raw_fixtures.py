@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarlens.functions.parsing import MONTH_SHORT
 from bazaarlens.operators.core import ops_pivot
+from bazaarlens.session import shuffles_removed
 from bazaarlens.sources.catalog import report_file_catalog
 from bazaarlens.sources.fixtures import DIM_AGE, DIM_AMOUNT, DIM_GENDER, DIM_HOUR, DIM_NEW, DIM_PLUS, DIM_QTY, Fixture
 
@@ -109,17 +110,21 @@ def raw_sheets(fx: Fixture) -> dict[str, DataFrame]:
 
 
 def order_export(fx: Fixture) -> DataFrame:
-    """The order export under its own headers, with personal columns, a file per month.
+    """The order export under its own headers, with personal columns, a file per month, dealt to its files and in order there.
 
     Rows of every fiftieth package come twice, equal; those of the next come twice with another invoice number.
     """
-    head = fx.orders.select("package_no", "order_key", "order_no", "order_at", "shipped_at", "carrier", "status", "city", "district", "customer", "cargo_fee")
-    # lines meet headers as stored, which is narrower to shuffle, and come again without a second join
-    rows = fx.line_rows(fx.table("lineitem").join(head, F.col("l_orderkey") == F.col("order_key")), *[F.col(c) for c in head.columns if c != "package_no"])
-    place = F.col("order_key") % 50
+    # the label of first orders isn't exported
+    head = fx.orders_place.select("package_no", "order_key", "order_no", "order_at", "shipped_at", "carrier", "status", "city", "district", "customer", "cargo_fee")
+    # lines meet headers, come again and are dealt to their files as stored, which is narrower to shuffle and sort than texts
+    place, month = F.col("order_key") % 50, pick(FILE_MONTHS, F.month("order_at") - 1)
     copies = F.when(place < 2, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    rows = rows.withColumn("copy", F.explode(copies)).withColumn("invoice", F.concat(F.lit("F"), "package_no", F.when((place == 1) & (F.col("copy") == 2), "-2").otherwise("")))
-    month = pick(FILE_MONTHS, F.month("order_at") - 1)
+    name = F.concat(F.lit("rapor-"), month, F.lit("-"), F.year("order_at").cast("string"), F.lit("-tum-siparisler"))
+    stored = fx.table("lineitem").drop("l_returnflag").join(head, F.col("l_orderkey") == F.col("order_key")).withColumn("copy", F.explode(copies)).withColumn("file", name)
+    dealt = stored.repartition("file").sortWithinPartitions("file", "package_no", F.col("l_linenumber").cast("string"))
+    more = [F.col(c) for c in (*head.columns, "copy", "file") if c != "package_no"]
+    rows = fx.line_rows(dealt.withColumn("l_returnflag", F.lit(None).cast("string")), *more)
+    rows = rows.withColumn("invoice", F.concat(F.lit("F"), "package_no", F.when((place == 1) & (F.col("copy") == 2), "-2").otherwise("")))
 
     def when(c: str) -> Column:
         return F.date_format(c, "dd.MM.yyyy HH:mm")
@@ -130,7 +135,7 @@ def order_export(fx: Fixture) -> DataFrame:
         F.col("district").alias("İlçe"), F.col("invoice").alias("Fatura No"), F.col("line_no").cast("string").alias("Stok Kodu"), F.col("barcode").alias("Barkod"), F.col("qty").cast("string").alias("Adet"),
         comma(F.col("gross")).alias("Satış Tutarı"), comma(F.col("discount")).alias("İndirim Tutarı"), comma(F.col("net")).alias("Faturalanacak Tutar"),
         comma(F.col("commission_rate")).alias("Komisyon Oranı"), comma(F.col("cargo_fee")).alias("Faturalanan Kargo Tutarı"),
-        F.concat(F.lit("rapor-"), month, F.lit("-"), F.year("order_at").cast("string"), F.lit("-tum-siparisler")).alias("file"),
+        "file",
     )
 
 
@@ -173,10 +178,11 @@ def ops_export(fx: Fixture) -> tuple[DataFrame, DataFrame]:
     return early, late
 
 
-def land(df: DataFrame, folder: str, order: list[str]) -> None:
-    """One CSV folder per value of `file`, its rows in order; `row_no` orders and isn't written."""
-    dealt = df.repartition("file").sortWithinPartitions("file", *order).drop("row_no")
-    dealt.write.option("header", "true").option("emptyValue", "").partitionBy("file").csv(folder)
+def land(df: DataFrame, folder: str, order: list[str] | None) -> None:
+    """One folder of compressed CSV per value of `file`, its rows in order; `row_no` orders and isn't written. Without `order` rows are dealt and in order already."""
+    dealt = (df.repartition("file").sortWithinPartitions("file", *order) if order else df).drop("row_no")
+    with shuffles_removed(df.sparkSession):
+        dealt.write.option("header", "true").option("emptyValue", "").option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").partitionBy("file").csv(folder)
 
 
 STORE_HEADERS = {

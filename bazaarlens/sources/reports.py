@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from bazaarlens.functions.parsing import locale_number, report_timestamp
 from bazaarlens.operators import core, ingest
 from bazaarlens.schemas import KEYS, conform
-from bazaarlens.session import materialise
+from bazaarlens.session import materialise, shuffles_removed
 from bazaarlens.sources.catalog import DEFAULT_YEAR, active_files, file_slot, inspected_files, landed_files, logical_file, report_file_catalog
 from bazaarlens.sources.tables import STAMP, STORED, read_files, upsert_tables
 
@@ -121,7 +121,8 @@ def order_rows(raw: DataFrame, salt: str | None, marketplace: str) -> DataFrame:
     Two lines that differ in a personal or a delivery number alone are two lines.
     """
     own = [c for c in raw.columns if c != ROW]
-    once = raw.groupBy(*[F.col(f"`{c}`") for c in own]).agg(F.min(ROW).alias(ROW))
+    # dealt by package, whose rows lie side by side: what they share is packed away in the shuffle, the written rows and the roll-up after it
+    once = raw.repartition(FILE, "Paket No").groupBy(*[F.col(f"`{c}`") for c in own]).agg(F.min(ROW).alias(ROW))
     coded = ingest.pseudonymise_customers(once, salt)
     return coded.select(
         FILE, ROW, F.col("customer_hash").alias("customer"), *_text(coded, {**ORDER_TEXT, FAST_DELIVERY: "fast_delivery"}),
@@ -255,7 +256,8 @@ def load_files(spark: SparkSession, files: list[dict], salt: str | None, marketp
     """
     seen = files if files and "digest" in files[0] else inspected(spark, files)
     whole = [f for f in seen if not f["missing"]]
-    rows = {report: materialise(df, report) for report, df in parsed(spark, whole, salt, marketplace).items()} if whole else {}
+    with shuffles_removed(spark):
+        rows = {report: materialise(df, report, codec="zstd") for report, df in parsed(spark, whole, salt, marketplace).items()} if whole else {}
     checked = gated(seen, rows)
     passed = [f for f in checked if not f["reason"]]
     taken = newest(spark, [*passed, *(standing or [])]) if replaced else {(f["file_name"], f["landed_at"]) for f in passed}
@@ -264,7 +266,8 @@ def load_files(spark: SparkSession, files: list[dict], salt: str | None, marketp
     active = [f for f in verdicts if f["status"] == "active"]
     stamps = spark.createDataFrame([(f["file_name"], stamp(f)) for f in active], "of string, stamp string")
     for report in {f["report_type"]: None for f in active}:
-        kept = rows[report].join(stamps, F.col(FILE) == F.col("of")).drop(FILE, "of").withColumnRenamed("stamp", FILE)
+        # a short entry per file, as the driver has them: rows stay where they are
+        kept = rows[report].join(F.broadcast(stamps), F.col(FILE) == F.col("of")).drop(FILE, "of").withColumnRenamed("stamp", FILE)
         found, parts = report_tables(kept, report)
         # a product's row goes by its month first; a file without one is the latest
         of = {name: F.concat_ws("\t", F.coalesce(F.date_format(PERIOD, "yyyy-MM"), F.lit("none")), FILE) if name == "products" else F.col(FILE) for name in found}
