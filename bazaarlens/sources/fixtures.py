@@ -127,18 +127,25 @@ class Fixture:
 
     def orders_with(self, nth: bool, place: bool) -> DataFrame:
         """Package headers. The order label costs an aggregation by customer and the place two joins: only on demand."""
-        key = F.col("o_orderkey")
         orders = self.table("orders")
         if nth:
             orders = orders.join(self.first_orders, "o_orderkey", "left")
             label = F.when(F.col("is_first"), FIRST_ORDER).otherwise("2.Sipariş")
         else:
             label = F.lit(None).cast("string")
+        return self.header_rows(self.placed(orders) if place else orders, label, place)
+
+    def placed(self, orders: DataFrame) -> DataFrame:
+        """Orders with the customer and nation of each."""
+        return orders.join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey")).join(
+            self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+
+    @staticmethod
+    def header_rows(orders: DataFrame, label: Column, place: bool, *more: str) -> DataFrame:
+        """Orders as package headers, with the place where they have one (`placed`)."""
+        key = F.col("o_orderkey")
         shipped = F.when(key % 10 != 0, F.col("o_orderdate") + hours(key * 37 % 96))
         delivered = F.when(key % 13 != 0, shipped + hours(key * 53 % 160 + 12))
-        if place:
-            orders = orders.join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey")).join(
-                self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         about = {"city": "n_name", "district": "c_mktsegment", "buyer": "c_name", "age_band": "c_mktsegment"}
         return (
             orders.select(
@@ -155,6 +162,7 @@ class Fixture:
                 label.alias("customer_nth"),
                 F.when(F.col("o_custkey") % 3 == 0, "Kadın").when(F.col("o_custkey") % 3 == 1, "Erkek").alias("gender"),
                 F.when(F.col("o_orderstatus") != "P", (key % 70 + 20).cast("decimal(10,2)")).alias("cargo_fee"),
+                *more,
             )
         )
 

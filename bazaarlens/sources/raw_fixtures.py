@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarlens.functions.parsing import MONTH_SHORT
 from bazaarlens.operators.core import ops_pivot
+from bazaarlens.operators.ingest import key_slot
 from bazaarlens.session import shuffles_removed
 from bazaarlens.sources.catalog import report_file_catalog
 from bazaarlens.sources.fixtures import DIM_AGE, DIM_AMOUNT, DIM_GENDER, DIM_HOUR, DIM_NEW, DIM_PLUS, DIM_QTY, Fixture
 
 FILE_MONTHS = ("Ocak", "Şubat", "Mart", "Nisan", "may_s", "Haziran", "Temmuz", "Ağustos", "eyl_l", "Ekim", "Kasım", "Aralık")
+FILE_PARTS = 16
 FILE_KINDS = ("tum-siparisler", "Satış-Raporu", "sat__-raporu", "siparis-dagilim-raporu", "Mağaza-Raporu", "operasyon-raporu",
               "urun-reklamlari-raporu", "diger-rapor")
 
@@ -110,20 +112,24 @@ def raw_sheets(fx: Fixture) -> dict[str, DataFrame]:
 
 
 def order_export(fx: Fixture) -> DataFrame:
-    """The order export under its own headers, with personal columns, a file per month, dealt to its files and in order there.
+    """The order export under its own headers, with personal columns, a file per month in parts, dealt to them and in order there.
 
     Rows of every fiftieth package come twice, equal; those of the next come twice with another invoice number.
     """
+    lines = fx.table("lineitem").drop("l_returnflag")
     # the label of first orders isn't exported
-    head = fx.orders_place.select("package_no", "order_key", "order_no", "order_at", "shipped_at", "carrier", "status", "city", "district", "customer", "cargo_fee")
+    head = fx.placed(fx.table("orders")).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority", "c_mktsegment", "n_name")
     # lines meet headers, come again and are dealt to their files as stored, which is narrower to shuffle and sort than texts
-    place, month = F.col("order_key") % 50, pick(FILE_MONTHS, F.month("order_at") - 1)
+    place, month = F.col("o_orderkey") % 50, pick(FILE_MONTHS, F.month("o_orderdate") - 1)
     copies = F.when(place < 2, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    name = F.concat(F.lit("rapor-"), month, F.lit("-"), F.year("order_at").cast("string"), F.lit("-tum-siparisler"))
-    stored = fx.table("lineitem").drop("l_returnflag").join(head, F.col("l_orderkey") == F.col("order_key")).withColumn("copy", F.explode(copies)).withColumn("file", name)
-    dealt = stored.repartition("file").sortWithinPartitions("file", "package_no", F.col("l_linenumber").cast("string"))
-    more = [F.col(c) for c in (*head.columns, "copy", "file") if c != "package_no"]
-    rows = fx.line_rows(dealt.withColumn("l_returnflag", F.lit(None).cast("string")), *more)
+    name = F.concat(F.lit("rapor-"), month, F.lit("-"), F.year("o_orderdate").cast("string"), F.lit("-tum-siparisler"))
+    stored = lines.join(head, F.col("l_orderkey") == F.col("o_orderkey")).withColumn("copy", F.explode(copies)).withColumn("file", name)
+    # a file's part has whole packages, few enough to be sorted in memory
+    dealt = stored.repartition("file", key_slot(["o_orderkey"], FILE_PARTS)).sortWithinPartitions("file", F.col("o_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    more = ["order_key", "order_no", "order_at", "shipped_at", "carrier", "status", "city", "district", "customer", "cargo_fee", "copy", "file"]
+    texts = dealt.withColumns({"c_name": F.lit(None).cast("string"), "l_returnflag": F.lit(None).cast("string")})
+    rows = fx.line_rows(fx.header_rows(texts, F.lit(None).cast("string"), True, *lines.columns, "l_returnflag", "copy", "file"), *map(F.col, more))
+    place = F.col("order_key") % 50
     rows = rows.withColumn("invoice", F.concat(F.lit("F"), "package_no", F.when((place == 1) & (F.col("copy") == 2), "-2").otherwise("")))
 
     def when(c: str) -> Column:

@@ -246,6 +246,23 @@ def newest(spark: SparkSession, files: list[dict]) -> set[tuple]:
     return {tuple(r) for r in active_files(known).select("file_name", "landed_at").collect()}
 
 
+# bytes of landed files that are shuffled at a time, and at least so many for each core there is
+PORTION, CORE_BYTES = 1 << 30, 32 << 20
+
+
+def portions(files: list[dict], most: int) -> list[list[dict]]:
+    """Files in portions of `most` bytes or of one file, so that a load's shuffles don't grow with it. No row is told from those of other files."""
+    out: list[list[dict]] = []
+    size = 0
+    for f in files:
+        size += f["bytes"]
+        if not out or size > most:
+            out.append([])
+            size = f["bytes"]
+        out[-1].append(f)
+    return out
+
+
 def load_files(spark: SparkSession, files: list[dict], salt: str | None, marketplace: str, replaced: bool = False, standing: list[dict] | None = None,
                loaded_at: dt.datetime | None = None) -> tuple[dict[str, DataFrame], list[dict]]:
     """Tables of the given files, and the files with their verdicts. First the gate, then the replacement.
@@ -256,8 +273,12 @@ def load_files(spark: SparkSession, files: list[dict], salt: str | None, marketp
     """
     seen = files if files and "digest" in files[0] else inspected(spark, files)
     whole = [f for f in seen if not f["missing"]]
-    with shuffles_removed(spark):
-        rows = {report: materialise(df, report, codec="zstd") for report, df in parsed(spark, whole, salt, marketplace).items()} if whole else {}
+    written: dict[str, list[DataFrame]] = defaultdict(list)
+    for some in portions(whole, max(PORTION, CORE_BYTES * spark.sparkContext.defaultParallelism)):
+        for report, df in parsed(spark, some, salt, marketplace).items():
+            with shuffles_removed(spark):
+                written[report].append(materialise(df, report, codec="zstd"))
+    rows = {report: reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) for report, parts in written.items()}
     checked = gated(seen, rows)
     passed = [f for f in checked if not f["reason"]]
     taken = newest(spark, [*passed, *(standing or [])]) if replaced else {(f["file_name"], f["landed_at"]) for f in passed}

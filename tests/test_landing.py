@@ -51,11 +51,13 @@ def test_orders_are_dealt_to_their_files_as_stored(spark, folder, tmp_path):
     raw_fixtures.land(export, str(tmp_path / "l"), None)
     names = [f for _, _, found in os.walk(tmp_path / "l") for f in found if f.startswith("part-")]
     assert names and all(f.endswith(".csv.gz") for f in names)
-    # a file per month, its rows in the order of package and line
-    assert len(names) == export.select("file").distinct().count()
-    for f in [x for x in (tmp_path / "l").iterdir() if x.name.startswith("file=")][:5]:
-        rows = [(r["Paket No"], r["Stok Kodu"]) for r in spark.read.option("header", "true").csv(str(f)).collect()]
-        assert rows == sorted(rows)
+    # a folder per month, rows in the order of package and line, a package in one part
+    months = [x for x in (tmp_path / "l").iterdir() if x.name.startswith("file=")]
+    assert len(months) == export.select("file").distinct().count()
+    for month in months[:5]:
+        parts = [[(r["Paket No"], r["Stok Kodu"]) for r in spark.read.option("header", "true").csv(str(f)).collect()] for f in month.glob("part-*")]
+        assert all(rows == sorted(rows) for rows in parts)
+        assert sum(len({p for p, _ in rows}) for rows in parts) == len({p for rows in parts for p, _ in rows})
 
 
 def test_a_load_removes_its_shuffles_and_keeps_rows_where_they_are(spark, tmp_path, monkeypatch):
@@ -79,3 +81,18 @@ def test_loaded_orders_come_from_compressed_files(spark, folder):
     lines = Fixture(spark, folder).raw_lines.select("package_no").distinct()
     same = loaded.select("package_no", "carrier", "status", "city", loaded["cargo_fee"].cast("decimal(10,2)").alias("cargo_fee"))
     assert same.exceptAll(headers.join(lines, "package_no", "left_semi")).count() == 0 and loaded.count() == lines.join(headers, "package_no").count()
+
+
+def test_files_are_read_in_portions(spark, folder, monkeypatch, tmp_path):
+    files = [{"file_name": n, "bytes": b} for n, b in zip("abcde", (5, 5, 1, 30, 2), strict=True)]
+    assert [[f["file_name"] for f in p] for p in reports.portions(files, 10)] == [["a", "b"], ["c"], ["d"], ["e"]]
+    assert reports.portions([], 10) == [] and reports.portions(files, 100) == [files]
+    at = str(tmp_path / "sales")
+    raw_fixtures.land(raw_fixtures.sales_export(Fixture(spark, folder)).where("file like '%-2017-%'"), at, ["Barkod"])
+    whole, calls = reports.load_reports(spark, at, None, "Pazar")["sales_monthly"], []
+    monkeypatch.setattr(reports, "PORTION", 2_000)
+    monkeypatch.setattr(reports, "CORE_BYTES", 0)
+    monkeypatch.setattr(reports, "materialise", lambda df, *a, **b: (calls.append(1), session.materialise(df, *a, **b))[1])
+    parts = reports.load_reports(spark, at, None, "Pazar")["sales_monthly"]
+    assert len(calls) > 1 and whole.count() > 0
+    assert parts.exceptAll(whole).count() == 0 and whole.exceptAll(parts).count() == 0
